@@ -37,7 +37,7 @@ def parse_date_text(col, fmt: str = "d MMM yyyy", strip_prefix: str | None = r"^
     c = _c(col)
     if strip_prefix:
         c = F.regexp_replace(c, strip_prefix, "")
-    return F.try_to_date(c, F.lit(fmt))
+    return F.try_to_date(c, fmt)
 
 
 def date_text(col, fmt: str = "dd/MM/yy") -> Column:

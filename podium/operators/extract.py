@@ -221,7 +221,7 @@ def fill_header(lines: DataFrame, file_col: str, order_cols: Sequence[str],
         c = F.col(f"__f_{n}").isNotNull()
         complete = c if complete is None else complete & c
     stop = firsts.select(file_col, complete.alias("__complete"),
-                         F.when(complete, F.greatest(*[F.col(f"__f_{n}") for n in fields]))
+                         F.when(complete, _latest([F.col(f"__f_{n}") for n in fields]))
                          .otherwise(F.col("__last")).alias("__stop"))
     upto = x.join(stop, file_col).filter(F.col("__pos") <= F.col("__stop"))
     got = upto.groupBy(file_col).agg(
@@ -235,6 +235,10 @@ def fill_header(lines: DataFrame, file_col: str, order_cols: Sequence[str],
     return got.select(*cols)
 
 
+def _latest(cols: list[Column]) -> Column:
+    return cols[0] if len(cols) == 1 else F.greatest(*cols)
+
+
 def header_patterns(line: Column | None = None) -> dict[str, Column]:
     """The reference's four header fields as expressions over a stripped line."""
     ln = line if line is not None else F.col("line")

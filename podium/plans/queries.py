@@ -140,7 +140,8 @@ SELECT o_orderkey, o_custkey FROM orders WHERE o_orderstatus <> 'P'
 def q_jdbc_query_pushdown(spark, d):
     url = _derby(spark)
     orders = T(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_custkey")
-    jdbc.write_table(orders, url, "ORDERS_COPY", "errorifexists", DERBY_PROPS)
+    jdbc.write_table(orders, url, "ORDERS_COPY", "errorifexists", DERBY_PROPS,
+                     column_types="o_orderstatus VARCHAR(16)")
     src = jdbc.read_query(spark, url, 'SELECT "o_orderkey", "o_custkey", "o_orderstatus" FROM ORDERS_COPY',
                           DERBY_PROPS)
     # the DataFrame filter is pushed into the database query by Catalyst
