@@ -179,20 +179,21 @@ def rank_join_back(df: DataFrame, where: Column, order_by: Sequence, on: str, ta
     alone, so every row of that key takes it and keys with two ranked rows fan
     out (quirk 16).  strict: the rank stays on its own row.
     """
-    fallback = F.col(target) if default is None else F.coalesce(F.col(target), F.lit(default))
+    ttype = df.schema[target].dataType
+    fallback = F.col(target) if default is None else F.coalesce(F.col(target), F.lit(default).cast(ttype))
     if compat:
         ranked = row_number_by(df.filter(where).select(F.col(on).alias("__on"), *[
             (_as_key(k).col()).alias(f"__o{i}") for i, k in enumerate(order_by)]),
             [Key(f"__o{i}", _as_key(k).desc, _as_key(k).nulls_last) for i, k in enumerate(order_by)],
             partition_by=(), out="__rank", buckets=buckets).select("__on", "__rank")
         joined = df.join(ranked, df[on] == ranked["__on"], "left")
-        return joined.withColumn(target, F.coalesce(F.col("__rank").cast("int"), fallback)) \
+        return joined.withColumn(target, F.coalesce(F.col("__rank").cast(ttype), fallback)) \
                      .drop("__on", "__rank")
     flagged = df.withColumn("__m", where)
     ranked = row_number_by(flagged.filter("__m"), order_by, partition_by, "__rank", buckets)
     rest = flagged.filter(~F.col("__m") | F.col("__m").isNull()).withColumn("__rank", F.lit(None).cast("long"))
     both = ranked.unionByName(rest)
-    return both.withColumn(target, F.coalesce(F.col("__rank").cast("int"), fallback)).drop("__m", "__rank")
+    return both.withColumn(target, F.coalesce(F.col("__rank").cast(ttype), fallback)).drop("__m", "__rank")
 
 
 def top_k(df: DataFrame, k: int, order_by: Sequence) -> DataFrame:

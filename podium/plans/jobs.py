@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from podium.functions.cast import concat_time, date_text, dotted_number, parse_date_text, safe_cast
-from podium.functions.text import item, split_item
-from podium.operators import conform, correct, model, profile, rank, shape
+from podium.functions.text import item, split_item, starts_with, tokenize
+from podium.operators import conform, correct, extract, model, profile, rank, shape
 from podium.operators.rank import Key
 from podium.sources.tables import append_missing_rows, load, read_table, retire, save
 
@@ -32,6 +32,43 @@ RANK_LIMIT = 452
 ATHLETE_SCHEMA = "id int, name string, noc_code string, gender string"
 
 
+# --------------------------------------------------------------------------- text to bronze
+
+# Which layout a sheet uses, by its file path (first match wins).
+SHEET_ROUTES = [("%final%female%", "final_b"), ("%final%male%", "final_a")]
+SHEET_LAYOUTS = {"heats": extract.HEATS, "final_a": extract.FINAL_A, "final_b": extract.FINAL_B}
+FIELD_TO_BRONZE = {"rank": "Rank", "bib": "Athlete Bib", "name": "Name", "code": "NOC Code", "heat": "Heat",
+                   "lane": "Lane", "pos": "Pos", "time": "Time", "ms": "Milliseconds", "wind": "Wind",
+                   "result": "Result", "info": "Additional Info"}
+HEADER_TO_BRONZE = {"event_type": "Event Type", "round": "Round", "date": "Date", "location": "Location"}
+
+
+def sheets_to_bronze(pages: DataFrame, dictionary: Sequence[str], compat: bool = True,
+                     header_scope: str = "first_page") -> tuple[DataFrame, DataFrame]:
+    """Result-sheet text to landing rows (A1, A3, B1-B14): (bronze, rejects).
+
+    ``pages`` has ``file_path, page, text``.  The header comes from the first
+    page (compat, quirk 2) or the whole file; compat leaves missing header
+    values null (quirk 1), strict fills the reference's defaults.
+    """
+    lines = extract.explode_lines(pages, "text").withColumn(
+        "layout", extract.route_layout(F.col("file_path"), SHEET_ROUTES, "heats"))
+    scope = lines.filter(F.col("page") == 0) if header_scope == "first_page" else lines
+    headers = extract.fill_header(scope, "file_path", ["page", "line_no"], extract.header_patterns(),
+                                  complete_col=None)
+    body = lines.filter(starts_with("line", r"^\d", unicode=True))
+    parsed = extract.parse_layout(body, SHEET_LAYOUTS, dictionary, layout_col="layout",
+                                  mode="compat" if compat else "strict",
+                                  tokenizer=lambda c: tokenize(c, unicode=True))
+    records, rejects = extract.split_rejects(parsed)
+    records = records.select("file_path", "page", "line_no", *FIELD_TO_BRONZE)
+    bronze = extract.attach_header(records, headers, "file_path",
+                                   None if compat else extract.HEADER_DEFAULTS)
+    bronze = bronze.select(*[F.col(h).alias(b) for h, b in HEADER_TO_BRONZE.items()],
+                           *[F.col(f).alias(b) for f, b in FIELD_TO_BRONZE.items()])
+    return bronze, rejects.select("file_path", "page", "line_no", "line")
+
+
 # --------------------------------------------------------------------------- silver
 
 

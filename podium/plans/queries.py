@@ -112,6 +112,25 @@ def q_bronze_append(spark, d):
     return load(spark, path, merge_schema=True).select("key", "name", "segment")
 
 
+@query("stream_landing", """
+SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part
+""")
+def q_stream_landing(spark, d):
+    from pyspark.sql.types import _parse_datatype_string
+
+    from podium.streaming import land_stream
+    src, target, ckpt = (scratch_path(spark, n) for n in ("stream-src", "stream-bronze", "stream-ckpt"))
+    part = T(spark, d, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
+    csv_io.write_csv(part, src, "errorifexists")
+    schema = _parse_datatype_string("p_partkey string, p_name string, p_brand string, p_type string, "
+                                    "p_size string, p_retailprice string")
+    land_stream(spark, src, schema, target, ckpt).awaitTermination()
+    back = load(spark, target)
+    return back.select(safe_cast("p_partkey", "bigint").alias("p_partkey"), "p_name", "p_brand", "p_type",
+                       safe_cast("p_size", "int").alias("p_size"),
+                       safe_cast("p_retailprice", "double").alias("p_retailprice"))
+
+
 def _derby(spark) -> str:
     return jdbc.derby_memory_url("podium_" + uuid.uuid4().hex[:10])
 
