@@ -19,17 +19,20 @@ another range (unlike re-sampling by ``repartitionByRange``).
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import (BooleanType, ByteType, DataType, DateType, DecimalType, DoubleType, FloatType,
+                               IntegerType, LongType, NumericType, ShortType, StringType, TimestampNTZType,
+                               TimestampType)
 
-MIN_ROWS_PER_BUCKET = 1000
+MIN_ROWS_PER_BUCKET = 20_000
+MAX_BUCKETS = 4096
 SAMPLE_PER_BUCKET = 32
-FLAT_LOOKUP_MAX = 64
 
 
 @dataclass(frozen=True)
@@ -55,50 +58,136 @@ def _as_key(k) -> Key:
 
 
 def _ascending_parts(df: DataFrame, keys: Sequence[Key]) -> list[Column]:
-    """Columns whose plain ascending struct order equals the requested order."""
+    """Columns whose plain ascending struct order equals the requested order.
+
+    Each key gives a null indicator (placing nulls) and a null-free value:
+    dates and times become integers, booleans 0/1, a null value becomes the
+    type's zero (the indicator already orders it).  So bounds are exact
+    literals and vectorised code sees no nulls (ints stay ints).
+    """
     parts: list[Column] = []
     for k in keys:
         c = k.col()
         dtype = df.select(c).schema[0].dataType
+        if isinstance(dtype, (TimestampType, TimestampNTZType)):
+            c = F.unix_micros(c.cast("timestamp"))
+        elif isinstance(dtype, DateType):
+            c = F.unix_date(c)
+        elif isinstance(dtype, BooleanType):
+            c = c.cast("int")
+        elif not isinstance(dtype, (NumericType, StringType)):
+            raise ValueError(f"unsupported range key type {dtype.simpleString()}")
         if k.desc:
             if not isinstance(dtype, NumericType):
                 raise ValueError("descending range keys must be numeric")
             c = -c
+        zero = F.lit("") if isinstance(dtype, StringType) else F.lit(0)
         # null indicator first: 0 sorts before 1
         parts.append(F.when(c.isNull(), F.lit(1 if k.nulls_last else 0))
                      .otherwise(F.lit(0 if k.nulls_last else 1)))
-        parts.append(c)
+        parts.append(F.coalesce(c, zero.cast(df.select(c).schema[0].dataType)))
     return parts
 
 
-def _lit_struct(values, types) -> Column:
-    return F.struct(*[F.lit(v).cast(t).alias(f"k{i}") for i, (v, t) in enumerate(zip(values, types))])
+def _group_parts(df: DataFrame, names: Sequence[str]) -> list[Column]:
+    """Group columns as (indicator, value) pairs, like order keys."""
+    return _ascending_parts(df, [Key(n) for n in names])
+
+
+def _sql_literal(v, dtype: DataType) -> str:
+    """A bound value as SQL text of exactly ``dtype``."""
+    t = dtype.simpleString()
+    if v is None:
+        return f"CAST(NULL AS {t})"
+    if isinstance(dtype, StringType):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if isinstance(dtype, BooleanType):
+        return "TRUE" if v else "FALSE"
+    if isinstance(dtype, (ByteType, ShortType, IntegerType, LongType)):
+        return f"CAST({int(v)} AS {t})"
+    if isinstance(dtype, (FloatType, DoubleType)):
+        f = float(v)
+        if f != f or f in (float("inf"), float("-inf")):
+            return f"CAST('{f}' AS {t})"
+        return f"CAST({f!r} AS {t})"
+    if isinstance(dtype, DecimalType):
+        return f"CAST('{v}' AS {t})"
+    if isinstance(dtype, DateType):
+        return f"DATE '{v.isoformat()}'"
+    if isinstance(dtype, TimestampNTZType):
+        return f"TIMESTAMP_NTZ '{v.isoformat(sep=' ')}'"
+    raise ValueError(f"unsupported range key type {t}")
+
+
+CODEGEN_MAX_BOUNDS = 15
+
+
+def _bucket_sql(key_col: str, bounds: list, types) -> str:
+    """Number of bounds strictly below ``key_col`` (bounds sorted ascending).
+
+    A binary search written as nested ``CASE WHEN``s over literal bounds:
+    log2(#bounds) comparisons per row, compiled by whole-stage codegen.
+    Codegen compiles every branch, so this form is only used up to
+    ``CODEGEN_MAX_BOUNDS`` bounds.  Built as SQL text, parsed once in the JVM.
+    """
+    lits = ["named_struct(" + ", ".join(f"'k{i}', {_sql_literal(v, t)}" for i, (v, t) in enumerate(zip(b, types)))
+            + ")" for b in bounds]
+
+    def search(lo: int, hi: int) -> str:
+        # the answer lies in [lo, hi]
+        if lo >= hi:
+            return str(lo)
+        mid = (lo + hi) // 2
+        return f"CASE WHEN {lits[mid]} < {key_col} THEN {search(mid + 1, hi)} ELSE {search(lo, mid)} END"
+
+    return search(0, len(lits))
 
 
-def _bucket_expr(key: Column, bounds: list, types) -> Column:
-    """Number of bounds strictly below ``key`` (bounds sorted ascending).
+def _bucket_udf(bounds: list, n_parts: int):
+    """Arrow-batched binary search for many bounds (a pandas UDF).
 
-    Flat scan up to ``FLAT_LOOKUP_MAX`` bounds; beyond it a two-level lookup
-    (coarse bounds, then the bounds inside one coarse range) keeps the work per
-    row near 2*sqrt(#bounds) comparisons.
+    Each key part is mapped to an order-preserving integer code against the
+    distinct bound values of that part (2*i+1 when equal to the i-th value, 2*i
+    when between values), the parts are combined in mixed radix, and one
+    ``np.searchsorted`` per batch counts the bounds below each row.  Exact:
+    a row's code compares with a bound's code as the row's key compares with
+    the bound.  The bounds (at most ``MAX_BUCKETS``) travel in the closure.
     """
-    if not bounds:
-        return F.lit(0)
-    lits = [_lit_struct(b, types) for b in bounds]
-    if len(lits) <= FLAT_LOOKUP_MAX:
-        return F.size(F.filter(F.array(*lits), lambda b: b < key))
-    step = max(2, math.isqrt(len(lits)))
-    coarse = [lits[i] for i in range(step - 1, len(lits), step)]
-    groups = [F.array(*lits[t * step: min(t * step + step - 1, len(lits))])
-              for t in range(len(coarse) + 1)]
-    t = F.size(F.filter(F.array(*coarse), lambda b: b < key))
-    inner = F.element_at(F.array(*groups), t + 1)
-    return t * step + F.size(F.filter(inner, lambda b: b < key))
+    def as_array(values):
+        arr = np.array(values)
+        return arr if arr.dtype.kind in "iuf" else np.array(values, dtype=object)
+
+    uniq = [as_array(sorted({b[j] for b in bounds})) for j in range(n_parts)]
+    radix = [2 * len(u) + 1 for u in uniq]
+    total = 1
+    for r in radix:
+        total *= r
+    dtype = np.int64 if total < 2 ** 62 else object
+
+    def encode(cols) -> np.ndarray:
+        code = np.zeros(len(cols[0]), dtype=dtype)
+        for u, r, col in zip(uniq, radix, cols):
+            x = np.asarray(col, dtype=u.dtype if u.dtype.kind in "iuf" else object)
+            idx = np.searchsorted(u, x, side="left")
+            hit = np.zeros(len(x), dtype=bool)
+            inside = idx < len(u)
+            hit[inside] = u[idx[inside]] == x[inside]
+            code = code * r + (2 * idx + hit).astype(dtype)
+        return code
+
+    bound_codes = encode([[b[j] for b in bounds] for j in range(n_parts)])
+
+    @F.pandas_udf("int")
+    def bucket(key: pd.DataFrame) -> pd.Series:
+        cols = [key[c] for c in key.columns]
+        return pd.Series(np.searchsorted(bound_codes, encode(cols), side="left").astype("int32"))
+
+    return bucket
 
 
 def default_buckets(df: DataFrame, n_rows: int) -> int:
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(n_rows // MIN_ROWS_PER_BUCKET, 4 * parts))
+    return max(1, min(n_rows // MIN_ROWS_PER_BUCKET, 4 * parts, MAX_BUCKETS))
 
 
 def range_bounds(df: DataFrame, key: Column, buckets: int, n_rows: int, seed: int = 17) -> list:
@@ -136,14 +225,18 @@ def row_number_by(df: DataFrame, order_by: Sequence, partition_by: Sequence = ()
     groups = [F.col(c) if isinstance(c, str) else c for c in partition_by]
     gnames = [f"__g{i}" for i in range(len(groups))]
     base = df.withColumns({g: c for g, c in zip(gnames, groups)}) if groups else df
-    asc = [F.col(g) for g in gnames] + _ascending_parts(base, keys)
+    asc = _group_parts(base, gnames) + _ascending_parts(base, keys)
     key = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(asc)])
     types = [f.dataType for f in base.select(key.alias("k")).schema[0].dataType.fields]
 
     n_rows = base.count()
     b = buckets if buckets is not None else default_buckets(df, n_rows)
     bounds = range_bounds(base, key, b, n_rows, seed)
-    keyed = base.withColumn("__bkt", _bucket_expr(key, bounds, types))
+    if len(bounds) <= CODEGEN_MAX_BOUNDS:
+        keyed = base.withColumn("__key", key).withColumn("__bkt", F.expr(_bucket_sql("__key", bounds, types))) \
+                    .drop("__key")
+    else:
+        keyed = base.withColumn("__bkt", _bucket_udf(bounds, len(asc))(key))
 
     counts = keyed.groupBy(*gnames, "__bkt").agg(F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy(*gnames).orderBy("__bkt").rowsBetween(Window.unboundedPreceding, -1)
