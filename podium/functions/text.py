@@ -29,11 +29,21 @@ def normalize_ws(text: ColumnOrName, ws: str = r"\s", unicode: bool = False) ->
     return F.regexp_replace(_c(text), _u(unicode) + ws + "{2,}", " ")
 
 
+# Whitespace sets for stripping: Java's ASCII \s, and the Unicode white space
+# that Python's str.strip removes.
+ASCII_WS = " \t\n\x0b\x0c\r"
+UNICODE_WS = ASCII_WS + "\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B)) + \
+    "\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip_ws(text: ColumnOrName, unicode: bool = False, spaces_only: bool = False) -> Column:
-    """Strip both ends: all whitespace (Python ``strip``) or spaces only (SQL ``trim``)."""
+    """Strip both ends: all whitespace (Python ``strip``) or spaces only (SQL ``trim``).
+
+    ``btrim`` with an explicit character set: no regex scan of the whole line.
+    """
     if spaces_only:
         return F.trim(_c(text))
-    return F.regexp_replace(_c(text), _u(unicode) + r"^\s+|\s+$", "")
+    return F.btrim(_c(text), F.lit(UNICODE_WS if unicode else ASCII_WS))
 
 
 def tokenize(text: ColumnOrName, ws: str = r"\s", unicode: bool = False,
@@ -59,20 +69,22 @@ def first_pos_in(tokens: ColumnOrName, words: Iterable[str]) -> Column:
     ``words`` is a bounded, fixed list; Catalyst turns the IN list into a hash set.
     """
     words = list(words)
-    hits = F.transform(_c(tokens), lambda x, i: F.when(x.isin(words), i))
-    return F.get(F.filter(hits, lambda v: v.isNotNull()), F.lit(0))
+    t = _c(tokens)
+    first_word = F.get(F.filter(t, lambda x: x.isin(words)), F.lit(0))
+    # the first dictionary token's first occurrence is the first dictionary position
+    return F.array_position(t, first_word).cast("int") - 1
 
 
 def tail(tokens: ColumnOrName, start: Column | int) -> Column:
-    """Tokens from 0-based ``start`` to the end; empty when ``start`` is past the end."""
+    """Tokens from 0-based ``start`` (>= 0) to the end; empty when past the end."""
+    t = _c(tokens)
     start = start if isinstance(start, Column) else F.lit(start)
-    return F.filter(_c(tokens), lambda x, i: i >= start)
+    return F.slice(t, start + 1, F.greatest(F.size(t) - start, F.lit(0)))
 
 
 def join_range(tokens: ColumnOrName, start: int, end: Column) -> Column:
     """Tokens ``start`` .. ``end-1`` joined by a space; '' when the range is empty."""
-    t = _c(tokens)
-    return F.array_join(F.filter(t, lambda x, i: (i >= F.lit(start)) & (i < end)), " ")
+    return F.array_join(F.slice(_c(tokens), F.lit(start + 1), F.greatest(end - start, F.lit(0))), " ")
 
 
 PAREN = r"\((.*?)\)"
@@ -95,6 +107,15 @@ def flag_priority(tokens: ColumnOrName, flags: Iterable[str] = ("Q", "q")) -> Co
 
 
 def first_in(tokens: ColumnOrName, codes: Iterable[str]) -> Column:
-    """First token that is one of ``codes``; null when none."""
+    """First token that is one of ``codes``; null when none.
+
+    A short code list is looked up with ``array_position`` per code (compiled);
+    a long one with one ``filter``.
+    """
     codes = list(codes)
-    return F.get(F.filter(_c(tokens), lambda x: x.isin(codes)), F.lit(0))
+    t = _c(tokens)
+    if len(codes) > 16:
+        return F.get(F.filter(t, lambda x: x.isin(codes)), F.lit(0))
+    firsts = [F.nullif(F.array_position(t, c), F.lit(0)) for c in codes]
+    pos = firsts[0] if len(firsts) == 1 else F.least(*firsts)
+    return F.element_at(t, pos.cast("int"))

@@ -139,11 +139,13 @@ def _field_expr(f: Field, p: Column, i: Column, bracket: Column) -> Column:
     raise ValueError(f"unknown field kind {f.kind}")
 
 
-def _layout_exprs(layout: Layout, p: Column, i: Column) -> dict[str, Column]:
-    if layout.bracket_from is not None:
-        bracket = paren_capture(F.array_join(tail(p, i + layout.bracket_from), " "))
-    else:
-        bracket = F.lit(None).cast("string")
+def _bracket_expr(layout: Layout, p: Column, i: Column) -> Column:
+    if layout.bracket_from is None:
+        return F.lit(None).cast("string")
+    return paren_capture(F.array_join(tail(p, i + layout.bracket_from), " "))
+
+
+def _layout_exprs(layout: Layout, p: Column, i: Column, bracket: Column) -> dict[str, Column]:
     return {f.name: _field_expr(f, p, i, bracket).cast("string") for f in layout.fields}
 
 
@@ -170,10 +172,18 @@ def parse_layout(lines: DataFrame, layouts: Layout | Mapping[str, Layout], dicti
     pc = F.col("__p")
     base = base.withColumn("__i", first_pos_in(pc, words))
     i = F.col("__i")
+    # the bracket value is computed once per row (several fields test it)
     if isinstance(layouts, Layout):
-        exprs = _layout_exprs(layouts, pc, i)
+        base = base.withColumn("__b", _bracket_expr(layouts, pc, i))
+        exprs = _layout_exprs(layouts, pc, i, F.col("__b"))
     else:
-        per = {name: _layout_exprs(lay, pc, i) for name, lay in layouts.items()}
+        bracket = None
+        for name, lay in layouts.items():
+            cond = F.col(layout_col) == F.lit(name)
+            b = _bracket_expr(lay, pc, i)
+            bracket = F.when(cond, b) if bracket is None else bracket.when(cond, b)
+        base = base.withColumn("__b", bracket)
+        per = {name: _layout_exprs(lay, pc, i, F.col("__b")) for name, lay in layouts.items()}
         names = sorted({f for e in per.values() for f in e})
         exprs = {}
         for fname in names:
@@ -188,7 +198,7 @@ def parse_layout(lines: DataFrame, layouts: Layout | Mapping[str, Layout], dicti
     exprs["is_reject"] = rejected
     if mode == "strict":
         exprs["ambiguous"] = F.size(F.filter(pc, lambda x: x.isin(words))) > 1
-    out = base.withColumns(exprs).drop("__p", "__i")
+    out = base.withColumns(exprs).drop("__p", "__i", "__b")
     if keep is not None:
         out = out.select(*keep, *exprs.keys())
     return out

@@ -15,6 +15,7 @@ from pyspark.ml.classification import RandomForestClassificationModel, RandomFor
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,11 +45,18 @@ def fit_forest(train: DataFrame, key: str, num_trees: int = 100, seed: int = 42,
     """Random forest on the executors (L3).
 
     Rows are put in key order first: MLlib's bootstrap depends on row placement,
-    so a fixed order gives the same forest at any input partitioning.
+    so a fixed order gives the same forest at any input partitioning.  The
+    forest scans its input several times (metadata, split candidates, binned
+    points), so the ordered rows are persisted for the fit and released after;
+    a lost executor's blocks are recomputed from lineage.
     """
-    ordered = train.repartitionByRange(key).sortWithinPartitions(key)
-    rf = RandomForestClassifier(numTrees=num_trees, seed=seed, featuresCol=features, labelCol=label)
-    return rf.fit(ordered)
+    ordered = train.select(key, features, label).repartitionByRange(key).sortWithinPartitions(key) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        rf = RandomForestClassifier(numTrees=num_trees, seed=seed, featuresCol=features, labelCol=label)
+        return rf.fit(ordered)
+    finally:
+        ordered.unpersist()
 
 
 def score(model: RandomForestClassificationModel, df: DataFrame, out: str = "win_probability") -> DataFrame:
