@@ -239,6 +239,19 @@ def finalist_scoring(fact: DataFrame, compat: bool = True, num_trees: int = 100,
     }
 
 
+def finalist_job(spark: SparkSession, fact_path: str, out: str, compat: bool = True,
+                 mode: str = "overwrite", num_trees: int = 100, seed: int = 42) -> dict[str, str]:
+    """Scoring as a job (N6, A12): the outputs are written, the top 3 as ``ml_results``.
+
+    The top rows stay in Spark from scoring to the write; nothing is collected.
+    """
+    outs = finalist_scoring(load(spark, fact_path), compat, num_trees, seed)
+    paths = {name: f"{out}/{'ml_results' if name == 'top' else 'profile_' + name}" for name in outs}
+    for name, df in outs.items():
+        save(df, paths[name], mode)
+    return paths
+
+
 # --------------------------------------------------------------------------- driver-table configuration
 
 

@@ -161,8 +161,11 @@ def q_jdbc_query_pushdown(spark, d):
     orders = T(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_custkey")
     jdbc.write_table(orders, url, "ORDERS_COPY", "errorifexists", DERBY_PROPS,
                      column_types="o_orderstatus VARCHAR(16)")
+    b = jdbc.read_query(spark, url, 'SELECT min("o_orderkey") AS lo, max("o_orderkey") AS hi FROM ORDERS_COPY',
+                        DERBY_PROPS).first()
     src = jdbc.read_query(spark, url, 'SELECT "o_orderkey", "o_custkey", "o_orderstatus" FROM ORDERS_COPY',
-                          DERBY_PROPS)
+                          DERBY_PROPS, partition_column="o_orderkey", lower=b["LO"], upper=b["HI"] + 1,
+                          num_partitions=4)
     # the DataFrame filter is pushed into the database query by Catalyst
     return src.filter(F.col("o_orderstatus") != "P").select("o_orderkey", "o_custkey")
 

@@ -76,7 +76,7 @@ def test_medallion_job_compat(spark, sheets):
 def test_finalist_scoring(spark, sheets):
     bronze, _ = jobs.sheets_to_bronze(sheets, DICTIONARY, compat=False)
     p = jobs.medallion_job(spark, bronze, scratch_path(spark, "job-ml"))
-    out = jobs.finalist_scoring(load(spark, p["gold_fact_race"]), compat=False, num_trees=5)
-    top = out["top"].collect()
+    out = jobs.finalist_job(spark, p["gold_fact_race"], scratch_path(spark, "ml"), compat=False, num_trees=5)
+    top = load(spark, out["top"]).collect()
     assert len(top) == 3 and all(0.0 <= r.win_probability <= 1.0 for r in top)
-    assert out["box"].count() > 0 and out["counts"].count() > 0
+    assert load(spark, out["box"]).count() > 0 and load(spark, out["counts"]).count() > 0
