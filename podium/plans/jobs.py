@@ -47,12 +47,20 @@ def sheets_to_bronze(pages: DataFrame, dictionary: Sequence[str], compat: bool =
                      header_scope: str = "first_page") -> tuple[DataFrame, DataFrame]:
     """Result-sheet text to landing rows (A1, A3, B1-B14): (bronze, rejects).
 
-    ``pages`` has ``file_path, page, text``.  The header comes from the first
-    page (compat, quirk 2) or the whole file; compat leaves missing header
-    values null (quirk 1), strict fills the reference's defaults.
+    ``pages`` has ``file_path, page, text``; see ``lines_to_bronze``.
     """
-    lines = extract.explode_lines(pages, "text").withColumn(
-        "layout", extract.route_layout(F.col("file_path"), SHEET_ROUTES, "heats"))
+    return lines_to_bronze(extract.explode_lines(pages, "text"), dictionary, compat, header_scope)
+
+
+def lines_to_bronze(lines: DataFrame, dictionary: Sequence[str], compat: bool = True,
+                    header_scope: str = "first_page") -> tuple[DataFrame, DataFrame]:
+    """Sheet lines (``file_path, page, line_no, line``) to landing rows: (bronze, rejects).
+
+    The layout is routed by file path.  The header comes from the first page
+    (compat, quirk 2) or the whole file; compat leaves missing header values
+    null (quirk 1), strict fills the reference's defaults.
+    """
+    lines = lines.withColumn("layout", extract.route_layout(F.col("file_path"), SHEET_ROUTES, "heats"))
     scope = lines.filter(F.col("page") == 0) if header_scope == "first_page" else lines
     headers = extract.fill_header(scope, "file_path", ["page", "line_no"], extract.header_patterns(),
                                   complete_col=None)

@@ -757,6 +757,49 @@ def q_fact_race(spark, d):
     return jobs.fact_summary(T(spark, d, "lineitem"), T(spark, d, "orders"))
 
 
+def _sheet_files(spark, d) -> DataFrame:
+    """Result sheets derived from the tables: one file per nation (its suppliers'
+    lines), three header lines, then one heats line per line item."""
+    nat = T(spark, d, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    path = F.concat(F.lit("sheets/"), F.col("n_name"), F.lit(".txt"))
+    event = F.when(F.col("n_nationkey") % 2 == 0, F.lit("Men's 100m")).otherwise(F.lit("Women's 100m"))
+    day = F.upper(F.date_format(F.date_add(F.lit("2024-08-01").cast("date"), F.col("n_regionkey")), "EEE d MMM yyyy"))
+    header = nat.select(path.alias("file_path"), F.posexplode(F.array(
+        F.lit("Stade de France Athlétisme"), F.concat(event, F.lit(" Round "), F.col("n_regionkey").cast("string")),
+        day)).alias("line_no", "line")).select("file_path", F.lit(0).alias("page"),
+                                               F.col("line_no").cast("long").alias("line_no"), "line")
+    li = T(spark, d, "lineitem")
+    sup = T(spark, d, "supplier").select("s_suppkey", "s_nationkey")
+    j = li.join(sup, li.l_suppkey == sup.s_suppkey).join(nat, F.col("s_nationkey") == nat.n_nationkey)
+    s = lambda c: F.col(c).cast("string")
+    bracket = F.when(F.col("l_linestatus") == "F", F.concat(F.lit("(."), (F.col("l_tax") * 100).cast("int")
+                                                            .cast("string"), F.lit(")")))
+    flag = correct.case_map("l_returnflag", {"A": "Q", "R": "q"}, "x")
+    line = F.concat_ws(" ", s("l_linenumber"), s("l_orderkey"), F.lit("SUP"), s("l_partkey"), F.col("n_name"),
+                       (F.col("l_suppkey") % 8 + 1).cast("string"), s("l_linenumber"),
+                       F.col("l_quantity").cast("int").cast("string"),
+                       F.format_number(F.col("l_discount") * 100 + 9, 2), bracket, F.lit("+0.1"), flag)
+    body = j.select(path.alias("file_path"), F.lit(0).alias("page"),
+                    (F.col("l_orderkey") * 16 + F.col("l_linenumber") + 16).alias("line_no"), line.alias("line"))
+    return header.unionByName(body)
+
+
+@query("sheet_medallion", """
+SELECT l_returnflag IN ('A','R') AS qualified, CASE l_returnflag WHEN 'A' THEN 'Place' WHEN 'R' THEN 'Time' END AS qualification_type, count(*) AS n, CAST(sum(CASE WHEN l_orderkey IN (514, 1206, 2055, 1042, 690, 452) THEN 0 ELSE CAST(l_quantity AS INT) END) AS BIGINT) AS pos_sum, count(DISTINCT l_orderkey) AS athletes, count(DISTINCT n_regionkey * 2 + n_nationkey % 2) AS rounds FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey GROUP BY 1, 2
+""")
+def q_sheet_medallion(spark, d):
+    """The reference's own chain (N1-N5) on sheets derived from the tables:
+    header fill, layout parse, bronze, silver athlete/round/race with every
+    correction, gold fact with flags — each layer written and read back."""
+    words = extract_words(T(spark, d, "nation").select("n_name"))
+    bronze, _ = jobs.lines_to_bronze(_sheet_files(spark, d), words, compat=False)
+    paths = jobs.medallion_job(spark, bronze, scratch_path(spark, "sheet-medallion"), load_time="2024-08-10 00:00:00")
+    fact = load(spark, paths["gold_fact_race"])
+    return fact.groupBy("qualified", "qualification_type").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("position").alias("pos_sum"),
+        F.countDistinct("NK_athlete").alias("athletes"), F.countDistinct("NK_round").alias("rounds"))
+
+
 @query("medallion_job", """
 SELECT 'dim_customer' AS tbl, count(*) AS n FROM customer UNION ALL SELECT 'fact', count(*) FROM lineitem
 """)
