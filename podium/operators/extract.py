@@ -217,27 +217,36 @@ def fill_header(lines: DataFrame, file_col: str, order_cols: Sequence[str],
     where every field has matched; a file that never completes keeps its last
     matches (quirk 3).  Equivalently: the stop line is the latest of the
     fields' first matches, and each field's value is its last match at or
-    before the stop line.  Both are aggregates with partial aggregation, so a
-    file of any size is never gathered into one task or one window.
+    before the stop line (or overall, when the file never completes).
+
+    Only lines matching some field can change the answer, so they are kept
+    first (a map-side filter); the aggregates and the join then see a few rows
+    per file, and no file is gathered into one task or one window.  One row
+    per file, also for files with no match.
     """
     pos = F.struct(*[F.col(c) for c in order_cols])
     x = lines.select(F.col(file_col), pos.alias("__pos"),
                      *[e.alias(f"__v_{n}") for n, e in fields.items()])
-    firsts = x.groupBy(file_col).agg(
-        F.max("__pos").alias("__last"),
+    any_hit = None
+    for n in fields:
+        c = F.col(f"__v_{n}").isNotNull()
+        any_hit = c if any_hit is None else any_hit | c
+    hits = x.filter(any_hit)
+    firsts = hits.groupBy(file_col).agg(
         *[F.min(F.when(F.col(f"__v_{n}").isNotNull(), F.col("__pos"))).alias(f"__f_{n}") for n in fields])
     complete = None
     for n in fields:
         c = F.col(f"__f_{n}").isNotNull()
         complete = c if complete is None else complete & c
     stop = firsts.select(file_col, complete.alias("__complete"),
-                         F.when(complete, _latest([F.col(f"__f_{n}") for n in fields]))
-                         .otherwise(F.col("__last")).alias("__stop"))
-    upto = x.join(stop, file_col).filter(F.col("__pos") <= F.col("__stop"))
+                         F.when(complete, _latest([F.col(f"__f_{n}") for n in fields])).alias("__stop"))
+    upto = hits.join(stop, file_col).filter(F.col("__stop").isNull() | (F.col("__pos") <= F.col("__stop")))
     got = upto.groupBy(file_col).agg(
         F.first("__complete").alias("__complete"),
         *[F.max(F.when(F.col(f"__v_{n}").isNotNull(), F.struct(F.col("__pos"), F.col(f"__v_{n}").alias("v"))))
           .getField("v").alias(n) for n in fields])
+    files = lines.select(file_col).distinct()
+    got = files.join(got, file_col, "left").withColumn("__complete", F.coalesce("__complete", F.lit(False)))
     cols = [file_col, *fields]
     if complete_col:
         got = got.withColumnRenamed("__complete", complete_col)

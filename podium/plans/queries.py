@@ -41,8 +41,8 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-def T(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return read_table(spark, d, name)
+def T(spark: SparkSession, d: str, name: str, spread: bool = False) -> DataFrame:
+    return read_table(spark, d, name, spread)
 
 
 def _words(text: str = "text"):
@@ -72,7 +72,7 @@ def q_file_route(spark, d):
 SELECT doc_id, CAST(pos - 1 AS INT) AS line_no, line FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents)
 """)
 def q_line_explode(spark, d):
-    docs = T(spark, d, "documents").select("doc_id", "text")
+    docs = T(spark, d, "documents", spread=True).select("doc_id", "text")
     return extract.explode_lines(docs, "text").select("doc_id", "line_no", "line")
 
 
@@ -80,7 +80,7 @@ def q_line_explode(spark, d):
 SELECT doc_id, count(*) AS n FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents) WHERE regexp_matches(line, '^[A-M]') GROUP BY doc_id
 """)
 def q_line_filter(spark, d):
-    lines = extract.explode_lines(T(spark, d, "documents").select("doc_id", "text"), "text")
+    lines = extract.explode_lines(T(spark, d, "documents", spread=True).select("doc_id", "text"), "text")
     return lines.filter(starts_with("line", "^[A-M]")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -195,7 +195,7 @@ def q_header_fill(spark, d):
 SELECT doc_id, CAST(len(string_split(trim(regexp_replace(text, '[ \t\n\r]{2,}', ' ', 'g')), ' ')) AS INT) AS n_tokens FROM documents
 """)
 def q_tokenize_lines(spark, d):
-    docs = T(spark, d, "documents")
+    docs = T(spark, d, "documents", spread=True)
     return docs.select("doc_id", F.size(tokenize("text", ws=r"[ \t\n\r]", spaces_only=True)).alias("n_tokens"))
 
 
@@ -203,13 +203,13 @@ def q_tokenize_lines(spark, d):
 SELECT d.doc_id, CAST(p.pos AS INT) AS pos FROM documents d LEFT JOIN (SELECT doc_id, min(pos) - 1 AS pos FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS tok, generate_subscripts(string_split(text, ' '), 1) AS pos FROM documents) WHERE tok IN ('of','and','the','le','der') GROUP BY doc_id) p ON d.doc_id = p.doc_id
 """)
 def q_dict_token_pos(spark, d):
-    docs = T(spark, d, "documents").select("doc_id", _words().alias("tokens"))
+    docs = T(spark, d, "documents", spread=True).select("doc_id", _words().alias("tokens"))
     return extract.dict_token_pos(docs, "tokens", ["of", "and", "the", "le", "der"], "pos").select("doc_id", "pos")
 
 
 def _sheet_lines(spark, d, layout: str) -> DataFrame:
     """Result-sheet lines written from lineitem x supplier x nation, one layout."""
-    li = T(spark, d, "lineitem")
+    li = T(spark, d, "lineitem", spread=True)
     sup = T(spark, d, "supplier").select("s_suppkey", "s_nationkey")
     nat = T(spark, d, "nation").select("n_nationkey", "n_name")
     j = li.join(sup, li.l_suppkey == sup.s_suppkey).join(nat, F.col("s_nationkey") == nat.n_nationkey)
@@ -296,14 +296,14 @@ def q_paren_capture(spark, d):
 SELECT doc_id, CASE WHEN list_contains(string_split(text, ' '), 'The') THEN 'The' WHEN list_contains(string_split(text, ' '), 'the') THEN 'the' END AS flag FROM documents
 """)
 def q_flag_priority(spark, d):
-    return T(spark, d, "documents").select("doc_id", flag_priority(_words(), ["The", "the"]).alias("flag"))
+    return T(spark, d, "documents", spread=True).select("doc_id", flag_priority(_words(), ["The", "the"]).alias("flag"))
 
 
 @query("first_code", """
 SELECT doc_id, list_filter(string_split(text, ' '), lambda x: x IN ('of','and','the'))[1] AS code FROM documents
 """)
 def q_first_code(spark, d):
-    return T(spark, d, "documents").select("doc_id", first_in(_words(), ["of", "and", "the"]).alias("code"))
+    return T(spark, d, "documents", spread=True).select("doc_id", first_in(_words(), ["of", "and", "the"]).alias("code"))
 
 
 @query("parse_rejects", """
@@ -311,7 +311,7 @@ SELECT source, count(*) FILTER (WHERE len(list_filter(string_split(text, ' '), l
 GROUP BY source
 """)
 def q_parse_rejects(spark, d):
-    docs = T(spark, d, "documents").select("source", "text")
+    docs = T(spark, d, "documents", spread=True).select("source", "text")
     parsed = extract.parse_layout(docs, extract.HEATS, ["of", "and", "the"], line_col="text",
                                   tokenizer=lambda c: F.split(c, " ", -1), keep=["source"])
     return parsed.groupBy("source").agg(F.count_if(~F.col("is_reject")).alias("parsed"),
@@ -768,7 +768,7 @@ def _sheet_files(spark, d) -> DataFrame:
         F.lit("Stade de France Athlétisme"), F.concat(event, F.lit(" Round "), F.col("n_regionkey").cast("string")),
         day)).alias("line_no", "line")).select("file_path", F.lit(0).alias("page"),
                                                F.col("line_no").cast("long").alias("line_no"), "line")
-    li = T(spark, d, "lineitem")
+    li = T(spark, d, "lineitem", spread=True)
     sup = T(spark, d, "supplier").select("s_suppkey", "s_nationkey")
     j = li.join(sup, li.l_suppkey == sup.s_suppkey).join(nat, F.col("s_nationkey") == nat.n_nationkey)
     s = lambda c: F.col(c).cast("string")

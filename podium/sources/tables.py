@@ -10,9 +10,22 @@ from pyspark.sql import functions as F
 SAVE_MODES = ("append", "overwrite", "error", "errorifexists", "ignore")
 
 
-def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A driver table: ``{root}/{name}.parquet`` (column pruning and pushdown apply)."""
-    return spark.read.parquet(f"{root}/{name}.parquet")
+def read_table(spark: SparkSession, root: str, name: str, spread: bool = False) -> DataFrame:
+    """A driver table: ``{root}/{name}.parquet`` (column pruning and pushdown apply).
+
+    ``spread``: for heavy per-row work right after the scan (text parsing).  A
+    file that cannot be split (one row group) is read by one task, and every
+    narrow step after it would run in that task too; such a scan is spread
+    over the cluster's parallelism by a round-robin repartition (columns are
+    pruned before it).  A large table already has more splits than cores, so
+    nothing changes at scale; queries that shuffle at once do not ask for it.
+    """
+    df = spark.read.parquet(f"{root}/{name}.parquet")
+    if spread:
+        want = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < want:
+            df = df.repartition(want)
+    return df
 
 
 def save(df: DataFrame, target: str, mode: str, partition_by: Sequence[str] = (),
