@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 from podium.operators.rank import row_number_by
 
@@ -63,6 +64,31 @@ def unique_on(dim: DataFrame, on: Sequence[str], value: str, strict: bool = True
     return agg.drop("__n")
 
 
+NULL_SALT = 1024
+
+
+def left_join_spread_nulls(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left equi-join on ``keys`` where rows with a null key are spread out.
+
+    A null key never matches, yet hash partitioning sends every such row to one
+    partition: a fact whose foreign key is null for a third of its rows would
+    put that third in one task.  A salt joins the keys: a hash of the row for
+    null-key rows, 0 otherwise (and 0 on the right), so null-key rows scatter
+    over the shuffle while matches are unchanged.  Hot non-null keys are left
+    to AQE's skew-join splitting (the right side is one row per key).
+    """
+    any_null = None
+    for k in keys:
+        c = F.col(k).isNull()
+        any_null = c if any_null is None else any_null | c
+    hashable = [F.col(f.name) for f in left.schema.fields if isinstance(f.dataType, AtomicType)]
+    spread = F.pmod(F.xxhash64(*hashable), F.lit(NULL_SALT)) if hashable else F.lit(0)
+    salt = F.when(any_null, spread).otherwise(F.lit(0)).cast("int")
+    l = left.withColumn("__salt", salt)
+    r = right.withColumn("__salt", F.lit(0))
+    return l.join(r, on=[*keys, "__salt"], how="left").drop("__salt")
+
+
 def lookup_fk(fact: DataFrame, dim: DataFrame, on: Sequence[tuple[Column, str]], dim_key: str,
               fk: str, strict: bool = True) -> DataFrame:
     """Left lookup of ``dim_key`` into ``fk``.
@@ -78,7 +104,7 @@ def lookup_fk(fact: DataFrame, dim: DataFrame, on: Sequence[tuple[Column, str]],
     d = dim.select(*[F.col(c).alias(n) for n, (_, c) in zip(names, on)], F.col(dim_key).alias(fk))
     if strict:
         d = unique_on(d, names, fk, True)
-    joined = f.join(d, on=names, how="left")
+    joined = left_join_spread_nulls(f, d, names)
     return joined.select(*fact.columns, fk)
 
 

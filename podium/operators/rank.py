@@ -279,7 +279,8 @@ def rank_join_back(df: DataFrame, where: Column, order_by: Sequence, on: str, ta
             (_as_key(k).col()).alias(f"__o{i}") for i, k in enumerate(order_by)]),
             [Key(f"__o{i}", _as_key(k).desc, _as_key(k).nulls_last) for i, k in enumerate(order_by)],
             partition_by=(), out="__rank", buckets=buckets).select("__on", "__rank")
-        joined = df.join(ranked, df[on] == ranked["__on"], "left")
+        from podium.operators.conform import left_join_spread_nulls
+        joined = left_join_spread_nulls(df.withColumn("__on", F.col(on)), ranked, ["__on"])
         return joined.withColumn(target, F.coalesce(F.col("__rank").cast(ttype), fallback)) \
                      .drop("__on", "__rank")
     flagged = df.withColumn("__m", where)

@@ -90,3 +90,13 @@ def test_filters(spark):
     nulls = spark.createDataFrame([(1,), (None,), (2,), (3,)], "x int")
     assert sorted(r.x for r in shape.exclude_values(nulls, "x", [2, 3]).collect()) == [1]
     assert shape.drop_null_rows(df).count() == 2
+
+
+def test_null_keys_are_spread_and_never_match(spark):
+    rows = [(None if i % 3 == 0 else str(i % 5), i) for i in range(300)]
+    fact = spark.createDataFrame(rows, "bib string, v int")
+    dim = spark.createDataFrame([(k, f"n{k}") for k in range(5)], "id int, name string")
+    got = conform.lookup_fk(fact, dim, [(F.col("bib").try_cast("int"), "id")], "id", "fk")
+    assert got.count() == 300
+    assert got.filter("bib IS NULL AND fk IS NOT NULL").count() == 0
+    assert got.filter("bib IS NOT NULL AND fk = CAST(bib AS INT)").count() == 200
