@@ -232,6 +232,12 @@ def row_number_by(df: DataFrame, order_by: Sequence, partition_by: Sequence = ()
     n_rows = base.count()
     b = buckets if buckets is not None else default_buckets(df, n_rows)
     bounds = range_bounds(base, key, b, n_rows, seed)
+    order = [k.sort_col() for k in keys]
+    if not bounds:
+        # one range: the input is small (fewer than 2 * MIN_ROWS_PER_BUCKET
+        # rows unless ``buckets=1`` was asked for), so a plain window does it
+        w = Window.partitionBy(*gnames).orderBy(*order) if gnames else Window.orderBy(*order)
+        return base.withColumn(out, F.row_number().over(w).cast("long")).drop(*gnames)
     if len(bounds) <= CODEGEN_MAX_BOUNDS:
         keyed = base.withColumn("__key", key).withColumn("__bkt", F.expr(_bucket_sql("__key", bounds, types))) \
                     .drop("__key")
@@ -246,7 +252,7 @@ def row_number_by(df: DataFrame, order_by: Sequence, partition_by: Sequence = ()
         # one row per range: bounded by the bucket count
         offsets = F.broadcast(offsets)
     joined = keyed.join(offsets, on=[*gnames, "__bkt"], how="inner")
-    w = Window.partitionBy(*gnames, "__bkt").orderBy(*[k.sort_col() for k in keys])
+    w = Window.partitionBy(*gnames, "__bkt").orderBy(*order)
     numbered = joined.withColumn(out, F.row_number().over(w).cast("long") + F.col("__off"))
     return numbered.drop(*gnames, "__bkt", "__off")
 
