@@ -12,9 +12,10 @@ range is a pure function of its key, so:
 * a range's offset is the row count of the earlier ranges of its group,
   computed from a small count table (one row per non-empty (group, range)).
 
-Two actions run while planning: a count and the bounded sample.  The bounds
-are then literals in the plan, so recomputation can never move a row to
-another range (unlike re-sampling by ``repartitionByRange``).
+One action runs while planning: a bounded, hash-ranked sample of the keys,
+which also estimates the row count.  The bounds are then literals in the
+plan, so recomputation can never move a row to another range (unlike
+re-sampling by ``repartitionByRange``).
 """
 
 from __future__ import annotations
@@ -185,29 +186,41 @@ def _bucket_udf(bounds: list, n_parts: int):
     return bucket
 
 
-def default_buckets(df: DataFrame, n_rows: int) -> int:
+def _max_buckets(df: DataFrame) -> int:
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(n_rows // MIN_ROWS_PER_BUCKET, 4 * parts, MAX_BUCKETS))
+    return max(1, min(4 * parts, MAX_BUCKETS))
+
+
+def default_buckets(df: DataFrame, n_rows: int) -> int:
+    return max(1, min(n_rows // MIN_ROWS_PER_BUCKET, _max_buckets(df)))
 
 
-def range_bounds(df: DataFrame, key: Column, buckets: int, n_rows: int, seed: int = 17) -> list:
-    """Up to ``buckets - 1`` distinct bounds from a seeded sample of ``key``.
+def key_sample(df: DataFrame, key: Column, size: int, seed: int = 17) -> tuple[list, int]:
+    """A uniform sample of at most ``size`` keys and an estimate of the row count, in one pass.
 
-    The sample is about ``buckets * SAMPLE_PER_BUCKET`` rows: bounded by the
-    bucket count, not by the data.  Spark sorts it, so the bound order is
-    Spark's own struct order.
+    Rows are ranked by a hash of their key; the ``size`` smallest are kept
+    (each task keeps its own ``size`` smallest, then one merge), so the sample
+    is bounded by ``size`` and is the same on every run.  The row count is
+    exact when fewer rows exist, else estimated from the largest kept hash
+    (k-minimum-values).  The estimate only picks the number of ranges.
     """
-    if buckets <= 1 or n_rows == 0:
-        return []
-    fraction = min(1.0, buckets * SAMPLE_PER_BUCKET / n_rows)
-    sample = (df.select(key.alias("k")).sample(False, fraction, seed)
-              .orderBy("k").collect())
-    if not sample:
+    u = F.xxhash64(key, F.lit(seed))
+    rows = df.select(key.alias("k"), u.alias("u")).orderBy("u").limit(size).collect()
+    if len(rows) < size:
+        return [tuple(r["k"]) for r in rows], len(rows)
+    frac = (rows[-1]["u"] + 2 ** 63) / 2 ** 64
+    return [tuple(r["k"]) for r in rows], int((size - 1) / max(frac, 1e-18))
+
+
+def pick_bounds(sample: list, buckets: int) -> list:
+    """``buckets - 1`` distinct, evenly spaced bounds from the sorted sample."""
+    if buckets <= 1 or not sample:
         return []
-    step = len(sample) / buckets
+    ordered = sorted(sample)
+    step = len(ordered) / buckets
     picked = []
     for i in range(1, buckets):
-        v = tuple(sample[min(len(sample) - 1, int(i * step))]["k"])
+        v = ordered[min(len(ordered) - 1, int(i * step))]
         if not picked or v != picked[-1]:
             picked.append(v)
     return picked
@@ -229,9 +242,10 @@ def row_number_by(df: DataFrame, order_by: Sequence, partition_by: Sequence = ()
     key = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(asc)])
     types = [f.dataType for f in base.select(key.alias("k")).schema[0].dataType.fields]
 
-    n_rows = base.count()
+    cap = buckets if buckets is not None else _max_buckets(df)
+    sample, n_rows = key_sample(base, key, max(2, cap * SAMPLE_PER_BUCKET), seed) if cap > 1 else ([], 0)
     b = buckets if buckets is not None else default_buckets(df, n_rows)
-    bounds = range_bounds(base, key, b, n_rows, seed)
+    bounds = pick_bounds(sample, b)
     order = [k.sort_col() for k in keys]
     if not bounds:
         # one range: the input is small (fewer than 2 * MIN_ROWS_PER_BUCKET
