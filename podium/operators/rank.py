@@ -27,7 +27,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import (BooleanType, ByteType, DataType, DateType, DecimalType, DoubleType, FloatType,
+from pyspark.sql.types import (AtomicType, BooleanType, ByteType, DataType, DateType, DecimalType, DoubleType, FloatType,
                                IntegerType, LongType, NumericType, ShortType, StringType, TimestampNTZType,
                                TimestampType)
 
@@ -230,11 +230,16 @@ def row_number_by(df: DataFrame, order_by: Sequence, partition_by: Sequence = ()
                   out: str = "pos", buckets: int | None = None, seed: int = 17) -> DataFrame:
     """``row_number() over (partition by ... order by ...)`` in parallel ranges.
 
-    Give a unique tie-break among ``order_by`` (the reference's rank had none,
-    quirk 15); rows with equal full keys are numbered in an arbitrary order,
-    as with Spark's window.
+    Rows tied on ``order_by`` are numbered by a hash of the row (Spark's
+    window would use an arbitrary order); give a real tie-break key where the
+    order of ties matters (the reference's rank had none, quirk 15).
     """
     keys = [_as_key(k) for k in order_by]
+    # hidden last order key: a hash of the row, so rows tied on the given keys
+    # are numbered in a fixed order and a block of ties can still be cut into
+    # ranges (only exact duplicate rows stay together)
+    atomic = [F.col(f.name) for f in df.schema.fields if isinstance(f.dataType, AtomicType)]
+    keys.append(Key(F.xxhash64(*atomic) if atomic else F.lit(0)))
     groups = [F.col(c) if isinstance(c, str) else c for c in partition_by]
     gnames = [f"__g{i}" for i in range(len(groups))]
     base = df.withColumns({g: c for g, c in zip(gnames, groups)}) if groups else df

@@ -93,3 +93,18 @@ def test_top_k(spark):
     df = spark.createDataFrame([(i, float(i % 5)) for i in range(20)], "id int, p double")
     got = [r.id for r in rank.top_k(df, 3, [Key("p", desc=True), "id"]).collect()]
     assert got == [4, 9, 14]
+
+
+def test_block_of_ties_is_split_and_numbered(spark):
+    # a third of the rows share one order value and there is no tie-break key
+    rows = [(i, 7 if i % 3 == 0 else 10_000 + i) for i in range(6000)]
+    df = spark.createDataFrame(rows, "id int, v int")
+    got = rank.global_rank(df, ["v"], buckets=16)
+    pos = sorted(r.pos for r in got.collect())
+    assert pos == list(range(1, 6001))
+    tied = sorted(r.pos for r in got.filter("v = 7").collect())
+    below = sum(1 for _, v in rows if v < 7)
+    assert tied == list(range(below + 1, below + 1 + 2000))
+    # the tie block spreads over several ranges (no single task holds it all)
+    again = {r.id: r.pos for r in rank.global_rank(df, ["v"], buckets=16).collect()}
+    assert again == {r.id: r.pos for r in got.collect()}
