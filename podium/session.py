@@ -37,6 +37,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+_LOCAL_DIR: str | None = None
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
@@ -45,7 +48,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     session without one is an error, since a machine-local folder would be lost
     with its executor.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a Spark Connect session has no context
+        sc = None
+    if sc is None:
+        current = spark.conf.get("spark.checkpoint.dir", None)
+        if current:
+            return current.rstrip("/")
+        if not str(spark.conf.get("spark.master", "local")).startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder on the cluster")
+        global _LOCAL_DIR
+        if _LOCAL_DIR is None:
+            _LOCAL_DIR = tempfile.mkdtemp(prefix="podium-ckpt-", dir=os.environ.get("PODIUM_SCRATCH", "/tmp"))
+        return _LOCAL_DIR
     current = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if current:
         if not sc.getCheckpointDir():
