@@ -212,19 +212,24 @@ def medallion_job(spark: SparkSession, bronze: DataFrame, out: str, load_time: s
 
 
 def sheets_pipeline(spark: SparkSession, text_paths, dictionary: Sequence[str], out: str,
-                    load_time: str | None = None, compat: bool = False, mode: str = "overwrite") -> dict[str, str]:
+                    load_time: str | None = None, compat: bool = False, mode: str = "overwrite",
+                    splittable: bool = False) -> dict[str, str]:
     """The whole run (N5) from sheet text files, with the reference's CSV hop:
 
     text -> records (A1, A3, B) -> headered CSV (A4) -> declared 16-column
     text schema, stop on the first bad row (A5) -> insert-only landing (A6) ->
     silver, gold, retire (``medallion_job``).  Rejected lines are kept in
-    ``rejects`` instead of being printed.
+    ``rejects`` instead of being printed.  ``splittable`` reads large files in
+    line mode across many tasks (header taken from the whole file).
     """
     from podium.sources.csv import BRONZE_SCHEMA, read_csv, write_csv
-    from podium.sources.files import read_text_files
+    from podium.sources.files import read_text_files, read_text_lines
     from podium.sources.tables import append_with_drift
 
-    bronze, rejects = sheets_to_bronze(read_text_files(spark, text_paths), dictionary, compat)
+    if splittable:
+        bronze, rejects = lines_to_bronze(read_text_lines(spark, text_paths), dictionary, compat, "file")
+    else:
+        bronze, rejects = sheets_to_bronze(read_text_files(spark, text_paths), dictionary, compat)
     csv_path, landing = f"{out}/csv", f"{out}/landing"
     write_csv(bronze, csv_path, mode)
     save(rejects, f"{out}/rejects", mode)

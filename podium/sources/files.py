@@ -30,3 +30,20 @@ def read_text_files(spark: SparkSession, paths: str | Sequence[str], page_sep: s
     if page_sep is None:
         return df.select("file_path", F.lit(0).alias("page"), "text")
     return df.select("file_path", F.posexplode(F.split("text", page_sep, -1)).alias("page", "text"))
+
+
+def read_text_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """(file_path, page, line_no, line) with files split across tasks.
+
+    For large text files: line mode is splittable, so one file is read by many
+    tasks.  ``line_no`` is the struct (split start, running row id of the
+    task): a task reads each of its splits front to back, so this struct orders
+    the lines of a file exactly (the numbers are not consecutive), which is all
+    the in-order header scan needs.  Pages are not split here (page 0); take
+    the header from the whole file.
+    """
+    raw = spark.read.text(paths if isinstance(paths, str) else list(paths))
+    line_no = F.struct(F.col("_metadata.file_block_start").alias("block"),
+                       F.monotonically_increasing_id().alias("seq"))
+    return raw.select(F.col("_metadata.file_path").alias("file_path"), F.lit(0).alias("page"),
+                      line_no.alias("line_no"), F.col("value").alias("line"))

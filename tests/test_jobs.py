@@ -93,3 +93,20 @@ def test_sheets_pipeline_through_csv(spark, tmp_path_factory):
     assert [r.line for r in load(spark, p["rejects"]).collect()] == [REJECTED]
     with pytest.raises(Exception):
         load(spark, p["bronze"]).count()  # retired after gold is written
+
+
+def test_split_text_files_give_the_same_bronze(spark, tmp_path_factory):
+    from podium.sources.files import read_text_lines
+    d = tmp_path_factory.mktemp("sheets3")
+    heats = [line for lay, line, _ in CASES if lay == "heats"]
+    _write(d, "1st round male.txt", HEADER_M + heats * 20)
+    whole, _ = jobs.sheets_to_bronze(read_text_files(spark, str(d)), DICTIONARY, header_scope="file")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256")
+    try:
+        lines = read_text_lines(spark, str(d))
+        assert lines.rdd.getNumPartitions() > 3
+        split, _ = jobs.lines_to_bronze(lines, DICTIONARY, header_scope="file")
+        assert sorted(map(tuple, split.collect())) == sorted(map(tuple, whole.collect()))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
