@@ -187,7 +187,10 @@ def _bucket_udf(bounds: list, n_parts: int):
 
 
 def _max_buckets(df: DataFrame) -> int:
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    except (TypeError, ValueError):  # e.g. "auto" on some platforms
+        parts = 200
     return max(1, min(4 * parts, MAX_BUCKETS))
 
 
