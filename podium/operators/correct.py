@@ -12,11 +12,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Fixed values that must equal the reference's for equal results.
-QUALIFICATION = {"Q": "Place", "q": "Time"}
-DISQUALIFICATION = {"DQ": "Rule", "DNS": "Did Not Started"}
-RECORD = {"SB": "Season Best", "PB": "Personal Best", "=SB": "Equal Season Best",
-          "NR": "National Record"}
+from podium.fixed import DISQUALIFICATION, QUALIFICATION, RECORD
 
 
 def _c(c) -> Column:

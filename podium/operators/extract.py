@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 from podium.functions.text import (first_in, first_pos_in, flag_priority, item, join_range,
                                    paren_capture, tail, tokenize)
 
-# Fixed values that must equal the reference's for equal results.
-SPECIAL_CODES = ("=SB", "DNS", "DQ", "Fn", "PB", "SB", "TR")
+from podium.fixed import (DATE_PATTERN, EVENT_PATTERN, HEADER_DEFAULTS, LOCATION_MARK, ROUND_PATTERN,
+                          SPECIAL_CODES)
+
 RECORD_FIELDS = ("rank", "bib", "name", "code", "heat", "lane", "pos", "time", "ms", "wind",
                  "result", "info")
 
@@ -266,19 +267,15 @@ def header_patterns(line: Column | None = None) -> dict[str, Column]:
     def found(pattern: str) -> Column:
         return F.when(s.rlike(pattern), F.regexp_extract(s, pattern, 0))
 
-    # Fixed patterns, equal to the reference's.
+    # event and round match in any letter case; Unicode classes as in Python's re
     return {
-        "event_type": found(r"(?iU)(Men's|Women's)\s100m"),
-        "round": found(r"(?iU)(Round \d+|Semi-final|Final|Preliminary Round)"),
-        "date": found(r"(?U)\b[A-Z]{3}\s\d{1,2}\s[A-Z]{3}\s\d{4}\b"),
-        "location": F.when(s.contains("Stade de France"), s),
+        "event_type": found("(?iU)" + EVENT_PATTERN),
+        "round": found("(?iU)" + ROUND_PATTERN),
+        "date": found("(?U)" + DATE_PATTERN),
+        "location": F.when(s.contains(LOCATION_MARK), s),
     }
 
 
-HEADER_DEFAULTS = {"event_type": "Unknown Event", "round": "Preliminary Round",
-                   "date": "Unknown Date", "location": "Unknown Location"}
-
-
 def attach_header(records: DataFrame, headers: DataFrame, file_col: str,
                   defaults: Mapping[str, str] | None = None) -> DataFrame:
     """Header columns in front of each record of its file.

@@ -14,21 +14,14 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from podium.fixed import (EXCLUDED_ROUND_IDS, FOREST_SEED, FOREST_TREES, MISSING_ATHLETES, NULL_FK_FIXES,
+                          RANK_LIMIT, RESET_IDS, SURNAME_IDS)
 from podium.functions.cast import concat_time, date_text, dotted_number, parse_date_text, safe_cast
 from podium.functions.text import item, split_item, starts_with, tokenize
 from podium.operators import conform, correct, extract, model, profile, rank, shape
 from podium.operators.rank import Key
 from podium.sources.tables import append_missing_rows, load, read_table, retire, save
 
-# Fixed values that must equal the reference's for equal results.
-SURNAME_IDS = {"LOUIS": "1206", "SABINO": "1042", "AZU": "690", "MULAMBA": "514", "BROWN": "452"}
-NULL_FK_FIXES = [("5", "5", 514), ("2", "3", 1042), ("1", "4", 690), ("8", "7", 452), ("8", "8", 514),
-                 ("5", "8", 1206), ("2", "5", 2055)]
-RESET_IDS = [514, 1206, 2055, 1042, 690, 452]
-MISSING_ATHLETES = [(514, "MULAMBA Dominique Lasconi", "COD", "Male"), (452, "BROWN Aaron", "CAN", "Male"),
-                    (690, "AZU Jeremiah", "GBR", "Male"), (1042, "SABINO Steven", "MOZ", "Male")]
-EXCLUDED_ROUND_IDS = [2, 3]
-RANK_LIMIT = 452
 ATHLETE_SCHEMA = "id int, name string, noc_code string, gender string"
 
 
@@ -244,7 +237,7 @@ def sheets_pipeline(spark: SparkSession, text_paths, dictionary: Sequence[str],
 
 
 def score_top(features: DataFrame, key: str, k: int = 3, keep: Sequence[str] = (),
-              num_trees: int = 100, seed: int = 42) -> DataFrame:
+              num_trees: int = FOREST_TREES, seed: int = FOREST_SEED) -> DataFrame:
     """Hash split, forest on the train part, score every row, top ``k`` (L2-L4, H3)."""
     split = model.add_split(features, key, seed)
     forest = model.fit_forest(split.filter("is_train"), key, num_trees, seed)
@@ -252,8 +245,8 @@ def score_top(features: DataFrame, key: str, k: int = 3, keep: Sequence[str] = (
     return rank.top_k(scored.select(*keep, "win_probability"), k, [Key("win_probability", desc=True), key])
 
 
-def finalist_scoring(fact: DataFrame, compat: bool = True, num_trees: int = 100,
-                     seed: int = 42) -> Mapping[str, DataFrame]:
+def finalist_scoring(fact: DataFrame, compat: bool = True, num_trees: int = FOREST_TREES,
+                     seed: int = FOREST_SEED) -> Mapping[str, DataFrame]:
     """Finalist scoring (N6): exclude rounds, profile, features, forest, top 3.
 
     compat excludes the literal round ids 2 and 3 and keeps ``rank < 452``
@@ -277,7 +270,7 @@ def finalist_scoring(fact: DataFrame, compat: bool = True, num_trees: int = 100,
 
 
 def finalist_job(spark: SparkSession, fact_path: str, out: str, compat: bool = True,
-                 mode: str = "overwrite", num_trees: int = 100, seed: int = 42) -> dict[str, str]:
+                 mode: str = "overwrite", num_trees: int = FOREST_TREES, seed: int = FOREST_SEED) -> dict[str, str]:
     """Scoring as a job (N6, A12): the outputs are written, the top 3 as ``ml_results``.
 
     The top rows stay in Spark from scoring to the write; nothing is collected.

@@ -5,12 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
+from podium.fixed import BRONZE_COLUMNS
+
 CSV_OPTIONS = {"header": "true", "sep": ",", "quote": '"', "escape": '"', "nullValue": ""}
 
-# The landing sheet's 16 columns, all text (fixed names from the reference's dataset).
-BRONZE_COLUMNS = ("Event Type", "Round", "Date", "Location", "Rank", "Athlete Bib", "Name",
-                  "NOC Code", "Heat", "Lane", "Pos", "Time", "Milliseconds", "Wind", "Result",
-                  "Additional Info")
 BRONZE_SCHEMA = StructType([StructField(c, StringType(), True) for c in BRONZE_COLUMNS])
 
 
