@@ -80,3 +80,27 @@ def test_stream_landing_restart_takes_only_new_files(spark):
     csv_io.write_csv(spark.createDataFrame([("3", "c")], "k string, v string"), src, "append")
     land_stream(spark, src, schema, target, ckpt).awaitTermination()
     assert sorted(r.k for r in load(spark, target).collect()) == ["1", "2", "3"]
+
+
+def test_manifest_lists_files_without_content(spark, sf):
+    from podium.sources.files import manifest
+    m = manifest(spark, sf, glob="*.parquet")
+    assert m.columns == ["path", "length", "modificationTime"]
+    names = {r.path.rsplit("/", 1)[-1] for r in m.collect()}
+    assert {"orders.parquet", "lineitem.parquet"} <= names
+    assert "content" not in m._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[-1][:200]
+
+
+def test_pages_split_on_form_feed_and_header_scope(spark, tmp_path):
+    from podium.operators import extract
+    from podium.sources.files import read_text_files
+    (tmp_path / "s.txt").write_text("Men's 100m Round 1\nSAT 3 AUG 2024\n\fStade de France X\n", encoding="utf-8")
+    pages = read_text_files(spark, str(tmp_path))
+    assert sorted(r.page for r in pages.collect()) == [0, 1]
+    lines = extract.explode_lines(pages, "text")
+    first = extract.fill_header(lines.filter("page = 0"), "file_path", ["page", "line_no"],
+                                extract.header_patterns(), complete_col=None).first()
+    whole = extract.fill_header(lines, "file_path", ["page", "line_no"], extract.header_patterns(),
+                                complete_col=None).first()
+    assert first.location is None and whole.location == "Stade de France X"  # quirk 2: page 1 only
+    assert first.round == whole.round == "Round 1"
