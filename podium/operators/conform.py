@@ -109,11 +109,12 @@ def lookup_fk(fact: DataFrame, dim: DataFrame, on: Sequence[tuple[Column, str]],
 
 
 def correct_null(fact: DataFrame, fk: str, fixes: DataFrame, on: Sequence[tuple[str, str]],
-                 fix_col: str, small: bool = True) -> DataFrame:
+                 fix_col: str, small: bool = False) -> DataFrame:
     """Fill null ``fk`` from a correction table keyed by ``on`` (G3, replaces M1's UDF).
 
     One left join on all key columns, only for rows whose ``fk`` is null, then
-    ``coalesce``.  A literal correction table is broadcast (its size is fixed).
+    ``coalesce``.  ``small=True`` marks a literal correction table (its size
+    is fixed) for broadcast; otherwise the planner decides from its size check.
     """
     fx = fixes.select(*[F.col(c).alias(f"__f{i}") for i, (_, c) in enumerate(on)],
                       F.col(fix_col).alias("__fix"))

@@ -71,14 +71,14 @@ def fill_default(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
 
 
 def apply_patch(df: DataFrame, patch: DataFrame, on: tuple[str, str],
-                updates: Mapping[str, Column], small: bool = True) -> DataFrame:
+                updates: Mapping[str, Column], small: bool = False) -> DataFrame:
     """Keyed value patch in one join (E5), not a loop of ``withColumn``.
 
     ``patch`` rows match ``df[on[0]] == patch[on[1]]``; each ``updates`` target
     takes its expression on matched rows and keeps its value elsewhere.  The
     expressions may use the patch's columns and the row's own (pre-patch) ones.
-    ``small`` marks a literal patch table (a proven size bound) for broadcast;
-    otherwise the planner decides from runtime sizes.
+    ``small=True`` marks a literal patch table (a proven size bound) for
+    broadcast; otherwise the planner decides from its size check (AQE).
     """
     left_key, patch_key = on
     p = patch.withColumn("__hit", F.lit(True))

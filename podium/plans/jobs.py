@@ -90,14 +90,14 @@ def silver_athlete(bronze: DataFrame, compat: bool = False) -> DataFrame:
     if compat:
         a = conform.dedup_rows(a)
         a = shape.filter_regex(a, "id", r"^[0-9]+$")
-        a = correct.apply_patch(a, patch, ("id", "wrong"), {"id": F.col("right")})
+        a = correct.apply_patch(a, patch, ("id", "wrong"), {"id": F.col("right")}, small=True)
         a = correct.apply_patch(a, patch, ("id", "right"),
-                                {"name": F.concat(F.col("wrong"), F.lit(" "), F.col("name"))})
+                                {"name": F.concat(F.col("wrong"), F.lit(" "), F.col("name"))}, small=True)
         a = a.withColumn("id", safe_cast("id", "int"))
         return shape.drop_null_rows(a)
     a = a.withColumn("id", F.trim("id"))
     a = correct.apply_patch(a, patch, ("id", "wrong"), {
-        "id": F.col("right"), "name": F.concat(F.col("wrong"), F.lit(" "), F.col("name"))})
+        "id": F.col("right"), "name": F.concat(F.col("wrong"), F.lit(" "), F.col("name"))}, small=True)
     a = shape.filter_regex(a, "id", r"^[0-9]+$").withColumn("id", safe_cast("id", "int"))
     a = shape.drop_null_rows(a)
     return conform.dedup_by_key(a, ["id"], ["name", "noc_code", "gender"])
@@ -144,7 +144,8 @@ def silver_race(bronze: DataFrame, athlete: DataFrame, rounds: DataFrame, compat
     race = race.drop("athlete_bib", "round", "event_type", "event")
     spark = bronze.sparkSession
     fixes = spark.createDataFrame(NULL_FK_FIXES, "heat string, lane string, fix int")
-    race = conform.correct_null(race, "FK_athlete_id", fixes, [("heat", "heat"), ("lane", "lane")], "fix")
+    race = conform.correct_null(race, "FK_athlete_id", fixes, [("heat", "heat"), ("lane", "lane")], "fix",
+                                small=True)
     race = race.withColumn("result", correct.status_override("position", "result", {"DNS": "DNS", "DQ": "DQ"},
                                                              {"F1": "DQ"}))
     race = correct.reset_columns(race, "FK_athlete_id", RESET_IDS, {"position": "0", "time": "0", "wind": "0.0"})

@@ -483,7 +483,7 @@ def q_patch_by_key(spark, d):
     return correct.apply_patch(n, patch, ("name", "wrong"), {
         "name": F.col("right"),
         "label": F.concat(F.col("wrong"), F.lit(" "), F.col("label")),
-    })
+    }, small=True)
 
 
 @query("patch_reset", """
@@ -577,7 +577,8 @@ def q_lookup_correction(spark, d):
     li = T(spark, d, "lineitem").select(*LINE_KEY, "l_returnflag")
     looked = conform.lookup_fk(li, _part_dim(spark, d), [(F.col("l_partkey"), "p_partkey")], "p_partkey", "fk")
     fixes = spark.createDataFrame([(1, "A", 514), (2, "R", 1042), (3, "N", 690)], "n int, f string, fix int")
-    fixed = conform.correct_null(looked, "fk", fixes, [("l_linenumber", "n"), ("l_returnflag", "f")], "fix")
+    fixed = conform.correct_null(looked, "fk", fixes, [("l_linenumber", "n"), ("l_returnflag", "f")], "fix",
+                                 small=True)
     return fixed.select(*LINE_KEY, "fk")
 
 
