@@ -31,7 +31,7 @@ from pyspark.sql.types import (AtomicType, BooleanType, ByteType, DataType, Date
                                IntegerType, LongType, NumericType, ShortType, StringType, TimestampNTZType,
                                TimestampType)
 
-MIN_ROWS_PER_BUCKET = 20_000
+MIN_ROWS_PER_BUCKET = 50_000
 MAX_BUCKETS = 4096
 SAMPLE_PER_BUCKET = 32
 
