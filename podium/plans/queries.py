@@ -227,8 +227,7 @@ def _sheet_lines(spark, d, layout: str) -> DataFrame:
                   F.date_format("l_shipdate", "yyyy"), s("l_tax")]
         body = [*filler, s("l_suppkey"), F.col("l_quantity").cast("int").cast("string"),
                 s("l_discount"), s("l_extendedprice")]
-    return j.select(*[F.col(c) for c in ("l_linenumber",)], F.concat_ws(" ", *head, *body).alias("line"),
-                    F.lit(layout).alias("layout"))
+    return j.select("l_linenumber", F.concat_ws(" ", *head, *body).alias("line"), F.lit(layout).alias("layout"))
 
 
 LAYOUTS = {"heats": extract.HEATS, "final_a": extract.FINAL_A, "final_b": extract.FINAL_B}

@@ -100,3 +100,10 @@ def test_null_keys_are_spread_and_never_match(spark):
     assert got.count() == 300
     assert got.filter("bib IS NULL AND fk IS NOT NULL").count() == 0
     assert got.filter("bib IS NOT NULL AND fk = CAST(bib AS INT)").count() == 200
+
+
+def test_surrogate_hash_key_is_stable(spark):
+    df = spark.createDataFrame([(b, t) for b in "cab" for t in "yx"], "b string, t string")
+    one = {(r.b, r.t): r.id for r in conform.surrogate_key(df.repartition(1), ["b", "t"], how="hash").collect()}
+    many = {(r.b, r.t): r.id for r in conform.surrogate_key(df.repartition(4), ["b", "t"], how="hash").collect()}
+    assert one == many and len(set(one.values())) == 6
