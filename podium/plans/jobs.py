@@ -200,7 +200,10 @@ def medallion_job(spark: SparkSession, bronze: DataFrame, out: str, load_time: s
     save(silver_race(b, athlete, rounds, compat), paths["silver_race"], mode)
     save(gold_dimension(athlete, load_time), paths["gold_dim_athlete"], mode)
     save(gold_dimension(rounds, load_time), paths["gold_dim_round"], mode)
-    save(gold_fact_race(load(spark, paths["silver_race"]), load_time), paths["gold_fact_race"], mode)
+    # partitioned by round (a few values per event): readers that filter on
+    # rounds, like the scoring job, read only those folders
+    save(gold_fact_race(load(spark, paths["silver_race"]), load_time), paths["gold_fact_race"], mode,
+         partition_by=("NK_round",))
     retire(spark, paths["bronze"])
     return paths
 

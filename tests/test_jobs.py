@@ -110,3 +110,13 @@ def test_split_text_files_give_the_same_bronze(spark, tmp_path_factory):
         assert sorted(map(tuple, split.collect())) == sorted(map(tuple, whole.collect()))
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_gold_fact_is_partitioned_by_round_and_pruned(spark, sheets):
+    bronze, _ = jobs.sheets_to_bronze(sheets, DICTIONARY, compat=False)
+    p = jobs.medallion_job(spark, bronze, scratch_path(spark, "job-parts"))
+    fact = load(spark, p["gold_fact_race"])
+    kept = fact.filter((F.col("NK_round") != 2) & (F.col("NK_round") != 3))
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "NK_round" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert fact.count() == len(CASES)
