@@ -41,16 +41,19 @@ def add_split(df: DataFrame, key: str, seed: int = 42, train_share_256: int = 20
 
 
 def fit_forest(train: DataFrame, key: str, num_trees: int = 100, seed: int = 42,
-               features: str = "features", label: str = "label") -> RandomForestClassificationModel:
+               features: str = "features", label: str = "label",
+               partitions: int | None = None) -> RandomForestClassificationModel:
     """Random forest on the executors (L3).
 
-    Rows are put in key order first: MLlib's bootstrap depends on row placement,
-    so a fixed order gives the same forest at any input partitioning.  The
-    forest scans its input several times (metadata, split candidates, binned
-    points), so the ordered rows are persisted for the fit and released after;
-    a lost executor's blocks are recomputed from lineage.
+    MLlib's bootstrap depends on row placement, so rows are placed by a hash of
+    the key into ``partitions`` (default: the shuffle partition count) and
+    sorted by key inside each: the same forest comes out at any input
+    partitioning.  The forest scans its input several times (metadata, split
+    candidates, binned points), so the placed rows are persisted for the fit
+    and released after; a lost executor's blocks are recomputed from lineage.
     """
-    ordered = train.select(key, features, label).repartitionByRange(key).sortWithinPartitions(key) \
+    n = partitions or int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = train.select(key, features, label).repartition(n, key).sortWithinPartitions(key) \
         .persist(StorageLevel.MEMORY_AND_DISK)
     try:
         rf = RandomForestClassifier(numTrees=num_trees, seed=seed, featuresCol=features, labelCol=label)

@@ -51,11 +51,13 @@ def test_forest_scores_are_probabilities_and_stable(spark):
     rows = [(i, float(i % 9), float((i * 31) % 17), int(i % 9 == 0)) for i in range(600)]
     df = spark.createDataFrame(rows, "k long, a double, b double, y int")
     feats = model.add_features(df, ["a", "b"], F.col("y") == 1)
-    tops = []
+    tops, scores = [], []
     for parts in (1, 8):
         f = model.fit_forest(feats.repartition(parts), "k", num_trees=10, seed=42)
         scored = model.score(f, feats)
         assert scored.filter((F.col("win_probability") < 0) | (F.col("win_probability") > 1)).count() == 0
         from podium.operators.rank import top_k
         tops.append([r.k for r in top_k(scored, 3, [Key("win_probability", desc=True), "k"]).collect()])
+        scores.append({r.k: r.win_probability for r in scored.select("k", "win_probability").collect()})
     assert tops[0] == tops[1]
+    assert scores[0] == scores[1]  # the same forest at any input partitioning
