@@ -51,17 +51,25 @@ def value_counts(df: DataFrame, cols: Sequence[str], keep_nulls: bool = False) -
     return long.groupBy("col", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
+SMALL_EXACT_ROWS = 100_000
+
+
 def exact_quantiles(df: DataFrame, value: str, groups: Sequence[str], probs: Sequence[float],
-                    names: Sequence[str] | None = None) -> DataFrame:
+                    names: Sequence[str] | None = None, small_limit: int = SMALL_EXACT_ROWS) -> DataFrame:
     """Exact linear-interpolated quantiles per group (``percentile`` semantics).
 
     Spark's exact ``percentile`` keeps every distinct value of a group in one
-    aggregation buffer; a hot group would then sit in one task's memory.  Here
-    values are numbered per group by ``row_number_by`` (ranges, in parallel),
-    and only the rows at the needed ranks are kept.
+    aggregation buffer; a hot group would then sit in one task's memory.  So
+    it is used only behind a size check: when the whole input has at most
+    ``small_limit`` values.  Beyond that, values are numbered per group by
+    ``row_number_by`` (ranges, in parallel) and only the rows at the needed
+    ranks are kept.
     """
     names = list(names or [f"q{i}" for i in range(len(probs))])
     base = df.select(*groups, value).filter(F.col(value).isNotNull())
+    if base.count() <= small_limit:
+        got = base.groupBy(*groups).agg(F.percentile(F.col(value).cast("double"), list(probs)).alias("__q"))
+        return got.select(*groups, *[F.col("__q")[i].alias(nm) for i, nm in enumerate(names)])
     ranked = row_number_by(base, [Key(value)], groups, out="__rn")
     n = base.groupBy(*groups).agg(F.count(F.lit(1)).alias("__cnt"))
     pos = {nm: (F.col("__cnt") - 1) * F.lit(p) for nm, p in zip(names, probs)}
@@ -85,10 +93,10 @@ def exact_quantiles(df: DataFrame, value: str, groups: Sequence[str], probs: Seq
 
 
 def box_stats(df: DataFrame, value: str, groups: Sequence[str], whisker: float = 1.5,
-              digits: int | None = 4, exact: bool = True) -> DataFrame:
+              digits: int | None = 4, exact: bool = True, small_limit: int = SMALL_EXACT_ROWS) -> DataFrame:
     """Quartiles and the count of points outside ``whisker`` * IQR fences (K4)."""
     if exact:
-        q = exact_quantiles(df, value, groups, [0.25, 0.5, 0.75], ["q1", "q2", "q3"])
+        q = exact_quantiles(df, value, groups, [0.25, 0.5, 0.75], ["q1", "q2", "q3"], small_limit=small_limit)
     else:
         q = df.groupBy(*groups).agg(*[F.percentile_approx(value, p, 10000).alias(n)
                                       for p, n in [(0.25, "q1"), (0.5, "q2"), (0.75, "q3")]])
