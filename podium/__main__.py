@@ -1,6 +1,6 @@
 """Command line: run the jobs the reference ran as notebooks.
 
-  python -m podium pipeline --sheets DIR --dictionary FILE --out DIR [--compat] [--splittable]
+  python -m podium run --sheets DIR --dictionary FILE --out DIR [--compat] [--splittable]
   python -m podium score --fact PATH --out DIR [--compat]
   python -m podium query NAME [--sf DIR] [--rows N]
 
@@ -31,7 +31,7 @@ def _session() -> SparkSession:
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="podium")
     sub = ap.add_subparsers(dest="cmd", required=True)
-    p = sub.add_parser("pipeline", help="sheet text files -> CSV -> landing -> silver -> gold")
+    p = sub.add_parser("run", help="sheet text files -> CSV -> landing -> silver -> gold")
     p.add_argument("--sheets", required=True)
     p.add_argument("--dictionary", required=True, help="text file, one code per line")
     p.add_argument("--out", required=True)
@@ -50,12 +50,12 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = _session()
     from podium.plans import jobs
-    if a.cmd == "pipeline":
+    if a.cmd == "run":
         words = spark.read.text(a.dictionary).selectExpr("trim(value) AS w").filter("w <> ''").distinct()
         rows = words.limit(100_001).collect()
         if len(rows) > 100_000:
             raise SystemExit("dictionary larger than 100000 codes")
-        paths = jobs.sheets_pipeline(spark, a.sheets, sorted(r.w for r in rows), a.out, a.load_time,
+        paths = jobs.sheets_to_gold(spark, a.sheets, sorted(r.w for r in rows), a.out, a.load_time,
                                      a.compat, splittable=a.splittable)
         print(json.dumps(paths, indent=2))
     elif a.cmd == "score":

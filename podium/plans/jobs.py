@@ -208,7 +208,7 @@ def medallion_job(spark: SparkSession, bronze: DataFrame, out: str, load_time: s
     return paths
 
 
-def sheets_pipeline(spark: SparkSession, text_paths, dictionary: Sequence[str], out: str,
+def sheets_to_gold(spark: SparkSession, text_paths, dictionary: Sequence[str], out: str,
                     load_time: str | None = None, compat: bool = False, mode: str = "overwrite",
                     splittable: bool = False) -> dict[str, str]:
     """The whole run (N5) from sheet text files, with the reference's CSV hop:

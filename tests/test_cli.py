@@ -6,7 +6,7 @@ from podium.sources.tables import load
 from tests.fixtures import CASES
 
 
-def test_cli_pipeline_then_score(spark, tmp_path, capsys):
+def test_cli_run_then_score(spark, tmp_path, capsys):
     sheets = tmp_path / "sheets"
     sheets.mkdir()
     heats = [line for lay, line, _ in CASES if lay == "heats"]
@@ -16,7 +16,7 @@ def test_cli_pipeline_then_score(spark, tmp_path, capsys):
     codes = tmp_path / "codes.txt"
     codes.write_text("USA\nFRA\nMRI\nMAR\nESP\n", encoding="utf-8")
     out = scratch_path(spark, "cli")
-    assert main(["pipeline", "--sheets", str(sheets), "--dictionary", str(codes), "--out", out,
+    assert main(["run", "--sheets", str(sheets), "--dictionary", str(codes), "--out", out,
                  "--load-time", "2024-08-05 00:00:00"]) == 0
     paths = json.loads(capsys.readouterr().out)
     assert load(spark, paths["gold_fact_race"]).count() == len(heats)

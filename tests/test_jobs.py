@@ -82,13 +82,13 @@ def test_finalist_scoring(spark, sheets):
     assert load(spark, out["box"]).count() > 0 and load(spark, out["counts"]).count() > 0
 
 
-def test_sheets_pipeline_through_csv(spark, tmp_path_factory):
+def test_sheets_to_gold_through_csv(spark, tmp_path_factory):
     d = tmp_path_factory.mktemp("sheets2")
     heats = [line for lay, line, _ in CASES if lay == "heats"]
     _write(d, "1st round male.txt", HEADER_M + heats + [REJECTED])
     _write(d, "final female.txt", HEADER_W + [line for lay, line, _ in CASES if lay == "final_b"])
     out = scratch_path(spark, "pipe")
-    p = jobs.sheets_pipeline(spark, str(d), DICTIONARY, out, load_time="2024-08-05 00:00:00")
+    p = jobs.sheets_to_gold(spark, str(d), DICTIONARY, out, load_time="2024-08-05 00:00:00")
     assert load(spark, p["gold_fact_race"]).count() == len(heats) + 2
     assert [r.line for r in load(spark, p["rejects"]).collect()] == [REJECTED]
     with pytest.raises(Exception):
