@@ -27,9 +27,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import (AtomicType, BooleanType, ByteType, DataType, DateType, DecimalType, DoubleType, FloatType,
-                               IntegerType, LongType, NumericType, ShortType, StringType, TimestampNTZType,
-                               TimestampType)
+from pyspark.sql.types import (AtomicType, BooleanType, ByteType, DataType, DateType, DecimalType, DoubleType,
+                               FloatType, IntegerType, LongType, NumericType, ShortType, StringType,
+                               TimestampNTZType, TimestampType)
 
 MIN_ROWS_PER_BUCKET = 50_000
 MAX_BUCKETS = 4096

@@ -107,3 +107,18 @@ def test_surrogate_hash_key_is_stable(spark):
     one = {(r.b, r.t): r.id for r in conform.surrogate_key(df.repartition(1), ["b", "t"], how="hash").collect()}
     many = {(r.b, r.t): r.id for r in conform.surrogate_key(df.repartition(4), ["b", "t"], how="hash").collect()}
     assert one == many and len(set(one.values())) == 6
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.integers(0, 9)), min_size=0, max_size=40),
+       st.sets(st.integers(0, 12), max_size=8))
+def test_strict_lookup_keeps_row_count(spark, fact_keys, dim_keys):
+    fact = spark.createDataFrame([(i, k) for i, k in enumerate(fact_keys)], "rid int, k int")
+    dim = spark.createDataFrame([(k, k * 10) for k in sorted(dim_keys)], "key int, v int")
+    got = conform.lookup_fk(fact, dim, [(F.col("k"), "key")], "v", "fk").collect()
+    assert len(got) == len(fact_keys)
+    assert {r.rid: r.fk for r in got} == {i: (k * 10 if k in dim_keys else None) for i, k in enumerate(fact_keys)}
