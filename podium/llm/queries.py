@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from podium.llm import fingerprint, html, packing, sharding, tokens, toxicity
+from podium.llm import fingerprint, html, jaccard, mixing, packing, sharding, tokens, toxicity
 from podium.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +61,74 @@ def q_sharding(spark, d):
     return sharding.shard_by_size(table(spark, d, "documents"), 40).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op8_near_duplicates")
+def q_near_duplicates(spark, d):
+    return jaccard.near_duplicates(table(spark, d, "documents"))
+
+
+#: Target weights of the mix (1 for what is not listed) and its size in tokens of all.
+MIX_WEIGHTS = {"domain": {"domain0": 4, "domain1": 3, "domain2": 2, "domain3": 1},
+               "lang": {"en": 5, "de": 2, "fr": 2, "es": 1}, "source": {}}
+MIX_BUDGET = (3, 5)
+MIX_EPOCHS = 2
+
+
+def mix_levels():
+    """domain - language - source; a source's trailing number names its domain."""
+    number = F.regexp_extract("source", "([0-9]+)$", 1)
+    return {"domain": F.when(number != "", F.concat(F.lit("domain"), (number.cast("int") % 4).cast("string"))),
+            "lang": F.col("lang"), "source": F.col("source")}
+
+
+def _fill_sql(source: str, parents: str, name: str) -> str:
+    """The sharing of one level in SQL."""
+    over = f"PARTITION BY {parents}"
+    ratio = f"{over} ORDER BY CAST(cap AS DOUBLE) / w, {name}"
+    return f"""
+    SELECT *, share0 + CASE WHEN NOT "full" AND row_number() OVER (PARTITION BY {parents}, "full" ORDER BY {name})
+           <= goal - sum(share0) OVER ({over}) THEN 1 ELSE 0 END AS share FROM (
+      SELECT *, CASE WHEN "full" THEN cap ELSE (CAST(goal - used AS HUGEINT) * w) // open_w END AS share0 FROM (
+        SELECT *, sum(CASE WHEN "full" THEN cap ELSE 0 END) OVER ({over}) AS used,
+               sum(CASE WHEN "full" THEN 0 ELSE w END) OVER ({over}) AS open_w FROM (
+          SELECT *, CAST(cap AS HUGEINT) * rest_w <= CAST(goal - before AS HUGEINT) * w AS "full" FROM (
+            SELECT *, least(budget, sum(cap) OVER ({over})) AS goal,
+                   coalesce(sum(cap) OVER ({ratio} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+                   sum(w) OVER ({ratio} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest_w
+            FROM ({source})))))"""
+
+
+def _weight_sql(level: str) -> str:
+    cases = " ".join(f"WHEN '{k}' THEN {v}" for k, v in MIX_WEIGHTS[level].items())
+    return f"CASE {level} {cases} ELSE 1 END" if cases else "1"
+
+
+MIX_SQL = f"""
+WITH slim AS (
+  SELECT doc_id, coalesce(CASE WHEN regexp_extract(source, '([0-9]+)$', 1) <> '' THEN
+           'domain' || CAST(CAST(regexp_extract(source, '([0-9]+)$', 1) AS INT) % 4 AS VARCHAR) END, '(none)') AS domain,
+         coalesce(lang, '(none)') AS lang, coalesce(source, '(none)') AS source,
+         greatest(1, (coalesce(strlen(text), 0) + 3) // 4) AS tokens FROM documents),
+leaves AS (SELECT domain, lang, source, sum(tokens) AS avail, sum(tokens) * {MIX_EPOCHS} AS cap FROM slim GROUP BY ALL),
+l1 AS ({_fill_sql(f"SELECT 0 AS root, domain, sum(cap) AS cap, {_weight_sql('domain')} AS w, (SELECT CAST(sum(avail) AS HUGEINT) * {MIX_BUDGET[0]} // {MIX_BUDGET[1]} FROM leaves) AS budget FROM leaves GROUP BY domain", "root", "domain")}),
+l2 AS ({_fill_sql(f"SELECT c.domain, c.lang, c.cap, {_weight_sql('lang')} AS w, p.share AS budget FROM (SELECT domain, lang, sum(cap) AS cap FROM leaves GROUP BY ALL) c JOIN l1 p USING (domain)", "domain", "lang")}),
+l3 AS ({_fill_sql(f"SELECT c.domain, c.lang, c.source, c.cap, {_weight_sql('source')} AS w, p.share AS budget FROM leaves c JOIN l2 p USING (domain, lang)", "domain, lang", "source")}),
+plan AS (SELECT domain, lang, source, share // avail AS whole, share % avail AS rest FROM l3 JOIN leaves USING (domain, lang, source)),
+ranked AS (SELECT s.*, whole, rest, sum(tokens) OVER (PARTITION BY domain, lang, source
+             ORDER BY md5('17:' || CAST(CAST(whole AS BIGINT) AS VARCHAR) || ':' || coalesce(CAST(doc_id AS VARCHAR), ''))) AS upto
+           FROM slim s JOIN plan USING (domain, lang, source)),
+times AS (SELECT *, CAST(whole + CASE WHEN upto <= rest THEN 1 ELSE 0 END AS BIGINT) AS n FROM ranked)
+SELECT doc_id, domain, lang, source, CAST(tokens AS BIGINT) AS tokens, CAST(epoch AS INT) AS mix_epoch
+FROM (SELECT *, unnest(range(n)) AS epoch FROM times WHERE n > 0)
+"""
+
+
+@query("op4_mixing", MIX_SQL)
+def q_mixing(spark, d):
+    docs = table(spark, d, "documents")
+    mixed = mixing.mix(docs, mix_levels(), MIX_WEIGHTS, MIX_BUDGET, MIX_EPOCHS)
+    none = F.lit(mixing.NONE)
+    return mixed.select("doc_id", F.coalesce(mix_levels()["domain"], none).alias("domain"),
+                        F.coalesce("lang", none).alias("lang"), F.coalesce("source", none).alias("source"),
+                        mixing.token_estimate(F.col("text")).alias("tokens"), "mix_epoch")
