@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from podium.llm import fingerprint, html, jaccard, mixing, packing, sharding, tokens, toxicity
+from podium.llm import fingerprint, html, jaccard, mixing, packing, pii, sharding, tokens, toxicity
 from podium.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -132,3 +132,8 @@ def q_mixing(spark, d):
     return mixed.select("doc_id", F.coalesce(mix_levels()["domain"], none).alias("domain"),
                         F.coalesce("lang", none).alias("lang"), F.coalesce("source", none).alias("source"),
                         mixing.token_estimate(F.col("text")).alias("tokens"), "mix_epoch")
+
+
+@query("op9_personal_data")
+def q_personal_data(spark, d):
+    return pii.report(table(spark, d, "documents"))
