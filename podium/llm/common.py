@@ -56,3 +56,11 @@ def range_of(key: Column, splitters: list[int]) -> Column:
     at = F.size(F.filter(coarse, lambda c: c <= key))
     inside = F.size(F.filter(F.element_at(fine, F.greatest(at, F.lit(1))), lambda c: c <= key))
     return F.when(at == 0, F.lit(0)).otherwise((at - 1) * step + inside).cast("int")
+
+
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Let Arrow batches of whole texts hold no more than ``rows`` (Spark's default is 10,000)."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name, "10000"))
+    if now <= 0 or now > rows:
+        spark.conf.set(name, str(rows))

@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from podium.llm.common import small_batches
+
 #: Frequent function words of the languages looked for.
 STOP_WORDS = frozenset((
     "the of and to in a is that for it as was with be by on not he his but at are this have from or had an they which "
@@ -231,6 +233,7 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     the middle ends its open elements there.  Repeated rows and null ids or urls give
     one row each; an empty table gives none; other columns are ignored.
     """
+    small_batches(pages.sparkSession)
     source = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"),
                           F.coalesce(F.col(html_col), F.lit("")).alias("html"))
 

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from podium.llm.common import materialise
+from podium.llm.common import materialise, small_batches
 
 WORDS = 5
 THRESHOLD = 80  # per cent
@@ -294,6 +294,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     columns are ignored.  Sets are told apart by 64-bit
     hashes.
     """
+    small_batches(docs.sparkSession)
     source = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     frequent = _frequent(source)
     signed = materialise(_signed(source, frequent, threshold), "signed")

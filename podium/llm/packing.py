@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from podium.llm.common import tokenizer_path
+from podium.llm.common import small_batches, tokenizer_path
 
 CAPACITY = 4096
 END_ID = 2
@@ -169,6 +169,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = "word_bpe_
     (and ``token_ids`` when ``with_ids``).  Null ids and repeated rows are documents
     like any other; an empty table gives no rows; other columns are ignored.
     """
+    small_batches(docs.sparkSession)
     source = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kind = dict(source.dtypes)["doc_id"]
     schema = f"doc_id {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, " \

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from podium.llm import fingerprint, html, jaccard, mixing, packing, pii, sharding, tokens, toxicity
+from podium.llm import ann, fingerprint, html, jaccard, mixing, packing, pii, sharding, tokens, toxicity
 from podium.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -137,3 +137,8 @@ def q_mixing(spark, d):
 @query("op9_personal_data")
 def q_personal_data(spark, d):
     return pii.report(table(spark, d, "documents"))
+
+
+@query("op10_nearest")
+def q_nearest(spark, d):
+    return ann.nearest(table(spark, d, "embeddings"), F.col("vec_id") % 50 == 0)

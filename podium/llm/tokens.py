@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from podium.llm.common import tokenizer_path
+from podium.llm.common import small_batches, tokenizer_path
 
 VOCABULARY = "byte_bpe_50k.json"
 CHUNK = 32_768
@@ -142,6 +142,7 @@ def count_tokens(docs: DataFrame, limit: int = 512, vocabulary: str = VOCABULARY
     empty table gives none; other columns are ignored.  Documents above ``chunk``
     characters are encoded in overlapping chunks, so memory stays bounded.
     """
+    small_batches(docs.sparkSession)
     source = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from podium.llm.common import small_batches
+
 #: Bounds of the labelled sample that the classifier is fitted on.
 SAMPLE_TOXIC = 3000
 SAMPLE_ORDINARY = 9000
@@ -206,20 +208,29 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, id_col: str = "doc_id
     return model
 
 
-def score(docs: DataFrame, model: Model, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text",
-          keep: list[str] | None = None) -> DataFrame:
-    """``score`` and ``predicted`` for each document, over its whole text.
+def _rate(model: Model):
+    @F.pandas_udf("double")
+    def rate(texts: pd.Series) -> pd.Series:
+        return pd.Series([model.score(t) for t in texts], dtype="float64")
+    return rate
+
+
+def score(docs: DataFrame, model: Model, threshold: float = 0.3, id_col: str = "doc_id",
+          text_col: str = "text") -> DataFrame:
+    """id, ``score`` and ``predicted`` for each document, over its whole text.
 
     Only the text is looked at.  A null or empty text has no window and gets the
-    score of that; repeated rows get equal scores; an empty table gives no rows.
-    ``keep`` names further columns to carry along.
+    score of that; repeated rows get equal scores; an empty table gives no rows;
+    other columns are ignored.
     """
-    carried = [c for c in (keep or []) if c not in (id_col,)]
-    source = docs.select(F.col(id_col), *[F.col(c) for c in carried], F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    small_batches(docs.sparkSession)
+    scored = docs.select(F.col(id_col), _rate(model)(F.coalesce(F.col(text_col), F.lit(""))).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
-    @F.pandas_udf("double")
-    def rate(texts: pd.Series) -> pd.Series:
-        return pd.Series([model.score(t) for t in texts])
 
-    return source.withColumn("score", rate("_text")) \
-        .withColumn("predicted", (F.col("score") >= threshold).cast("int")).drop("_text")
+def reject(docs: DataFrame, model: Model, threshold: float, text_col: str = "text") -> DataFrame:
+    """``docs`` without those that score ``threshold`` or more; all columns stay as they are."""
+    small_batches(docs.sparkSession)
+    name = "__toxic_score"
+    return docs.withColumn(name, _rate(model)(F.coalesce(F.col(text_col), F.lit("")))) \
+        .filter(F.col(name) < threshold).drop(name)
