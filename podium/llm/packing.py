@@ -18,16 +18,18 @@ CAPACITY = 4096
 END_ID = 2
 #: Documents are packed in chunks of at least so many windows (bounded memory; one
 #: chunk wastes less than a window or two).
-CHUNK_WINDOWS = 384
+CHUNK_WINDOWS = 160
 #: Where whole rests do not fit, they are cut into pieces of capacity / FINE_PARTS.
 FINE_PARTS = 4
-CACHE_WORDS = 400_000
+#: Bound of each of a worker's two caches (words, and the runs that they are made of).
+CACHE_WORDS = 1_000_000
 
 #: Texts of these characters only go through the word cache: there a space, a line
 #: feed and a change between letter and non-letter always separate the words that
 #: the tokenizer works on, so a word's ids do not depend on its neighbours.
 _SPECIAL = re.compile("[^\x00-\x1b\x20-\x26\x28-\x7e\xa1-\xa9\xab-\xb4\xb6-\xb9\xbb-\xffŒœ]|<\\|")
-_WORD = re.compile("([a-z\xdf-\xf6\xf8-\xffœ]+)([.,]?)")
+_RUNS = re.compile("[a-z\xdf-\xf6\xf8-\xffœ]+|[^a-z\xdf-\xf6\xf8-\xffœ\n]+")
+_LETTERS = re.compile("[a-z\xdf-\xf6\xf8-\xffœ]")
 
 
 class WordEncoder:
@@ -43,56 +45,43 @@ class WordEncoder:
         for name, i in names.items():
             self.ends[i] = name.endswith("</w>")
         self.words: dict[str, bytes] = {"": b""}
-        self.bases: dict[str, bytes] = {}
+        self.runs: dict[str, bytes] = {}
 
     def _direct(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def _learn(self, missing: set[str]) -> None:
+        """Words are put together from runs of letters and runs of other characters."""
         if len(self.words) + len(missing) > CACHE_WORDS:
-            self.words, self.bases = {"": b""}, {}
-        plain = {w: m for w in missing if (m := _WORD.fullmatch(w))}
-        bases = sorted({m[1] for m in plain.values()} - self.bases.keys())
-        if bases:
-            ids = np.asarray(self.tokenizer.encode(" ".join(bases), add_special_tokens=False).ids, dtype="<u4")
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) == len(bases):
+            self.words = {"": b""}
+        if len(self.runs) > CACHE_WORDS:
+            self.runs = {}
+        new = set(_RUNS.findall("\n".join(missing))) - self.runs.keys()
+        letters = [r for r in new if _LETTERS.match(r)]
+        if letters:  # in one string; every run of letters ends with an end-of-word token
+            ids = np.asarray(self.tokenizer.encode(" ".join(letters), add_special_tokens=False).ids, dtype="<u4")
+            cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            if len(cuts) == len(letters):
                 raw, a = ids.tobytes(), 0
-                for w, b in zip(bases, cuts.tolist()):
-                    self.bases[w] = raw[4 * a:4 * b]
+                for r, b in zip(letters, cuts):
+                    self.runs[r] = raw[4 * a:4 * b]
                     a = b
-            else:
-                self.bases.update((w, self._direct(w)) for w in bases)
-        for w in missing:
-            if w in plain:
-                m = plain[w]
-                tail = m[2]
-                if tail and tail not in self.bases:
-                    self.bases[tail] = self._direct(tail)
-                self.words[w] = self.bases[m[1]] + (self.bases[tail] if tail else b"")
-            else:
-                self.words[w] = self._direct(w)
+        for r in new - self.runs.keys():
+            self.runs[r] = self._direct(r)
+        get, find = self.runs.__getitem__, _RUNS.findall
+        self.words.update([(w, b"".join(map(get, find(w)))) for w in missing])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         split = [None if _SPECIAL.search(t) else t.lower().replace("\n", " ").split(" ") for t in texts]
-        known = self.words
-        missing = {w for ws in split if ws is not None for w in ws if w not in known}
+        used = set().union(*[ws for ws in split if ws is not None])
+        missing = used - self.words.keys()
         if missing:
             self._learn(missing)
-            known = self.words
-            if len(missing) < len(known):  # the cache may have been emptied meanwhile
-                gone = {w for ws in split if ws is not None for w in ws if w not in known}
-                if gone:
-                    self._learn_more(gone)
-        return [self._direct(t) if ws is None else b"".join([known[w] for w in ws]) for t, ws in zip(texts, split)]
-
-    def _learn_more(self, gone: set[str]) -> None:
-        keep = self.words
-        self.words = {}
-        self._learn(gone)
-        keep.update(self.words)
-        self.words = keep
+            if not used <= self.words.keys():  # the cache has been emptied meanwhile
+                self._learn(used - self.words.keys())
+        get = self.words.__getitem__
+        return [self._direct(t) if ws is None else b"".join(map(get, ws)) for t, ws in zip(texts, split)]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -203,8 +192,8 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = "word_bpe_
 
         for batch in batches:
             texts, keys = batch["text"].tolist(), batch["doc_id"].tolist()
-            for i in range(0, len(texts), 64):
-                for key, raw in zip(keys[i:i + 64], code.encode(texts[i:i + 64])):
+            for i in range(0, len(texts), 256):
+                for key, raw in zip(keys[i:i + 256], code.encode(texts[i:i + 256])):
                     ids.append(None if pd.isna(key) else key)
                     held.append(raw + end)
                     tokens += len(raw) // 4 + 1
