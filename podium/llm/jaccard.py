@@ -28,7 +28,10 @@ MAX_FREQUENT = 1 << 17
 CHUNK_SHINGLES = 4_000_000
 SEEN_SETS = 500_000
 CACHE_WORDS = 300_000
-LEADER_ROUNDS = 2
+#: Rounds that compare the records of a signature with one leader before all that is still apart.
+LEADER_ROUNDS = 3
+#: Records of a signature that a task compares with each other at once.
+BLOCK = 2048
 
 _MUL = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5,
                  0x85EBCA77C2B2AE63], dtype=np.uint64)
@@ -129,20 +132,26 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray, threshold: int = THRESH
 
 
 def sketch(tokens: np.ndarray) -> bytes:
-    """Counts of the shingles by hash bucket (a power of two of buckets, about a quarter of the set)."""
-    n = len(tokens)
-    buckets = 1 << min(12, max(3, n.bit_length() - 3))
-    c = np.bincount((tokens & np.uint64(buckets - 1)).astype(np.int64), minlength=buckets)
-    return np.minimum(c, 65535).astype("<u2").tobytes()
+    """Bitmap of the shingles by hash (a power of two of bits, at least eight a shingle up to 64 Ki bits)."""
+    size = 1 << min(13, max(3, (len(tokens) - 1).bit_length()))  # bytes
+    bits = np.zeros(size * 8, dtype=bool)
+    bits[(tokens & np.uint64(size * 8 - 1)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def _folded(bitmaps: np.ndarray, size: int) -> np.ndarray:
+    """Bitmaps (rows) of ``size`` bytes: the union of the parts of larger ones."""
+    return np.bitwise_or.reduce(bitmaps.reshape(len(bitmaps), -1, size), axis=1)
 
 
-def overlap_bound(a: bytes, b: bytes) -> int:
-    """No less than the overlap of the two sets (65535, a full count, bounds nothing)."""
-    x, y = np.frombuffer(a, "<u2").astype(np.int64), np.frombuffer(b, "<u2").astype(np.int64)
-    if max(x.max(initial=0), y.max(initial=0)) >= 65535:
-        return 1 << 60
-    size = min(len(x), len(y))
-    return int(np.minimum(x.reshape(-1, size).sum(0), y.reshape(-1, size).sum(0)).sum())
+def may_link(x: np.ndarray, nx: int, rows: np.ndarray, n: np.ndarray, threshold: int = THRESHOLD) -> np.ndarray:
+    """Which rows' sets can reach the threshold with x: a bit that only one side has is a shingle that the other lacks."""
+    size = min(len(x), rows.shape[1])
+    x, rows = _folded(x[None, :], size)[0], _folded(rows, size)
+    only_x = np.bitwise_count(x & ~rows).sum(1, dtype=np.int64)
+    only_row = np.bitwise_count(rows & ~x).sum(1, dtype=np.int64)
+    most = np.minimum(nx - only_x, n - only_row)
+    return most * 100 >= (nx + n - most) * threshold
 
 
 def linked(a: np.ndarray, b: np.ndarray, threshold: int = THRESHOLD) -> bool:
@@ -246,12 +255,12 @@ def _verified(pairs: DataFrame, nodes: DataFrame, source: DataFrame, threshold:
         .join(nodes.select(F.col("h").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb")), "b") \
         .filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * threshold)
 
-    @F.pandas_udf("bigint")
-    def bound(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([overlap_bound(x, y) for x, y in zip(a, b)], dtype="int64")
+    @F.pandas_udf("boolean")
+    def able(a: pd.Series, na: pd.Series, b: pd.Series, nb: pd.Series) -> pd.Series:
+        return pd.Series([bool(may_link(np.frombuffer(x, np.uint8), nx, np.frombuffer(y, np.uint8)[None, :],
+                                        np.asarray([ny]), threshold)[0]) for x, nx, y, ny in zip(a, na, b, nb)], dtype=bool)
 
-    near = sized.withColumn("o", bound("sa", "sb")) \
-        .filter(F.col("o") * 100 >= (F.col("na") + F.col("nb") - F.col("o")) * threshold).select("a", "b")
+    near = sized.filter(able("sa", "na", "sb", "nb")).select("a", "b")
     near = materialise(near, "near")
     ids = near.select(F.explode(F.array("a", "b")).alias("h")).distinct().join(nodes.select("h", "rep"), "h")
 
@@ -282,6 +291,82 @@ def _verified(pairs: DataFrame, nodes: DataFrame, source: DataFrame, threshold:
     return materialise(both.mapInPandas(run, "a bigint, b bigint"), "linked")
 
 
+def _apart_pairs(large: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
+    """Pairs (a, b) of different components within a signature that may link by size and bitmap.
+
+    A signature's records are compared in blocks inside the tasks, those outside its
+    largest component against all; only pairs that pass leave the task.
+    """
+    count = large.groupBy("sig").agg(F.count(F.lit(1)).alias("g"))
+    blocks = F.ceil(F.col("g") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("h"), blocks).cast("int")
+    rows = large.join(count, "sig").join(nodes.select("h", "n", "sketch"), "h") \
+        .select("sig", "h", "c", "n", "sketch", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")) \
+        .select("sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "h", "c", "n", "sketch")
+    keys = ["sig", "i", "j"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def compare(g: pd.DataFrame) -> pd.DataFrame:
+            h, c, n, own = (g[k].to_numpy() for k in ("h", "c", "n", "own"))
+            if len(h) < 2 or (c == c[0]).all():
+                return None
+            two = g["i"].iat[0] != g["j"].iat[0]
+            sizes = np.asarray([len(x) for x in g["sketch"]])
+            tables = {int(z): np.frombuffer(b"".join(g["sketch"][sizes == z]), np.uint8).reshape(-1, int(z))
+                      for z in np.unique(sizes)}
+            places = {z: np.flatnonzero(sizes == z) for z in tables}
+            at = {int(p): k for z, ps in places.items() for k, p in enumerate(ps)}
+            names, counts = np.unique(c, return_counts=True)
+            most = names[counts.argmax()]
+            a, b = [], []
+            for p in np.flatnonzero(c != most):
+                x = tables[int(sizes[p])][at[int(p)]]
+                for z, table in tables.items():
+                    ps = places[z]
+                    ok = (c[ps] != c[p]) & ((c[ps] == most) | (ps > p)) \
+                        & (np.minimum(n[ps], n[p]) * 100 >= np.maximum(n[ps], n[p]) * threshold)
+                    if two:
+                        ok &= own[ps] != own[p]
+                    if ok.any():
+                        hit = ps[ok][may_link(x, int(n[p]), table[ok], n[ps][ok], threshold)]
+                        a.append(np.full(len(hit), h[p]))
+                        b.append(h[hit])
+            if not a:
+                return None
+            a, b = np.concatenate(a), np.concatenate(b)
+            return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+        held: list[pd.DataFrame] = []
+        sent: set = set()
+
+        def finish(group: pd.DataFrame):
+            out = compare(group.reset_index(drop=True))
+            if out is None or not len(out):
+                return None
+            if len(sent) > 500_000:
+                sent.clear()
+            fresh = [p for p in zip(out["a"].tolist(), out["b"].tolist()) if p not in sent]
+            sent.update(fresh)
+            return pd.DataFrame(fresh, columns=["a", "b"]) if fresh else None
+
+        for batch in batches:
+            held.append(batch)
+            both = pd.concat(held, ignore_index=True)
+            change = (both[keys] != both[keys].shift()).any(axis=1).to_numpy().nonzero()[0].tolist()
+            for s, e in zip(change[:-1], change[1:]):
+                out = finish(both.iloc[s:e])
+                if out is not None:
+                    yield out
+            held = [both.iloc[change[-1]:]] if change else []
+        if held and len(held[0]):
+            out = finish(held[0])
+            if out is not None:
+                yield out
+
+    return rows.repartition(*[F.col(k) for k in keys]).sortWithinPartitions(*keys, "h") \
+        .mapInPandas(run, "a bigint, b bigint").distinct()
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     threshold: int = THRESHOLD) -> DataFrame:
     """Set size and component of each document.
@@ -327,9 +412,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             pairs = large.join(lead, "sig").filter("c <> l.c") \
                 .select(F.least("h", "l.h").alias("a"), F.greatest("h", "l.h").alias("b")).distinct()
         else:
-            other = large.select("sig", F.col("h").alias("h2"), F.col("c").alias("c2"))
-            pairs = large.join(other, "sig").filter("h < h2 AND c <> c2") \
-                .select(F.col("h").alias("a"), F.col("h2").alias("b")).distinct()
+            pairs = _apart_pairs(large, nodes, threshold)
         pairs = materialise(pairs.join(tested, ["a", "b"], "left_anti"), f"pairs-{step}")
         tested = tested.unionByName(pairs)
         links = links.unionByName(_verified(pairs, nodes, source, threshold))
