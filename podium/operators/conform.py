@@ -45,7 +45,7 @@ def surrogate_key(df: DataFrame, natural_key: Sequence[str], out: str = "id",
     if how == "hash":
         return df.withColumn(out, F.xxhash64(*[F.col(c) for c in natural_key]))
     numbered = row_number_by(df, [*natural_key], (), "__sk")
-    return numbered.withColumn(out, F.col("__sk").cast("int")).drop("__sk")
+    return numbered.withColumn(out, F.col("__sk")).drop("__sk")
 
 
 def unique_on(dim: DataFrame, on: Sequence[str], value: str, strict: bool = True) -> DataFrame:

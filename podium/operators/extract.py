@@ -82,8 +82,15 @@ def explode_lines(df: DataFrame, text_col: str, sep: str = "\n", line_col: str =
     return df.select(*rest, F.posexplode(F.split(F.col(text_col), sep, -1)).alias(pos_col, line_col))
 
 
+def base_name(path: Column) -> Column:
+    """Lower-case file name of a path, percent-encoded or plain."""
+    name = F.regexp_extract(path, r"([^/\\\\]+)$", 1)
+    return F.lower(F.coalesce(F.try_url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))), name))
+
+
 def route_layout(path: Column, routes: Sequence[tuple[str, str]], default: str | None = None) -> Column:
-    """Layout name from the file path by LIKE patterns, first match wins (A1)."""
+    """Layout name from the file's base name by LIKE patterns, first match wins (A1)."""
+    path = base_name(path)
     out = None
     for pattern, layout in routes:
         cond = path.like(pattern)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,6 +56,15 @@ def value_counts(df: DataFrame, cols: Sequence[str], keep_nulls: bool = False) -
 SMALL_EXACT_ROWS = 100_000
 
 
+def _join_groups(rows: DataFrame, summary: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """Each row with its group's summary; a null group is a group like any other."""
+    if not groups:
+        return rows.join(F.broadcast(summary))  # one summary row
+    renamed = summary.withColumnsRenamed({g: f"__of_{g}" for g in groups})
+    same = reduce(and_, [F.col(g).eqNullSafe(F.col(f"__of_{g}")) for g in groups])
+    return rows.join(renamed, same).drop(*[f"__of_{g}" for g in groups])
+
+
 def exact_quantiles(df: DataFrame, value: str, groups: Sequence[str], probs: Sequence[float],
                     names: Sequence[str] | None = None, small_limit: int = SMALL_EXACT_ROWS) -> DataFrame:
     """Exact linear-interpolated quantiles per group (``percentile`` semantics).
@@ -80,7 +91,7 @@ def exact_quantiles(df: DataFrame, value: str, groups: Sequence[str], probs: Seq
     for nm in names:
         c = (F.col("__rn") == F.col(f"{nm}__lo")) | (F.col("__rn") == F.col(f"{nm}__hi"))
         wanted = c if wanted is None else wanted | c
-    picked = ranked.join(need, list(groups)).filter(wanted)
+    picked = _join_groups(ranked, need, groups).filter(wanted)
     aggs = []
     for nm in names:
         aggs += [F.max(F.when(F.col("__rn") == F.col(f"{nm}__lo"), F.col(value))).alias(f"{nm}__vlo"),
@@ -103,7 +114,7 @@ def box_stats(df: DataFrame, value: str, groups: Sequence[str], whisker: float =
     iqr = F.col("q3") - F.col("q1")
     out = (F.col(value) < F.col("q1") - F.lit(whisker) * iqr) | \
           (F.col(value) > F.col("q3") + F.lit(whisker) * iqr)
-    counted = df.select(*groups, value).join(q, list(groups)).groupBy(*groups).agg(
+    counted = _join_groups(df.select(*groups, value), q, groups).groupBy(*groups).agg(
         F.first("q1").alias("q1"), F.first("q2").alias("q2"), F.first("q3").alias("q3"),
         F.count(F.when(out, F.lit(1))).alias("n_outliers"))
     r = (lambda c: F.round(F.col(c), digits)) if digits is not None else F.col
@@ -111,9 +122,9 @@ def box_stats(df: DataFrame, value: str, groups: Sequence[str], whisker: float =
                           "n_outliers")
 
 
-def box_stats_columns(df: DataFrame, cols: Sequence[str], max_cols: int = 16, **kw) -> DataFrame:
-    """Box statistics for up to ``max_cols`` numeric columns in one job (reference's 4x4 grid)."""
-    cols = list(cols)[:max_cols]
+def box_stats_columns(df: DataFrame, cols: Sequence[str], **kw) -> DataFrame:
+    """Box statistics for all given numeric columns in one job."""
+    cols = list(cols)
     long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
         [], cols, "column_name", "value")
     return box_stats(long, "value", ["column_name"], **kw)

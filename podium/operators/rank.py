@@ -22,6 +22,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pandas as pd
@@ -64,7 +66,9 @@ def _ascending_parts(df: DataFrame, keys: Sequence[Key]) -> list[Column]:
     Each key gives a null indicator (placing nulls) and a null-free value:
     dates and times become integers, booleans 0/1, a null value becomes the
     type's zero (the indicator already orders it).  So bounds are exact
-    literals and vectorised code sees no nulls (ints stay ints).
+    literals and vectorised code sees no nulls (ints stay ints).  Floating keys
+    get a further indicator for NaN, which Spark orders above all numbers, and
+    no value is NaN or -0.0.
     """
     parts: list[Column] = []
     for k in keys:
@@ -83,9 +87,13 @@ def _ascending_parts(df: DataFrame, keys: Sequence[Key]) -> list[Column]:
                 raise ValueError("descending range keys must be numeric")
             c = -c
         zero = F.lit("") if isinstance(dtype, StringType) else F.lit(0)
+        floating = isinstance(dtype, (FloatType, DoubleType))
         # null indicator first: 0 sorts before 1
         parts.append(F.when(c.isNull(), F.lit(1 if k.nulls_last else 0))
                      .otherwise(F.lit(0 if k.nulls_last else 1)))
+        if floating:
+            parts.append(F.when(F.isnan(c), F.lit(0 if k.desc else 1)).otherwise(F.lit(1 if k.desc else 0)))
+            c = F.when(~F.isnan(c), c + F.lit(0.0).cast(dtype))
         parts.append(F.coalesce(c, zero.cast(df.select(c).schema[0].dataType)))
     return parts
 
@@ -273,7 +281,11 @@ def row_number_by(df: DataFrame, order_by: Sequence, partition_by: Sequence = ()
     if not groups:
         # one row per range: bounded by the bucket count
         offsets = F.broadcast(offsets)
-    joined = keyed.join(offsets, on=[*gnames, "__bkt"], how="inner")
+    # null-safe: rows of a null group keep their place like those of any other
+    names = [*gnames, "__bkt"]
+    offsets = offsets.withColumnsRenamed({c: f"{c}_o" for c in names})
+    same = [F.col(c).eqNullSafe(F.col(f"{c}_o")) for c in gnames] + [F.col("__bkt") == F.col("__bkt_o")]
+    joined = keyed.join(offsets, on=reduce(and_, same), how="inner").drop(*[f"{c}_o" for c in names])
     w = Window.partitionBy(*gnames, "__bkt").orderBy(*order)
     numbered = joined.withColumn(out, F.row_number().over(w).cast("long") + F.col("__off"))
     return numbered.drop(*gnames, "__bkt", "__off")

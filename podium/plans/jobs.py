@@ -27,8 +27,8 @@ ATHLETE_SCHEMA = "id int, name string, noc_code string, gender string"
 
 # --------------------------------------------------------------------------- text to bronze
 
-# Which layout a sheet uses, by its file path (first match wins).
-SHEET_ROUTES = [("%final%female%", "final_b"), ("%final%male%", "final_a")]
+# Which layout a sheet uses, by its file's base name (first match wins); semifinals have the heats' layout.
+SHEET_ROUTES = [("final%female%", "final_b"), ("final%male%", "final_a")]
 SHEET_LAYOUTS = {"heats": extract.HEATS, "final_a": extract.FINAL_A, "final_b": extract.FINAL_B}
 FIELD_TO_BRONZE = {"rank": "Rank", "bib": "Athlete Bib", "name": "Name", "code": "NOC Code", "heat": "Heat",
                    "lane": "Lane", "pos": "Pos", "time": "Time", "ms": "Milliseconds", "wind": "Wind",
@@ -73,6 +73,14 @@ def lines_to_bronze(lines: DataFrame, dictionary: Sequence[str], compat: bool =
 # --------------------------------------------------------------------------- silver
 
 
+def _gender(compat: bool):
+    """compat: Female for anything but the men's event; strict: either event in any case, else null (quirk 9)."""
+    if compat:
+        return correct.decode("Event Type", {"Men's 100m": "Male"}, "Female", strict=False)
+    event = F.lower(F.trim("Event Type"))
+    return correct.case_map(event, {"men's 100m": "Male", "women's 100m": "Female"}, None)
+
+
 def silver_athlete(bronze: DataFrame, compat: bool = False) -> DataFrame:
     """Athlete dimension from the landing sheet.
 
@@ -84,8 +92,7 @@ def silver_athlete(bronze: DataFrame, compat: bool = False) -> DataFrame:
     spark = bronze.sparkSession
     a = bronze.select(F.col("Athlete Bib").alias("id"), F.col("Name").alias("name"),
                       F.col("NOC Code").alias("noc_code"),
-                      correct.decode("Event Type", {"Men's 100m": "Male"}, "Female", strict=not compat)
-                      .alias("gender"))
+                      _gender(compat).alias("gender"))
     patch = spark.createDataFrame(list(SURNAME_IDS.items()), "wrong string, right string")
     if compat:
         a = conform.dedup_rows(a)
@@ -125,6 +132,12 @@ def silver_round(bronze: DataFrame, compat: bool = False) -> DataFrame:
     return conform.surrogate_key(r, key, "id").withColumn("id", F.col("id").cast("bigint"))
 
 
+def _fraction(col: str):
+    """The digits behind the point as a number of thousandths: a finish's order within equal hundredths."""
+    digits = F.regexp_extract(col, r"([0-9]+)", 1)
+    return F.when(digits != "", F.rpad(digits, 3, "0").cast("int"))
+
+
 def silver_race(bronze: DataFrame, athlete: DataFrame, rounds: DataFrame, compat: bool = False) -> DataFrame:
     """Race fact (N3).  The order of the corrections is the reference's; changing it
     changes results: null FK, status, reset, default heat, rank, time text,
@@ -157,7 +170,7 @@ def silver_race(bronze: DataFrame, athlete: DataFrame, rounds: DataFrame, compat
     else:
         race = rank.rank_join_back(race, F.col("position").isNull(),
                                    [q_first, Key(F.col("time").try_cast("double"), nulls_last=True),
-                                    "FK_athlete_id", "lane"],
+                                    Key(_fraction("milliseconds"), nulls_last=True), "FK_athlete_id", "lane"],
                                    "FK_athlete_id", "position", compat=False, partition_by=["FK_round_id"])
     race = race.withColumn("position", F.col("position").cast("string"))
     race = race.withColumn("time", concat_time("time", "milliseconds")).drop("milliseconds")

@@ -96,3 +96,18 @@ def test_route_layout(spark):
     from podium.plans.jobs import SHEET_ROUTES
     got = [r.l for r in df.select(extract.route_layout(F.col("p"), SHEET_ROUTES, "heats").alias("l")).collect()]
     assert got == ["final_b", "final_a", "heats"]
+
+
+def test_route_by_base_name(spark):
+    """Semifinals go to the heats' layout; folders and percent-encoding do not matter."""
+    from pyspark.sql import functions as F
+
+    from podium.operators import extract
+    from podium.plans.jobs import SHEET_ROUTES
+    want = {"1st round male.txt": "heats", "1st round female.txt": "heats", "semifinal male.txt": "heats",
+            "semifinal female.txt": "heats", "preliminary round male.txt": "heats", "final male.txt": "final_a",
+            "final female.txt": "final_b"}
+    rows = [(f"/in/finals/{n.replace(' ', s)}", w) for n, w in want.items() for s in (" ", "%20")]
+    df = spark.createDataFrame(rows, "p string, w string")
+    got = df.select("w", extract.route_layout(F.col("p"), SHEET_ROUTES, "heats").alias("l"))
+    assert got.filter("l <> w").collect() == []

@@ -108,3 +108,19 @@ def test_block_of_ties_is_split_and_numbered(spark):
     # the tie block spreads over several ranges (no single task holds it all)
     again = {r.id: r.pos for r in rank.global_rank(df, ["v"], buckets=16).collect()}
     assert again == {r.id: r.pos for r in got.collect()}
+
+
+def test_null_groups_and_nan_keep_their_rows_at_any_range_count(spark):
+    """Null groups, NaN, -0.0 and ties: the same numbers at 1, 8 and 64 ranges."""
+    from pyspark.sql import functions as F
+
+    from podium.operators.rank import Key, row_number_by
+    df = spark.range(3000).select(
+        "id", F.when(F.col("id") % 4 == 0, None).otherwise((F.col("id") % 3).cast("string")).alias("g"),
+        F.when(F.col("id") % 7 == 0, F.lit(float("nan"))).when(F.col("id") % 11 == 0, F.lit(-0.0))
+        .when(F.col("id") % 13 == 0, None).otherwise(((F.col("id") * 37) % 501).cast("double")).alias("v"))
+    for desc in (False, True):
+        order = [Key("v", desc, True), Key("id")]
+        got = [sorted((r.id, r.pos) for r in row_number_by(df, order, ["g"], buckets=b).collect()) for b in (1, 8, 64)]
+        assert len(got[0]) == 3000
+        assert got[0] == got[1] == got[2]
