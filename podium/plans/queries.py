@@ -658,7 +658,7 @@ SELECT p_brand, p_type, CAST(row_number() OVER (ORDER BY p_brand, p_type) AS INT
 """)
 def q_surrogate_key(spark, d):
     dim = conform.distinct_rows(T(spark, d, "part"), ["p_brand", "p_type"])
-    return conform.surrogate_key(dim, ["p_brand", "p_type"], "id")
+    return conform.surrogate_key(dim, ["p_brand", "p_type"], "id").withColumn("id", F.col("id").cast("int"))
 
 
 @query("hash_key", """
