@@ -73,9 +73,11 @@ def left_join_spread_nulls(left: DataFrame, right: DataFrame, keys: Sequence[str
     A null key never matches, yet hash partitioning sends every such row to one
     partition: a fact whose foreign key is null for a third of its rows would
     put that third in one task.  A salt joins the keys: a hash of the row for
-    null-key rows, 0 otherwise (and 0 on the right), so null-key rows scatter
-    over the shuffle while matches are unchanged.  Hot non-null keys are left
-    to AQE's skew-join splitting (the right side is one row per key).
+    null-key rows (evaluated for those only), 0 otherwise, so null-key rows
+    scatter over the shuffle while matches are unchanged.  The right side's salt
+    is a hash modulo 1: always 0, but no constant, which the optimiser would move
+    out of the join keys.  Hot non-null keys are left to AQE's skew-join
+    splitting (the right side is one row per key).
     """
     any_null = None
     for k in keys:
@@ -85,7 +87,7 @@ def left_join_spread_nulls(left: DataFrame, right: DataFrame, keys: Sequence[str
     spread = F.pmod(F.xxhash64(*hashable), F.lit(NULL_SALT)) if hashable else F.lit(0)
     salt = F.when(any_null, spread).otherwise(F.lit(0)).cast("int")
     l = left.withColumn("__salt", salt)
-    r = right.withColumn("__salt", F.lit(0))
+    r = right.withColumn("__salt", F.pmod(F.xxhash64(*keys), F.lit(1)).cast("int"))
     return l.join(r, on=[*keys, "__salt"], how="left").drop("__salt")
 
 
@@ -115,9 +117,11 @@ def correct_null(fact: DataFrame, fk: str, fixes: DataFrame, on: Sequence[tuple[
     One left join on all key columns, only for rows whose ``fk`` is null, then
     ``coalesce``.  ``small=True`` marks a literal correction table (its size
     is fixed) for broadcast; otherwise the planner decides from its size check.
+    A key seen twice stops the job, so rows never fan out.
     """
     fx = fixes.select(*[F.col(c).alias(f"__f{i}") for i, (_, c) in enumerate(on)],
                       F.col(fix_col).alias("__fix"))
+    fx = unique_on(fx, [f"__f{i}" for i in range(len(on))], "__fix")
     fx = F.broadcast(fx) if small else fx
     cond = fact[fk].isNull()
     for i, (fc, _) in enumerate(on):

@@ -79,9 +79,14 @@ def apply_patch(df: DataFrame, patch: DataFrame, on: tuple[str, str],
     expressions may use the patch's columns and the row's own (pre-patch) ones.
     ``small=True`` marks a literal patch table (a proven size bound) for
     broadcast; otherwise the planner decides from its size check (AQE).
+    A patch key seen twice stops the job, so rows never fan out.
     """
     left_key, patch_key = on
-    p = patch.withColumn("__hit", F.lit(True))
+    once = patch.filter(F.col(patch_key).isNotNull()).groupBy(F.col(patch_key).alias("__key")).agg(
+        F.count(F.lit(1)).alias("__n"), F.min(F.struct(*patch.columns)).alias("__row"))
+    hit = F.when(F.col("__n") == 1, F.lit(True)).otherwise(F.raise_error(
+        F.concat(F.lit("patch key is not unique: "), F.col("__key").cast("string"))).cast("boolean"))
+    p = once.select("__row.*", hit.alias("__hit"))
     p = F.broadcast(p) if small else p
     joined = df.join(p, df[left_key] == p[patch_key], "left")
     out = joined.withColumns({t: F.when(F.col("__hit"), e).otherwise(df[t])

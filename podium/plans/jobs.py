@@ -228,7 +228,7 @@ def sheets_to_gold(spark: SparkSession, text_paths, dictionary: Sequence[str], o
 
     text -> records (A1, A3, B) -> headered CSV (A4) -> declared 16-column
     text schema, stop on the first bad row (A5) -> insert-only landing (A6) ->
-    silver, gold, retire (``medallion_job``).  Rejected lines are kept in
+    silver, gold (``medallion_job``), landing retired last.  Rejected lines are kept in
     ``rejects`` instead of being printed.  ``splittable`` reads large files in
     line mode across many tasks (header taken from the whole file).
     """
@@ -247,6 +247,7 @@ def sheets_to_gold(spark: SparkSession, text_paths, dictionary: Sequence[str], o
         retire(spark, landing)
     append_with_drift(read_csv(spark, csv_path, BRONZE_SCHEMA, mode="FAILFAST"), landing)
     paths = medallion_job(spark, load(spark, landing, merge_schema=True), out, load_time, compat, mode)
+    retire(spark, landing)
     return {**paths, "csv": csv_path, "rejects": f"{out}/rejects", "landing": landing}
 
 
@@ -262,7 +263,7 @@ def score_top(features: DataFrame, key: str, k: int = 3, keep: Sequence[str] = (
     return rank.top_k(scored.select(*keep, "win_probability"), k, [Key("win_probability", desc=True), key])
 
 
-def finalist_scoring(fact: DataFrame, compat: bool = True, num_trees: int = FOREST_TREES,
+def finalist_scoring(fact: DataFrame, compat: bool = False, num_trees: int = FOREST_TREES,
                      seed: int = FOREST_SEED) -> Mapping[str, DataFrame]:
     """Finalist scoring (N6): exclude rounds, profile, features, forest, top 3.
 
@@ -286,7 +287,7 @@ def finalist_scoring(fact: DataFrame, compat: bool = True, num_trees: int = FORE
     }
 
 
-def finalist_job(spark: SparkSession, fact_path: str, out: str, compat: bool = True,
+def finalist_job(spark: SparkSession, fact_path: str, out: str, compat: bool = False,
                  mode: str = "overwrite", num_trees: int = FOREST_TREES, seed: int = FOREST_SEED) -> dict[str, str]:
     """Scoring as a job (N6, A12): the outputs are written, the top 3 as ``ml_results``.
 

@@ -77,9 +77,3 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for a written table."""
     return f"{checkpoint_dir(spark)}/podium-tables/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder (reliable, not local)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)

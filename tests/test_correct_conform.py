@@ -102,6 +102,34 @@ def test_null_keys_are_spread_and_never_match(spark):
     assert got.filter("bib IS NOT NULL AND fk = CAST(bib AS INT)").count() == 200
 
 
+def test_null_keys_use_many_shuffle_partitions(spark):
+    changed = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in changed}
+    try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+        rows = spark.range(3000).select(F.when(F.col("id") % 3 != 0, F.col("id") % 5).alias("bib"), F.col("id").alias("v"))
+        dim = spark.range(5).select(F.col("id"), F.concat(F.lit("n"), "id").alias("name"))
+        got = conform.lookup_fk(rows, dim, [(F.col("bib"), "id")], "id", "fk")
+        parts = got.filter("bib IS NULL").select(F.spark_partition_id().alias("p")).distinct().count()
+        assert parts > 1 and got.count() == 3000 and got.filter("fk = bib").count() == 2000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_repeated_patch_and_correction_keys_stop_the_job(spark):
+    fact = spark.createDataFrame([(1, 1, None)], "heat int, lane int, fk bigint")
+    fixes = spark.createDataFrame([(1, 1, 5), (1, 1, 6)], "heat int, lane int, fix bigint")
+    with pytest.raises(Exception, match="not unique"):
+        conform.correct_null(fact, "fk", fixes, [("heat", "heat"), ("lane", "lane")], "fix").collect()
+    patch = spark.createDataFrame([(1, 7), (1, 8), (None, 9), (None, 10)], "k int, v int")
+    with pytest.raises(Exception, match="not unique"):
+        correct.apply_patch(fact, patch, ("heat", "k"), {"lane": F.col("v")}).collect()
+    once = correct.apply_patch(fact, patch.filter("v <> 8"), ("heat", "k"), {"lane": F.col("v")})
+    assert [r.lane for r in once.collect()] == [7]
+
+
 def test_surrogate_hash_key_is_stable(spark):
     df = spark.createDataFrame([(b, t) for b in "cab" for t in "yx"], "b string, t string")
     one = {(r.b, r.t): r.id for r in conform.surrogate_key(df.repartition(1), ["b", "t"], how="hash").collect()}
