@@ -739,7 +739,7 @@ SELECT CAST(row_number() OVER (ORDER BY d, p) AS INT) AS id, d, p AS priority, s
 """)
 def q_dim_round(spark, d):
     g = jobs.order_round_dimension(T(spark, d, "orders"), load_time="2024-01-01 00:00:00")
-    return g.select("id", "d", "priority", "d_text", "active")
+    return g.select(F.col("id").cast("int").alias("id"), "d", "priority", "d_text", "active")
 
 
 @query("silver_race", """
@@ -747,7 +747,8 @@ WITH d AS (SELECT d, p, CAST(row_number() OVER (ORDER BY d, p) AS INT) AS id FRO
 """)
 def q_silver_race(spark, d):
     rounds = jobs.order_round_dimension(T(spark, d, "orders"))
-    return jobs.line_fact_silver(T(spark, d, "lineitem"), T(spark, d, "orders"), T(spark, d, "customer"), rounds)
+    fact = jobs.line_fact_silver(T(spark, d, "lineitem"), T(spark, d, "orders"), T(spark, d, "customer"), rounds)
+    return fact.withColumn("fk_round", F.col("fk_round").cast("int"))
 
 
 @query("fact_race", """
