@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from podium.llm.common import materialise
+
 SEED = 17
 #: A leaf's permutation is cut into so many runs of the hash order (hex digits: 16^3)
 #: before one of them is looked at row by row.
 CUT_DIGITS = 3
+#: A leaf's rows meet its budget in so many places where the table of leaves is too
+#: large for the planner to broadcast it.
+SALTS = 64
 NONE = "(none)"
 
 
@@ -103,10 +108,13 @@ def mix(docs: DataFrame, levels: dict[str, Column], weights: dict[str, dict[str,
     total = F.floor(F.sum(F.expr(f"cap div {int(epochs)}")).cast("decimal(38,0)") * budget[0] / budget[1]).cast("long")
     plan = leaf_budgets(leaves, names, by_level, total, epochs).join(leaves, names) \
         .withColumn("whole", F.expr("share div avail")).withColumn("rest", F.col("share") - F.col("whole") * F.col("avail"))
-    plan = plan.select(*names, "whole", "rest")
+    # a written table: the tree is worked out once, and the planner knows its size
+    plan = materialise(plan.select(*names, "whole", "rest"), "mix-leaves")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__salt")
+    salt = F.pmod(F.xxhash64("__id", "__tokens"), F.lit(SALTS)).cast("int")
 
     key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("whole").cast("string"), F.col("__id")))
-    keyed = slim.join(plan, names).withColumn("key", key).withColumn("run", F.substring("key", 1, CUT_DIGITS))
+    keyed = slim.withColumn("__salt", salt).join(plan.select("*", salts), [*names, "__salt"]).withColumn("key", key).withColumn("run", F.substring("key", 1, CUT_DIGITS))
     runs = keyed.groupBy(*names, "run").agg(F.sum("__tokens").alias("t"), F.first("rest").alias("rest"))
     upto = F.sum("t").over(Window.partitionBy(*names).orderBy("run"))
     cut = runs.withColumn("upto", upto).filter((F.col("upto") > F.col("rest")) & (F.col("upto") - F.col("t") <= F.col("rest"))) \
@@ -114,9 +122,10 @@ def mix(docs: DataFrame, levels: dict[str, Column], weights: dict[str, dict[str,
     inside = keyed.groupBy(*names, "run", "key").agg(F.sum("__tokens").alias("t")).join(cut, [*names, "run"])
     last = inside.withColumn("sum", F.sum("t").over(Window.partitionBy(*names).orderBy("key"))) \
         .filter(F.col("sum") > F.col("room")).groupBy(*names).agg(F.min("key").alias("stop"))
-    plan = plan.join(last, names, "left")
+    plan = materialise(plan.join(last, names, "left"), "mix-stops")
 
-    rows = docs.withColumns({**leaf, "__id": ident}).join(plan, names)
+    rows = docs.withColumns({**leaf, "__id": ident, "__tokens": token_estimate(F.col(text_col))}) \
+        .withColumn("__salt", salt).join(plan.select("*", salts), [*names, "__salt"])
     more = (key < F.col("stop")).cast("int")
     times = F.col("whole").cast("int") + F.coalesce(more, F.lit(0))
     return rows.withColumn(epoch_col, F.explode(F.filter(F.sequence(F.lit(0), times), lambda e: e < times))) \
