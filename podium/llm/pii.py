@@ -38,8 +38,10 @@ SHAPES = {"email": r"@.*[A-Za-z]", "ip": r"^[^A-Za-z]*[0-9]+[.,:][0-9]+[.,:][0-9
           "card": r"^(?:[^0-9A-Za-z]*[0-9]){12,}[^0-9A-Za-z]*$", "phone": r"^(?:[^0-9A-Za-z]*[0-9]){7,15}[^0-9A-Za-z]*$"}
 EDGE = r"^[\p{Punct}&&[^+(]]+|[\p{Punct}&&[^)]]+$"
 
+#: What is trimmed off a piece of a run that was cut at a base span.
+CUT_HEAD, CUT_TAIL = r"^[\s\p{Punct}&&[^+(]]+", r"[\s\p{Punct}&&[^)]]+$"
+
 CONTEXT_CHARS = 64
-SLOT_BITS = 20
 MIN_SEEDS = 3
 ACCEPT = 0.5
 ROUNDS = 3
@@ -113,30 +115,58 @@ def _runs(text: Column) -> Column:
     return F.filter(found, lambda x: (x["left"] != "") & (x["run"] != ""))
 
 
-def _slot(word: Column) -> Column:
-    return F.xxhash64(word).bitwiseAND(F.lit((1 << SLOT_BITS) - 1)).cast("int")
+def _units(scanned: DataFrame) -> DataFrame:
+    """(text_key, left, start, end, run, seed, first): runs cut at the base spans that they meet.
+
+    A unit is a base span (``seed`` is its kind) or what lies between such (seed -1); ``first`` marks the one
+    that stands right after the left word.
+    """
+    r = F.col("r")
+    met = F.array_sort(F.transform(
+        F.filter("base", lambda b: (b["start"] < r["end"]) & (b["end"] > r["start"])),
+        lambda b: F.struct(b["start"].alias("start"), (-b["end"]).alias("back"), b["kind"].alias("kind"))))
+    kind = "array<struct<start:int,end:int,seed:int>>"
+
+    def piece(start: Column, end: Column, seed: Column) -> Column:
+        return F.when(start < end, F.array(F.struct(start.alias("start"), end.alias("end"), seed.alias("seed")))) \
+            .otherwise(F.array()).cast(kind)
+
+    def step(acc: Column, b: Column) -> Column:
+        end = F.least(-b["back"], r["end"])
+        begin = F.greatest(acc["at"], b["start"])
+        return F.struct(F.greatest(acc["at"], end).alias("at"), F.concat(
+            acc["out"], piece(acc["at"], b["start"], F.lit(-1)), piece(begin, end, b["kind"])).alias("out"))
+
+    zero = F.struct(r["start"].alias("at"), F.array().cast(kind).alias("out"))
+    done = F.aggregate("met", zero, step, lambda acc: F.concat(acc["out"], piece(acc["at"], r["end"], F.lit(-1))))
+    cut = scanned.filter(F.size("runs") > 0).select("text_key", "base", F.explode("runs").alias("r")) \
+        .select("text_key", "r", met.alias("met")).select("text_key", "r", F.explode(done).alias("u"))
+    raw = F.substring(r["run"], F.col("u.start") - r["start"] + 1, F.col("u.end") - F.col("u.start"))
+    whole = F.col("u.seed") >= 0
+    late = F.regexp_replace(raw, CUT_HEAD, "")
+    start = F.col("u.start") + F.when(whole, 0).otherwise(F.char_length(raw) - F.char_length(late))
+    run = F.when(whole, raw).otherwise(F.regexp_replace(late, CUT_TAIL, ""))
+    return cut.select("text_key", "r.left", start.alias("start"), (start + F.char_length(run)).alias("end"),
+                      run.alias("run"), "u.seed", (F.col("u.start") == r["start"]).alias("first")).filter("run <> ''")
 
 
 def _patterns(scanned: DataFrame, source: DataFrame) -> DataFrame:
     """(kind, left) of the patterns accepted after the scores have been passed on."""
-    runs = scanned.select("base", F.explode("runs").alias("r")).select(
-        "r.left", "r.run",
-        F.element_at(F.concat(F.transform(F.filter("base", lambda b: (b["start"] == F.col("r.start"))
-                                                   & (b["end"] == F.col("r.end"))), lambda b: b["kind"]),
-                              F.array(F.lit(-1))), 1).alias("seed"),
-        F.exists("base", lambda b: (b["start"] < F.col("r.end")) & (b["end"] > F.col("r.start"))).alias("met"))
     # an edge for each pattern and instance, with the kind of the instance where it is a seed
-    edges = runs.filter("seed >= 0 OR NOT met").groupBy("left", "run").agg(F.max("seed").alias("seed"))
+    edges = _units(scanned).filter("first").groupBy("left", "run").agg(F.max("seed").alias("seed"))
     lefts = edges.filter("seed >= 0").groupBy("left").agg(F.count(F.lit(1)).alias("seeds")) \
         .filter(F.col("seeds") >= MIN_SEEDS)
-    edges = materialise(edges.join(lefts.select("left"), "left", "left_semi"), "pii-edges")
-    if edges.isEmpty():
-        return edges.select(F.lit(0).alias("kind"), "left").limit(0)
-    # how often the left words stand anywhere, counted over all texts by hash slot (collisions make a pattern weaker)
-    words = source.select(F.explode(F.split(F.lower("__text"), r"\s+")).alias("w"))
-    seen = words.groupBy(_slot(F.col("w")).alias("slot")).agg(F.count(F.lit(1)).alias("times"))
-    seen = materialise(edges.select("left").distinct().withColumn("slot", _slot(F.col("left")))
-                       .join(seen, "slot").select("left", "times"), "pii-words")
+    lefts = materialise(lefts.select("left"), "pii-lefts")
+    if lefts.isEmpty():
+        return lefts.select(F.lit(0).alias("kind"), "left").limit(0)
+    edges = materialise(edges.join(lefts, "left", "left_semi"), "pii-edges")
+    # how many different things stand after a left word, over all texts: its edges and the other words that follow it
+    words = F.split(F.lower("__text"), r"\s+")
+    pairs = source.select(words.alias("w")).select(F.explode(F.arrays_zip(
+        F.col("w").alias("left"), F.slice("w", F.lit(2), F.size("w")).alias("next"))).alias("p")).select("p.left", "p.next")
+    plain = pairs.filter("next <> ''").join(lefts, "left", "left_semi").filter(~F.col("next").rlike("[0-9@]")).distinct()
+    seen = materialise(plain.groupBy("left").agg(F.count(F.lit(1)).alias("n")).unionByName(
+        edges.groupBy("left").agg(F.count(F.lit(1)).alias("n"))).groupBy("left").agg(F.sum("n").alias("times")), "pii-words")
     kinds = F.explode(F.array(*[F.lit(k) for k in range(len(KINDS))]))
     graph = edges.withColumn("kind", kinds)
     score = graph.withColumn("s", (F.col("seed") == F.col("kind")).cast("double"))
@@ -161,7 +191,8 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     array<struct<kind, start, end>> of the fixed patterns' matches, and of these and
     the discovered ones (code points, end exclusive; kind is an index of KINDS).  A
     discovered run has the right shape, overlaps no other span, and follows a pattern
-    of its kind.  Null and empty texts have no spans; repeated rows and null ids give
+    of its kind; a run that meets base spans is cut at them first.  A pattern's score
+    counts the different things that follow it, so copies of a text do not weaken it.  Null and empty texts have no spans; repeated rows and null ids give
     one row each; an empty table gives none; other columns are ignored.
     """
     text = F.col("__text")
@@ -171,13 +202,11 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         F.concat(*[_base(text, k) for k in KINDS]).alias("base"), _runs(text).alias("runs"))
     scanned = materialise(scanned, "pii-scan")
     patterns = materialise(_patterns(scanned, source), "pii-patterns")
-    free = scanned.filter(F.size("runs") > 0).select("text_key", F.explode("runs").alias("r"), "base").filter(
-        ~F.exists("base", lambda b: (b["start"] < F.col("r.end")) & (b["end"] > F.col("r.start"))))
+    free = _units(scanned).filter("seed < 0")
     shape = F.lit(False)
     for k, kind in enumerate(KINDS):
-        shape = F.when(F.col("kind") == k, F.col("r.run").rlike(SHAPES[kind])).otherwise(shape)
-    marked = free.withColumn("left", F.col("r.left")).join(patterns, "left").filter(shape) \
-        .groupBy("text_key", F.col("r.start").alias("start"), F.col("r.end").alias("end")).agg(F.min("kind").alias("kind"))
+        shape = F.when(F.col("kind") == k, F.col("run").rlike(SHAPES[kind])).otherwise(shape)
+    marked = free.join(patterns, "left").filter(shape).groupBy("text_key", "start", "end").agg(F.min("kind").alias("kind"))
     added = marked.groupBy("text_key").agg(F.collect_list(F.struct("kind", "start", "end")).alias("more"))
     return scanned.join(added, "text_key", "left").select(
         F.col("__id").alias(id_col), "text_key", F.sort_array("base").alias("base"),

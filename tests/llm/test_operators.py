@@ -212,6 +212,22 @@ def test_personal_data(docs, none, rows):
     assert pii.report(none).collect() == []
 
 
+def test_personal_data_in_copied_templates(spark):
+    texts = [f"The hotline +1 (583) 555-{1000 + 7 * i} is open" for i in range(8)] \
+        + [f"and server 10.0.3.{i} up" for i in range(8)] \
+        + ["The hotline 030/5551234 is open", "and server 10.0.0.4 10.0.0.999, up", "and page 030/5551234 up"]
+    copied = [(j * 100 + i, t) for j in range(5) for i, t in enumerate(texts)]
+    t = spark.createDataFrame(copied, "doc_id bigint, text string").repartition(3)
+    got = {r.doc_id: r for r in pii.report(t).collect()}
+    assert len(got) == len(copied)
+    for j in range(0, 500, 100):
+        assert all(got[j + i].n_added == 0 for i in range(16)) and got[j + 18].n_added == 0
+        assert (got[j + 16].spans, got[j + 16].n_added) == ("phone:12:23", 1)
+        assert (got[j + 17].spans, got[j + 17].n_added) == ("ip:11:19,ip:20:30", 1)
+    masked = {r.doc_id: r.text for r in pii.mask(t).collect()}
+    assert masked[16] == "The hotline [PHONE] is open" and masked[417] == "and server [IP] [IP], up"
+
+
 def test_nearest(spark):
     rng = np.random.default_rng(4)
     x = rng.standard_normal((300, 16))
