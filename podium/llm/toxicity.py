@@ -10,7 +10,6 @@ curve turns a document's windows into a score.
 
 from __future__ import annotations
 
-import json
 from collections import Counter
 from collections.abc import Iterator
 
@@ -19,12 +18,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from podium.llm.common import small_batches
+from podium.llm.common import materialise, small_batches
 
-#: Bounds of the labelled sample that the classifier is fitted on.
+#: Bounds of the labelled sample that the classifier is fitted on (whole texts).
 SAMPLE_TOXIC = 3000
 SAMPLE_ORDINARY = 9000
-SAMPLE_CHARS = 20_000
+#: Windows, drawn by hash from all ordinary texts learned from, that the base is trained on.
+BASE_WINDOWS = 40_000
+#: Tasks that the sample is dealt over.
+PIECES = 24
 GRAM = 5
 WINDOW_WORDS = 10
 BASE_BYTES = 30_000
@@ -75,7 +77,9 @@ class Model:
         return np.asarray([len(ordinary(w)) - len(toxic(w)) for w in _windows(text)], dtype=float)
 
     def features(self, text: str) -> list[float]:
-        g = self.gains(text)
+        return self.features_of(self.gains(text))
+
+    def features_of(self, g: np.ndarray) -> list[float]:
         if not len(g):
             return [0.0, 0.0, 0.0, 0.0, 0.0]
         top = np.sort(g)[::-1]
@@ -93,45 +97,75 @@ def _grams(word: str) -> set[str]:
     return {s[i:i + GRAM] for i in range(max(1, len(s) - GRAM + 1))}
 
 
-def _toxic_content(toxic: list[str], ordinary: list[str]) -> bytes:
-    """Stretches of toxic documents' words that ordinary documents hardly have, commonest last."""
-    a, b = Counter(), Counter()
-    for texts, words in ((toxic, a), (ordinary, b)):
-        for t in texts:
-            words.update(set(_words(t)))
-    ga, gb = Counter(), Counter()
-    for w, n in a.items():
-        if n > 1:
-            for g in _grams(w):
-                ga[g] += n
-    for w, n in b.items():
-        for g in _grams(w):
-            if g in ga:
-                gb[g] += n
-    na, nb = max(1, len(toxic)), max(1, len(ordinary))
-    chosen = {g for g, n in ga.items()
-              if n >= max(min(3, na), 0.002 * na) and n / na > CONTRAST * (gb[g] + 0.5) / nb}
-    parts: Counter = Counter()
-    for w, n in a.items():
-        s = f" {w} "
-        marks = np.zeros(len(s) + 1, dtype=bool)
-        for i in range(max(1, len(s) - GRAM + 1)):
-            if s[i:i + GRAM] in chosen:
-                marks[i:min(len(s), i + GRAM)] = True
-        edges = np.flatnonzero(np.diff(np.concatenate([[False], marks]).astype(np.int8)))
-        for i, j in zip(edges[::2], edges[1::2]):
-            parts[s[i:j]] += n
-    ranked = sorted(parts.items(), key=lambda e: (e[1], e[0]))
-    return "".join(p for p, _ in ranked).encode()[-TOXIC_BYTES:]
-
-
-def _base_content(ordinary: list[str]) -> bytes:
-    """A zstandard dictionary trained on windows of ordinary text."""
+def _toxic_content(learn: DataFrame, na: int, nb: int) -> bytes:
+    """Stretches of toxic documents' words that ordinary documents hardly have, commonest last.
+
+    ``learn`` has (_t, _y): ``na`` toxic and ``nb`` ordinary texts.  Words and letter
+    sequences are counted in tasks; the driver gets the contrasting ones.
+    """
+    def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            n = Counter()
+            for t, y in zip(batch["_t"], batch["_y"].tolist()):
+                n.update((y, w) for w in set(_words(t)))
+            yield pd.DataFrame([(y, w, c) for (y, w), c in n.items()], columns=["y", "w", "n"])
+
+    def grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            n = Counter()
+            for w, c in zip(batch["w"], batch["n"].tolist()):
+                for g in _grams(w):
+                    n[g] += c
+            yield pd.DataFrame(list(n.items()), columns=["g", "n"])
+
+    counted = learn.select("_t", "_y").mapInPandas(words, "y int, w string, n bigint") \
+        .groupBy("y", "w").agg(F.sum("n").alias("n"))
+    counted = materialise(counted, "toxicity-words")
+
+    def gram_counts(which: str) -> DataFrame:
+        return counted.filter(which).select("w", "n").mapInPandas(grams, "g string, n bigint") \
+            .groupBy("g").agg(F.sum("n").alias("n"))
+
+    often = gram_counts("y = 1 AND n > 1").filter(F.col("n") >= max(min(3, na), 0.002 * na))
+    other = gram_counts("y = 0").withColumnRenamed("n", "m")
+    chosen = frozenset(r["g"] for r in often.join(other, "g", "left").filter(
+        F.col("n") / na > CONTRAST * (F.coalesce("m", F.lit(0)) + 0.5) / nb).select("g").collect())
+
+    def stretches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            parts = Counter()
+            for w, n in zip(batch["w"], batch["n"].tolist()):
+                s = f" {w} "
+                marks = np.zeros(len(s) + 1, dtype=bool)
+                for i in range(max(1, len(s) - GRAM + 1)):
+                    if s[i:i + GRAM] in chosen:
+                        marks[i:min(len(s), i + GRAM)] = True
+                edges = np.flatnonzero(np.diff(np.concatenate([[False], marks]).astype(np.int8)))
+                for i, j in zip(edges[::2], edges[1::2]):
+                    parts[s[i:j]] += n
+            yield pd.DataFrame(list(parts.items()), columns=["p", "n"])
+
+    # every stretch has a byte at least, so more of them would not fit
+    ranked = counted.filter("y = 1").select("w", "n").mapInPandas(stretches, "p string, n bigint") \
+        .groupBy("p").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), F.desc("p")).limit(TOXIC_BYTES).collect()
+    return "".join(r["p"] for r in reversed(ranked)).encode()[-TOXIC_BYTES:]
+
+
+def _base_content(learn: DataFrame) -> bytes:
+    """A zstandard dictionary trained on windows drawn from the whole of all ordinary texts."""
     import zstandard as z
-    windows = [w for t in ordinary[:2500] for w in _windows(t)][:40_000]
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [(k, i, w) for k, t in zip(batch["_k"].tolist(), batch["_t"]) for i, w in enumerate(_windows(t))]
+            yield pd.DataFrame(found, columns=["k", "i", "w"])
+
+    drawn = learn.filter("_y = 0").select("_k", "_t").mapInPandas(cut, "k bigint, i int, w binary") \
+        .orderBy(F.xxhash64(F.lit(13), "k", "i"), "k", "i").limit(BASE_WINDOWS)
+    windows = [bytes(r["w"]) for r in drawn.select("w").collect()]
     try:
         return z.train_dictionary(BASE_BYTES, windows).as_bytes()
-    except z.ZstdError:  # too little text to train on
+    except (z.ZstdError, ValueError):  # too little text to train on
         return b"".join(windows)[-BASE_BYTES:]
 
 
@@ -151,13 +185,17 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1
 
 def fit(docs: DataFrame, labels: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "toxic") -> Model:
-    """A model from at most ``SAMPLE_TOXIC`` + ``SAMPLE_ORDINARY`` labelled documents.
+    """A model from at most ``SAMPLE_TOXIC`` + ``SAMPLE_ORDINARY`` labelled documents, whole texts.
 
     ``train`` selects the labels that may be learned from.  The sample is taken by
-    id hash, so it is the same at any partitioning; of each sampled text the first
-    ``SAMPLE_CHARS`` characters are learned from.  A null label or text teaches
-    nothing; without labels of both kinds every score is the share of toxic labels.
+    id hash, so it is the same at any partitioning.  About two thirds of its texts (by
+    text hash) teach the dictionaries, all others set the threshold and the curve of
+    these same dictionaries; if either part lacks a kind, all texts do both.  Other
+    bounds: the base is trained on ``BASE_WINDOWS`` windows and has ``BASE_BYTES``, the
+    toxic content has ``TOXIC_BYTES``.  A null label or text teaches nothing; without
+    labels of both kinds every score is the share of toxic labels.
     """
+    small_batches(docs.sparkSession)
     known = labels.filter(train & F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()) \
         .groupBy(id_col).agg(F.max(label_col).cast("int").alias("_y"))
     counts = {r["_y"]: r["n"] for r in known.groupBy("_y").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -165,46 +203,41 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, id_col: str = "doc_id
     for y, n in ((1, SAMPLE_TOXIC), (0, SAMPLE_ORDINARY)):
         part = known.filter(F.col("_y") == y).orderBy(F.xxhash64(F.lit(7), F.col(id_col)), id_col).limit(n)
         chosen = part if chosen is None else chosen.unionByName(part)
-    sample = docs.select(F.col(id_col), F.substring(text_col, 1, SAMPLE_CHARS).alias("_t")) \
-        .filter(F.col("_t").isNotNull()) \
-        .join(F.broadcast(chosen), id_col).select("_t", "_y").distinct()
-    rows = sorted((r["_y"], r["_t"]) for r in sample.toLocalIterator())
-    toxic, ordinary = [t for y, t in rows if y == 1], [t for y, t in rows if y == 0]
+    sample = docs.select(F.col(id_col), F.col(text_col).alias("_t")).filter(F.col("_t").isNotNull()) \
+        .join(F.broadcast(chosen), id_col).withColumn("_k", F.xxhash64("_t")).select("_t", "_y", "_k") \
+        .dropDuplicates(["_y", "_k"]).withColumn("_held", F.pmod(F.xxhash64(F.lit(11), "_k"), F.lit(3)) == 2)
+    sample = materialise(sample.repartition(PIECES, "_k"), "toxicity-sample")
+    have = {(r["_y"], r["_held"]): r["count"] for r in sample.groupBy("_y", "_held").count().collect()}
     share = (counts.get(1, 0) + 0.5) / (counts.get(1, 0) + counts.get(0, 0) + 1)
     flat = [float(np.log(share / (1 - share))), 0.0, 0.0, 0.0, 0.0, 0.0]
-    if not toxic or not ordinary:
+    if {y for y, _ in have} != {0, 1}:
         return Model(b"", b"", 1.0, flat)
-    order = np.random.default_rng(11)
-    order.shuffle(toxic)
-    order.shuffle(ordinary)
-    # dictionaries from one part, threshold and curve from the other
-    cut = lambda rows: max(1, len(rows) * 2 // 3)
-    model = Model(_base_content(ordinary), _toxic_content(toxic[:cut(toxic)], ordinary[:cut(ordinary)]), 1.0, flat)
-    held = [(t, 1) for t in toxic[cut(toxic):][:800]] + [(t, 0) for t in ordinary[cut(ordinary):][:1600]]
-    if len({y for _, y in held}) < 2:
-        held = [(t, 1) for t in toxic[:800]] + [(t, 0) for t in ordinary[:1600]]
-    spark, pieces = docs.sparkSession, 24
-    frame = spark.createDataFrame([(i % pieces, t, y) for i, (t, y) in enumerate(held)], "part int, t string, y int") \
-        .repartition(pieces, "part")
-
-    def top(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    if len(have) == 4:
+        learn, held = sample.filter("NOT _held"), sample.filter("_held")
+        na, nb = have[1, False], have[0, False]
+    else:
+        learn = held = sample
+        na, nb = (sum(n for (y, _), n in have.items() if y == kind) for kind in (1, 0))
+    model = Model(_base_content(learn), _toxic_content(learn, na, nb), 1.0, flat)
+
+    def saved(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            best = [float(max([0.0, *model.gains(t)])) for t in b["t"]]
-            yield pd.DataFrame({"y": b["y"], "best": best})
+            yield pd.DataFrame({"y": b["_y"], "g": [model.gains(t) for t in b["_t"]]})
 
-    best = frame.mapInPandas(top, "y int, best double").toPandas()
-    model.threshold = float(max(1.0, np.quantile(best["best"][best["y"] == 0], CALIBRATION) - 1))
+    gains = materialise(held.select("_t", "_y").mapInPandas(saved, "y int, g array<double>"), "toxicity-gains")
+    best = [r["best"] for r in gains.filter("y = 0").select(
+        F.greatest(F.lit(0.0), F.array_max("g")).alias("best")).collect()]
+    model.threshold = float(max(1.0, np.quantile(best, CALIBRATION) - 1))
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"y": b["y"], "x": [json.dumps(model.features(t)) for t in b["t"]]})
+            yield pd.DataFrame({"y": b["y"], "x": [model.features_of(np.asarray(g, dtype=float)) for g in b["g"]]})
 
-    got = frame.mapInPandas(measure, "y int, x string").toPandas().sort_values(["y", "x"])
-    y = got["y"].to_numpy(float)
-    x = np.column_stack([np.ones(len(y)), np.asarray([json.loads(v) for v in got["x"]])])
+    got = sorted((r["y"], r["x"]) for r in gains.mapInPandas(measure, "y int, x array<double>").collect())
+    y = np.asarray([v for v, _ in got], dtype=float)
+    x = np.column_stack([np.ones(len(y)), np.asarray([v for _, v in got])])
     prior = np.where(y == 1, share / max(1e-9, y.mean()), (1 - share) / max(1e-9, 1 - y.mean()))
     model.weights = _logistic(x, y, prior).tolist()
-    model.toxic, model._pair = _toxic_content(toxic, ordinary), None  # the final dictionary learns from all of them
     return model
 
 

@@ -84,6 +84,22 @@ def test_toxicity(spark, docs, none):
     assert len({round(r.score, 9) for r in toxicity.score(docs, flat).collect()}) == 1
 
 
+def test_toxicity_behind_a_long_head(spark):
+    rng = random.Random(6)
+    common = ["".join(rng.choice("abcdeghilmnorstu") for _ in range(rng.randint(2, 8))) for _ in range(300)]
+    texts = []
+    for i in range(200):
+        t = [rng.choice(common) for _ in range(4500)]  # more than 20,000 characters
+        if i % 4 == 0:
+            t[-40:-10:10] = ["vilemonger", "scumwretch,", "vilemonger"]
+        texts.append((i, " ".join(t), int(i % 4 == 0)))
+    assert min(len(t[:t.find("vilemonger")]) for _, t, y in texts if y) > 20_000
+    table = spark.createDataFrame(texts, "doc_id bigint, text string, toxic int").repartition(8)
+    model = toxicity.fit(table.select("doc_id", "text"), table.select("doc_id", "toxic"), F.col("doc_id") < 140)
+    got = {r.doc_id: r.predicted for r in toxicity.score(table.filter("doc_id >= 140"), model).collect()}
+    assert sum(got[i] == y for i, _, y in texts if i >= 140) >= 57
+
+
 def test_packing(docs, none, rows):
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
