@@ -263,3 +263,14 @@ def test_nearest(spark):
     assert hits >= 27 and set(got) == set(range(0, 300, 50))
     assert got[0] == {1: 50, 2: 51, 3: 52, 4: 53, 5: 54}
     assert ann.nearest(t.limit(0), F.col("vec_id") % 50 == 0).collect() == []
+
+
+def test_search_ends_only_without_open_candidates(spark):
+    n = 14  # a path that a search must walk node by node
+    angle = np.linspace(0, 1.5, n)
+    codes = [c.tobytes() for c in ann._code(np.column_stack([np.cos(angle), np.sin(angle)]))]
+    graph = spark.createDataFrame([(i, codes[i], [(i + 1, codes[i + 1])] if i + 1 < n else None) for i in range(n)],
+                                  "u bigint, x binary, near array<struct<w:bigint,x:binary>>")
+    entries = spark.createDataFrame([(0, codes[-1], 0)], "q bigint, x binary, w bigint")
+    held = {r.w for r in ann._greedy(graph, entries, beam=3, expand=1).collect()}
+    assert held == {n - 1, n - 2, n - 3}
