@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from podium.llm import ann, fingerprint, html, jaccard, mixing, packing, pii, sharding, tokens, toxicity
+from podium.llm import (ann, bpa, fingerprint, html, jaccard, mixing, packing, pii, pstable, sharding, tokens, toxicity,
+                        tries)
 from podium.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -142,3 +143,86 @@ def q_personal_data(spark, d):
 @query("op10_nearest")
 def q_nearest(spark, d):
     return ann.nearest(table(spark, d, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+_TERMS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _terms_sql(text: str) -> str:
+    return f"regexp_extract_all(translate({text}, '{_UPPER}', '{_LOWER}'), '{_TERMS}')"
+
+
+RANKED_SQL = f"""
+WITH d AS (SELECT doc_id, {_terms_sql("text")} AS terms FROM documents WHERE text IS NOT NULL),
+held AS (SELECT doc_id, terms, len(terms) AS n FROM d WHERE len(terms) > 0),
+s AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_all FROM held),
+tf AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, n, unnest(terms) AS term FROM held) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS BIGINT) AS w
+      FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), s),
+asked AS (SELECT DISTINCT item_id, unnest({_terms_sql("text")}) AS term FROM benchmark),
+scored AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_all)))) AS BIGINT) AS score
+           FROM asked JOIN w USING (term) JOIN tf USING (term), s GROUP BY item_id, doc_id)
+SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0) WHERE rank <= 50
+"""
+
+
+@query("op11_ranked_search", RANKED_SQL)
+def q_ranked_search(spark, d):
+    return bpa.ranked(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+NEAR_VECTORS_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+ok AS (SELECT * FROM v WHERE label IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+       AND len(list_filter(e, lambda x: x <> 0)) > 0),
+link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.label = b.label AND len(a.e) = len(b.e)
+         AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.98),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a),
+c AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+n AS (SELECT a AS vec_id, count(*) AS n FROM link GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept FROM c LEFT JOIN n USING (vec_id)
+"""
+
+
+@query("op12_near_vectors", NEAR_VECTORS_SQL)
+def q_near_vectors(spark, d):
+    return pstable.near_vectors(table(spark, d, "embeddings"))
+
+
+def _bits_sql(letters: str) -> str:
+    return "(" + " + ".join(f"CASE WHEN contains({letters}, '{f}') THEN {1 << i} ELSE 0 END"
+                            for i, f in enumerate(tries.FILTERS)) + ")"
+
+
+AUDIT_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM d),
+m AS (SELECT doc_id, part, CASE WHEN len(words) < 200 THEN 1 ELSE 0 END
+        + CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 2 ELSE 0 END
+        + CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text) THEN 4 ELSE 0 END
+        + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END
+        + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 16 ELSE 0 END AS mask FROM w),
+c AS (SELECT part, mask, l.quality = 1 AS good, l.toxic = 1 AS toxic, count(*) AS n FROM m LEFT JOIN labels l USING (doc_id) GROUP BY ALL),
+f AS (SELECT unnest(string_split('A,B,C,D,E', ',')) AS x),
+o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM f a, f b, f c, f d, f e
+      WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s AS (SELECT filter_order, step, {_bits_sql("substr(filter_order, step, 1)")} AS own, {_bits_sql("substr(filter_order, 1, step - 1)")} AS before
+      FROM (SELECT filter_order, CAST(unnest(range(1, 6)) AS INT) AS step FROM o)),
+r AS (SELECT *, mask & own <> 0 AS fails, mask & before <> 0 AS earlier FROM c, s)
+SELECT part, filter_order, step,
+       CAST(sum(CASE WHEN NOT fails AND NOT earlier THEN n ELSE 0 END) AS BIGINT) AS kept,
+       CAST(sum(CASE WHEN fails AND NOT earlier THEN n ELSE 0 END) AS BIGINT) AS removed,
+       CAST(sum(CASE WHEN fails AND earlier THEN n ELSE 0 END) AS BIGINT) AS redundant,
+       CAST(sum(CASE WHEN mask = own THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+       CAST(sum(CASE WHEN fails AND NOT earlier AND good THEN n ELSE 0 END) AS BIGINT) AS good_lost,
+       CAST(sum(CASE WHEN fails AND NOT earlier AND toxic THEN n ELSE 0 END) AS BIGINT) AS toxic_lost,
+       CAST(sum(CASE WHEN fails THEN n * 120 // bit_count(mask) ELSE 0 END) AS BIGINT) AS shapley
+FROM r GROUP BY ALL
+"""
+
+
+@query("op13_filter_audit", AUDIT_SQL)
+def q_filter_audit(spark, d):
+    return tries.audit(table(spark, d, "documents"), table(spark, d, "labels"))
