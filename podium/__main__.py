@@ -1,7 +1,7 @@
 """Command line: run the jobs the reference ran as notebooks.
 
   python -m podium run --sheets DIR --dictionary FILE --out DIR [--compat] [--splittable]
-  python -m podium score --fact PATH --out DIR [--compat]
+  python -m podium score --fact PATH --out DIR [--rounds PATH] [--compat]
   python -m podium query NAME [--sf DIR] [--rows N]
 
 Under spark-submit the cluster's session is used as configured; run directly,
@@ -40,6 +40,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--splittable", action="store_true")
     s = sub.add_parser("score", help="finalist scoring of a gold fact table")
     s.add_argument("--fact", required=True)
+    s.add_argument("--rounds", help="gold round dimension (default: gold_dim_round beside the fact)")
     s.add_argument("--out", required=True)
     s.add_argument("--compat", action="store_true")
     q = sub.add_parser("query", help="run one registered verification query")
@@ -52,14 +53,11 @@ def main(argv: list[str] | None = None) -> int:
     from podium.plans import jobs
     if a.cmd == "run":
         words = spark.read.text(a.dictionary).selectExpr("trim(value) AS w").filter("w <> ''").distinct()
-        rows = words.limit(100_001).collect()
-        if len(rows) > 100_000:
-            raise SystemExit("dictionary larger than 100000 codes")
-        paths = jobs.sheets_to_gold(spark, a.sheets, sorted(r.w for r in rows), a.out, a.load_time,
-                                     a.compat, splittable=a.splittable)
+        paths = jobs.sheets_to_gold(spark, a.sheets, words, a.out, a.load_time, a.compat, splittable=a.splittable)
         print(json.dumps(paths, indent=2))
     elif a.cmd == "score":
-        print(json.dumps(jobs.finalist_job(spark, a.fact, a.out, a.compat), indent=2))
+        rounds = a.rounds or os.path.join(os.path.dirname(a.fact.rstrip("/")), "gold_dim_round")
+        print(json.dumps(jobs.finalist_job(spark, a.fact, a.out, a.compat, rounds_path=rounds), indent=2))
     else:
         from podium.plans.queries import QUERIES
         QUERIES[a.name](spark, a.sf).show(a.rows, truncate=False)

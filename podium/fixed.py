@@ -34,8 +34,18 @@ RESET_IDS = [514, 1206, 2055, 1042, 690, 452]
 MISSING_ATHLETES = [(514, "MULAMBA Dominique Lasconi", "COD", "Male"), (452, "BROWN Aaron", "CAN", "Male"),
                     (690, "AZU Jeremiah", "GBR", "Male"), (1042, "SABINO Steven", "MOZ", "Male")]
 
-# Scoring: excluded round ids, rank limit, forest size and seed, test share.
+# Event texts and their parts, the end of a location, status texts of a position.
+MENS_100M = "Men's 100m"
+WOMENS_100M = "Women's 100m"
+EVENT_PARTS = [("%Men's%", "Men's"), ("%Women's%", "Women's")]
+EVENT_TYPE_PARTS = [("%100m", "100m")]
+LOCATION_END = " Athlétisme"
+STATUS_EXACT = {"DNS": "DNS", "DQ": "DQ"}
+STATUS_PATTERNS = {"F1": "DQ"}
+
+# Scoring: excluded round ids and the rounds they stand for, rank limit, forest size and seed, test share.
 EXCLUDED_ROUND_IDS = [2, 3]
+EXCLUDED_ROUNDS = ["Semi-final", "Final"]
 RANK_LIMIT = 452
 FOREST_TREES = 100
 FOREST_SEED = 42

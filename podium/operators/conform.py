@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import AtomicType
 
 from podium.operators.rank import row_number_by
+from podium.operators.skew import left_join_even, left_join_spread
+from podium.sources.tables import publish, published, stage
+
+left_join_spread_nulls = left_join_spread
 
 
 def dedup_rows(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -48,6 +53,32 @@ def surrogate_key(df: DataFrame, natural_key: Sequence[str], out: str = "id",
     return numbered.withColumn(out, F.col("__sk")).drop("__sk")
 
 
+def register_keys(rows: DataFrame, natural_key: Sequence[str], registry: str, out: str = "id") -> DataFrame:
+    """``rows`` with keys from a registry table that keeps them over loads (J1, quirk 12).
+
+    Natural keys that the registry (a path) does not hold yet are numbered in key order
+    from its largest number on, and a new version with them is published, so a key once
+    given never changes and a failed run gives none.  Nulls are values of the key.
+    """
+    spark = rows.sparkSession
+    new = rows.select(*natural_key).distinct()
+    pointer = published(spark, registry)
+    if pointer:
+        known = spark.read.parquet(pointer)
+        theirs = known.select(*[F.col(c).alias(f"__r_{c}") for c in natural_key])
+        new = new.join(theirs, reduce(and_, [F.col(c).eqNullSafe(F.col(f"__r_{c}")) for c in natural_key]), "left_anti")
+        top = known.agg(F.max(out)).first()[0] or 0
+    else:
+        known, top = None, 0
+    numbered = surrogate_key(new, natural_key, "__n").select(
+        *natural_key, (F.col("__n") + F.lit(top)).cast("bigint").alias(out))
+    version = stage(numbered if known is None else known.unionByName(numbered), registry)
+    publish(spark, [version])
+    held = spark.read.parquet(version).withColumnsRenamed({c: f"__r_{c}" for c in natural_key})
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"__r_{c}")) for c in natural_key])
+    return rows.join(held, same, "left").select(*rows.columns, out)
+
+
 def unique_on(dim: DataFrame, on: Sequence[str], value: str, strict: bool = True) -> DataFrame:
     """``dim`` reduced to one row per key, carrying ``value``.
 
@@ -64,33 +95,6 @@ def unique_on(dim: DataFrame, on: Sequence[str], value: str, strict: bool = True
     return agg.drop("__n")
 
 
-NULL_SALT = 1024
-
-
-def left_join_spread_nulls(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left equi-join on ``keys`` where rows with a null key are spread out.
-
-    A null key never matches, yet hash partitioning sends every such row to one
-    partition: a fact whose foreign key is null for a third of its rows would
-    put that third in one task.  A salt joins the keys: a hash of the row for
-    null-key rows (evaluated for those only), 0 otherwise, so null-key rows
-    scatter over the shuffle while matches are unchanged.  The right side's salt
-    is a hash modulo 1: always 0, but no constant, which the optimiser would move
-    out of the join keys.  Hot non-null keys are left to AQE's skew-join
-    splitting (the right side is one row per key).
-    """
-    any_null = None
-    for k in keys:
-        c = F.col(k).isNull()
-        any_null = c if any_null is None else any_null | c
-    hashable = [F.col(f.name) for f in left.schema.fields if isinstance(f.dataType, AtomicType)]
-    spread = F.pmod(F.xxhash64(*hashable), F.lit(NULL_SALT)) if hashable else F.lit(0)
-    salt = F.when(any_null, spread).otherwise(F.lit(0)).cast("int")
-    l = left.withColumn("__salt", salt)
-    r = right.withColumn("__salt", F.pmod(F.xxhash64(*keys), F.lit(1)).cast("int"))
-    return l.join(r, on=[*keys, "__salt"], how="left").drop("__salt")
-
-
 def lookup_fk(fact: DataFrame, dim: DataFrame, on: Sequence[tuple[Column, str]], dim_key: str,
               fk: str, strict: bool = True) -> DataFrame:
     """Left lookup of ``dim_key`` into ``fk``.
@@ -98,15 +102,15 @@ def lookup_fk(fact: DataFrame, dim: DataFrame, on: Sequence[tuple[Column, str]],
     ``on`` pairs a fact expression (already the dimension's type: use
     ``try_cast`` for text keys) with a dimension column.  strict: the dimension
     is made unique on the key first, so the fact never changes row count;
-    compat: a plain left join (fan-out kept).  Large sides shuffle on the key
-    (AQE splits skewed partitions, turns small sides into broadcasts).
+    compat: a plain left join (fan-out kept).  A dimension that is not sent to all
+    tasks is joined by a shuffle in which null and hot keys are spread out.
     """
     names = [f"__k{i}" for i in range(len(on))]
     f = fact.withColumns({n: e for n, (e, _) in zip(names, on)})
     d = dim.select(*[F.col(c).alias(n) for n, (_, c) in zip(names, on)], F.col(dim_key).alias(fk))
     if strict:
         d = unique_on(d, names, fk, True)
-    joined = left_join_spread_nulls(f, d, names)
+    joined = left_join_even(f, d, names)
     return joined.select(*fact.columns, fk)
 
 
@@ -114,19 +118,18 @@ def correct_null(fact: DataFrame, fk: str, fixes: DataFrame, on: Sequence[tuple[
                  fix_col: str, small: bool = False) -> DataFrame:
     """Fill null ``fk`` from a correction table keyed by ``on`` (G3, replaces M1's UDF).
 
-    One left join on all key columns, only for rows whose ``fk`` is null, then
-    ``coalesce``.  ``small=True`` marks a literal correction table (its size
-    is fixed) for broadcast; otherwise the planner decides from its size check.
-    A key seen twice stops the job, so rows never fan out.
+    Only rows whose ``fk`` is null enter the join, on all key columns; the others
+    pass by.  ``small=True`` marks a literal correction table (its size is fixed) for
+    broadcast; otherwise the planner decides from its size check, and in a shuffle
+    null and hot keys are spread out.  A key seen twice stops the job, so rows never fan out.
     """
-    fx = fixes.select(*[F.col(c).alias(f"__f{i}") for i, (_, c) in enumerate(on)],
-                      F.col(fix_col).alias("__fix"))
-    fx = unique_on(fx, [f"__f{i}" for i in range(len(on))], "__fix")
-    fx = F.broadcast(fx) if small else fx
-    cond = fact[fk].isNull()
-    for i, (fc, _) in enumerate(on):
-        cond = cond & (fact[fc] == fx[f"__f{i}"])
-    joined = fact.join(fx, cond, "left")
-    ftype = fact.schema[fk].dataType
-    return joined.withColumn(fk, F.coalesce(fact[fk], F.col("__fix").cast(ftype))) \
-                 .select(*fact.columns)
+    names = [f"__f{i}" for i in range(len(on))]
+    fx = fixes.select(*[F.col(c).alias(n) for n, (_, c) in zip(names, on)], F.col(fix_col).alias("__fix"))
+    fx = unique_on(fx, names, "__fix")
+    lack = fact.filter(F.col(fk).isNull()).withColumns({n: F.col(c) for n, (c, _) in zip(names, on)})
+    if small:
+        joined = lack.join(F.broadcast(fx), names, "left")
+    else:
+        joined = left_join_even(lack, fx, names)
+    filled = joined.withColumn(fk, F.col("__fix").cast(fact.schema[fk].dataType)).select(*fact.columns)
+    return fact.filter(F.col(fk).isNotNull()).unionByName(filled)

@@ -11,15 +11,20 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from podium.functions.bloom import Bloom
 from podium.functions.text import (first_in, first_pos_in, flag_priority, item, join_range,
                                    paren_capture, tail, tokenize)
 
 from podium.fixed import (DATE_PATTERN, EVENT_PATTERN, HEADER_DEFAULTS, LOCATION_MARK, ROUND_PATTERN,
                           SPECIAL_CODES)
+from podium.operators.skew import left_join_even
+from podium.session import scratch_path, written
 
 RECORD_FIELDS = ("rank", "bib", "name", "code", "heat", "lane", "pos", "time", "ms", "wind",
                  "result", "info")
@@ -100,28 +105,57 @@ def route_layout(path: Column, routes: Sequence[tuple[str, str]], default: str |
     return out.otherwise(F.lit(default)) if default is not None else out
 
 
-def dict_token_pos(df: DataFrame, tokens: str, dictionary, out: str = "pos",
-                   key: Sequence[str] | None = None, max_literal: int = 5000) -> DataFrame:
+def dict_tokens(df: DataFrame, tokens: str, dictionary: DataFrame, pos: str, hits: str | None = None) -> DataFrame:
+    """``df`` with the 0-based position of the first token that a dictionary table holds (B4), and how many it holds.
+
+    For a dictionary of any size: a Bloom filter of bounded size drops most other
+    tokens inside the projection; the lines with tokens left are told apart by a hash
+    of their tokens (equal lines share their answer), these tokens are semi-joined to
+    the words with hot tokens spread out, and ``min(pos)`` a line is joined back.
+    Lines without a candidate enter no join with a key.
+    """
+    words = dictionary.select(F.col(dictionary.columns[0]).alias("__tok")).filter("__tok IS NOT NULL").distinct()
+    bloom = Bloom(words, "__tok")
+
+    def may(t: Column) -> Column:
+        return t.isNotNull() & bloom.may_hold(t)
+
+    placed = F.transform(tokens, lambda t, i: F.struct(t.alias("__tok"), i.alias("__at")))
+    cand = F.filter(placed, lambda x: may(x["__tok"]))
+    some = F.exists(tokens, may)
+    line = {f"__l{i}": F.when(some, F.xxhash64(F.lit(i), tokens)) for i in range(2)}
+    keys = list(line)
+    lines = df.filter(some).select(*[c.alias(n) for n, c in line.items()], cand.alias("__c")).dropDuplicates(keys)
+    left = lines.select(*keys, F.inline("__c"))
+    held = left_join_even(left, words.withColumn("__in", F.lit(True)), ["__tok"]).filter("__in")
+    first = held.groupBy(*keys).agg(F.min("__at").cast("int").alias(pos), F.count(F.lit(1)).cast("int").alias("__hits"))
+    joined = left_join_even(df.withColumns(line), first, keys).drop(*keys)
+    return joined.withColumnRenamed("__hits", hits) if hits else joined.drop("__hits")
+
+
+#: A dictionary table with no more words than this becomes a literal set, as a small table of a join is broadcast.
+LITERAL_WORDS = 5000
+
+
+def _as_literal(dictionary: Iterable[str] | DataFrame) -> list[str] | None:
+    """The words as a list, if it is one or is a table that passes the size check; else the table must be joined."""
+    if not isinstance(dictionary, DataFrame):
+        return list(dictionary)
+    word = F.col(dictionary.columns[0])
+    rows = dictionary.select(word.alias("w")).filter(word.isNotNull()).distinct().limit(LITERAL_WORDS + 1).collect()
+    return sorted(r["w"] for r in rows) if len(rows) <= LITERAL_WORDS else None
+
+
+def dict_token_pos(df: DataFrame, tokens: str, dictionary, out: str = "pos") -> DataFrame:
     """0-based position of the first token found in ``dictionary``.
 
-    A list (or a DataFrame of at most ``max_literal`` words, checked with a
-    bounded ``limit``) becomes an IN-set inside the projection: no shuffle.  A
-    larger dictionary table is joined: tokens exploded with their position,
-    semi-joined to the words, ``min(pos)`` per ``key``, joined back.
+    A list, or a table that passes a size check, becomes an IN-set inside the projection;
+    a table of any other size is joined (``dict_tokens``), with the same answer.
     """
-    words = dictionary
-    if isinstance(dictionary, DataFrame):
-        probe = dictionary.select(dictionary.columns[0]).distinct().limit(max_literal + 1).collect()
-        words = [r[0] for r in probe] if len(probe) <= max_literal else None
-    if words is not None:
-        return df.withColumn(out, first_pos_in(tokens, words))
-    if not key:
-        raise ValueError("a large dictionary needs a row key")
-    vocab = dictionary.select(F.col(dictionary.columns[0]).alias("__tok")).distinct()
-    exploded = df.select(*key, F.posexplode(tokens).alias("__pos", "__tok"))
-    first = exploded.join(vocab, "__tok", "left_semi").groupBy(*key).agg(
-        F.min("__pos").alias(out))
-    return df.join(first, list(key), "left")
+    words = _as_literal(dictionary)
+    if words is None:
+        return dict_tokens(df, tokens, dictionary, out).select(*df.columns, out)
+    return df.withColumn(out, first_pos_in(tokens, words))
 
 
 def _field_expr(f: Field, p: Column, i: Column, bracket: Column) -> Column:
@@ -157,19 +191,18 @@ def _layout_exprs(layout: Layout, p: Column, i: Column, bracket: Column) -> dict
     return {f.name: _field_expr(f, p, i, bracket).cast("string") for f in layout.fields}
 
 
-def parse_layout(lines: DataFrame, layouts: Layout | Mapping[str, Layout], dictionary: Iterable[str],
+def parse_layout(lines: DataFrame, layouts: Layout | Mapping[str, Layout], dictionary: Iterable[str] | DataFrame,
                  line_col: str = "line", layout_col: str | None = None, mode: str = "compat",
                  tokenizer=None, keep: Sequence[str] | None = None) -> DataFrame:
     """Parse each line by its layout (B3-B12); adds the fields and ``is_reject``.
 
-    A line is rejected when no token is in ``dictionary`` (B12); rejected lines
-    keep their text and null fields instead of being printed and lost.
+    A line is rejected when no token is in ``dictionary`` (B12; a list, or a table of
+    any size); rejected lines keep their text and null fields instead of being printed and lost.
     ``layouts`` is one layout, or a name -> layout map chosen per row by
     ``layout_col`` (routing, A1).  ``mode='strict'`` realigns a line whose
     second token is not a number (rank missing, quirk 6) and flags lines with
     more than one dictionary token in ``ambiguous``.
     """
-    words = list(dictionary)
     tok = tokenizer or (lambda c: tokenize(c))
     p = tok(F.col(line_col))
     if mode == "strict":
@@ -178,7 +211,13 @@ def parse_layout(lines: DataFrame, layouts: Layout | Mapping[str, Layout], dicti
         p = F.when(shifted, F.concat(F.array(F.lit(None).cast("string")), p)).otherwise(p)
     base = lines.withColumn("__p", p)
     pc = F.col("__p")
-    base = base.withColumn("__i", first_pos_in(pc, words))
+    words = _as_literal(dictionary)
+    if words is None:
+        base = dict_tokens(base, "__p", dictionary, "__i", "__hits")
+        hits = F.col("__hits")
+    else:
+        base = base.withColumn("__i", first_pos_in(pc, words))
+        hits = F.size(F.filter(pc, lambda x: x.isin(words)))
     i = F.col("__i")
     # the bracket value is computed once per row (several fields test it)
     if isinstance(layouts, Layout):
@@ -205,16 +244,29 @@ def parse_layout(lines: DataFrame, layouts: Layout | Mapping[str, Layout], dicti
     exprs = {k: F.when(~rejected, v) for k, v in exprs.items()}
     exprs["is_reject"] = rejected
     if mode == "strict":
-        exprs["ambiguous"] = F.size(F.filter(pc, lambda x: x.isin(words))) > 1
-    out = base.withColumns(exprs).drop("__p", "__i", "__b")
+        exprs["ambiguous"] = F.coalesce(hits, F.lit(0)) > 1
+    out = base.withColumns(exprs).drop("__p", "__i", "__b", "__hits")
     if keep is not None:
         out = out.select(*keep, *exprs.keys())
     return out
 
 
-def split_rejects(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(records, rejects) from one parsed frame; both lazy over the same plan."""
-    return parsed.filter(~F.col("is_reject")), parsed.filter(F.col("is_reject"))
+def write_parsed(parsed: DataFrame, name: str = "parsed") -> tuple[DataFrame, dict[str, int]]:
+    """(table, counts): a parsed frame written in one pass over the text, a folder for each value of ``is_reject``.
+
+    Records and rejects are counted while they are written.
+    """
+    seen = Observation(name)
+    path = scratch_path(parsed.sparkSession, name)
+    parsed.observe(seen, F.count_if(~F.col("is_reject")).alias("records"), F.count_if(F.col("is_reject")).alias("rejects")) \
+        .write.partitionBy("is_reject").parquet(path)
+    return parsed.sparkSession.read.schema(parsed.schema).parquet(path), dict(seen.get)
+
+
+def split_rejects(parsed: DataFrame, name: str = "parsed") -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """(records, rejects, counts) of a parsed frame; both sides read the table that ``write_parsed`` wrote."""
+    table, counts = write_parsed(parsed, name)
+    return table.filter(~F.col("is_reject")), table.filter("is_reject"), counts
 
 
 def fill_header(lines: DataFrame, file_col: str, order_cols: Sequence[str],
@@ -227,34 +279,28 @@ def fill_header(lines: DataFrame, file_col: str, order_cols: Sequence[str],
     fields' first matches, and each field's value is its last match at or
     before the stop line (or overall, when the file never completes).
 
-    Only lines matching some field can change the answer, so they are kept
-    first (a map-side filter); the aggregates and the join then see a few rows
-    per file, and no file is gathered into one task or one window.  One row
-    per file, also for files with no match.
+    The lines are scanned once, into a table of matches: only lines that match some
+    field can change the answer, and the others of a file collapse into one row in
+    their task.  The rest works on that table, and no file is gathered into one
+    task or one window.  One row per file, also for files with no match.
     """
-    pos = F.struct(*[F.col(c) for c in order_cols])
-    x = lines.select(F.col(file_col), pos.alias("__pos"),
-                     *[e.alias(f"__v_{n}") for n, e in fields.items()])
-    any_hit = None
-    for n in fields:
-        c = F.col(f"__v_{n}").isNotNull()
-        any_hit = c if any_hit is None else any_hit | c
-    hits = x.filter(any_hit)
+    vals = {n: f"__v_{n}" for n in fields}
+    x = lines.select(F.col(file_col), F.struct(*[F.col(c) for c in order_cols]).alias("__pos"),
+                     *[e.alias(vals[n]) for n, e in fields.items()])
+    hit = reduce(or_, [F.col(v).isNotNull() for v in vals.values()])
+    hits = written(x.withColumn("__pos", F.when(hit, F.col("__pos"))).groupBy(file_col, "__pos")
+                   .agg(*[F.max(v).alias(v) for v in vals.values()]), "header-matches")
     firsts = hits.groupBy(file_col).agg(
-        *[F.min(F.when(F.col(f"__v_{n}").isNotNull(), F.col("__pos"))).alias(f"__f_{n}") for n in fields])
-    complete = None
-    for n in fields:
-        c = F.col(f"__f_{n}").isNotNull()
-        complete = c if complete is None else complete & c
-    stop = firsts.select(file_col, complete.alias("__complete"),
+        *[F.min(F.when(F.col(v).isNotNull(), F.col("__pos"))).alias(f"__f_{n}") for n, v in vals.items()])
+    complete = reduce(and_, [F.col(f"__f_{n}").isNotNull() for n in fields])
+    stop = firsts.select(F.col(file_col).alias("__file"), complete.alias("__complete"),
                          F.when(complete, _latest([F.col(f"__f_{n}") for n in fields])).alias("__stop"))
-    upto = hits.join(stop, file_col).filter(F.col("__stop").isNull() | (F.col("__pos") <= F.col("__stop")))
-    got = upto.groupBy(file_col).agg(
-        F.first("__complete").alias("__complete"),
-        *[F.max(F.when(F.col(f"__v_{n}").isNotNull(), F.struct(F.col("__pos"), F.col(f"__v_{n}").alias("v"))))
-          .getField("v").alias(n) for n in fields])
-    files = lines.select(file_col).distinct()
-    got = files.join(got, file_col, "left").withColumn("__complete", F.coalesce("__complete", F.lit(False)))
+    got = hits.join(stop, F.col(file_col).eqNullSafe(F.col("__file"))) \
+        .filter(F.col("__stop").isNull() | F.col("__pos").isNull() | (F.col("__pos") <= F.col("__stop"))) \
+        .groupBy(file_col).agg(
+            F.first("__complete").alias("__complete"),
+            *[F.max(F.when(F.col(v).isNotNull(), F.struct(F.col("__pos"), F.col(v).alias("v")))).getField("v").alias(n)
+              for n, v in vals.items()])
     cols = [file_col, *fields]
     if complete_col:
         got = got.withColumnRenamed("__complete", complete_col)

@@ -3,249 +3,42 @@
 ``row_number_by`` numbers rows 1..n per group in a total order.  Spark's own
 ``row_number`` over a window needs every row of a group in one task; a group
 holding a third of the data (or no group at all, the reference's case) would
-then sort in a single task.  Here the composite key (group, order...) is cut
-into value ranges by bounds taken from a bounded, seeded sample.  Each row's
-range is a pure function of its key, so:
+then sort in a single task.  Here the rows of a large group are cut into ranges
+of their order keys (``podium.operators.ranges``).  Each row's range is a pure
+function of its key, so:
 
 * a hot group is split across many ranges (its order keys differ),
 * row_number runs per (group, range) in parallel,
 * a range's offset is the row count of the earlier ranges of its group,
-  computed from a small count table (one row per non-empty (group, range)).
+  computed from a small count table (one row per range of a large group).
 
-One action runs while planning: a bounded, hash-ranked sample of the keys,
-which also estimates the row count.  The bounds are then literals in the
-plan, so recomputation can never move a row to another range (unlike
-re-sampling by ``repartitionByRange``).
+While planning, rows are counted and the bounds are taken from quantile sketches
+that the executors merge.  The bounds are then literals in the plan, so
+recomputation can never move a row to another range (unlike re-sampling by
+``repartitionByRange``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
-from functools import reduce
-from operator import and_
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import (AtomicType, BooleanType, ByteType, DataType, DateType, DecimalType, DoubleType,
-                               FloatType, IntegerType, LongType, NumericType, ShortType, StringType,
-                               TimestampNTZType, TimestampType)
+from pyspark.sql.types import AtomicType
 
-MIN_ROWS_PER_BUCKET = 50_000
-MAX_BUCKETS = 4096
-SAMPLE_PER_BUCKET = 32
-
-
-@dataclass(frozen=True)
-class Key:
-    """One ordering key: ascending unless ``desc``; nulls first unless ``nulls_last``."""
-
-    expr: Column | str
-    desc: bool = False
-    nulls_last: bool = False
-
-    def col(self) -> Column:
-        return F.col(self.expr) if isinstance(self.expr, str) else self.expr
-
-    def sort_col(self) -> Column:
-        c = self.col()
-        if self.desc:
-            return c.desc_nulls_last() if self.nulls_last else c.desc_nulls_first()
-        return c.asc_nulls_last() if self.nulls_last else c.asc_nulls_first()
-
-
-def _as_key(k) -> Key:
-    return k if isinstance(k, Key) else Key(k)
-
-
-def _ascending_parts(df: DataFrame, keys: Sequence[Key]) -> list[Column]:
-    """Columns whose plain ascending struct order equals the requested order.
-
-    Each key gives a null indicator (placing nulls) and a null-free value:
-    dates and times become integers, booleans 0/1, a null value becomes the
-    type's zero (the indicator already orders it).  So bounds are exact
-    literals and vectorised code sees no nulls (ints stay ints).  Floating keys
-    get a further indicator for NaN, which Spark orders above all numbers, and
-    no value is NaN or -0.0.
-    """
-    parts: list[Column] = []
-    for k in keys:
-        c = k.col()
-        dtype = df.select(c).schema[0].dataType
-        if isinstance(dtype, (TimestampType, TimestampNTZType)):
-            c = F.unix_micros(c.cast("timestamp"))
-        elif isinstance(dtype, DateType):
-            c = F.unix_date(c)
-        elif isinstance(dtype, BooleanType):
-            c = c.cast("int")
-        elif not isinstance(dtype, (NumericType, StringType)):
-            raise ValueError(f"unsupported range key type {dtype.simpleString()}")
-        if k.desc:
-            if not isinstance(dtype, NumericType):
-                raise ValueError("descending range keys must be numeric")
-            c = -c
-        zero = F.lit("") if isinstance(dtype, StringType) else F.lit(0)
-        floating = isinstance(dtype, (FloatType, DoubleType))
-        # null indicator first: 0 sorts before 1
-        parts.append(F.when(c.isNull(), F.lit(1 if k.nulls_last else 0))
-                     .otherwise(F.lit(0 if k.nulls_last else 1)))
-        if floating:
-            parts.append(F.when(F.isnan(c), F.lit(0 if k.desc else 1)).otherwise(F.lit(1 if k.desc else 0)))
-            c = F.when(~F.isnan(c), c + F.lit(0.0).cast(dtype))
-        parts.append(F.coalesce(c, zero.cast(df.select(c).schema[0].dataType)))
-    return parts
-
-
-def _group_parts(df: DataFrame, names: Sequence[str]) -> list[Column]:
-    """Group columns as (indicator, value) pairs, like order keys."""
-    return _ascending_parts(df, [Key(n) for n in names])
-
-
-def _sql_literal(v, dtype: DataType) -> str:
-    """A bound value as SQL text of exactly ``dtype``."""
-    t = dtype.simpleString()
-    if v is None:
-        return f"CAST(NULL AS {t})"
-    if isinstance(dtype, StringType):
-        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
-    if isinstance(dtype, BooleanType):
-        return "TRUE" if v else "FALSE"
-    if isinstance(dtype, (ByteType, ShortType, IntegerType, LongType)):
-        return f"CAST({int(v)} AS {t})"
-    if isinstance(dtype, (FloatType, DoubleType)):
-        f = float(v)
-        if f != f or f in (float("inf"), float("-inf")):
-            return f"CAST('{f}' AS {t})"
-        return f"CAST({f!r} AS {t})"
-    if isinstance(dtype, DecimalType):
-        return f"CAST('{v}' AS {t})"
-    if isinstance(dtype, DateType):
-        return f"DATE '{v.isoformat()}'"
-    if isinstance(dtype, TimestampNTZType):
-        return f"TIMESTAMP_NTZ '{v.isoformat(sep=' ')}'"
-    raise ValueError(f"unsupported range key type {t}")
-
-
-CODEGEN_MAX_BOUNDS = 15
-
-
-def _bucket_sql(key_col: str, bounds: list, types) -> str:
-    """Number of bounds strictly below ``key_col`` (bounds sorted ascending).
-
-    A binary search written as nested ``CASE WHEN``s over literal bounds:
-    log2(#bounds) comparisons per row, compiled by whole-stage codegen.
-    Codegen compiles every branch, so this form is only used up to
-    ``CODEGEN_MAX_BOUNDS`` bounds.  Built as SQL text, parsed once in the JVM.
-    """
-    lits = ["named_struct(" + ", ".join(f"'k{i}', {_sql_literal(v, t)}" for i, (v, t) in enumerate(zip(b, types)))
-            + ")" for b in bounds]
-
-    def search(lo: int, hi: int) -> str:
-        # the answer lies in [lo, hi]
-        if lo >= hi:
-            return str(lo)
-        mid = (lo + hi) // 2
-        return f"CASE WHEN {lits[mid]} < {key_col} THEN {search(mid + 1, hi)} ELSE {search(lo, mid)} END"
-
-    return search(0, len(lits))
-
-
-def _bucket_udf(bounds: list, n_parts: int):
-    """Arrow-batched binary search for many bounds (a pandas UDF).
-
-    Each key part is mapped to an order-preserving integer code against the
-    distinct bound values of that part (2*i+1 when equal to the i-th value, 2*i
-    when between values), the parts are combined in mixed radix, and one
-    ``np.searchsorted`` per batch counts the bounds below each row.  Exact:
-    a row's code compares with a bound's code as the row's key compares with
-    the bound.  The bounds (at most ``MAX_BUCKETS``) travel in the closure.
-    """
-    def as_array(values):
-        arr = np.array(values)
-        return arr if arr.dtype.kind in "iuf" else np.array(values, dtype=object)
-
-    uniq = [as_array(sorted({b[j] for b in bounds})) for j in range(n_parts)]
-    radix = [2 * len(u) + 1 for u in uniq]
-    total = 1
-    for r in radix:
-        total *= r
-    dtype = np.int64 if total < 2 ** 62 else object
-
-    def encode(cols) -> np.ndarray:
-        code = np.zeros(len(cols[0]), dtype=dtype)
-        for u, r, col in zip(uniq, radix, cols):
-            x = np.asarray(col, dtype=u.dtype if u.dtype.kind in "iuf" else object)
-            idx = np.searchsorted(u, x, side="left")
-            hit = np.zeros(len(x), dtype=bool)
-            inside = idx < len(u)
-            hit[inside] = u[idx[inside]] == x[inside]
-            code = code * r + (2 * idx + hit).astype(dtype)
-        return code
-
-    bound_codes = encode([[b[j] for b in bounds] for j in range(n_parts)])
-
-    @F.pandas_udf("int")
-    def bucket(key: pd.DataFrame) -> pd.Series:
-        cols = [key[c] for c in key.columns]
-        return pd.Series(np.searchsorted(bound_codes, encode(cols), side="left").astype("int32"))
-
-    return bucket
-
-
-def _max_buckets(df: DataFrame) -> int:
-    try:
-        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    except (TypeError, ValueError):  # e.g. "auto" on some platforms
-        parts = 200
-    return max(1, min(4 * parts, MAX_BUCKETS))
-
-
-def default_buckets(df: DataFrame, n_rows: int) -> int:
-    return max(1, min(n_rows // MIN_ROWS_PER_BUCKET, _max_buckets(df)))
-
-
-def key_sample(df: DataFrame, key: Column, size: int, seed: int = 17) -> tuple[list, int]:
-    """A uniform sample of at most ``size`` keys and an estimate of the row count, in one pass.
-
-    Rows are ranked by a hash of their key; the ``size`` smallest are kept
-    (each task keeps its own ``size`` smallest, then one merge), so the sample
-    is bounded by ``size`` and is the same on every run.  The row count is
-    exact when fewer rows exist, else estimated from the largest kept hash
-    (k-minimum-values).  The estimate only picks the number of ranges.
-    """
-    u = F.xxhash64(key, F.lit(seed))
-    rows = df.select(key.alias("k"), u.alias("u")).orderBy("u").limit(size).collect()
-    if len(rows) < size:
-        return [tuple(r["k"]) for r in rows], len(rows)
-    frac = (rows[-1]["u"] + 2 ** 63) / 2 ** 64
-    return [tuple(r["k"]) for r in rows], int((size - 1) / max(frac, 1e-18))
-
-
-def pick_bounds(sample: list, buckets: int) -> list:
-    """``buckets - 1`` distinct, evenly spaced bounds from the sorted sample."""
-    if buckets <= 1 or not sample:
-        return []
-    ordered = sorted(sample)
-    step = len(ordered) / buckets
-    picked = []
-    for i in range(1, buckets):
-        v = ordered[min(len(ordered) - 1, int(i * step))]
-        if not picked or v != picked[-1]:
-            picked.append(v)
-    return picked
+from podium.operators.ranges import (Key, as_key, order_codes, range_bounds, rows_per_range, same_group, with_ranges)
 
 
 def row_number_by(df: DataFrame, order_by: Sequence, partition_by: Sequence = (),
-                  out: str = "pos", buckets: int | None = None, seed: int = 17) -> DataFrame:
+                  out: str = "pos", buckets: int | None = None) -> DataFrame:
     """``row_number() over (partition by ... order by ...)`` in parallel ranges.
 
     Rows tied on ``order_by`` are numbered by a hash of the row (Spark's
     window would use an arbitrary order); give a real tie-break key where the
     order of ties matters (the reference's rank had none, quirk 15).
+    ``buckets`` asks for about so many ranges of all rows.
     """
-    keys = [_as_key(k) for k in order_by]
+    keys = [as_key(k) for k in order_by]
     # hidden last order key: a hash of the row, so rows tied on the given keys
     # are numbered in a fixed order and a block of ties can still be cut into
     # ranges (only exact duplicate rows stay together)
@@ -254,40 +47,27 @@ def row_number_by(df: DataFrame, order_by: Sequence, partition_by: Sequence = ()
     groups = [F.col(c) if isinstance(c, str) else c for c in partition_by]
     gnames = [f"__g{i}" for i in range(len(groups))]
     base = df.withColumns({g: c for g, c in zip(gnames, groups)}) if groups else df
-    asc = _group_parts(base, gnames) + _ascending_parts(base, keys)
-    key = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(asc)])
-    types = [f.dataType for f in base.select(key.alias("k")).schema[0].dataType.fields]
-
-    cap = buckets if buckets is not None else _max_buckets(df)
-    sample, n_rows = key_sample(base, key, max(2, cap * SAMPLE_PER_BUCKET), seed) if cap > 1 else ([], 0)
-    b = buckets if buckets is not None else default_buckets(df, n_rows)
-    bounds = pick_bounds(sample, b)
     order = [k.sort_col() for k in keys]
-    if not bounds:
-        # one range: the input is small (fewer than 2 * MIN_ROWS_PER_BUCKET
-        # rows unless ``buckets=1`` was asked for), so a plain window does it
+    coded = base.select(*gnames, order_codes(base, keys).alias("__codes"))
+    n_rows = df.count()
+    bounds = range_bounds(coded, n_rows, gnames, "__codes", rows_per_range(n_rows, buckets))
+    if bounds is None:  # no group is larger than one range
         w = Window.partitionBy(*gnames).orderBy(*order) if gnames else Window.orderBy(*order)
         return base.withColumn(out, F.row_number().over(w).cast("long")).drop(*gnames)
-    if len(bounds) <= CODEGEN_MAX_BOUNDS:
-        keyed = base.withColumn("__key", key).withColumn("__bkt", F.expr(_bucket_sql("__key", bounds, types))) \
-                    .drop("__key")
-    else:
-        keyed = base.withColumn("__bkt", _bucket_udf(bounds, len(asc))(key))
-
-    counts = keyed.groupBy(*gnames, "__bkt").agg(F.count(F.lit(1)).alias("__n"))
+    keyed = with_ranges(base.withColumn("__codes", order_codes(base, keys)), gnames, "__codes", bounds, "__bkt") \
+        .drop("__codes")
+    counts = with_ranges(coded, gnames, "__codes", bounds, "__bkt", "inner").groupBy(*gnames, "__bkt") \
+        .agg(F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy(*gnames).orderBy("__bkt").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*gnames, "__bkt",
-                            F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
-    if not groups:
-        # one row per range: bounded by the bucket count
-        offsets = F.broadcast(offsets)
-    # null-safe: rows of a null group keep their place like those of any other
+    # later ranges of large groups only: a first range starts at 0, so the table is no longer than the bounds
+    offsets = counts.select(*gnames, "__bkt", F.sum("__n").over(before).alias("__off")).filter("__bkt > 0")
     names = [*gnames, "__bkt"]
-    offsets = offsets.withColumnsRenamed({c: f"{c}_o" for c in names})
-    same = [F.col(c).eqNullSafe(F.col(f"{c}_o")) for c in gnames] + [F.col("__bkt") == F.col("__bkt_o")]
-    joined = keyed.join(offsets, on=reduce(and_, same), how="inner").drop(*[f"{c}_o" for c in names])
+    offsets = F.broadcast(offsets.withColumnsRenamed({c: f"{c}_o" for c in names}))
+    # null-safe: rows of a null group keep their place like those of any other
+    joined = keyed.join(offsets, same_group(gnames, "_o") & (F.col("__bkt") == F.col("__bkt_o")), "left") \
+        .drop(*[f"{c}_o" for c in names])
     w = Window.partitionBy(*gnames, "__bkt").orderBy(*order)
-    numbered = joined.withColumn(out, F.row_number().over(w).cast("long") + F.col("__off"))
+    numbered = joined.withColumn(out, F.row_number().over(w).cast("long") + F.coalesce("__off", F.lit(0)))
     return numbered.drop(*gnames, "__bkt", "__off")
 
 
@@ -316,8 +96,8 @@ def rank_join_back(df: DataFrame, where: Column, order_by: Sequence, on: str, ta
     fallback = F.col(target) if default is None else F.coalesce(F.col(target), F.lit(default).cast(ttype))
     if compat:
         ranked = row_number_by(df.filter(where).select(F.col(on).alias("__on"), *[
-            (_as_key(k).col()).alias(f"__o{i}") for i, k in enumerate(order_by)]),
-            [Key(f"__o{i}", _as_key(k).desc, _as_key(k).nulls_last) for i, k in enumerate(order_by)],
+            (as_key(k).col()).alias(f"__o{i}") for i, k in enumerate(order_by)]),
+            [Key(f"__o{i}", as_key(k).desc, as_key(k).nulls_last) for i, k in enumerate(order_by)],
             partition_by=(), out="__rank", buckets=buckets).select("__on", "__rank")
         from podium.operators.conform import left_join_spread_nulls
         joined = left_join_spread_nulls(df.withColumn("__on", F.col(on)), ranked, ["__on"])
@@ -332,4 +112,4 @@ def rank_join_back(df: DataFrame, where: Column, order_by: Sequence, on: str, ta
 
 def top_k(df: DataFrame, k: int, order_by: Sequence) -> DataFrame:
     """The first ``k`` rows in order (H3): each task keeps k rows, one merge."""
-    return df.orderBy(*[_as_key(o).sort_col() for o in order_by]).limit(k)
+    return df.orderBy(*[as_key(o).sort_col() for o in order_by]).limit(k)

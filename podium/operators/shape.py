@@ -73,6 +73,17 @@ def exclude_values(df: DataFrame, col: str, values: Iterable) -> DataFrame:
     return df if cond is None else df.filter(cond)
 
 
+def keep_by_dimension(fact: DataFrame, fk: str, dim: DataFrame, key: str, where: Column) -> DataFrame:
+    """Fact rows whose dimension row meets ``where`` on its natural key (D3 by name, not by literal ids).
+
+    A left-semi join: where the fact is partitioned by ``fk``, Spark prunes its
+    partitions at run time by the dimension's filtered keys.  Rows with a null ``fk`` go,
+    as under ``exclude_values``.
+    """
+    kept = dim.filter(where).select(F.col(key).alias("__dim")).distinct()
+    return fact.join(kept, fact[fk] == kept["__dim"], "left_semi")
+
+
 def filter_below(df: DataFrame, col: str, limit) -> DataFrame:
     """``col < limit``; null drops."""
     return df.filter(F.col(col) < F.lit(limit))

@@ -14,13 +14,15 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from podium.fixed import (EXCLUDED_ROUND_IDS, FOREST_SEED, FOREST_TREES, MISSING_ATHLETES, NULL_FK_FIXES,
-                          RANK_LIMIT, RESET_IDS, SURNAME_IDS)
+from podium.fixed import (EVENT_PARTS, EVENT_TYPE_PARTS, EXCLUDED_ROUND_IDS, EXCLUDED_ROUNDS, FOREST_SEED,
+                          FOREST_TREES, LOCATION_END, MENS_100M, MISSING_ATHLETES, NULL_FK_FIXES, RANK_LIMIT,
+                          RESET_IDS, STATUS_EXACT, STATUS_PATTERNS, SURNAME_IDS, WOMENS_100M)
 from podium.functions.cast import concat_time, date_text, dotted_number, parse_date_text, safe_cast
 from podium.functions.text import item, split_item, starts_with, tokenize
 from podium.operators import conform, correct, extract, model, profile, rank, shape
 from podium.operators.rank import Key
-from podium.sources.tables import append_missing_rows, load, read_table, retire, save
+from podium.session import written
+from podium.sources.tables import append_missing_rows, load, publish, read_table, retire, save, stage
 
 ATHLETE_SCHEMA = "id int, name string, noc_code string, gender string"
 
@@ -36,32 +38,46 @@ FIELD_TO_BRONZE = {"rank": "Rank", "bib": "Athlete Bib", "name": "Name", "code":
 HEADER_TO_BRONZE = {"event_type": "Event Type", "round": "Round", "date": "Date", "location": "Location"}
 
 
-def sheets_to_bronze(pages: DataFrame, dictionary: Sequence[str], compat: bool = True,
-                     header_scope: str = "first_page") -> tuple[DataFrame, DataFrame]:
+def sheets_to_bronze(pages: DataFrame, dictionary: Sequence[str] | DataFrame, compat: bool = True,
+                     header_scope: str = "first_page", counts: dict | None = None) -> tuple[DataFrame, DataFrame]:
     """Result-sheet text to landing rows (A1, A3, B1-B14): (bronze, rejects).
 
     ``pages`` has ``file_path, page, text``; see ``lines_to_bronze``.
     """
-    return lines_to_bronze(extract.explode_lines(pages, "text"), dictionary, compat, header_scope)
+    return lines_to_bronze(extract.explode_lines(pages, "text"), dictionary, compat, header_scope, counts)
 
 
-def lines_to_bronze(lines: DataFrame, dictionary: Sequence[str], compat: bool = True,
-                    header_scope: str = "first_page") -> tuple[DataFrame, DataFrame]:
+def lines_to_bronze(lines: DataFrame, dictionary: Sequence[str] | DataFrame, compat: bool = True,
+                    header_scope: str = "first_page", counts: dict | None = None) -> tuple[DataFrame, DataFrame]:
     """Sheet lines (``file_path, page, line_no, line``) to landing rows: (bronze, rejects).
 
-    The layout is routed by file path.  The header comes from the first page
-    (compat, quirk 2) or the whole file; compat leaves missing header values
-    null (quirk 1), strict fills the reference's defaults.
+    The layout is routed by file path; ``dictionary`` is a list or a table of codes of any
+    size.  The header comes from the first page (compat, quirk 2) or the whole file;
+    compat leaves missing header values null (quirk 1), strict fills the reference's
+    defaults.  The text is read once: header matches and parsed lines go into one
+    written table, split into records and rejects, which are counted on the way
+    (``counts`` takes the numbers).
     """
-    lines = lines.withColumn("layout", extract.route_layout(F.col("file_path"), SHEET_ROUTES, "heats"))
-    scope = lines.filter(F.col("page") == 0) if header_scope == "first_page" else lines
-    headers = extract.fill_header(scope, "file_path", ["page", "line_no"], extract.header_patterns(),
-                                  complete_col=None)
-    body = lines.filter(starts_with("line", r"^\d", unicode=True))
-    parsed = extract.parse_layout(body, SHEET_LAYOUTS, dictionary, layout_col="layout",
+    names = list(HEADER_TO_BRONZE)
+    scope = F.col("page") == 0 if header_scope == "first_page" else F.lit(True)
+    body = starts_with("line", r"^\d", unicode=True)
+    lines = lines.select("file_path", "page", "line_no", "line", body.alias("__body"),
+                         extract.route_layout(F.col("file_path"), SHEET_ROUTES, "heats").alias("layout"),
+                         *[F.when(scope, c).alias(f"__h_{n}") for n, c in extract.header_patterns().items()])
+    useful = F.col("__body")
+    for n in names:
+        useful = useful | F.col(f"__h_{n}").isNotNull()
+    parsed = extract.parse_layout(lines.filter(useful), SHEET_LAYOUTS, dictionary, layout_col="layout",
                                   mode="compat" if compat else "strict",
                                   tokenizer=lambda c: tokenize(c, unicode=True))
-    records, rejects = extract.split_rejects(parsed)
+    # a header line that is no record is kept apart from the rejects by its null flag
+    parsed = parsed.withColumn("is_reject", F.when(F.col("__body"), F.col("is_reject")))
+    table, seen = extract.write_parsed(parsed, "sheet-lines")
+    if counts is not None:
+        counts.update(seen)
+    records, rejects = table.filter(~F.col("is_reject")), table.filter("is_reject")
+    headers = extract.fill_header(table, "file_path", ["page", "line_no"], {n: F.col(f"__h_{n}") for n in names},
+                                  complete_col=None)
     records = records.select("file_path", "page", "line_no", *FIELD_TO_BRONZE)
     bronze = extract.attach_header(records, headers, "file_path",
                                    None if compat else extract.HEADER_DEFAULTS)
@@ -76,9 +92,9 @@ def lines_to_bronze(lines: DataFrame, dictionary: Sequence[str], compat: bool =
 def _gender(compat: bool):
     """compat: Female for anything but the men's event; strict: either event in any case, else null (quirk 9)."""
     if compat:
-        return correct.decode("Event Type", {"Men's 100m": "Male"}, "Female", strict=False)
+        return correct.decode("Event Type", {MENS_100M: "Male"}, "Female", strict=False)
     event = F.lower(F.trim("Event Type"))
-    return correct.case_map(event, {"men's 100m": "Male", "women's 100m": "Female"}, None)
+    return correct.case_map(event, {MENS_100M.lower(): "Male", WOMENS_100M.lower(): "Female"}, None)
 
 
 def silver_athlete(bronze: DataFrame, compat: bool = False) -> DataFrame:
@@ -116,20 +132,34 @@ def add_missing_athletes(athlete: DataFrame) -> DataFrame:
     return append_missing_rows(athlete, rows, ["id"])
 
 
-def silver_round(bronze: DataFrame, compat: bool = False) -> DataFrame:
-    """Round dimension (N2): decode event, distinct, date text, location, key."""
-    r = bronze.select(
-        F.col("Round").alias("round"), F.col("Date").alias("date_raw"), F.col("Location").alias("location"),
-        correct.decode_like("Event Type", [("%Men's%", "Men's"), ("%Women's%", "Women's")]).alias("event"),
-        correct.decode_like("Event Type", [("%100m", "100m")]).alias("event_type"))
-    r = conform.distinct_rows(r, ["round", "date_raw", "location", "event", "event_type"])
-    r = r.withColumn("date_value", parse_date_text("date_raw")) \
-         .withColumn("date", date_text("date_value")) \
-         .withColumn("location", split_item("location", " Athlétisme", 0)).drop("date_raw")
-    key = ["round", "date", "location", "event", "event_type"]
+ROUND_KEY = ("round", "date", "location", "event", "event_type")
+
+
+def _round_columns() -> dict:
+    """The natural key of a round as it is stored, from the landing columns: normalised before anything compares it."""
+    return {"round": F.trim("Round"), "date": date_text(parse_date_text("Date")),
+            "location": split_item("Location", LOCATION_END, 0),
+            "event": correct.decode_like("Event Type", EVENT_PARTS),
+            "event_type": correct.decode_like("Event Type", EVENT_TYPE_PARTS)}
+
+
+def silver_round(bronze: DataFrame, compat: bool = False, registry: str | None = None) -> DataFrame:
+    """Round dimension (N2): id, round, date, location, event, event type.
+
+    compat follows the reference: distinct before the date and the location are put
+    in form, ids by row placement.  strict: one row per key in its final form, numbered in key
+    order, or by a key registry (a path) that keeps the ids of earlier loads.
+    """
     if compat:
-        return r.withColumn("id", F.monotonically_increasing_id())
-    return conform.surrogate_key(r, key, "id").withColumn("id", F.col("id").cast("bigint"))
+        r = bronze.select(F.col("Round").alias("round"), F.col("Date").alias("date"), F.col("Location").alias("location"),
+                          correct.decode_like("Event Type", EVENT_PARTS).alias("event"),
+                          correct.decode_like("Event Type", EVENT_TYPE_PARTS).alias("event_type"))
+        r = conform.distinct_rows(r, ROUND_KEY).withColumns({
+            "date": date_text(parse_date_text("date")), "location": split_item("location", LOCATION_END, 0)})
+        return r.select(F.monotonically_increasing_id().alias("id"), *ROUND_KEY)
+    r = conform.distinct_rows(bronze.select(*[c.alias(n) for n, c in _round_columns().items()]), ROUND_KEY)
+    numbered = conform.register_keys(r, ROUND_KEY, registry, "id") if registry else conform.surrogate_key(r, ROUND_KEY, "id")
+    return numbered.select(F.col("id").cast("bigint").alias("id"), *ROUND_KEY)
 
 
 def _fraction(col: str):
@@ -142,25 +172,30 @@ def silver_race(bronze: DataFrame, athlete: DataFrame, rounds: DataFrame, compat
     """Race fact (N3).  The order of the corrections is the reference's; changing it
     changes results: null FK, status, reset, default heat, rank, time text,
     default result, casts."""
+    key = {f"__{n}": c for n, c in _round_columns().items()}
     race = bronze.select(
         F.col("Rank").alias("rank"), F.col("Heat").alias("heat"), F.col("Lane").alias("lane"),
         F.col("Pos").alias("position"), F.col("Time").alias("time"), F.col("Milliseconds").alias("milliseconds"),
         F.col("Wind").alias("wind"), F.col("Result").alias("result"),
         F.col("Additional Info").alias("additional_info"), F.col("Athlete Bib").alias("athlete_bib"),
         F.col("Round").alias("round"), F.trim(item(F.split("Event Type", " "), 0)).alias("event"),
-        F.trim(item(F.split("Event Type", " "), 1)).alias("event_type"))
+        F.trim(item(F.split("Event Type", " "), 1)).alias("event_type"), *[c.alias(n) for n, c in key.items()])
     race = conform.lookup_fk(race, athlete, [(safe_cast("athlete_bib", "int"), "id")], "id", "FK_athlete_id",
                              strict=not compat)
-    race = conform.lookup_fk(race, rounds, [(F.col("round"), "round"), (F.col("event"), "event"),
-                                            (F.col("event_type"), "event_type")], "id", "FK_round_id",
-                             strict=not compat)
-    race = race.drop("athlete_bib", "round", "event_type", "event")
+    if compat:
+        on = [(F.col(n), n) for n in ("round", "event", "event_type")]
+        race = conform.lookup_fk(race, rounds, on, "id", "FK_round_id", strict=False)
+    else:  # the whole key; a missing part is a value of its own
+        named = rounds.select("id", *[F.coalesce(n, F.lit("")).alias(n) for n in ROUND_KEY])
+        race = conform.lookup_fk(race, named, [(F.coalesce(f"__{n}", F.lit("")), n) for n in ROUND_KEY], "id",
+                                 "FK_round_id")
+    # both lookups are done once; what follows reads the rows several times
+    race = written(race.drop("athlete_bib", "round", "event_type", "event", *key), "race-looked-up")
     spark = bronze.sparkSession
     fixes = spark.createDataFrame(NULL_FK_FIXES, "heat string, lane string, fix int")
     race = conform.correct_null(race, "FK_athlete_id", fixes, [("heat", "heat"), ("lane", "lane")], "fix",
                                 small=True)
-    race = race.withColumn("result", correct.status_override("position", "result", {"DNS": "DNS", "DQ": "DQ"},
-                                                             {"F1": "DQ"}))
+    race = race.withColumn("result", correct.status_override("position", "result", STATUS_EXACT, STATUS_PATTERNS))
     race = correct.reset_columns(race, "FK_athlete_id", RESET_IDS, {"position": "0", "time": "0", "wind": "0.0"})
     race = correct.fill_default(race, {"heat": "1"})
     q_first = F.when(F.col("result") == "Q", F.lit(1)).otherwise(F.lit(2))
@@ -199,29 +234,42 @@ def gold_fact_race(race: DataFrame, load_time: str | None = None) -> DataFrame:
 
 
 def medallion_job(spark: SparkSession, bronze: DataFrame, out: str, load_time: str | None = None,
-                  compat: bool = False, mode: str = "overwrite") -> dict[str, str]:
+                  compat: bool = False, mode: str = "overwrite", registry: str | None = None) -> dict[str, str]:
     """Landing to gold (N5): bronze, silver, gold written in dependency order,
-    bronze retired last.  Missing athletes join before the race lookup
-    (quirk 20); ``overwrite`` makes a rerun give the same tables."""
+    bronze retired last.  Missing athletes join before the race lookup (quirk 20).
+
+    ``overwrite`` stages a new version of every table and publishes all of them at the
+    end: a run that fails leaves the old tables as they were (quirk 19), and a rerun
+    gives the same tables.  Other modes write in place.
+    """
     paths = {n: f"{out}/{n}" for n in ("bronze", "silver_athlete", "silver_round", "silver_race",
                                        "gold_dim_athlete", "gold_dim_round", "gold_fact_race")}
+    versions: list[str] = []
+
+    def put(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
+        if mode != "overwrite":
+            save(df, paths[name], mode, partition_by)
+            return load(spark, paths[name])
+        versions.append(stage(df, paths[name], partition_by))
+        return load(spark, versions[-1])
+
     save(bronze, paths["bronze"], mode)
     b = load(spark, paths["bronze"])
-    save(add_missing_athletes(silver_athlete(b, compat)), paths["silver_athlete"], mode)
-    save(silver_round(b, compat), paths["silver_round"], mode)
-    athlete, rounds = load(spark, paths["silver_athlete"]), load(spark, paths["silver_round"])
-    save(silver_race(b, athlete, rounds, compat), paths["silver_race"], mode)
-    save(gold_dimension(athlete, load_time), paths["gold_dim_athlete"], mode)
-    save(gold_dimension(rounds, load_time), paths["gold_dim_round"], mode)
-    # partitioned by round (a few values per event): readers that filter on
-    # rounds, like the scoring job, read only those folders
-    save(gold_fact_race(load(spark, paths["silver_race"]), load_time), paths["gold_fact_race"], mode,
-         partition_by=("NK_round",))
+    athlete = put(add_missing_athletes(silver_athlete(b, compat)), "silver_athlete")
+    rounds = put(silver_round(b, compat, registry), "silver_round")
+    race = put(silver_race(b, athlete, rounds, compat), "silver_race")
+    put(gold_dimension(athlete, load_time), "gold_dim_athlete")
+    put(gold_dimension(rounds, load_time), "gold_dim_round")
+    # partitioned by round (a few values per event): readers that filter on rounds, like the
+    # scoring job, read only those folders; rebalanced, so that a round is neither a crumb from every
+    # task nor all in one
+    put(gold_fact_race(race, load_time).hint("rebalance", F.col("NK_round")), "gold_fact_race", ("NK_round",))
+    publish(spark, versions)
     retire(spark, paths["bronze"])
     return paths
 
 
-def sheets_to_gold(spark: SparkSession, text_paths, dictionary: Sequence[str], out: str,
+def sheets_to_gold(spark: SparkSession, text_paths, dictionary: Sequence[str] | DataFrame, out: str,
                     load_time: str | None = None, compat: bool = False, mode: str = "overwrite",
                     splittable: bool = False) -> dict[str, str]:
     """The whole run (N5) from sheet text files, with the reference's CSV hop:
@@ -264,13 +312,20 @@ def score_top(features: DataFrame, key: str, k: int = 3, keep: Sequence[str] = (
 
 
 def finalist_scoring(fact: DataFrame, compat: bool = False, num_trees: int = FOREST_TREES,
-                     seed: int = FOREST_SEED) -> Mapping[str, DataFrame]:
+                     seed: int = FOREST_SEED, rounds: DataFrame | None = None) -> Mapping[str, DataFrame]:
     """Finalist scoring (N6): exclude rounds, profile, features, forest, top 3.
 
     compat excludes the literal round ids 2 and 3 and keeps ``rank < 452``
-    (quirks 12, 23).  The label is position = 1, a feature itself (quirk 22).
+    (quirks 12, 23).  strict excludes the rounds of these names through the round
+    dimension ``rounds``, so it holds whatever ids they got.  The label is position =
+    1, a feature itself (quirk 22).
     """
-    df = shape.exclude_values(fact, "NK_round", EXCLUDED_ROUND_IDS) if compat else fact
+    if compat:
+        df = shape.exclude_values(fact, "NK_round", EXCLUDED_ROUND_IDS)
+    elif rounds is None:
+        raise ValueError("strict scoring needs the round dimension")
+    else:
+        df = shape.keep_by_dimension(fact, "NK_round", rounds, "id", ~F.col("round").isin(EXCLUDED_ROUNDS))
     flags = ["qualified", "qualification_type", "disqualified", "disqualification_type", "record", "record_type"]
     fixed = df.withColumn("rank", safe_cast("rank", "int")).withColumn("time", dotted_number("time", "float"))
     numeric = shape.numeric_columns(fixed)
@@ -288,12 +343,14 @@ def finalist_scoring(fact: DataFrame, compat: bool = False, num_trees: int = FOR
 
 
 def finalist_job(spark: SparkSession, fact_path: str, out: str, compat: bool = False,
-                 mode: str = "overwrite", num_trees: int = FOREST_TREES, seed: int = FOREST_SEED) -> dict[str, str]:
+                 mode: str = "overwrite", num_trees: int = FOREST_TREES, seed: int = FOREST_SEED,
+                 rounds_path: str | None = None) -> dict[str, str]:
     """Scoring as a job (N6, A12): the outputs are written, the top 3 as ``ml_results``.
 
     The top rows stay in Spark from scoring to the write; nothing is collected.
     """
-    outs = finalist_scoring(load(spark, fact_path), compat, num_trees, seed)
+    rounds = load(spark, rounds_path) if rounds_path else None
+    outs = finalist_scoring(load(spark, fact_path), compat, num_trees, seed, rounds)
     paths = {name: f"{out}/{'ml_results' if name == 'top' else 'profile_' + name}" for name in outs}
     for name, df in outs.items():
         save(df, paths[name], mode)
@@ -374,6 +431,6 @@ def driver_medallion_job(spark: SparkSession, d: str, out: str, load_time: str |
                            load_time)
     save(gold, f"{out}/fact", mode)
     retire(spark, bronze)
-    counts = [load(spark, f"{out}/{t}").agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("tbl"), "n")
-              for t, name in (("dim_customer", "dim_customer"), ("fact", "fact"))]
-    return counts[0].unionByName(counts[1])
+    counts = [load(spark, f"{out}/{t}").agg(F.count(F.lit(1)).alias("n")).select(F.lit(t).alias("tbl"), "n")
+              for t in ("dim_customer", "dim_round", "fact")]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])

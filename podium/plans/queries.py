@@ -20,7 +20,7 @@ from podium.functions.text import first_in, flag_priority, split_item, starts_wi
 from podium.operators import conform, correct, extract, model, profile, rank, shape
 from podium.operators.rank import Key
 from podium.plans import jobs
-from podium.session import scratch_path
+from podium.session import scratch_path, written
 from podium.sources import csv as csv_io
 from podium.sources import files, jdbc
 from podium.sources.tables import append_missing_rows, append_with_drift, load, read_table
@@ -171,11 +171,11 @@ def q_jdbc_query_pushdown(spark, d):
 
 
 @query("patch_rows", """
-SELECT n_nationkey, n_name FROM nation WHERE n_nationkey <> 3 UNION ALL SELECT 3, 'PATCHED'
+SELECT n_nationkey, n_name FROM nation UNION ALL SELECT 1003, 'PATCHED'
 """)
 def q_patch_rows(spark, d):
-    nation = T(spark, d, "nation").filter(F.col("n_nationkey") != 3).select("n_nationkey", "n_name")
-    rows = spark.createDataFrame([(3, "PATCHED"), (4, "PATCHED")], "n_nationkey int, n_name string")
+    nation = T(spark, d, "nation").select("n_nationkey", "n_name")
+    rows = spark.createDataFrame([(1003, "PATCHED"), (4, "PATCHED")], "n_nationkey int, n_name string")
     return append_missing_rows(nation, rows, ["n_nationkey"])
 
 
@@ -207,6 +207,16 @@ def q_dict_token_pos(spark, d):
     return extract.dict_token_pos(docs, "tokens", ["of", "and", "the", "le", "der"], "pos").select("doc_id", "pos")
 
 
+@query("dict_token_table", """
+WITH w AS (SELECT DISTINCT unnest(string_split(text, ' ')) AS tok FROM benchmark), t AS (SELECT doc_id, unnest(string_split(text, ' ')) AS tok, generate_subscripts(string_split(text, ' '), 1) - 1 AS pos FROM documents), h AS (SELECT doc_id, min(pos) AS pos, count(*) AS hits FROM t JOIN w USING (tok) GROUP BY doc_id) SELECT doc_id, CAST(pos AS INT) AS pos, CAST(hits AS INT) AS hits FROM documents LEFT JOIN h USING (doc_id)
+""")
+def q_dict_token_table(spark, d):
+    """The dictionary is a table: all words of the benchmark items, looked up in every document."""
+    words = T(spark, d, "benchmark").select(F.explode(_words()).alias("w"))
+    docs = T(spark, d, "documents", spread=True).select("doc_id", _words().alias("tokens"))
+    return extract.dict_tokens(docs, "tokens", words, "pos", "hits").select("doc_id", "pos", "hits")
+
+
 def _sheet_lines(spark, d, layout: str) -> DataFrame:
     """Result-sheet lines written from lineitem x supplier x nation, one layout."""
     li = T(spark, d, "lineitem", spread=True)
@@ -234,17 +244,8 @@ LAYOUTS = {"heats": extract.HEATS, "final_a": extract.FINAL_A, "final_b": extrac
 
 
 def _parse_sheet(spark, d, layout):
-    lines = _sheet_lines(spark, d, layout)
     words = T(spark, d, "nation").select("n_name")
-    return extract.parse_layout(lines, LAYOUTS, extract_words(words), layout_col="layout")
-
-
-def extract_words(df: DataFrame, limit: int = 5000) -> list[str]:
-    """A dictionary table as a list, after checking it is bounded."""
-    rows = df.distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError("dictionary too large for a literal set")
-    return sorted(r[0] for r in rows)
+    return extract.parse_layout(_sheet_lines(spark, d, layout), LAYOUTS, words, layout_col="layout")
 
 
 @query("parse_layout_heat", """
@@ -313,8 +314,10 @@ def q_parse_rejects(spark, d):
     docs = T(spark, d, "documents", spread=True).select("source", "text")
     parsed = extract.parse_layout(docs, extract.HEATS, ["of", "and", "the"], line_col="text",
                                   tokenizer=lambda c: F.split(c, " ", -1), keep=["source"])
-    return parsed.groupBy("source").agg(F.count_if(~F.col("is_reject")).alias("parsed"),
-                                        F.count_if(F.col("is_reject")).alias("rejected"))
+    records, rejects, _ = extract.split_rejects(parsed)
+    both = records.select("source", F.lit(1).alias("p"), F.lit(0).alias("r")).unionByName(
+        rejects.select("source", F.lit(0).alias("p"), F.lit(1).alias("r")))
+    return both.groupBy("source").agg(F.sum("p").alias("parsed"), F.sum("r").alias("rejected"))
 
 
 @query("header_attach", """
@@ -541,46 +544,62 @@ def q_distinct_dim(spark, d):
     return conform.distinct_rows(ev, ["event_type", "day"])
 
 
-def _part_dim(spark, d):
-    return T(spark, d, "part").filter(F.col("p_size") <= 25).select("p_partkey")
+def _bib(col: str):
+    """A key as sheets give it: text, and no number on every seventh line."""
+    return safe_cast(F.when(F.col("l_linenumber") == 7, F.lit("X")).otherwise(F.col(col).cast("string")), "bigint")
 
 
 @query("lookup_fk", """
-SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, p_partkey AS fk_part FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_size <= 25) ON l_partkey = p_partkey AND l_linenumber <> 7
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, p_partkey AS fk_part FROM lineitem LEFT JOIN part ON l_partkey = p_partkey AND l_linenumber <> 7
 """)
 def q_lookup_fk(spark, d):
     li = T(spark, d, "lineitem").select(*LINE_KEY)
-    bib = F.when(F.col("l_linenumber") == 7, F.lit("X")).otherwise(F.col("l_partkey").cast("string"))
-    return conform.lookup_fk(li, _part_dim(spark, d), [(safe_cast(bib, "bigint"), "p_partkey")],
-                             "p_partkey", "fk_part")
+    part = T(spark, d, "part").select("p_partkey")
+    return conform.lookup_fk(li, part, [(_bib("l_partkey"), "p_partkey")], "p_partkey", "fk_part")
 
 
 @query("lookup_fk_multi", """
-WITH d AS (SELECT *, row_number() OVER (ORDER BY f, s, n) AS id FROM (SELECT DISTINCT l_returnflag AS f, l_linestatus AS s, l_linenumber AS n FROM lineitem WHERE l_returnflag <> 'N')) SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, id AS fk FROM lineitem LEFT JOIN d ON l_returnflag = f AND l_linestatus = s AND l_linenumber = n
+WITH d AS (SELECT *, row_number() OVER (ORDER BY f, s, n) AS id FROM (SELECT DISTINCT l_returnflag AS f, l_linestatus AS s, l_linenumber AS n FROM lineitem)) SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, id AS fk FROM lineitem LEFT JOIN d ON l_returnflag = f AND l_linestatus = s AND l_linenumber = n
 """)
 def q_lookup_fk_multi(spark, d):
     li = T(spark, d, "lineitem")
-    dim = conform.distinct_rows(li.filter(F.col("l_returnflag") != "N").select(
+    dim = conform.distinct_rows(li.select(
         F.col("l_returnflag").alias("f"), F.col("l_linestatus").alias("s"), F.col("l_linenumber").alias("n")),
         ["f", "s", "n"])
-    dim = conform.surrogate_key(dim, ["f", "s", "n"], "id").withColumn("id", F.col("id").cast("bigint"))
+    dim = conform.surrogate_key(dim, ["f", "s", "n"], "id")
     fact = li.select(*LINE_KEY, "l_returnflag", "l_linestatus")
     on = [(F.col("l_returnflag"), "f"), (F.col("l_linestatus"), "s"), (F.col("l_linenumber"), "n")]
     return conform.lookup_fk(fact, dim, on, "id", "fk").select(*LINE_KEY, "fk")
 
 
 @query("lookup_correction", """
-WITH m(n, f, fix) AS (VALUES (1,'A',514), (2,'R',1042), (3,'N',690)) SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, coalesce(p_partkey, fix) AS fk FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_size <= 25) ON l_partkey = p_partkey LEFT JOIN m ON p_partkey IS NULL AND l_linenumber = n AND l_returnflag = f
+WITH m(n, f, fix) AS (VALUES (7,'A',514), (7,'R',1042), (1,'N',690)) SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, coalesce(p_partkey, fix) AS fk FROM lineitem LEFT JOIN part ON l_partkey = p_partkey AND l_linenumber <> 7 LEFT JOIN m ON p_partkey IS NULL AND l_linenumber = n AND l_returnflag = f
 """)
 def q_lookup_correction(spark, d):
     li = T(spark, d, "lineitem").select(*LINE_KEY, "l_returnflag")
-    looked = conform.lookup_fk(li, _part_dim(spark, d), [(F.col("l_partkey"), "p_partkey")], "p_partkey", "fk")
-    fixes = spark.createDataFrame([(1, "A", 514), (2, "R", 1042), (3, "N", 690)], "n int, f string, fix int")
+    part = T(spark, d, "part").select("p_partkey")
+    looked = conform.lookup_fk(li, part, [(_bib("l_partkey"), "p_partkey")], "p_partkey", "fk")
+    fixes = spark.createDataFrame([(7, "A", 514), (7, "R", 1042), (1, "N", 690)], "n int, f string, fix int")
     fixed = conform.correct_null(looked, "fk", fixes, [("l_linenumber", "n"), ("l_returnflag", "f")], "fix",
                                  small=True)
     return fixed.select(*LINE_KEY, "fk")
 
 
+@query("lookup_hot", """
+WITH k AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN l_linenumber % 3 = 1 THEN (SELECT min(s_suppkey) FROM supplier) WHEN l_linenumber = 6 THEN NULL ELSE l_suppkey END AS s FROM lineitem) SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, n_name AS fk FROM k LEFT JOIN supplier ON s = s_suppkey LEFT JOIN nation ON s_nationkey = n_nationkey
+""")
+def q_lookup_hot(spark, d):
+    """A shuffled lookup in which one key holds a third of the lines: it is found by sketch and spread out."""
+    from podium.operators.skew import heavy_keys, left_join_spread
+    sup = T(spark, d, "supplier").select("s_suppkey", "s_nationkey").join(
+        T(spark, d, "nation").select("n_nationkey", "n_name"), F.col("s_nationkey") == F.col("n_nationkey"), "left")
+    first = T(spark, d, "supplier").agg(F.min("s_suppkey")).first()[0]
+    li = T(spark, d, "lineitem").select(*LINE_KEY, F.when(F.col("l_linenumber") % 3 == 1, F.lit(first))
+                                        .when(F.col("l_linenumber") != 6, F.col("l_suppkey")).alias("__k0"))
+    dim = sup.select(F.col("s_suppkey").alias("__k0"), F.col("n_name").alias("fk"))
+    return left_join_spread(li, dim, ["__k0"], heavy_keys(li, ["__k0"])).select(*LINE_KEY, "fk")
+
+
 # --------------------------------------------------------------------------- ranking
 
 
@@ -614,6 +633,29 @@ def q_rank_join_back(spark, d):
     return r.select("o_orderkey", "pos")
 
 
+@query("rank_in_place", """
+SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN CAST(row_number() OVER (PARTITION BY o_orderstatus, o_orderpriority ORDER BY o_totalprice, o_orderkey) AS INT) ELSE -1 END AS pos FROM orders
+""")
+def q_rank_in_place(spark, d):
+    """The strict form: a rank stays on its own row."""
+    o = T(spark, d, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus", "o_totalprice") \
+        .withColumn("pos", F.lit(None).cast("int"))
+    r = rank.rank_join_back(o, F.col("o_orderstatus") == "P", ["o_totalprice", "o_orderkey"], "o_orderkey", "pos",
+                            default=-1, compat=False, partition_by=["o_orderpriority"])
+    return r.select("o_orderkey", "pos")
+
+
+@query("rank_mixed", """
+SELECT event_id, row_number() OVER (PARTITION BY nullif(event_type, 'click') ORDER BY CAST(ts AS DATE) DESC NULLS LAST, props DESC NULLS LAST, nullif(value, 0) ASC NULLS LAST, ts DESC, event_id) AS pos FROM events
+""")
+def q_rank_mixed(spark, d):
+    """Descending dates, text and times, null groups; sixty-four ranges."""
+    ev = T(spark, d, "events").select("event_id", "ts", "props", "value", "event_type")
+    order = [Key(F.to_date("ts"), True, True), Key("props", True, True), Key(F.nullif("value", F.lit(0.0)), False, True),
+             Key("ts", True), Key("event_id")]
+    return rank.row_number_by(ev, order, [F.nullif("event_type", F.lit("click"))], buckets=64).select("event_id", "pos")
+
+
 @query("top_k", """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice FROM lineitem ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 3
 """)
@@ -661,6 +703,19 @@ def q_surrogate_key(spark, d):
     return conform.surrogate_key(dim, ["p_brand", "p_type"], "id").withColumn("id", F.col("id").cast("int"))
 
 
+@query("key_registry", """
+WITH k AS (SELECT DISTINCT o_orderpriority AS p, CAST(o_orderdate AS DATE) AS day, o_orderdate < (SELECT median(o_orderdate) FROM orders) AS early FROM orders), m AS (SELECT p, day, bool_or(early) AS early FROM k GROUP BY ALL) SELECT p, day, row_number() OVER (ORDER BY early DESC, p, day) AS id FROM m
+""")
+def q_key_registry(spark, d):
+    """Two loads of one dimension: the second keeps the first one's keys and numbers the new ones after them."""
+    o = T(spark, d, "orders").select(F.col("o_orderpriority").alias("p"), F.to_date("o_orderdate").alias("day"),
+                                     F.unix_micros(F.col("o_orderdate").cast("timestamp")).alias("us"))
+    mid = profile.exact_quantiles(o.select("us"), "us", [], [0.5], ["mid"]).first()["mid"]
+    path = scratch_path(spark, "registry")
+    conform.register_keys(o.filter(F.col("us") < F.lit(mid)).select("p", "day").distinct(), ["p", "day"], path)
+    return conform.register_keys(o.select("p", "day").distinct(), ["p", "day"], path)
+
+
 @query("hash_key", """
 SELECT c_custkey, sha256(CAST(c_custkey AS VARCHAR)) AS h FROM customer
 """)
@@ -672,10 +727,15 @@ def q_hash_key(spark, d):
 
 
 @query("describe_cols", """
-SELECT 'c_acctbal' AS col, count(c_acctbal) AS n, round(avg(c_acctbal), 4) AS mean, round(stddev_samp(c_acctbal), 4) AS sd, min(c_acctbal) AS lo, max(c_acctbal) AS hi FROM customer UNION ALL SELECT 'c_nationkey', count(c_nationkey), round(avg(c_nationkey), 4), round(stddev_samp(c_nationkey), 4), min(c_nationkey), max(c_nationkey) FROM customer
+SELECT 'c_custkey' AS col, count(c_custkey) AS n, round(avg(TRY_CAST(c_custkey AS DOUBLE)), 4) AS mean, round(stddev_samp(TRY_CAST(c_custkey AS DOUBLE)), 4) AS sd, CAST(min(c_custkey) AS DOUBLE) AS lo, CAST(max(c_custkey) AS DOUBLE) AS hi, CAST(NULL AS VARCHAR) AS lo_text, CAST(NULL AS VARCHAR) AS hi_text FROM customer
+UNION ALL SELECT 'c_name' AS col, count(c_name) AS n, round(avg(TRY_CAST(c_name AS DOUBLE)), 4) AS mean, round(stddev_samp(TRY_CAST(c_name AS DOUBLE)), 4) AS sd, CAST(NULL AS DOUBLE) AS lo, CAST(NULL AS DOUBLE) AS hi, min(c_name) AS lo_text, max(c_name) AS hi_text FROM customer
+UNION ALL SELECT 'c_nationkey' AS col, count(c_nationkey) AS n, round(avg(TRY_CAST(c_nationkey AS DOUBLE)), 4) AS mean, round(stddev_samp(TRY_CAST(c_nationkey AS DOUBLE)), 4) AS sd, CAST(min(c_nationkey) AS DOUBLE) AS lo, CAST(max(c_nationkey) AS DOUBLE) AS hi, CAST(NULL AS VARCHAR) AS lo_text, CAST(NULL AS VARCHAR) AS hi_text FROM customer
+UNION ALL SELECT 'c_acctbal' AS col, count(c_acctbal) AS n, round(avg(TRY_CAST(c_acctbal AS DOUBLE)), 4) AS mean, round(stddev_samp(TRY_CAST(c_acctbal AS DOUBLE)), 4) AS sd, CAST(min(c_acctbal) AS DOUBLE) AS lo, CAST(max(c_acctbal) AS DOUBLE) AS hi, CAST(NULL AS VARCHAR) AS lo_text, CAST(NULL AS VARCHAR) AS hi_text FROM customer
+UNION ALL SELECT 'c_mktsegment' AS col, count(c_mktsegment) AS n, round(avg(TRY_CAST(c_mktsegment AS DOUBLE)), 4) AS mean, round(stddev_samp(TRY_CAST(c_mktsegment AS DOUBLE)), 4) AS sd, CAST(NULL AS DOUBLE) AS lo, CAST(NULL AS DOUBLE) AS hi, min(c_mktsegment) AS lo_text, max(c_mktsegment) AS hi_text FROM customer
 """)
 def q_describe_cols(spark, d):
-    return profile.describe_cols(T(spark, d, "customer"), ["c_acctbal", "c_nationkey"])
+    customer = T(spark, d, "customer")
+    return profile.describe_cols(customer, customer.columns)
 
 
 @query("value_counts", """
@@ -693,6 +753,15 @@ def q_boxplot_stats(spark, d):
     return profile.box_stats(ev, "value", ["g"])
 
 
+@query("exact_quantiles", """
+SELECT l_returnflag AS f, nullif(l_linenumber, 4) AS n, quantile_cont(l_extendedprice, 0.01) AS a, quantile_cont(l_extendedprice, 0.5) AS b, quantile_cont(l_extendedprice, 0.999) AS c FROM lineitem GROUP BY ALL
+""")
+def q_exact_quantiles(spark, d):
+    li = T(spark, d, "lineitem").select(F.col("l_returnflag").alias("f"), F.nullif("l_linenumber", F.lit(4)).alias("n"),
+                                        "l_extendedprice")
+    return profile.exact_quantiles(li, "l_extendedprice", ["f", "n"], [0.01, 0.5, 0.999], ["a", "b", "c"])
+
+
 # --------------------------------------------------------------------------- model
 
 
@@ -785,6 +854,73 @@ def _sheet_files(spark, d) -> DataFrame:
     return header.unionByName(body)
 
 
+_SHEET_SQL = """
+WITH li AS (SELECT *, l_orderkey IN (514, 1206, 2055, 1042, 690, 452) AS reset FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey),
+n AS (SELECT DISTINCT n_nationkey, n_regionkey, 'Round ' || n_regionkey AS round, strftime(DATE '2024-08-01' + n_regionkey, '%d/%m/%y') AS date, 'Stade de France' AS location, CASE WHEN n_nationkey % 2 = 0 THEN 'Men''s' ELSE 'Women''s' END AS event, '100m' AS event_type FROM li),
+rounds AS (SELECT row_number() OVER (ORDER BY round, date, location, event, event_type) AS id, * FROM (SELECT DISTINCT round, date, location, event, event_type FROM n)),
+race AS (SELECT l_orderkey AS FK_athlete_id, CAST(l_linenumber AS VARCHAR) AS rank, CAST(l_suppkey % 8 + 1 AS INT) AS heat, l_linenumber AS lane, CASE WHEN reset THEN 0 ELSE CAST(l_quantity AS INT) END AS position,
+  (CASE WHEN reset THEN '0' ELSE printf('%.2f', l_discount * 100 + 9) END) || (CASE WHEN l_linestatus = 'F' THEN '.' || CAST(CAST(trunc(l_tax * 100) AS INT) AS VARCHAR) ELSE '.000' END) AS time,
+  CASE WHEN reset THEN '0.0' ELSE '+0.1' END AS wind, CASE l_returnflag WHEN 'A' THEN 'Q' WHEN 'R' THEN 'q' ELSE 'NQ' END AS result, CAST(NULL AS VARCHAR) AS additional_info, r.id AS FK_round_id
+  FROM li JOIN n USING (n_nationkey) JOIN rounds r ON r.round = n.round AND r.date = n.date AND r.event = n.event)
+"""
+
+
+def _sheet_bronze(spark, d) -> DataFrame:
+    """The landing rows of the derived sheets, written once."""
+    words = T(spark, d, "nation").select("n_name")
+    bronze, _ = jobs.lines_to_bronze(_sheet_files(spark, d), words, compat=False)
+    return written(bronze, "sheet-bronze")
+
+
+def _sheet_dimensions(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return jobs.add_missing_athletes(jobs.silver_athlete(bronze)), jobs.silver_round(bronze)
+
+
+@query("sheet_athletes", _SHEET_SQL + """
+, a AS (SELECT CAST(l_orderkey AS INT) AS id, 'SUP ' || l_partkey AS name, n_name AS noc_code, CASE WHEN n_nationkey % 2 = 0 THEN 'Male' ELSE 'Female' END AS gender FROM li)
+SELECT id, name, noc_code, gender FROM a QUALIFY row_number() OVER (PARTITION BY id ORDER BY name, noc_code, gender) = 1
+UNION ALL SELECT * FROM (VALUES (514, 'MULAMBA Dominique Lasconi', 'COD', 'Male'), (452, 'BROWN Aaron', 'CAN', 'Male'), (690, 'AZU Jeremiah', 'GBR', 'Male'), (1042, 'SABINO Steven', 'MOZ', 'Male')) v(id, name, noc_code, gender) WHERE id NOT IN (SELECT id FROM a)
+""")
+def q_sheet_athletes(spark, d):
+    return _sheet_dimensions(_sheet_bronze(spark, d))[0]
+
+
+@query("sheet_rounds", _SHEET_SQL + "SELECT id, round, date, location, event, event_type FROM rounds")
+def q_sheet_rounds(spark, d):
+    return _sheet_dimensions(_sheet_bronze(spark, d))[1]
+
+
+@query("sheet_races", _SHEET_SQL + "SELECT * FROM race")
+def q_sheet_races(spark, d):
+    bronze = _sheet_bronze(spark, d)
+    race = jobs.silver_race(bronze, *_sheet_dimensions(bronze))
+    return race.withColumn("FK_athlete_id", F.col("FK_athlete_id").cast("bigint"))
+
+
+@query("sheet_gold", _SHEET_SQL + """
+SELECT FK_athlete_id AS NK_athlete, FK_round_id AS NK_round, rank, heat, lane, position, time, wind, result IN ('Q', 'q') AS qualified, CASE result WHEN 'Q' THEN 'Place' WHEN 'q' THEN 'Time' END AS qualification_type, FALSE AS disqualified, CAST(NULL AS VARCHAR) AS disqualification_type, FALSE AS record, CAST(NULL AS VARCHAR) AS record_type, TIMESTAMP '2024-08-10 00:00:00' AS insert_date, TIMESTAMP '2024-08-10 00:00:00' AS modified_date, TRUE AS active FROM race
+""")
+def q_sheet_gold(spark, d):
+    """Every row of the gold fact that the whole job (N1-N5) publishes."""
+    paths = jobs.medallion_job(spark, _sheet_bronze(spark, d), scratch_path(spark, "sheet-gold"),
+                               load_time="2024-08-10 00:00:00")
+    fact = load(spark, paths["gold_fact_race"])
+    return fact.withColumn("NK_athlete", F.col("NK_athlete").cast("bigint"))
+
+
+@query("sheet_kept_rounds", _SHEET_SQL + """
+SELECT event, count(*) AS n, CAST(sum(position) AS BIGINT) AS pos_sum FROM race JOIN rounds ON FK_round_id = id WHERE round NOT IN ('Round 2', 'Round 4') GROUP BY event
+""")
+def q_sheet_kept_rounds(spark, d):
+    """Rounds left out by name: the fact's partitions are pruned through the dimension."""
+    paths = jobs.medallion_job(spark, _sheet_bronze(spark, d), scratch_path(spark, "sheet-kept"))
+    rounds = load(spark, paths["gold_dim_round"])
+    kept = shape.keep_by_dimension(load(spark, paths["gold_fact_race"]), "NK_round", rounds, "id",
+                                   ~F.col("round").isin("Round 2", "Round 4"))
+    return kept.join(rounds.select("id", "event"), F.col("NK_round") == F.col("id")).groupBy("event").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("position").alias("pos_sum"))
+
+
 @query("sheet_medallion", """
 SELECT l_returnflag IN ('A','R') AS qualified, CASE l_returnflag WHEN 'A' THEN 'Place' WHEN 'R' THEN 'Time' END AS qualification_type, count(*) AS n, CAST(sum(CASE WHEN l_orderkey IN (514, 1206, 2055, 1042, 690, 452) THEN 0 ELSE CAST(l_quantity AS INT) END) AS BIGINT) AS pos_sum, count(DISTINCT l_orderkey) AS athletes, count(DISTINCT n_regionkey * 2 + n_nationkey % 2) AS rounds FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey GROUP BY 1, 2
 """)
@@ -792,9 +928,8 @@ def q_sheet_medallion(spark, d):
     """The reference's own chain (N1-N5) on sheets derived from the tables:
     header fill, layout parse, bronze, silver athlete/round/race with every
     correction, gold fact with flags — each layer written and read back."""
-    words = extract_words(T(spark, d, "nation").select("n_name"))
-    bronze, _ = jobs.lines_to_bronze(_sheet_files(spark, d), words, compat=False)
-    paths = jobs.medallion_job(spark, bronze, scratch_path(spark, "sheet-medallion"), load_time="2024-08-10 00:00:00")
+    paths = jobs.medallion_job(spark, _sheet_bronze(spark, d), scratch_path(spark, "sheet-medallion"),
+                               load_time="2024-08-10 00:00:00")
     fact = load(spark, paths["gold_fact_race"])
     return fact.groupBy("qualified", "qualification_type").agg(
         F.count(F.lit(1)).alias("n"), F.sum("position").alias("pos_sum"),
@@ -802,7 +937,7 @@ def q_sheet_medallion(spark, d):
 
 
 @query("medallion_job", """
-SELECT 'dim_customer' AS tbl, count(*) AS n FROM customer UNION ALL SELECT 'fact', count(*) FROM lineitem
+SELECT 'dim_customer' AS tbl, count(*) AS n FROM customer UNION ALL SELECT 'dim_round', count(*) FROM (SELECT DISTINCT CAST(o_orderdate AS DATE), o_orderpriority FROM orders) UNION ALL SELECT 'fact', count(*) FROM lineitem
 """)
 def q_medallion_job(spark, d):
     out = scratch_path(spark, "medallion")

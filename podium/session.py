@@ -77,3 +77,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for a written table."""
     return f"{checkpoint_dir(spark)}/podium-tables/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written under the shared folder and read back: its lineage is cut and its size is known to the planner."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,4 +1,4 @@
-"""Parquet tables, save with an explicit mode, retire, append with drift."""
+"""Parquet tables, save with an explicit mode, staged and published versions, retire, append with drift."""
 
 from __future__ import annotations
 
@@ -48,9 +48,60 @@ def save(df: DataFrame, target: str, mode: str, partition_by: Sequence[str] = ()
         w.saveAsTable(target)
 
 
+def _hadoop(spark: SparkSession, target: str):
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(target)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path, jvm.org.apache.hadoop.fs.Path
+
+
+def _names(fs, path) -> list[str]:
+    return sorted(s.getPath().getName() for s in fs.listStatus(path)) if fs.exists(path) else []
+
+
+POINTERS, VERSION = "_published", "version-"
+
+
+def stage(df: DataFrame, target: str, partition_by: Sequence[str] = (), fmt: str = "parquet") -> str:
+    """Write a new version of the table ``target`` beside its older ones; readers see it once it is published.
+
+    Returns its path.  A version that a failed run left behind is never read and never
+    written again.  One writer at a time.
+    """
+    fs, path, _ = _hadoop(df.sparkSession, target)
+    last = max((int(n[len(VERSION):]) for n in _names(fs, path) if n.startswith(VERSION)), default=0)
+    version = f"{target}/{VERSION}{last + 1:09d}"
+    save(df, version, "errorifexists", partition_by, fmt)
+    return version
+
+
+def publish(spark: SparkSession, versions: Sequence[str], keep: int = 2) -> None:
+    """Point the tables at staged versions, one empty file each; older versions than the last ``keep`` are dropped."""
+    for version in versions:
+        target, name = version.rsplit("/", 1)
+        fs, _, path = _hadoop(spark, target)
+        fs.mkdirs(path(f"{target}/{POINTERS}"))
+        fs.createNewFile(path(f"{target}/{POINTERS}/{name}"))
+    for version in versions:
+        target = version.rsplit("/", 1)[0]
+        fs, _, path = _hadoop(spark, target)
+        named = _names(fs, path(f"{target}/{POINTERS}"))
+        for old in (n for n in _names(fs, path(target)) if n.startswith(VERSION) and n < min(named[-keep:])):
+            fs.delete(path(f"{target}/{POINTERS}/{old}"), False)
+            fs.delete(path(f"{target}/{old}"), True)
+
+
+def published(spark: SparkSession, target: str) -> str | None:
+    """The path of the version that ``target`` points at, if it is a published table."""
+    fs, path, _ = _hadoop(spark, f"{target}/{POINTERS}")
+    named = _names(fs, path)
+    return f"{target}/{named[-1]}" if named else None
+
+
 def load(spark: SparkSession, target: str, merge_schema: bool = False, fmt: str = "parquet") -> DataFrame:
+    """A table by path (its published version, if it has one) or catalog name."""
     if "/" in target:
-        return spark.read.format(fmt).option("mergeSchema", str(merge_schema).lower()).load(target)
+        return spark.read.format(fmt).option("mergeSchema", str(merge_schema).lower()) \
+            .load(published(spark, target) or target)
     return spark.table(target)
 
 
@@ -66,9 +117,7 @@ def append_with_drift(df: DataFrame, target: str, fmt: str = "parquet") -> None:
 def retire(spark: SparkSession, target: str) -> None:
     """Drop a landing table after the downstream tables are written (A10)."""
     if "/" in target:
-        jvm = spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(target)
-        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        fs, path, _ = _hadoop(spark, target)
         fs.delete(path, True)
     else:
         spark.sql(f"DROP TABLE IF EXISTS {target}")

@@ -21,7 +21,7 @@ def test_layouts_parse_fixture_lines(spark):
 
 def test_rejects_are_kept_not_lost(spark):
     df = _lines(spark, [("heats", REJECTED)] + [(lay, line) for lay, line, _ in CASES])
-    records, rejects = extract.split_rejects(extract.parse_layout(df, SHEET_LAYOUTS, DICTIONARY, layout_col="layout"))
+    records, rejects, _ = extract.split_rejects(extract.parse_layout(df, SHEET_LAYOUTS, DICTIONARY, layout_col="layout"))
     assert [r["line"] for r in rejects.collect()] == [REJECTED]
     assert records.count() + rejects.count() == df.count()
 
@@ -79,15 +79,40 @@ def test_roundtrip_typed_columns_through_a_line(spark):
     assert sorted(tuple(r) for r in back.collect()) == sorted((r[0], r[7], r[8]) for r in rows)
 
 
-def test_dictionary_table_join_path(spark):
-    df = spark.createDataFrame([(1, "a b USA c"), (2, "x y"), (3, "FRA")], "id int, t string")
-    df = df.withColumn("tokens", F.split("t", " "))
+def test_dictionary_table_of_any_size(spark):
+    """Lists and tables give the same; repeated, empty and null lines, null words, more words than the filter has bits for."""
+    texts = ["a b USA c", "x y", "FRA", "FRA", "", None, "USA FRA USA", "w199999 USA", "USA"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string").withColumn("tokens", F.split("t", " "))
+    small = spark.createDataFrame([(w,) for w in [*DICTIONARY, None]], "w string")
+    large = small.unionByName(spark.range(200_000).select(F.concat(F.lit("w"), "id").alias("w")))
+    listed = {r.id: r.pos for r in extract.dict_token_pos(df, "tokens", DICTIONARY).collect()}
+    assert listed == {0: 2, 1: None, 2: 0, 3: 0, 4: None, 5: None, 6: 0, 7: 1, 8: 0}
+    assert {r.id: r.pos for r in extract.dict_token_pos(df, "tokens", small).collect()} == listed
+    got = {r.id: (r.pos, r.n) for r in extract.dict_tokens(df, "tokens", large, "pos", "n").collect()}
+    assert got[7] == (0, 2) and got[6] == (0, 3) and got[1] == (None, None) and got[8] == (0, 1)
+
+
+def test_layout_with_a_dictionary_table(spark, monkeypatch):
+    lines = [line for _, line, _ in CASES] + [REJECTED, ""]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(lines)], "id int, line string")
     words = spark.createDataFrame([(w,) for w in DICTIONARY], "w string")
-    lit = extract.dict_token_pos(df, "tokens", words, "pos")
-    joined = extract.dict_token_pos(df, "tokens", words, "pos", key=["id"], max_literal=2)
-    expect = {1: 2, 2: None, 3: 0}
-    assert {r.id: r.pos for r in lit.collect()} == expect
-    assert {r.id: r.pos for r in joined.collect()} == expect
+    for mode, size in (("compat", 5000), ("compat", 2), ("strict", 2)):  # a literal set, and a join
+        monkeypatch.setattr(extract, "LITERAL_WORDS", size)
+        a = extract.parse_layout(df, extract.HEATS, DICTIONARY, mode=mode)
+        b = extract.parse_layout(df, extract.HEATS, words, mode=mode)
+        assert a.columns == b.columns
+        assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+
+
+def test_rejects_and_records_from_one_pass(spark):
+    """The text is scanned once, both sides read the written table, and the counters are those of the sides."""
+    df = spark.createDataFrame([(i, "1 2 n USA 1" if i % 4 else "nothing") for i in range(200)], "id int, line string")
+    records, rejects, counts = extract.split_rejects(extract.parse_layout(df, extract.HEATS, DICTIONARY))
+    assert counts == {"records": 150, "rejects": 50}
+    assert (records.count(), rejects.count()) == (150, 50)
+    for side in (records, rejects):
+        plan = side._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(is_reject" in plan and "LocalTableScan" not in plan
 
 
 def test_route_layout(spark):

