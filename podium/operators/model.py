@@ -57,7 +57,10 @@ def fit_forest(train: DataFrame, key: str, num_trees: int = 100, seed: int = 42,
         .persist(StorageLevel.MEMORY_AND_DISK)
     try:
         rf = RandomForestClassifier(numTrees=num_trees, seed=seed, featuresCol=features, labelCol=label)
-        return rf.fit(ordered)
+        fitted = rf.fit(ordered)
+        # the training summary holds the session, which cannot go to the tasks once it has observed a query
+        fitted._java_obj.setSummary(train.sparkSession.sparkContext._jvm.scala.Option.empty())
+        return fitted
     finally:
         ordered.unpersist()
 

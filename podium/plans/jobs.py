@@ -325,7 +325,9 @@ def finalist_scoring(fact: DataFrame, compat: bool = False, num_trees: int = FOR
     elif rounds is None:
         raise ValueError("strict scoring needs the round dimension")
     else:
-        df = shape.keep_by_dimension(fact, "NK_round", rounds, "id", ~F.col("round").isin(EXCLUDED_ROUNDS))
+        # read once with its partitions pruned: profiles, features and the forest scan what is kept several times
+        df = written(shape.keep_by_dimension(fact, "NK_round", rounds, "id", ~F.col("round").isin(EXCLUDED_ROUNDS)),
+                     "kept-rounds")
     flags = ["qualified", "qualification_type", "disqualified", "disqualification_type", "record", "record_type"]
     fixed = df.withColumn("rank", safe_cast("rank", "int")).withColumn("time", dotted_number("time", "float"))
     numeric = shape.numeric_columns(fixed)
