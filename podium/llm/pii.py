@@ -8,20 +8,26 @@ kind then also marks digit- or @-bearing runs that the fixed patterns miss.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from podium.functions.bloom import Bloom
 from podium.llm.common import materialise
 
 KINDS = ("email", "ip", "card", "phone")
 
 #: The base patterns (matched leftmost, not overlapping, per kind) and what must hold for a match.
+#: Loops are possessive where what follows them can never begin inside them: the matches are the same, and a run of
+#: any length is matched in a loop, not by recursion, and in time linear in its length.
 PATTERNS = {
     # a match starts at the head of a run of local-part characters, or where the last match ended: elsewhere the
     # head of that run would have matched before, so the search needs not start again inside it
-    "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
-    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
-    "card": r"[0-9]([\x20-]?[0-9])+",
+    "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
+    "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
+    "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 #: Cheap tests that a text without any match fails.
@@ -34,16 +40,20 @@ GATES = {
 #: Runs of words with a digit or an @ sign: what a pattern may discover.
 RUN = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+(?:\x20[^\s0-9@]*+[0-9@]\S*+)*+"
 #: What a discovered run must look like.
-SHAPES = {"email": r"@.*[A-Za-z]", "ip": r"^[^A-Za-z]*[0-9]+[.,:][0-9]+[.,:][0-9]+[^A-Za-z]*$",
-          "card": r"^(?:[^0-9A-Za-z]*[0-9]){12,}[^0-9A-Za-z]*$", "phone": r"^(?:[^0-9A-Za-z]*[0-9]){7,15}[^0-9A-Za-z]*$"}
-EDGE = r"^[\p{Punct}&&[^+(]]+|[\p{Punct}&&[^)]]+$"
+SHAPES = {"email": (r"(?s)@.*[A-Za-z]",), "ip": (r"^[^A-Za-z]*+$", r"[0-9][.,:][0-9]++[.,:][0-9]"),
+          "card": (r"^(?:[^0-9A-Za-z]*+[0-9]){12,}+[^0-9A-Za-z]*+$",),
+          "phone": (r"^(?:[^0-9A-Za-z]*+[0-9]){7,15}+[^0-9A-Za-z]*+$",)}
+EDGE = r"^[\p{Punct}&&[^+(]]++|(?:\G|(?<![\p{Punct}&&[^)]]))[\p{Punct}&&[^)]]++$"
+#: The last word of a text.
+LAST_WORD = r"(?<!\S)(\S++)\s*+$"
 
 #: What is trimmed off a piece of a run that was cut at a base span.
-CUT_HEAD, CUT_TAIL = r"^[\s\p{Punct}&&[^+(]]+", r"[\s\p{Punct}&&[^)]]+$"
+CUT_HEAD, CUT_TAIL = r"^[\s\p{Punct}&&[^+(]]++", r"(?<![\s\p{Punct}&&[^)]])[\s\p{Punct}&&[^)]]++$"
 
-CONTEXT_CHARS = 64
 MIN_SEEDS = 3
 ACCEPT = 0.5
+#: Parts of the hashes of following words: one in so many is counted, last all of them.
+FOLLOWER_PARTS = (32, 1)
 ROUNDS = 3
 
 SPAN = "struct<kind:int,start:int,end:int>"
@@ -105,9 +115,9 @@ def _runs(text: Column) -> Column:
     """array<struct<start, end, run, left>>: digit- or @-bearing runs and the word before each."""
     matches, pieces = _positions(text, RUN, text.rlike("[0-9@]"))
     before = F.slice(pieces, F.lit(1), F.size(matches))
-    lefts = F.transform(before, lambda p: F.lower(F.regexp_extract(F.right(p, F.lit(CONTEXT_CHARS)), r"(\S+)\s*$", 1)))
+    lefts = F.transform(before, lambda p: F.lower(F.regexp_extract(p, LAST_WORD, 1)))
     core = F.transform(matches, lambda m: F.regexp_replace(m, EDGE, ""))
-    heads = F.transform(matches, lambda m: F.char_length(m) - F.char_length(F.regexp_replace(m, r"^[\p{Punct}&&[^+(]]+", "")))
+    heads = F.transform(matches, lambda m: F.char_length(m) - F.char_length(F.regexp_replace(m, r"^[\p{Punct}&&[^+(]]++", "")))
     placed = F.arrays_zip(_starts(matches, pieces).alias("s"), core.alias("c"), heads.alias("h"), lefts.alias("l"))
     found = F.transform(placed, lambda x: F.struct(
         (x["s"] + x["h"]).alias("start"), (x["s"] + x["h"] + F.char_length(x["c"])).alias("end"),
@@ -150,23 +160,40 @@ def _units(scanned: DataFrame) -> DataFrame:
                       run.alias("run"), "u.seed", (F.col("u.start") == r["start"]).alias("first")).filter("run <> ''")
 
 
+def _followers(source: DataFrame, lefts: DataFrame, part: int) -> DataFrame:
+    """(left, n): how many different words without digits or @ follow each left word, over all texts.
+
+    Words whose hash is divisible by ``part`` only; pairs with other left words are dropped
+    inside the projection and pairs are made distinct in the tasks before they are shuffled.
+    """
+    bloom = Bloom(lefts, "left")
+    words = F.split(F.lower("__text"), r"\s+")
+    pairs = F.arrays_zip(F.col("w").alias("left"), F.slice("w", F.lit(2), F.size("w")).alias("next"))
+
+    def wanted(p: Column) -> Column:
+        inside = (p["next"] != "") & bloom.may_hold(p["left"]) & ~p["next"].rlike("[0-9@]")
+        return (F.pmod(F.xxhash64(p["next"]), F.lit(part)) == 0) & inside if part > 1 else inside
+
+    kept = source.select(words.alias("w")).select(F.explode(F.filter(pairs, wanted)).alias("p")).select("p.left", "p.next")
+    return kept.distinct().groupBy("left").agg(F.count(F.lit(1)).alias("n"))
+
+
 def _patterns(scanned: DataFrame, source: DataFrame) -> DataFrame:
     """(kind, left) of the patterns accepted after the scores have been passed on."""
     # an edge for each pattern and instance, with the kind of the instance where it is a seed
-    edges = _units(scanned).filter("first").groupBy("left", "run").agg(F.max("seed").alias("seed"))
-    lefts = edges.filter("seed >= 0").groupBy("left").agg(F.count(F.lit(1)).alias("seeds")) \
-        .filter(F.col("seeds") >= MIN_SEEDS)
-    lefts = materialise(lefts.select("left"), "pii-lefts")
-    if lefts.isEmpty():
-        return lefts.select(F.lit(0).alias("kind"), "left").limit(0)
+    edges = materialise(_units(scanned).filter("first").groupBy("left", "run").agg(F.max("seed").alias("seed")), "pii-edges")
+    told = edges.groupBy("left").agg(F.count(F.lit(1)).alias("n_runs"), F.count_if(F.col("seed") >= 0).alias("seeds"))
+    lefts = materialise(told.filter(F.col("seeds") >= MIN_SEEDS).select("left", "n_runs"), "pii-lefts")
+    # a pattern's score is no more than its runs to all that follows it.  The words that follow it, counted in one
+    # part of their hashes after another, rule out most patterns long before all their followers are counted
+    for part in FOLLOWER_PARTS:
+        if lefts.isEmpty():
+            return lefts.select(F.lit(0).alias("kind"), "left").limit(0)
+        seen = materialise(lefts.select("left", "n_runs").join(_followers(source, lefts, part), "left", "left").select(
+            "left", "n_runs", F.coalesce("n", F.lit(0)).alias("n")), "pii-words")
+        lefts = seen.filter(F.col("n_runs") >= ACCEPT * (F.col("n_runs") + F.col("n")))
+    seen = lefts.select("left", (F.col("n_runs") + F.col("n")).alias("times"))
     edges = materialise(edges.join(lefts, "left", "left_semi"), "pii-edges")
-    # how many different things stand after a left word, over all texts: its edges and the other words that follow it
-    words = F.split(F.lower("__text"), r"\s+")
-    pairs = source.select(words.alias("w")).select(F.explode(F.arrays_zip(
-        F.col("w").alias("left"), F.slice("w", F.lit(2), F.size("w")).alias("next"))).alias("p")).select("p.left", "p.next")
-    plain = pairs.filter("next <> ''").join(lefts, "left", "left_semi").filter(~F.col("next").rlike("[0-9@]")).distinct()
-    seen = materialise(plain.groupBy("left").agg(F.count(F.lit(1)).alias("n")).unionByName(
-        edges.groupBy("left").agg(F.count(F.lit(1)).alias("n"))).groupBy("left").agg(F.sum("n").alias("times")), "pii-words")
     kinds = F.explode(F.array(*[F.lit(k) for k in range(len(KINDS))]))
     graph = edges.withColumn("kind", kinds)
     score = graph.withColumn("s", (F.col("seed") == F.col("kind")).cast("double"))
@@ -192,7 +219,8 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     the discovered ones (code points, end exclusive; kind is an index of KINDS).  A
     discovered run has the right shape, overlaps no other span, and follows a pattern
     of its kind; a run that meets base spans is cut at them first.  A pattern's score
-    counts the different things that follow it, so copies of a text do not weaken it.  Null and empty texts have no spans; repeated rows and null ids give
+    counts the different things that follow it, so copies of a text do not weaken it.
+    Null and empty texts have no spans; repeated rows and null ids give
     one row each; an empty table gives none; other columns are ignored.
     """
     text = F.col("__text")
@@ -205,7 +233,8 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     free = _units(scanned).filter("seed < 0")
     shape = F.lit(False)
     for k, kind in enumerate(KINDS):
-        shape = F.when(F.col("kind") == k, F.col("run").rlike(SHAPES[kind])).otherwise(shape)
+        fits = reduce(and_, [F.col("run").rlike(p) for p in SHAPES[kind]])
+        shape = F.when(F.col("kind") == k, fits).otherwise(shape)
     marked = free.join(patterns, "left").filter(shape).groupBy("text_key", "start", "end").agg(F.min("kind").alias("kind"))
     added = marked.groupBy("text_key").agg(F.collect_list(F.struct("kind", "start", "end")).alias("more"))
     return scanned.join(added, "text_key", "left").select(
