@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,6 +26,9 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+_WRITTEN = "_podium_written"
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` under the session's shared checkpoint folder and read it back.
 
@@ -33,7 +37,29 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    setattr(back, _WRITTEN, path)
+    return back
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``materialise`` that nothing reads any more."""
+    for df in tables:
+        path = getattr(df, _WRITTEN)
+        sc = df.sparkSession.sparkContext
+        where = sc._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(sc._jsc.hadoopConfiguration()).delete(where, True)
+
+
+_CACHE: dict[str, object] = {}
+
+
+def worker_cache(owner: str, make: Callable[[], object]) -> object:
+    """The cache of one operator in this Python worker; a worker keeps one operator's at a time."""
+    if owner not in _CACHE:
+        _CACHE.clear()
+        _CACHE[owner] = make()
+    return _CACHE[owner]
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -8,11 +8,11 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from podium.llm.common import small_batches, tokenizer_path
+from podium.llm.common import small_batches, tokenizer_path, worker_cache
 
 CAPACITY = 4096
 END_ID = 2
@@ -84,14 +84,9 @@ class WordEncoder:
         return [self._direct(t) if ws is None else b"".join(map(get, ws)) for t, ws in zip(texts, split)]
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
-
-
 def encoder(vocabulary: str) -> WordEncoder:
     """One encoder for each Python worker and vocabulary."""
-    if vocabulary not in _ENCODERS:
-        _ENCODERS[vocabulary] = WordEncoder(vocabulary)
-    return _ENCODERS[vocabulary]
+    return worker_cache(f"packing:{vocabulary}", lambda: WordEncoder(vocabulary))
 
 
 def differencing(sizes: list[int], ways: int) -> list[list[int]]:
@@ -164,15 +159,16 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = "word_bpe_
     schema = f"doc_id {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, " \
              f"sequence_id bigint, offset bigint" + (", token_ids array<bigint>" if with_ids else "")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         code, end = encoder(vocabulary), np.asarray([end_id], dtype="<u4").tobytes()
         number = TaskContext.get().partitionId() << 36
+        kept: pa.DataType | None = None
         ids: list = []
         held: list[bytes] = []
         tokens = 0
 
-        def flush() -> pd.DataFrame:
+        def flush() -> pa.RecordBatch:
             nonlocal number, tokens
             rows = []
             for pieces in pack_chunk([len(h) // 4 for h in held], capacity):
@@ -186,15 +182,16 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = "word_bpe_
             ids.clear()
             held.clear()
             tokens = 0
-            out = pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")])
-            out["doc_id"] = pd.Series([r[0] for r in rows], dtype=object)
-            return out
+            types = [kept] + [pa.int64()] * 6 + [pa.list_(pa.int64())] * with_ids
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)],
+                                              names=[c.split()[0] for c in schema.split(", ")])
 
         for batch in batches:
-            texts, keys = batch["text"].tolist(), batch["doc_id"].tolist()
+            kept = batch.schema.field("doc_id").type
+            texts, keys = batch.column("text").to_pylist(), batch.column("doc_id").to_pylist()
             for i in range(0, len(texts), 256):
                 for key, raw in zip(keys[i:i + 256], code.encode(texts[i:i + 256])):
-                    ids.append(None if pd.isna(key) else key)
+                    ids.append(key)
                     held.append(raw + end)
                     tokens += len(raw) // 4 + 1
                 if tokens >= CHUNK_WINDOWS * capacity:
@@ -202,4 +199,4 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = "word_bpe_
         if held:
             yield flush()
 
-    return source.mapInPandas(run, schema).withColumnRenamed("doc_id", id_col)
+    return source.mapInArrow(run, schema).withColumnRenamed("doc_id", id_col)
