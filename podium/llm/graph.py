@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from podium.llm.common import materialise
+from podium.llm.common import discard, materialise
 
 #: Two star steps a round; the number of rounds grows with the square of the logarithm of the longest chain.
 MAX_ROUNDS = 100
@@ -38,6 +38,7 @@ def components(links: DataFrame, rounds: int = MAX_ROUNDS) -> DataFrame:
         now = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if now == last:
             return edges.groupBy("a").agg(F.min("b").alias("c")).select(F.col("a").alias("h"), "c")
-        last = now
-        edges = materialise(_small_star(_large_star(edges)), "stars")
+        last, before = now, edges
+        edges = materialise(_small_star(_large_star(before)), "stars")
+        discard(before)
     raise RuntimeError(f"components: edges still change after {rounds} rounds")

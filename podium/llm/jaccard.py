@@ -14,10 +14,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from podium.llm.common import materialise, small_batches
+from podium.llm.common import discard, materialise, small_batches, worker_cache
+from podium.llm.graph import components
 
 WORDS = 5
 THRESHOLD = 80  # per cent
@@ -25,13 +27,17 @@ THRESHOLD = 80  # per cent
 FREQUENT = 8
 #: Bound of the table of frequent shingles sent to tasks; further ones are treated as rare (still exact).
 MAX_FREQUENT = 1 << 17
-CHUNK_SHINGLES = 4_000_000
-SEEN_SETS = 500_000
-CACHE_WORDS = 300_000
+CHUNK_SHINGLES = 1_500_000
+SEEN_SETS = 200_000
+CACHE_WORDS = 200_000
 #: Rounds that compare the records of a signature with one leader before all that is still apart.
-LEADER_ROUNDS = 3
+LEADER_ROUNDS = 2
 #: Records of a signature that a task compares with each other at once.
 BLOCK = 2048
+#: Up to so many records of a signature are compared one by one.
+FEW = 24
+#: Pairs that a task remembers to have sent.
+SENT_PAIRS = 100_000
 
 _MUL = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5,
                  0x85EBCA77C2B2AE63], dtype=np.uint64)
@@ -47,9 +53,6 @@ class _WordHashes(dict):
         return h
 
 
-_HASHES = _WordHashes()
-
-
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x81DADEF4BC2DD44D)
@@ -64,7 +67,7 @@ def shingle_set(text: str | None, size: int = WORDS) -> np.ndarray:
     if len(words) < size:
         import xxhash
         return np.asarray([xxhash.xxh64_intdigest(b" ".join(words), seed=len(words))], dtype=np.uint64)
-    h = _HASHES
+    h = worker_cache("jaccard", _WordHashes)
     w = np.asarray([h[x] for x in words], dtype=np.uint64)
     n = len(w) - size + 1
     total = np.zeros(n, dtype=np.uint64)
@@ -132,8 +135,12 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray, threshold: int = THRESH
 
 
 def sketch(tokens: np.ndarray) -> bytes:
-    """Bitmap of the shingles by hash (a power of two of bits, at least eight a shingle up to 64 Ki bits)."""
-    size = 1 << min(13, max(3, (len(tokens) - 1).bit_length()))  # bytes
+    """Bitmap of the shingles by hash: a power of two of bits, two to four a shingle up to 64 Ki bits.
+
+    Sets with nothing in common then pass the bound at 0.35 to 0.2 of the union, sets that
+    share half of their shingles at 0.6: far enough below 0.8 to be told from links.
+    """
+    size = 1 << min(13, max(3, (len(tokens) - 1).bit_length() - 2))  # bytes
     bits = np.zeros(size * 8, dtype=bool)
     bits[(tokens & np.uint64(size * 8 - 1)).astype(np.int64)] = True
     return np.packbits(bits, bitorder="little").tobytes()
@@ -154,6 +161,52 @@ def may_link(x: np.ndarray, nx: int, rows: np.ndarray, n: np.ndarray, threshold:
     return most * 100 >= (nx + n - most) * threshold
 
 
+def _narrowed(bitmap: int, bits: int, to: int) -> int:
+    """A bitmap of ``bits`` bits folded to ``to``."""
+    while bits > to:
+        bits //= 2
+        bitmap = bitmap >> bits | bitmap & ((1 << bits) - 1)
+    return bitmap
+
+
+def few_pairs(h, c, n, sketches: list[bytes], own, threshold: int) -> list[tuple[int, int]]:
+    """Pairs (smaller id first) of a few records in different components that may link by size and bitmap."""
+    maps = [int.from_bytes(x, "little") for x in sketches]
+    h, c, n, out = h.tolist(), c.tolist(), n.tolist(), []
+    for p in range(1, len(h)):
+        for q in range(p):
+            if c[p] == c[q] or (own is not None and own[p] == own[q]) \
+                    or min(n[p], n[q]) * 100 < max(n[p], n[q]) * threshold:
+                continue
+            bits = 8 * min(len(sketches[p]), len(sketches[q]))
+            x, y = _narrowed(maps[p], 8 * len(sketches[p]), bits), _narrowed(maps[q], 8 * len(sketches[q]), bits)
+            most = min(n[p] - (x & ~y).bit_count(), n[q] - (y & ~x).bit_count())
+            if most * 100 >= (n[p] + n[q] - most) * threshold:
+                out.append((min(h[p], h[q]), max(h[p], h[q])))
+    return out
+
+
+def many_pairs(h, c, n, sketches: list[bytes], own, threshold: int) -> list[tuple[int, int]]:
+    """As ``few_pairs``, a record against all others at once; those of the largest component against the rest only."""
+    sizes = np.asarray([len(x) for x in sketches])
+    places = {int(z): np.flatnonzero(sizes == z) for z in np.unique(sizes)}
+    tables = {z: np.frombuffer(b"".join(sketches[p] for p in ps), np.uint8).reshape(-1, z) for z, ps in places.items()}
+    names, counts = np.unique(c, return_counts=True)
+    most, out = names[counts.argmax()], []
+    for p in np.flatnonzero(c != most):
+        x = np.frombuffer(sketches[p], np.uint8)
+        for z, table in tables.items():
+            ps = places[z]
+            ok = (c[ps] != c[p]) & ((c[ps] == most) | (ps > p)) \
+                & (np.minimum(n[ps], n[p]) * 100 >= np.maximum(n[ps], n[p]) * threshold)
+            if own is not None:
+                ok &= own[ps] != own[p]
+            if ok.any():
+                hit = ps[ok][may_link(x, int(n[p]), table[ok], n[ps][ok], threshold)]
+                out.extend((int(min(h[p], h[q])), int(max(h[p], h[q]))) for q in hit)
+    return out
+
+
 def linked(a: np.ndarray, b: np.ndarray, threshold: int = THRESHOLD) -> bool:
     i = len(np.intersect1d(a, b, assume_unique=True))
     return 100 * i >= threshold * (len(a) + len(b) - i)
@@ -197,11 +250,11 @@ def _signed(source: DataFrame, frequent: np.ndarray, threshold: int) -> DataFram
     """One row for each document: set id, size, sketch and signatures (once for each set and task)."""
     table = source.sparkSession.sparkContext.broadcast(frequent)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often, seen = table.value, set()
         for batch in batches:
             rows = []
-            for doc, text in zip(batch["_id"].tolist(), batch["_text"]):
+            for text in batch.column("_text").to_pylist():
                 tokens = shingle_set(text)
                 h = set_id(tokens)
                 first = h not in seen and len(tokens) > 3
@@ -209,44 +262,15 @@ def _signed(source: DataFrame, frequent: np.ndarray, threshold: int) -> DataFram
                     if len(seen) >= SEEN_SETS:
                         seen.clear()
                     seen.add(h)
-                rows.append((None if pd.isna(doc) else doc, h, len(tokens), sketch(tokens) if first else None,
+                rows.append((h, len(tokens), sketch(tokens) if first else None,
                              signatures(tokens, often, threshold) if first else None))
-            out = pd.DataFrame(rows, columns=["_id", "h", "n", "sketch", "sigs"])
-            out["_id"] = pd.Series([r[0] for r in rows], dtype=object)
-            yield out
+            h, n, sketches, sigs = zip(*rows) if rows else ((),) * 4
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("_id"), pa.array(h, pa.int64()), pa.array(n, pa.int64()), pa.array(sketches, pa.binary()),
+                 pa.array(sigs, pa.list_(pa.int64()))], names=["_id", "h", "n", "sketch", "sigs"])
 
     kind = dict(source.dtypes)["_id"]
-    return source.mapInPandas(run, f"_id {kind}, h bigint, n bigint, sketch binary, sigs array<bigint>")
-
-
-def components(links: DataFrame, rounds: int = 50) -> DataFrame:
-    """(h, c): the smallest node that links (a, b) connect each node with.
-
-    Alternating large-star and small-star steps; every step is a grouped minimum and
-    a join, so a node of any degree is summed up before it is shuffled.
-    """
-    def star(edges: DataFrame, large: bool) -> DataFrame:
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        if large:
-            low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-            return both.filter("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")) \
-                .filter("a <> b").distinct()
-        down = both.filter("b < a")
-        low = down.groupBy("a").agg(F.min("b").alias("m"))
-        return down.join(low, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")),
-                                                            F.struct(F.col("b").alias("a"), F.col("m").alias("b"))))
-                                          .alias("e")).select("e.*").filter("a <> b").distinct()
-
-    edges = materialise(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                        .filter("a <> b").distinct(), "links")
-    last = None
-    for _ in range(rounds):
-        edges = materialise(star(star(edges, True), False), "stars")
-        now = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if now == last:
-            break
-        last = now
-    return edges.groupBy("a").agg(F.min("b").alias("c")).select(F.col("a").alias("h"), "c")
+    return source.mapInArrow(run, f"_id {kind}, h bigint, n bigint, sketch binary, sigs array<bigint>")
 
 
 def _verified(pairs: DataFrame, nodes: DataFrame, source: DataFrame, threshold: int) -> DataFrame:
@@ -288,7 +312,9 @@ def _verified(pairs: DataFrame, nodes: DataFrame, source: DataFrame, threshold:
                     for a, b, x, y in zip(batch["a"], batch["b"], batch["ta"], batch["tb"])]
             yield batch.loc[keep, ["a", "b"]]
 
-    return materialise(both.mapInPandas(run, "a bigint, b bigint"), "linked")
+    found = materialise(both.mapInPandas(run, "a bigint, b bigint"), "linked")
+    discard(near, texts)
+    return found
 
 
 def _apart_pairs(large: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
@@ -305,66 +331,48 @@ def _apart_pairs(large: DataFrame, nodes: DataFrame, threshold: int) -> DataFram
         .select("sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "h", "c", "n", "sketch")
     keys = ["sig", "i", "j"]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def compare(g: pd.DataFrame) -> pd.DataFrame:
-            h, c, n, own = (g[k].to_numpy() for k in ("h", "c", "n", "own"))
-            if len(h) < 2 or (c == c[0]).all():
-                return None
-            two = g["i"].iat[0] != g["j"].iat[0]
-            sizes = np.asarray([len(x) for x in g["sketch"]])
-            tables = {int(z): np.frombuffer(b"".join(g["sketch"][sizes == z]), np.uint8).reshape(-1, int(z))
-                      for z in np.unique(sizes)}
-            places = {z: np.flatnonzero(sizes == z) for z in tables}
-            at = {int(p): k for z, ps in places.items() for k, p in enumerate(ps)}
-            names, counts = np.unique(c, return_counts=True)
-            most = names[counts.argmax()]
-            a, b = [], []
-            for p in np.flatnonzero(c != most):
-                x = tables[int(sizes[p])][at[int(p)]]
-                for z, table in tables.items():
-                    ps = places[z]
-                    ok = (c[ps] != c[p]) & ((c[ps] == most) | (ps > p)) \
-                        & (np.minimum(n[ps], n[p]) * 100 >= np.maximum(n[ps], n[p]) * threshold)
-                    if two:
-                        ok &= own[ps] != own[p]
-                    if ok.any():
-                        hit = ps[ok][may_link(x, int(n[p]), table[ok], n[ps][ok], threshold)]
-                        a.append(np.full(len(hit), h[p]))
-                        b.append(h[hit])
-            if not a:
-                return None
-            a, b = np.concatenate(a), np.concatenate(b)
-            return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
-
-        held: list[pd.DataFrame] = []
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set = set()
 
-        def finish(group: pd.DataFrame):
-            out = compare(group.reset_index(drop=True))
-            if out is None or not len(out):
-                return None
-            if len(sent) > 500_000:
-                sent.clear()
-            fresh = [p for p in zip(out["a"].tolist(), out["b"].tolist()) if p not in sent]
-            sent.update(fresh)
-            return pd.DataFrame(fresh, columns=["a", "b"]) if fresh else None
-
+        def finish(x: dict, s: int, e: int, out: list) -> None:
+            g = slice(s, e)
+            if e - s < 2 or (x["c"][g] == x["c"][s]).all():
+                return
+            own = x["own"][g] if x["i"][s] != x["j"][s] else None
+            test = few_pairs if e - s <= FEW else many_pairs
+            for pair in test(x["h"][g], x["c"][g], x["n"][g], x["sketch"][s:e], own, threshold):
+                if pair not in sent:
+                    if len(sent) > SENT_PAIRS:
+                        sent.clear()
+                    sent.add(pair)
+                    out.append(pair)
+
+        def done(out: list) -> pa.RecordBatch:
+            a, b = zip(*out)
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+        held: pa.Table | None = None
         for batch in batches:
-            held.append(batch)
-            both = pd.concat(held, ignore_index=True)
-            change = (both[keys] != both[keys].shift()).any(axis=1).to_numpy().nonzero()[0].tolist()
-            for s, e in zip(change[:-1], change[1:]):
-                out = finish(both.iloc[s:e])
-                if out is not None:
-                    yield out
-            held = [both.iloc[change[-1]:]] if change else []
-        if held and len(held[0]):
-            out = finish(held[0])
-            if out is not None:
-                yield out
+            now = pa.Table.from_batches([batch])
+            held = now if held is None else pa.concat_tables([held, now])
+            x = {k: held.column(k).to_numpy() for k in ("sig", "i", "j", "own", "h", "c", "n")}
+            x["sketch"], out = held.column("sketch").to_pylist(), []
+            starts = [0, *(np.flatnonzero(np.logical_or.reduce([x[k][1:] != x[k][:-1] for k in keys])) + 1).tolist()]
+            for s, e in zip(starts[:-1], starts[1:]):
+                finish(x, s, e, out)
+            held = held.slice(starts[-1])
+            if out:
+                yield done(out)
+        if held is not None and held.num_rows:
+            out = []
+            x = {k: held.column(k).to_numpy() for k in ("sig", "i", "j", "own", "h", "c", "n")}
+            x["sketch"] = held.column("sketch").to_pylist()
+            finish(x, 0, held.num_rows, out)
+            if out:
+                yield done(out)
 
     return rows.repartition(*[F.col(k) for k in keys]).sortWithinPartitions(*keys, "h") \
-        .mapInPandas(run, "a bigint, b bigint").distinct()
+        .mapInArrow(run, "a bigint, b bigint").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -395,6 +403,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .withColumn("lead", F.first("h").over(by_sig.orderBy("h"))) \
         .withColumn("g", F.max("k").over(by_sig)).filter("g > 1 AND NOT again").select("sig", "h", "lead", "g")
     buckets = materialise(ranked, "buckets")
+    slim = materialise(signed.select("_id", "h", "n"), "set-ids")
+    discard(signed)
 
     tested = materialise(buckets.filter("h <> lead").select(F.col("lead").alias("a"), F.col("h").alias("b")).distinct(),
                          "pairs")
@@ -419,12 +429,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         large = large.select("sig", "h")
 
     comp = components(links)
-    classes = signed.groupBy("h").agg(F.min("_id").alias("class_id"))
+    classes = slim.groupBy("h").agg(F.min("_id").alias("class_id"))
     named = classes.join(comp, "h", "left").withColumn("c", F.coalesce("c", "h"))
     lowest = named.groupBy("c").agg(F.min("class_id").alias("component_id"))
     named = named.join(lowest, "c").select("h", "class_id", "component_id")
     alone = F.col("h") == 0
-    return signed.select("_id", "h", "n").join(named, "h").select(
+    return slim.join(named, "h").select(
         F.col("_id").alias(id_col), F.col("n").alias("n_shingles"),
         F.when(alone, F.col("_id")).otherwise(F.col("component_id")).alias("component_id"),
         F.when(alone, F.col("_id")).otherwise(F.col("class_id")).alias("class_id"))
