@@ -113,8 +113,11 @@ def mix(docs: DataFrame, levels: dict[str, Column], weights: dict[str, dict[str,
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__salt")
     salt = F.pmod(F.xxhash64("__id", "__tokens"), F.lit(SALTS)).cast("int")
 
-    key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("whole").cast("string"), F.col("__id")))
-    keyed = slim.withColumn("__salt", salt).join(plan.select("*", salts), [*names, "__salt"]).withColumn("key", key).withColumn("run", F.substring("key", 1, CUT_DIGITS))
+    def key(whole: str) -> Column:
+        return F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(whole).cast("string"), F.col("__id")))
+
+    keyed = slim.withColumn("__salt", salt).join(plan.select("*", salts), [*names, "__salt"]) \
+        .withColumn("key", key("whole")).withColumn("run", F.substring("key", 1, CUT_DIGITS))
     runs = keyed.groupBy(*names, "run").agg(F.sum("__tokens").alias("t"), F.first("rest").alias("rest"))
     upto = F.sum("t").over(Window.partitionBy(*names).orderBy("run"))
     cut = runs.withColumn("upto", upto).filter((F.col("upto") > F.col("rest")) & (F.col("upto") - F.col("t") <= F.col("rest"))) \
@@ -125,8 +128,9 @@ def mix(docs: DataFrame, levels: dict[str, Column], weights: dict[str, dict[str,
     plan = materialise(plan.join(last, names, "left"), "mix-stops")
 
     rows = docs.withColumns({**leaf, "__id": ident, "__tokens": token_estimate(F.col(text_col))}) \
-        .withColumn("__salt", salt).join(plan.select("*", salts), [*names, "__salt"])
-    more = (key < F.col("stop")).cast("int")
-    times = F.col("whole").cast("int") + F.coalesce(more, F.lit(0))
+        .withColumn("__salt", salt).join(plan.select(*names, F.col("whole").alias("__whole"), F.col("stop").alias("__stop"),
+                                                     salts), [*names, "__salt"])
+    more = (key("__whole") < F.col("__stop")).cast("int")
+    times = F.col("__whole").cast("int") + F.coalesce(more, F.lit(0))
     return rows.withColumn(epoch_col, F.explode(F.filter(F.sequence(F.lit(0), times), lambda e: e < times))) \
         .select(*docs.columns, epoch_col)
