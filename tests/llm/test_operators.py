@@ -265,6 +265,25 @@ def test_nearest(spark):
     assert ann.nearest(t.limit(0), F.col("vec_id") % 50 == 0).collect() == []
 
 
+def test_nearest_of_every_length_and_size(spark):
+    """Vectors of a rarer length have neighbours too; 1e-200 and 1e200 are vectors like any other."""
+    rng = np.random.default_rng(5)
+    four, two = rng.standard_normal((40, 4)), rng.standard_normal((8, 2))
+    four[7] *= 1e-200
+    four[8] *= 1e200
+    data = [(i, v.tolist()) for i, v in enumerate(four)] + [(100 + i, v.tolist()) for i, v in enumerate(two)] + [(200, [5e-324, 0.0])]
+    t = spark.createDataFrame(data, "vec_id bigint, embedding array<double>")
+    got = {}
+    for r in ann.nearest(t, F.col("vec_id") >= 0).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    assert set(got) == {i for i, _ in data}
+    unit = {i: np.asarray(v) / np.abs(v).max() for i, v in data}
+    unit = {i: v / np.linalg.norm(v) for i, v in unit.items()}
+    for q, rows in got.items():
+        near = sorted((-round(float(unit[q] @ v), 9), i) for i, v in unit.items() if i != q and len(v) == len(unit[q]))[:5]
+        assert [(round(-s, 9)) for _, _, s in sorted(rows)] == [s for s, _ in near]
+
+
 def test_search_ends_only_without_open_candidates(spark):
     n = 14  # a path that a search must walk node by node
     angle = np.linspace(0, 1.5, n)
