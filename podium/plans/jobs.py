@@ -302,12 +302,18 @@ def sheets_to_gold(spark: SparkSession, text_paths, dictionary: Sequence[str] |
 # --------------------------------------------------------------------------- scoring
 
 
-def score_top(features: DataFrame, key: str, k: int = 3, keep: Sequence[str] = (),
-              num_trees: int = FOREST_TREES, seed: int = FOREST_SEED) -> DataFrame:
-    """Hash split, forest on the train part, score every row, top ``k`` (L2-L4, H3)."""
+def score_rows(features: DataFrame, key: str, keep: Sequence[str] = (), num_trees: int = FOREST_TREES,
+               seed: int = FOREST_SEED) -> DataFrame:
+    """Hash split, forest on the train part, every row scored (L2-L4): ``keep``, is_train, label, win_probability."""
     split = model.add_split(features, key, seed)
     forest = model.fit_forest(split.filter("is_train"), key, num_trees, seed)
-    scored = model.score(forest, split)
+    return model.score(forest, split).select(*keep, "is_train", "label", "win_probability")
+
+
+def score_top(features: DataFrame, key: str, k: int = 3, keep: Sequence[str] = (),
+              num_trees: int = FOREST_TREES, seed: int = FOREST_SEED) -> DataFrame:
+    """``score_rows``, the top ``k`` of them (H3)."""
+    scored = score_rows(features, key, keep, num_trees, seed)
     return rank.top_k(scored.select(*keep, "win_probability"), k, [Key("win_probability", desc=True), key])
 
 
@@ -318,7 +324,7 @@ def finalist_scoring(fact: DataFrame, compat: bool = False, num_trees: int = FOR
     compat excludes the literal round ids 2 and 3 and keeps ``rank < 452``
     (quirks 12, 23).  strict excludes the rounds of these names through the round
     dimension ``rounds``, so it holds whatever ids they got.  The label is position =
-    1, a feature itself (quirk 22).
+    1, a feature itself (quirk 22), so ``metrics`` has the train and the held-out rows apart.
     """
     if compat:
         df = shape.exclude_values(fact, "NK_round", EXCLUDED_ROUND_IDS)
@@ -334,12 +340,15 @@ def finalist_scoring(fact: DataFrame, compat: bool = False, num_trees: int = FOR
     final = shape.filter_below(fixed, "rank", RANK_LIMIT) if compat else fixed
     feats = model.add_features(final.withColumn("time", F.col("time").cast("double")), ["position", "time"],
                                F.col("position") == 1)
-    top = score_top(feats, "NK_athlete", 3, ["NK_athlete", "position", "time"], num_trees, seed)
+    scored = written(score_rows(feats, "NK_athlete", ["NK_athlete", "position", "time"], num_trees, seed), "scored")
+    top = rank.top_k(scored.select("NK_athlete", "position", "time", "win_probability"), 3,
+                     [Key("win_probability", desc=True), "NK_athlete"])
     return {
         "schema": profile.schema_report(df),
         "describe": profile.describe_cols(fixed, numeric),
         "counts": profile.value_counts(df, flags),
         "box": profile.box_stats_columns(fixed, numeric),
+        "metrics": model.binary_metrics(scored, "label", "win_probability", ["is_train"]),
         "top": top,
     }
 

@@ -792,6 +792,23 @@ def q_ml_score(spark, d):
                           keep=["o_orderkey", "o_totalprice", "cust"])
 
 
+@query("ml_metrics", """
+WITH s AS (SELECT o_orderpriority AS g, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS y, floor(o_totalprice / 100) * 100 / (SELECT max(o_totalprice) + 1 FROM orders) AS s FROM orders),
+r AS (SELECT *, rank() OVER (PARTITION BY g ORDER BY s) + (count(*) OVER (PARTITION BY g, s) - 1) / 2.0 AS rk FROM s),
+b AS (SELECT g, abs(sum(s) - sum(y)) AS gap FROM s GROUP BY g, least(floor(s * 10), 9)),
+e AS (SELECT g, sum(gap) AS gap FROM b GROUP BY g)
+SELECT g, count(*) AS n, CAST(sum(y) AS BIGINT) AS positives, round((sum(CASE WHEN y = 1 THEN rk END) - sum(y) * (sum(y) + 1) / 2.0) / (sum(y) * (count(*) - sum(y))), 9) AS auc, round(avg((s - y) * (s - y)), 9) AS brier, round(any_value(gap) / count(*), 9) AS ece FROM r JOIN e USING (g) GROUP BY g
+""")
+def q_ml_metrics(spark, d):
+    """A score table (the price, coarse enough for ties) measured against the order state, by priority."""
+    o = T(spark, d, "orders").select("o_totalprice", F.col("o_orderpriority").alias("g"), "o_orderstatus")
+    most = o.agg(F.max("o_totalprice") + 1).first()[0]
+    scored = o.select("g", (F.col("o_orderstatus") == "F").cast("int").alias("y"),
+                      (F.floor(F.col("o_totalprice") / 100) * 100 / F.lit(most)).alias("s"))
+    m = model.binary_metrics(scored, "y", "s", ["g"])
+    return m.select("g", "n", "positives", *[F.round(c, 9).alias(c) for c in ("auc", "brier", "ece")])
+
+
 # --------------------------------------------------------------------------- jobs
 
 

@@ -83,6 +83,7 @@ def test_finalist_scoring(spark, sheets):
     assert {r.NK_athlete for r in top} <= {1501, 1502, 1206, 1503}
     assert len(top) == 3 and all(0.0 <= r.win_probability <= 1.0 for r in top)
     assert load(spark, out["box"]).count() > 0 and load(spark, out["counts"]).count() > 0
+    assert sum(r.n for r in load(spark, out["metrics"]).collect()) >= 3
 
 
 def test_sheets_to_gold_through_csv(spark, tmp_path_factory):

@@ -101,3 +101,22 @@ def test_forest_scores_are_probabilities_and_stable(spark):
         scores.append({r.k: r.win_probability for r in scored.select("k", "win_probability").collect()})
     assert tops[0] == tops[1]
     assert scores[0] == scores[1]  # the same forest at any input partitioning
+
+
+def test_binary_metrics_against_pairs(spark, monkeypatch):
+    """AUC by comparing all pairs; ties, one-sided groups, null groups, scores and labels; one range and many."""
+    from podium.operators import ranges
+    rnd = random.Random(4)
+    rows = [(rnd.choice(["a", None]), rnd.choice([0, 1]), rnd.choice([0.0, 0.25, 1.0, rnd.random()])) for _ in range(300)]
+    rows += [("one", 1, 0.5), ("one", 1, 0.6), ("x", None, 0.1), ("a", 1, None)]
+    df = spark.createDataFrame(rows, "g string, y int, s double")
+    for per in (500_000, 7):
+        monkeypatch.setattr(ranges, "MIN_ROWS_PER_RANGE", per)
+        got = {r.g: r for r in model.binary_metrics(df, "y", "s", ["g"]).collect()}
+        assert set(got) == {"a", None, "one"} and got["one"].auc is None and got["one"].positives == 2
+        for g in ("a", None):
+            own = [(y, s) for k, y, s in rows if k == g and y is not None and s is not None]
+            pos, neg = [s for y, s in own if y], [s for y, s in own if not y]
+            auc = sum((p > q) + (p == q) / 2 for p in pos for q in neg) / (len(pos) * len(neg))
+            assert got[g].n == len(own) and abs(got[g].auc - auc) < 1e-12
+            assert abs(got[g].brier - sum((s - y) ** 2 for y, s in own) / len(own)) < 1e-12
