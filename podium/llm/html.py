@@ -43,7 +43,9 @@ _BOILERPLATE = re.compile(
 _CONTENT = re.compile(r"(?:^|[\s_-])(?:article-?body|entry-?content|post-?content|main-?content|article)(?=$|[\s_-])", re.I)
 
 _TAG = re.compile(r"<(?:!--.*?(?:-->|$)|!\[CDATA\[.*?(?:\]\]>|$)|[!?][^>]*(?:>|$)|"
-                  r"(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$))", re.S)
+                  r"(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>=]|=(?:\s*(?:\"[^\"]*(?:\"|$)|'[^']*(?:'|$)))?)*)(?:>|$))", re.S)
+#: An attribute value without quotes at a tag's end: a slash there belongs to it.
+_BARE_END = re.compile(r"=\s*[^\s\"'=<>`]+$")
 _ATTR = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _WORD = re.compile(r"[^\W\d_]+")
@@ -51,6 +53,8 @@ _WORD = re.compile(r"[^\W\d_]+")
 SHORT_WORDS = 8
 STOP_GOOD = 0.15
 LINK_BAD = 0.4
+#: Characters of running text in a script that does not part its words by spaces.
+LONG_CHARS = 40
 
 
 class Block:
@@ -160,7 +164,7 @@ def blocks(html: str) -> tuple[list[Block], bool]:
             if stack[k][0] in CLOSES.get(name, ()):
                 pop(k)
                 break
-        if m[3].endswith("/"):
+        if m[3].endswith("/") and not _BARE_END.search(m[3]):
             continue
         bad = _is_boilerplate(name, m[3])
         stack.append((name, bad))
@@ -181,8 +185,9 @@ def classify(page: list[Block], marked: bool) -> None:
     stop words, stays undecided.  Pass 2: an undecided block takes the label of the
     nearest decided block before and after it (content if either side is and the
     nearer one does not say otherwise; a tie goes to the heading's following block,
-    else to the one before).  Without any decided block, undecided ones are content
-    inside a marked article and not elsewhere.
+    else to the one before).  On a page where no block has stop words (another
+    language, short lines), running blocks with few links are content by their length;
+    where there are none either, all blocks are that are not mostly links.
     """
     for b in page:
         if marked and not b.inside or b.links > LINK_BAD:
@@ -191,6 +196,11 @@ def classify(page: list[Block], marked: bool) -> None:
             b.label = True
         elif b.words >= SHORT_WORDS and b.stop < STOP_GOOD / 3 and not b.inside:
             b.label = False
+    if not any(b.label for b in page):
+        open_blocks = [b for b in page if (b.inside or not marked) and b.links <= LINK_BAD]
+        long = [b for b in open_blocks if b.links <= LINK_BAD / 2 and (b.words >= SHORT_WORDS or len(b.text) >= LONG_CHARS)]
+        for b in long or open_blocks:
+            b.label = True
     first = [b.label for b in page]
     n = len(page)
     before, after = [None] * n, [None] * n

@@ -158,6 +158,20 @@ def test_html():
     assert html.main_text("") == "" and html.main_text("<p") == "" and html.main_text("a < b") is not None
 
 
+def test_html_of_odd_markup_and_other_languages():
+    three = "<article><p class=it's>One of the first.</p><p>Don't stop.</p><p title='a > b'>Third > second.</p></article>"
+    assert html.main_text(three) == "One of the first.\n\nDon't stop.\n\nThird > second."
+    assert html.main_text("<body><p>Short one.</p><p>Short two.</p></body>") == "Short one.\n\nShort two."
+    chinese = "这是一个没有空格的段落，它讲述了一个关于春天和河流的故事，文字足够长，可以被认作正文，而不是菜单或者页脚的一部分。"
+    page = f"<nav><a href=/x/>首页</a></nav><div><a href='/a'>更多</a> <a href='/b'>链接</a></div><p>{chinese}</p><p>{chinese}</p>"
+    assert html.main_text(page) == f"{chinese}\n\n{chinese}"
+    polish = "Wczoraj wieczorem poszliśmy nad rzekę, żeby zobaczyć stare łodzie rybackie przy moście."
+    assert html.main_text(f"<div class=menu>Start Oferta</div><p>{polish}</p>") == polish
+    assert html.main_text("<p>see <a href=/x/>the page</a> of the day and all that is in it for you</p>") \
+        == "see the page of the day and all that is in it for you"
+    assert html.main_text("<ul><li><a href='/1'>One</a></li><li><a href='/2'>Two</a></li></ul>") == ""
+
+
 def test_pages(spark):
     t = spark.createDataFrame([(1, "u", None), (1, "u", None), (None, None, "<article><p>Hi.</p>")],
                               "page_id bigint, url string, html string")
