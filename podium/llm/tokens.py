@@ -6,7 +6,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -145,14 +145,14 @@ def count_tokens(docs: DataFrame, limit: int = 512, vocabulary: str = VOCABULARY
     small_batches(docs.sparkSession)
     source = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = counter(vocabulary).count
         for batch in batches:
-            texts = batch["text"].tolist()
+            texts = batch.column("text").to_pylist()
             n = [count(t, chunk, overlap) for t in texts]
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype(object).where(batch["doc_id"].notna(), None),
-                                "n_bytes": [len(t.encode("utf-8")) for t in texts],
-                                "n_tokens": n, "over_limit": [x > limit for x in n]})
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array([len(t.encode("utf-8")) for t in texts], pa.int64()), pa.array(n, pa.int64()),
+                 pa.array([x > limit for x in n], pa.bool_())], names=["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
     schema = f"doc_id {dict(source.dtypes)['doc_id']}, n_bytes bigint, n_tokens bigint, over_limit boolean"
-    return source.mapInPandas(run, schema).withColumnRenamed("doc_id", id_col)
+    return source.mapInArrow(run, schema).withColumnRenamed("doc_id", id_col)

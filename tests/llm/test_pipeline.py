@@ -79,6 +79,18 @@ def test_packing_stage_keeps_ids(spark, sf):
     assert sorted(str(r.doc_id) for r in P.pack_sequences(spark, docs, sf).collect()) == sorted(["None", str(big), str(big + 1)])
 
 
+def test_large_ids_beside_null_ids(spark):
+    """An id that no double holds comes back as it is, and so do ids of text."""
+    from podium.llm import jaccard, tokens
+    big = 9007199254740993
+    for ids, kind in (([big, None, big + 1], "bigint"), (["b", None, "a"], "string")):
+        docs = spark.createDataFrame([(ids[0], BASE), (ids[1], "x"), (ids[2], BASE)], f"doc_id {kind}, text string").coalesce(1)
+        assert {r.doc_id for r in tokens.count_tokens(docs).collect()} == set(ids)
+        near = {r.doc_id: r.component_id for r in jaccard.near_duplicates(docs).collect()}
+        low = min(ids[0], ids[2])
+        assert near == {ids[0]: low, None: None, ids[2]: low}
+
+
 def test_toxicity_stage(spark, sf):
     docs = table(spark, sf, "documents")
     got = P.drop_toxic(spark, docs, sf)
