@@ -27,9 +27,9 @@ THRESHOLD = 80  # per cent
 FREQUENT = 8
 #: Bound of the table of frequent shingles sent to tasks; further ones are treated as rare (still exact).
 MAX_FREQUENT = 1 << 17
-CHUNK_SHINGLES = 1_500_000
+CHUNK_SHINGLES = 4_000_000
 SEEN_SETS = 200_000
-CACHE_WORDS = 200_000
+CACHE_WORDS = 400_000
 #: Rounds that compare the records of a signature with one leader before all that is still apart.
 LEADER_ROUNDS = 2
 #: Records of a signature that a task compares with each other at once.
@@ -135,12 +135,12 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray, threshold: int = THRESH
 
 
 def sketch(tokens: np.ndarray) -> bytes:
-    """Bitmap of the shingles by hash: a power of two of bits, two to four a shingle up to 64 Ki bits.
+    """Bitmap of the shingles by hash: a power of two of bits, eight to sixteen a shingle, from 512 to 64 Ki bits.
 
-    Sets with nothing in common then pass the bound at 0.35 to 0.2 of the union, sets that
-    share half of their shingles at 0.6: far enough below 0.8 to be told from links.
+    Then hardly a pair passes the bound whose likeness is below 0.78; with a quarter of the
+    bits pairs from 0.7 on do, which a corpus with many documents of shared passages has by the million.
     """
-    size = 1 << min(13, max(3, (len(tokens) - 1).bit_length() - 2))  # bytes
+    size = 1 << min(13, max(6, (len(tokens) - 1).bit_length()))  # bytes
     bits = np.zeros(size * 8, dtype=bool)
     bits[(tokens & np.uint64(size * 8 - 1)).astype(np.int64)] = True
     return np.packbits(bits, bitorder="little").tobytes()
