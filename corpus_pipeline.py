@@ -2,7 +2,9 @@
 
 Every stage takes (spark, docs, sf_dir), works on all rows its predecessor kept and
 returns a DataFrame, which ``run`` writes as Parquet and rereads for the next one.
-All stages but the last return the columns of ``documents``.
+All stages but the last return the columns of ``documents``.  Every stage gives no rows for an
+empty table and keeps further columns whose names do not begin with two underscores; what
+nulls and repeated rows mean stands at each.
 """
 
 from __future__ import annotations
@@ -21,7 +23,11 @@ BUDGET = (1, 1)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, fitted on the training fold of the labels, does not reject."""
+    """Documents that the classifier, fitted on the training fold of the labels, does not reject.
+
+    A null or empty text is scored as empty; repeated rows and rows without an id are scored
+    each by its text.
+    """
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~held_out())
     return toxicity.reject(docs, model, TOXIC)
 
@@ -39,17 +45,23 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with personal data replaced by its kind in brackets; n_chars follows."""
+    """All documents, with personal data replaced by its kind in brackets; n_chars follows.
+
+    Rows without personal data, null texts included, stay as they are; repeated rows are masked alike.
+    """
     return pii.mask(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn to the target weights of domain, language and source; a second epoch repeats rows."""
+    """Documents drawn to the target weights of domain, language and source; a second epoch repeats rows.
+
+    A null language or source is a leaf of its own, a null text counts as one token, rows of one id come together.
+    """
     return mixing.mix(docs, mix_levels(), MIX_WEIGHTS, BUDGET, MIX_EPOCHS, epoch_col="__epoch").drop("__epoch")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents in sequences of 4096 tokens."""
+    """Pieces of all documents in sequences of 4096 tokens; a null text is the end token alone, repeated rows are packed each."""
     return packing.pack(docs)
 
 
@@ -61,7 +73,8 @@ STAGES = [
     ("packing", pack_sequences),
 ]
 
-#: The classifier, the links and the packing have no SQL form; brute-force tests stand in.
+#: The classifier, the links and the packing have no SQL form; tests/llm/test_pipeline.py holds the stages against plain
+#: Python and the run against its stages.
 ORACLE_SQL = None
 
 
