@@ -6,6 +6,7 @@ import heapq
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,13 @@ _RUNS = re.compile("[a-z\xdf-\xf6\xf8-\xffœ]+|[^a-z\xdf-\xf6\xf8-\xffœ\n]+")
 _LETTERS = re.compile("[a-z\xdf-\xf6\xf8-\xffœ]")
 
 
+def _byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: printable bytes stand for themselves, the others for letters from 256 on, in order."""
+    plain = {*range(0x21, 0x7f), *range(0xa1, 0xad), *range(0xae, 0x100)}
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 class WordEncoder:
     """Ids of whole texts, equal to the tokenizer's, with a bounded cache of words."""
 
@@ -40,36 +48,38 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(tokenizer_path(vocabulary))
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        names = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.ends = np.zeros(max(names.values()) + 1, dtype=bool)
-        for name, i in names.items():
-            self.ends[i] = name.endswith("</w>")
+        self.model = self.tokenizer.model
+        self.byte_letters = _byte_letters()
         self.words: dict[str, bytes] = {"": b""}
         self.runs: dict[str, bytes] = {}
 
     def _direct(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
+    def _letters_ids(self, run: str) -> list[int]:
+        """Ids of a run of lower-case letters: it is one word for the model, so only the bytes are spelt out for it."""
+        if not run.isascii():
+            run = run.encode("utf-8").decode("latin-1").translate(self.byte_letters)
+        return [t.id for t in self.model.tokenize(run)]
+
     def _learn(self, missing: set[str]) -> None:
         """Words are put together from runs of letters and runs of other characters."""
         if len(self.words) + len(missing) > CACHE_WORDS:
             self.words = {"": b""}
         if len(self.runs) > CACHE_WORDS:
             self.runs = {}
-        new = set(_RUNS.findall("\n".join(missing))) - self.runs.keys()
+        runs, find = self.runs, _RUNS.findall
+        new = set(find("\n".join(missing))) - runs.keys()
         letters = [r for r in new if _LETTERS.match(r)]
-        if letters:  # in one string; every run of letters ends with an end-of-word token
-            ids = np.asarray(self.tokenizer.encode(" ".join(letters), add_special_tokens=False).ids, dtype="<u4")
-            cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist()
-            if len(cuts) == len(letters):
-                raw, a = ids.tobytes(), 0
-                for r, b in zip(letters, cuts):
-                    self.runs[r] = raw[4 * a:4 * b]
-                    a = b
-        for r in new - self.runs.keys():
-            self.runs[r] = self._direct(r)
-        get, find = self.runs.__getitem__, _RUNS.findall
-        self.words.update([(w, b"".join(map(get, find(w)))) for w in missing])
+        ids = [self._letters_ids(r) for r in letters]
+        raw, a = np.fromiter(chain.from_iterable(ids), dtype="<u4").tobytes(), 0
+        for r, n in zip(letters, map(len, ids)):
+            runs[r] = raw[a:a + 4 * n]
+            a += 4 * n
+        for r in new - runs.keys():
+            runs[r] = self._direct(r)
+        get = runs.__getitem__
+        self.words.update([(w, runs[w] if w in runs else b"".join(map(get, find(w)))) for w in missing])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
@@ -77,8 +87,9 @@ class WordEncoder:
         used = set().union(*[ws for ws in split if ws is not None])
         missing = used - self.words.keys()
         if missing:
+            before = self.words
             self._learn(missing)
-            if not used <= self.words.keys():  # the cache has been emptied meanwhile
+            if self.words is not before:  # the cache has been emptied meanwhile
                 self._learn(used - self.words.keys())
         get = self.words.__getitem__
         return [self._direct(t) if ws is None else b"".join(map(get, ws)) for t, ws in zip(texts, split)]
