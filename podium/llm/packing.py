@@ -13,13 +13,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from podium.llm.common import small_batches, tokenizer_path, worker_cache
+from podium.llm.common import materialise, shuffle_partitions, small_batches, tokenizer_path, worker_cache
 
 CAPACITY = 4096
 END_ID = 2
 #: Documents are packed in chunks of at least so many windows (bounded memory; one
 #: chunk wastes less than a window or two).
 CHUNK_WINDOWS = 160
+#: Sequences of the second pass are numbered from here.
+SECOND = 1 << 62
 #: Where whole rests do not fit, they are cut into pieces of capacity / FINE_PARTS.
 FINE_PARTS = 4
 #: Bound of each of a worker's two caches (words, and the runs that they are made of).
@@ -157,57 +159,98 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = "word_bpe_
          id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """Pieces of every document in sequences of at most ``capacity`` tokens.
 
-    Each input partition packs its own documents chunk by chunk, so nothing is
-    shuffled, no key can be hot, and a lost task runs again with the same result.  A
+    Each input partition packs its own documents in chunks of at least CHUNK_WINDOWS windows; what is left at
+    its end, less than a chunk, is carried into a second pass, which deals these rests by a hash of their number
+    into bins of about a chunk and packs each bin.  So the padding does not depend on how the input is cut, no
+    key can be hot, and a lost task runs again with the same result.  A
     document's ids are the tokenizer's plus ``end_id``; a null or empty text is that
     one id.  Returns id, start, length, ids_crc32, doc_tokens, sequence_id, offset
     (and ``token_ids`` when ``with_ids``).  Null ids and repeated rows are documents
     like any other; an empty table gives no rows; other columns are ignored.
     """
-    small_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    small_batches(spark)
     source = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kind = dict(source.dtypes)["doc_id"]
     schema = f"doc_id {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, " \
              f"sequence_id bigint, offset bigint" + (", token_ids array<bigint>" if with_ids else "")
+    chunk = CHUNK_WINDOWS * capacity
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def batch_of(rows: list[tuple], kept: pa.DataType, carried: bool) -> pa.RecordBatch:
+        types = [kept] + [pa.int64()] * 6 + [pa.list_(pa.int64())] * with_ids + [pa.int64(), pa.binary()] * carried
+        names = [c.split()[0] for c in schema.split(", ")] + ["at", "raw"] * carried
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+
+    def placed(pieces: list[tuple[int, int, int]], held: list[tuple], sequence: int) -> Iterator[tuple]:
+        """Rows of one window; ``held`` has (id, start of the ids held, the document's tokens, ids)."""
+        at = 0
+        for d, s, n in pieces:
+            key, first, total, raw = held[d]
+            part = raw[4 * s:4 * (s + n)]
+            row = (key, first + s, n, zlib.crc32(part), total, sequence, at)
+            yield row + (np.frombuffer(part, "<u4").astype(np.int64),) if with_ids else row
+            at += n
+
+    def first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         code, end = encoder(vocabulary), np.asarray([end_id], dtype="<u4").tobytes()
         number = TaskContext.get().partitionId() << 36
         kept: pa.DataType | None = None
-        ids: list = []
-        held: list[bytes] = []
+        held: list[tuple] = []
         tokens = 0
-
-        def flush() -> pa.RecordBatch:
-            nonlocal number, tokens
-            rows = []
-            for pieces in pack_chunk([len(h) // 4 for h in held], capacity):
-                at = 0
-                for d, s, n in pieces:
-                    part = held[d][4 * s:4 * (s + n)]
-                    row = (ids[d], s, n, zlib.crc32(part), len(held[d]) // 4, number, at)
-                    rows.append(row + (np.frombuffer(part, "<u4").astype(np.int64),) if with_ids else row)
-                    at += n
-                number += 1
-            ids.clear()
-            held.clear()
-            tokens = 0
-            types = [kept] + [pa.int64()] * 6 + [pa.list_(pa.int64())] * with_ids
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)],
-                                              names=[c.split()[0] for c in schema.split(", ")])
-
         for batch in batches:
             kept = batch.schema.field("doc_id").type
             texts, keys = batch.column("text").to_pylist(), batch.column("doc_id").to_pylist()
             for i in range(0, len(texts), 256):
                 for key, raw in zip(keys[i:i + 256], code.encode(texts[i:i + 256])):
-                    ids.append(key)
-                    held.append(raw + end)
+                    held.append((key, 0, len(raw) // 4 + 1, raw + end))
                     tokens += len(raw) // 4 + 1
-                if tokens >= CHUNK_WINDOWS * capacity:
+                if tokens >= chunk:
+                    windows = pack_chunk([h[2] for h in held], capacity)
+                    yield batch_of([r + (None, None) for k, w in enumerate(windows, number) for r in placed(w, held, k)],
+                                   kept, True)
+                    number += len(windows)
+                    held, tokens = [], 0
+        rows = []
+        for d, (key, _, total, raw) in enumerate(held):
+            whole = total // capacity * capacity
+            for s in range(0, whole, capacity):
+                rows += [r + (None, None) for r in placed([(d, s, capacity)], held, number)]
+                number += 1
+            if total > whole:
+                rows.append((key, whole, total - whole, None, total, None, None) + (None,) * with_ids
+                            + (number, raw[4 * whole:]))
+                number += 1
+        if rows:
+            yield batch_of(rows, kept, True)
+
+    def second_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+        number = SECOND + (TaskContext.get().partitionId() << 36)
+        now, kept, held = None, None, []
+
+        def flush() -> pa.RecordBatch:
+            nonlocal number
+            windows = pack_chunk([len(h[3]) // 4 for h in held], capacity)
+            rows = [r for k, w in enumerate(windows, number) for r in placed(w, held, k)]
+            number += len(windows)
+            held.clear()
+            return batch_of(rows, kept, False)
+
+        for batch in batches:
+            kept = batch.schema.field("doc_id").type
+            for b, *row in zip(*[batch.column(c).to_pylist() for c in ("bin", "doc_id", "start", "doc_tokens", "raw")]):
+                if held and b != now:
                     yield flush()
+                now = b
+                held.append(tuple(row))
         if held:
             yield flush()
 
-    return source.mapInArrow(run, schema).withColumnRenamed("doc_id", id_col)
+    first = materialise(source.mapInArrow(first_pass, schema + ", at bigint, raw binary"), "packing-first")
+    rests = first.filter("sequence_id IS NULL")
+    bins = max(1, (rests.agg(F.sum("length")).first()[0] or 0) // chunk)
+    second = rests.select(F.pmod(F.xxhash64("at"), F.lit(bins)).alias("bin"), "at", "doc_id", "start", "doc_tokens", "raw") \
+        .repartition(min(bins, shuffle_partitions(spark)), "bin").sortWithinPartitions("bin", "at") \
+        .mapInArrow(second_pass, schema)
+    return first.filter("sequence_id IS NOT NULL").drop("at", "raw").unionByName(second).withColumnRenamed("doc_id", id_col)

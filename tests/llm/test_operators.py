@@ -123,6 +123,30 @@ def test_packing(docs, none, rows):
     assert packing.pack(none).collect() == []
 
 
+def test_packing_fills_windows_however_the_input_is_cut(spark):
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
+    rng = random.Random(11)
+    words = ["".join(rng.choice("abcdeghilmnorstué") for _ in range(rng.randint(2, 9))) for _ in range(3000)]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 400))) for _ in range(900)]
+    texts[5] = " ".join(rng.choice(words) for _ in range(9000))  # several windows by itself
+    want = {i: tok.encode(t, add_special_tokens=False).ids + [2] for i, t in enumerate(texts)}
+    least = -(-sum(map(len, want.values())) // 512)
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    for parts in (2, 60):  # a window of 512 tokens, so that there are hundreds of them
+        got = packing.pack(table.repartition(parts, "doc_id"), capacity=512, with_ids=True).collect()
+        windows, back = {}, {}
+        for r in got:
+            windows.setdefault(r.sequence_id, []).append((r.offset, r.length))
+            back.setdefault(r.doc_id, []).append((r.start, list(r.token_ids)))
+            assert len(r.token_ids) == r.length and r.doc_tokens == len(want[r.doc_id])
+        assert {d: [x for _, ids in sorted(p) for x in ids] for d, p in back.items()} == want
+        for pieces in windows.values():
+            assert [o for o, _ in sorted(pieces)] == [0, *np.cumsum([n for _, n in sorted(pieces)])[:-1]]
+            assert sum(n for _, n in pieces) <= 512
+        assert least <= len(windows) <= least * 1.015 + 1
+
+
 def test_differencing_is_near_equal():
     rng = random.Random(1)
     sizes = [rng.randint(1, 4000) for _ in range(300)]
