@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import heapq
 import re
+import struct
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +24,8 @@ CHUNK_WINDOWS = 160
 SECOND = 1 << 62
 #: Where whole rests do not fit, they are cut into pieces of capacity / FINE_PARTS.
 FINE_PARTS = 4
+#: Texts are encoded in groups of about so many characters.
+GROUP_CHARS = 3_000_000
 #: Bound of each of a worker's two caches (words, and the runs that they are made of).
 CACHE_WORDS = 1_000_000
 
@@ -73,15 +75,14 @@ class WordEncoder:
         runs, find = self.runs, _RUNS.findall
         new = set(find("\n".join(missing))) - runs.keys()
         letters = [r for r in new if _LETTERS.match(r)]
-        ids = [self._letters_ids(r) for r in letters]
-        raw, a = np.fromiter(chain.from_iterable(ids), dtype="<u4").tobytes(), 0
-        for r, n in zip(letters, map(len, ids)):
-            runs[r] = raw[a:a + 4 * n]
-            a += 4 * n
+        for r in letters:
+            runs[r] = struct.pack(f"<{len(ids := self._letters_ids(r))}I", *ids)
         for r in new - runs.keys():
             runs[r] = self._direct(r)
         get = runs.__getitem__
-        self.words.update([(w, runs[w] if w in runs else b"".join(map(get, find(w)))) for w in missing])
+        words = self.words
+        for w in missing:
+            words[w] = runs[w] if w in runs else b"".join(map(get, find(w)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
@@ -155,6 +156,22 @@ def pack_chunk(lengths: list[int], capacity: int) -> list[list[tuple[int, int, i
     return windows
 
 
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.DataType, list, list[str]]]:
+    """(type of the ids, ids, texts) of about GROUP_CHARS characters: words are looked up and learned once for each."""
+    kept, keys, texts, chars = None, [], [], 0
+    for batch in batches:
+        kept = batch.schema.field("doc_id").type
+        for key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+            keys.append(key)
+            texts.append(text)
+            chars += len(text)
+            if chars >= GROUP_CHARS:
+                yield kept, keys, texts
+                keys, texts, chars = [], [], 0
+    if keys:
+        yield kept, keys, texts
+
+
 def pack(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = "word_bpe_49k.json", end_id: int = END_ID,
          id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """Pieces of every document in sequences of at most ``capacity`` tokens.
@@ -198,13 +215,10 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = "word_bpe_
         kept: pa.DataType | None = None
         held: list[tuple] = []
         tokens = 0
-        for batch in batches:
-            kept = batch.schema.field("doc_id").type
-            texts, keys = batch.column("text").to_pylist(), batch.column("doc_id").to_pylist()
-            for i in range(0, len(texts), 256):
-                for key, raw in zip(keys[i:i + 256], code.encode(texts[i:i + 256])):
-                    held.append((key, 0, len(raw) // 4 + 1, raw + end))
-                    tokens += len(raw) // 4 + 1
+        for kept, keys, texts in _groups(batches):
+            for key, raw in zip(keys, code.encode(texts)):
+                held.append((key, 0, len(raw) // 4 + 1, raw + end))
+                tokens += len(raw) // 4 + 1
                 if tokens >= chunk:
                     windows = pack_chunk([h[2] for h in held], capacity)
                     yield batch_of([r + (None, None) for k, w in enumerate(windows, number) for r in placed(w, held, k)],
