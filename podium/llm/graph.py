@@ -37,7 +37,8 @@ def components(links: DataFrame, rounds: int = MAX_ROUNDS) -> DataFrame:
     for _ in range(rounds):
         now = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if now == last:
-            return edges.groupBy("a").agg(F.min("b").alias("c")).select(F.col("a").alias("h"), "c")
+            ends = F.array(F.struct(F.col("a").alias("h"), F.col("b").alias("c")), F.struct(F.col("b").alias("h"), F.col("b").alias("c")))
+            return edges.select(F.explode(ends).alias("e")).select("e.*").groupBy("h").agg(F.min("c").alias("c"))
         last, before = now, edges
         edges = materialise(_small_star(_large_star(before)), "stars")
         discard(before)
