@@ -26,7 +26,12 @@ def starts_with(line: ColumnOrName, pattern: str = r"^\d", unicode: bool = False
 
 def normalize_ws(text: ColumnOrName, ws: str = r"\s", unicode: bool = False) -> Column:
     """Runs of two or more whitespace characters become one space."""
-    return F.regexp_replace(_c(text), _u(unicode) + ws + "{2,}", " ")
+    t = _c(text)
+    runs = F.regexp_replace(t, _u(unicode) + ws + "{2,}", " ")
+    if not unicode or ws != r"\s":
+        return runs
+    # Unicode white space is ASCII white space or no ASCII at all: texts without two such characters in a row have no run
+    return F.when(t.rlike(r"[\s[^\x00-\x7F]]{2}"), runs).otherwise(t)
 
 
 # Whitespace sets for stripping: Java's ASCII \s, and the Unicode white space
@@ -93,7 +98,10 @@ PAREN = r"\((.*?)\)"
 def paren_capture(text: ColumnOrName, pattern: str = PAREN) -> Column:
     """First group of ``pattern``; null (not '') when nothing matches."""
     t = _c(text)
-    return F.when(t.rlike(pattern), F.regexp_extract(t, pattern, 1))
+    hit = t.rlike(pattern)
+    if pattern == PAREN:
+        hit = t.contains("(") & hit
+    return F.when(hit, F.regexp_extract(t, pattern, 1))
 
 
 def flag_priority(tokens: ColumnOrName, flags: Iterable[str] = ("Q", "q")) -> Column:
@@ -109,13 +117,11 @@ def flag_priority(tokens: ColumnOrName, flags: Iterable[str] = ("Q", "q")) -> Co
 def first_in(tokens: ColumnOrName, codes: Iterable[str]) -> Column:
     """First token that is one of ``codes``; null when none.
 
-    A short code list is looked up with ``array_position`` per code (compiled);
-    a long one with one ``filter``.
+    Most lines hold none, which the compiled overlap test finds; only the others are
+    filtered.  The filter, a higher-order function, also keeps a projection of many fields
+    out of whole-stage code: its one method would be too long for the JVM to compile.
     """
     codes = list(codes)
     t = _c(tokens)
-    if len(codes) > 16:
-        return F.get(F.filter(t, lambda x: x.isin(codes)), F.lit(0))
-    firsts = [F.nullif(F.array_position(t, c), F.lit(0)) for c in codes]
-    pos = firsts[0] if len(firsts) == 1 else F.least(*firsts)
-    return F.element_at(t, pos.cast("int"))
+    some = F.arrays_overlap(t, F.array(*[F.lit(c) for c in codes]))
+    return F.when(some, F.get(F.filter(t, lambda x: x.isin(codes)), F.lit(0)))

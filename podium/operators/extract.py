@@ -89,8 +89,9 @@ def explode_lines(df: DataFrame, text_col: str, sep: str = "\n", line_col: str =
 
 def base_name(path: Column) -> Column:
     """Lower-case file name of a path, percent-encoded or plain."""
-    name = F.regexp_extract(path, r"([^/\\\\]+)$", 1)
-    return F.lower(F.coalesce(F.try_url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))), name))
+    name = F.substring_index(F.substring_index(path, "/", -1), "\\", -1)
+    decoded = F.coalesce(F.try_url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))), name)
+    return F.lower(F.when(F.contains(name, F.lit("%")), decoded).otherwise(name))
 
 
 def route_layout(path: Column, routes: Sequence[tuple[str, str]], default: str | None = None) -> Column:
@@ -204,20 +205,22 @@ def parse_layout(lines: DataFrame, layouts: Layout | Mapping[str, Layout], dicti
     more than one dictionary token in ``ambiguous``.
     """
     tok = tokenizer or (lambda c: tokenize(c))
-    p = tok(F.col(line_col))
-    if mode == "strict":
-        shifted = ~F.coalesce(item(p, 1).rlike(r"^\d+$"), F.lit(False)) & \
-            F.coalesce(item(p, 0).rlike(r"^\d+$"), F.lit(False))
-        p = F.when(shifted, F.concat(F.array(F.lit(None).cast("string")), p)).otherwise(p)
-    base = lines.withColumn("__p", p)
+    # one projection after the other: what several expressions use is computed once a line
+    base = lines.withColumn("__p", tok(F.col(line_col)))
     pc = F.col("__p")
+    if mode == "strict":
+        shifted = ~F.coalesce(item(pc, 1).rlike(r"^\d+$"), F.lit(False)) & \
+            F.coalesce(item(pc, 0).rlike(r"^\d+$"), F.lit(False))
+        base = base.withColumn("__p", F.when(shifted, F.concat(F.array(F.lit(None).cast("string")), pc)).otherwise(pc))
     words = _as_literal(dictionary)
     if words is None:
         base = dict_tokens(base, "__p", dictionary, "__i", "__hits")
         hits = F.col("__hits")
     else:
-        base = base.withColumn("__i", first_pos_in(pc, words))
-        hits = F.size(F.filter(pc, lambda x: x.isin(words)))
+        base = base.withColumn("__w", F.filter(pc, lambda x: x.isin(words)))
+        # the first dictionary token's first occurrence is the first dictionary position
+        base = base.withColumn("__i", F.array_position(pc, F.get("__w", F.lit(0))).cast("int") - 1)
+        hits = F.size("__w")
     i = F.col("__i")
     # the bracket value is computed once per row (several fields test it)
     if isinstance(layouts, Layout):
@@ -245,7 +248,7 @@ def parse_layout(lines: DataFrame, layouts: Layout | Mapping[str, Layout], dicti
     exprs["is_reject"] = rejected
     if mode == "strict":
         exprs["ambiguous"] = F.coalesce(hits, F.lit(0)) > 1
-    out = base.withColumns(exprs).drop("__p", "__i", "__b", "__hits")
+    out = base.withColumns(exprs).drop("__p", "__i", "__b", "__w", "__hits")
     if keep is not None:
         out = out.select(*keep, *exprs.keys())
     return out
@@ -317,15 +320,19 @@ def header_patterns(line: Column | None = None) -> dict[str, Column]:
     ln = line if line is not None else F.col("line")
     s = F.regexp_replace(ln, r"(?U)^\s+|\s+$", "")
 
-    def found(pattern: str) -> Column:
-        return F.when(s.rlike(pattern), F.regexp_extract(s, pattern, 0))
+    def found(pattern: str, may: Column) -> Column:
+        return F.when(may & s.rlike(pattern), F.regexp_extract(s, pattern, 0))
 
+    # what a line must hold for a pattern to match at all: most lines hold none of it, and no pattern is run on them.
+    # In ASCII text lower case is all there is to letter case; other text goes to the pattern.
+    lower = F.lower(ln)
+    other = F.octet_length(ln) != F.char_length(ln)
     # event and round match in any letter case; Unicode classes as in Python's re
     return {
-        "event_type": found("(?iU)" + EVENT_PATTERN),
-        "round": found("(?iU)" + ROUND_PATTERN),
-        "date": found("(?U)" + DATE_PATTERN),
-        "location": F.when(s.contains(LOCATION_MARK), s),
+        "event_type": found("(?iU)" + EVENT_PATTERN, ln.contains("100")),
+        "round": found("(?iU)" + ROUND_PATTERN, lower.contains("round") | lower.contains("final") | other),
+        "date": found("(?U)" + DATE_PATTERN, ln.rlike("[A-Z]{3}[^A-Z]{3,4}[A-Z]{3}[^A-Z]{5}")),
+        "location": F.when(ln.contains(LOCATION_MARK), s),
     }
 
 

@@ -21,7 +21,7 @@ from podium.functions.cast import concat_time, date_text, dotted_number, parse_d
 from podium.functions.text import item, split_item, starts_with, tokenize
 from podium.operators import conform, correct, extract, model, profile, rank, shape
 from podium.operators.rank import Key
-from podium.session import written
+from podium.session import compiled_methods, written
 from podium.sources.tables import append_missing_rows, load, publish, read_table, retire, save, stage
 
 ATHLETE_SCHEMA = "id int, name string, noc_code string, gender string"
@@ -58,6 +58,7 @@ def lines_to_bronze(lines: DataFrame, dictionary: Sequence[str] | DataFrame, com
     written table, split into records and rejects, which are counted on the way
     (``counts`` takes the numbers).
     """
+    compiled_methods(lines.sparkSession)
     names = list(HEADER_TO_BRONZE)
     scope = F.col("page") == 0 if header_scope == "first_page" else F.lit(True)
     body = starts_with("line", r"^\d", unicode=True)
@@ -72,6 +73,8 @@ def lines_to_bronze(lines: DataFrame, dictionary: Sequence[str] | DataFrame, com
                                   tokenizer=lambda c: tokenize(c, unicode=True))
     # a header line that is no record is kept apart from the rejects by its null flag
     parsed = parsed.withColumn("is_reject", F.when(F.col("__body"), F.col("is_reject")))
+    # a record's text is in its fields
+    parsed = parsed.withColumn("line", F.when(F.col("is_reject"), F.col("line"))).drop("layout", "ambiguous")
     table, seen = extract.write_parsed(parsed, "sheet-lines")
     if counts is not None:
         counts.update(seen)
@@ -157,11 +160,18 @@ def silver_round(bronze: DataFrame, compat: bool = False, registry: str | None =
         r = conform.distinct_rows(r, ROUND_KEY).withColumns({
             "date": date_text(parse_date_text("date")), "location": split_item("location", LOCATION_END, 0)})
         return r.select(F.monotonically_increasing_id().alias("id"), *ROUND_KEY)
-    r = conform.distinct_rows(bronze.select(*[c.alias(n) for n, c in _round_columns().items()]), ROUND_KEY)
+    # a sheet's header is put in form once, not once a row; numbering reads the few rounds several times
+    heads = conform.distinct_rows(bronze, HEADER_TO_BRONZE.values())
+    r = written(conform.distinct_rows(heads.select(*[c.alias(n) for n, c in _round_columns().items()]), ROUND_KEY), "rounds")
     numbered = conform.register_keys(r, ROUND_KEY, registry, "id") if registry else conform.surrogate_key(r, ROUND_KEY, "id")
     return numbered.select(F.col("id").cast("bigint").alias("id"), *ROUND_KEY)
 
 
+def _head_columns() -> list:
+    """The header of a landing row as it stands, one text a column that tells null from empty."""
+    return [F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("")).alias(f"__h_{n}") for n, c in HEADER_TO_BRONZE.items()]
+
+
 def _fraction(col: str):
     """The digits behind the point as a number of thousandths: a finish's order within equal hundredths."""
     digits = F.regexp_extract(col, r"([0-9]+)", 1)
@@ -172,25 +182,29 @@ def silver_race(bronze: DataFrame, athlete: DataFrame, rounds: DataFrame, compat
     """Race fact (N3).  The order of the corrections is the reference's; changing it
     changes results: null FK, status, reset, default heat, rank, time text,
     default result, casts."""
-    key = {f"__{n}": c for n, c in _round_columns().items()}
+    heads = _head_columns()
     race = bronze.select(
         F.col("Rank").alias("rank"), F.col("Heat").alias("heat"), F.col("Lane").alias("lane"),
         F.col("Pos").alias("position"), F.col("Time").alias("time"), F.col("Milliseconds").alias("milliseconds"),
         F.col("Wind").alias("wind"), F.col("Result").alias("result"),
         F.col("Additional Info").alias("additional_info"), F.col("Athlete Bib").alias("athlete_bib"),
         F.col("Round").alias("round"), F.trim(item(F.split("Event Type", " "), 0)).alias("event"),
-        F.trim(item(F.split("Event Type", " "), 1)).alias("event_type"), *[c.alias(n) for n, c in key.items()])
+        F.trim(item(F.split("Event Type", " "), 1)).alias("event_type"), *heads)
+    of_head = [f"__h_{n}" for n in HEADER_TO_BRONZE]
     race = conform.lookup_fk(race, athlete, [(safe_cast("athlete_bib", "int"), "id")], "id", "FK_athlete_id",
                              strict=not compat)
     if compat:
         on = [(F.col(n), n) for n in ("round", "event", "event_type")]
         race = conform.lookup_fk(race, rounds, on, "id", "FK_round_id", strict=False)
-    else:  # the whole key; a missing part is a value of its own
+    else:  # the whole key; a missing part is a value of its own.  The key of each header is looked up once
         named = rounds.select("id", *[F.coalesce(n, F.lit("")).alias(n) for n in ROUND_KEY])
-        race = conform.lookup_fk(race, named, [(F.coalesce(f"__{n}", F.lit("")), n) for n in ROUND_KEY], "id",
-                                 "FK_round_id")
+        key = {f"__{n}": c for n, c in _round_columns().items()}
+        heads = conform.distinct_rows(bronze, HEADER_TO_BRONZE.values()).select(*heads, *[c.alias(n) for n, c in key.items()])
+        heads = conform.lookup_fk(heads, named, [(F.coalesce(f"__{n}", F.lit("")), n) for n in ROUND_KEY], "id", "__id")
+        heads = written(heads.select(*of_head, "__id"), "rounds-of-headers")
+        race = conform.lookup_fk(race, heads, [(F.col(c), c) for c in of_head], "__id", "FK_round_id")
     # both lookups are done once; what follows reads the rows several times
-    race = written(race.drop("athlete_bib", "round", "event_type", "event", *key), "race-looked-up")
+    race = written(race.drop("athlete_bib", "round", "event_type", "event", *of_head), "race-looked-up")
     spark = bronze.sparkSession
     fixes = spark.createDataFrame(NULL_FK_FIXES, "heat string, lane string, fix int")
     race = conform.correct_null(race, "FK_athlete_id", fixes, [("heat", "heat"), ("lane", "lane")], "fix",
@@ -253,6 +267,7 @@ def medallion_job(spark: SparkSession, bronze: DataFrame, out: str, load_time: s
         versions.append(stage(df, paths[name], partition_by))
         return load(spark, versions[-1])
 
+    compiled_methods(spark)
     save(bronze, paths["bronze"], mode)
     b = load(spark, paths["bronze"])
     athlete = put(add_missing_athletes(silver_athlete(b, compat)), "silver_athlete")

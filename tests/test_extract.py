@@ -136,3 +136,40 @@ def test_route_by_base_name(spark):
     df = spark.createDataFrame(rows, "p string, w string")
     got = df.select("w", extract.route_layout(F.col("p"), SHEET_ROUTES, "heats").alias("l"))
     assert got.filter("l <> w").collect() == []
+
+
+def test_guarded_patterns_match_as_plain_ones(spark):
+    """Guards before the patterns change no result: odd letter case, Unicode spaces and digits, short and null lines."""
+    import re
+
+    from podium.fixed import DATE_PATTERN, EVENT_PATTERN, LOCATION_MARK, ROUND_PATTERN
+    from podium.functions.text import first_in, normalize_ws
+    lines = ["", "1 2 SUP", "men's 100M roUnd 12", "WOMEN'S 100m", "SEMI-FINAL", "preliminary round", "Round 3", "Round 12",
+             "SUN 4 AUG 2024", "  xSUN 4 AUG 2024", "(SAT 14\tAUG 2024)", "SUN 444 AUG 2024", "UNITED KINGDOM 12345", "ABC 1 DEF 202",
+             " 　Stade de France Ath  ", "a  b", "a  b", "a \t b", "a b", "É Ü", "ÉÜ", "Fİnal", None]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "i int, line string")
+    cols = extract.header_patterns()
+    got = df.select("i", "line", *[c.alias(n) for n, c in cols.items()], normalize_ws("line", unicode=True).alias("w")).collect()
+
+    def plain(pattern, text, flags=0):
+        m = re.search(pattern, text.strip(), flags)
+        return m and m.group(0)
+
+    for r in got:
+        if r.line is None:
+            assert r.event_type is r.round is r.date is r.location is r.w is None
+            continue
+        assert r.event_type == plain(EVENT_PATTERN, r.line, re.I) and r.date == plain(DATE_PATTERN, r.line)
+        if "İ" not in r.line:  # Java folds a dotted capital I to i, Python does not
+            assert r.round == plain(ROUND_PATTERN, r.line, re.I)
+        assert r.location == (r.line.strip() if LOCATION_MARK in r.line else None)
+        assert r.w == re.sub(r"\s{2,}", " ", r.line)
+    codes = spark.createDataFrame([(["x", None, "SB", "DQ"],), (["x", None],), ([],), (None,)], "t array<string>")
+    assert [r[0] for r in codes.select(first_in("t", ["DQ", "SB"])).collect()] == ["SB", None, None, None]
+
+
+def test_base_names(spark):
+    paths = ["a/b/Final%20Male.txt", "a\\b\\Final+Male.txt", "x", "a/", "100%", "a/b%2Fc.txt", "", None]
+    df = spark.createDataFrame([(p,) for p in paths], "p string")
+    assert [r[0] for r in df.select(extract.base_name(F.col("p"))).collect()] == [
+        "final male.txt", "final+male.txt", "x", "", "100%", "b/c.txt", "", None]

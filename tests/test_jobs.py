@@ -188,3 +188,33 @@ def test_sheet_counts(spark, sheets):
     counts = {}
     jobs.sheets_to_bronze(sheets, DICTIONARY, counts=counts)
     assert counts == {"records": len(CASES), "rejects": 1}
+
+
+def test_headers_are_put_in_form_once(spark, monkeypatch):
+    """The round of a race is looked up once a header, not once a row; null and empty texts are two headers."""
+    from podium.operators import conform
+    from podium.sources.csv import BRONZE_SCHEMA
+    cols = BRONZE_SCHEMA.fieldNames()
+    rows = [dict(zip(cols, [None] * len(cols))) | {"Event Type": "Women's 100m", "Round": rnd, "Athlete Bib": str(i), "Rank": str(i)}
+            for i, rnd in enumerate(["Round 1", "Round 1 ", None, ""] * 5)]
+    bronze = spark.createDataFrame([tuple(r[c] for c in cols) for r in rows], BRONZE_SCHEMA)
+    rounds = jobs.silver_round(bronze.filter("Round IS NOT NULL AND Round <> ''"))
+    seen, lookup = [], conform.lookup_fk
+
+    def spy(fact, dim, *args, **kwargs):
+        if "round" in dim.columns:
+            seen.append(fact.count())
+        return lookup(fact, dim, *args, **kwargs)
+
+    monkeypatch.setattr(conform, "lookup_fk", spy)
+    race = jobs.silver_race(bronze, jobs.silver_athlete(bronze), rounds)
+    one = rounds.first()["id"]
+    assert {int(r["rank"]): r.FK_round_id for r in race.collect()} == {i: one if i % 4 < 2 else None for i in range(20)}
+    assert seen == [4]
+
+
+def test_no_stage_is_left_to_the_interpreter(spark, sheets):
+    """Methods that the JVM would not compile are not generated."""
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
+    jobs.sheets_to_bronze(sheets, DICTIONARY)
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
