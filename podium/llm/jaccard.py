@@ -32,6 +32,8 @@ SEEN_SETS = 200_000
 CACHE_WORDS = 400_000
 #: Rounds that compare the records of a signature with one leader before all that is still apart.
 LEADER_ROUNDS = 2
+#: Rounds in which a record of a large signature sends its likeliest pair alone, before all that is still apart is sent.
+SEEK_ROUNDS = 2
 #: Records of a signature that a task compares with each other at once.
 BLOCK = 2048
 #: Up to so many records of a signature are compared one by one.
@@ -151,13 +153,18 @@ def _folded(bitmaps: np.ndarray, size: int) -> np.ndarray:
     return np.bitwise_or.reduce(bitmaps.reshape(len(bitmaps), -1, size), axis=1)
 
 
-def may_link(x: np.ndarray, nx: int, rows: np.ndarray, n: np.ndarray, threshold: int = THRESHOLD) -> np.ndarray:
-    """Which rows' sets can reach the threshold with x: a bit that only one side has is a shingle that the other lacks."""
+def most_common(x: np.ndarray, nx: int, rows: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """How many shingles the rows' sets can share with x: a bit that only one side has is a shingle that the other lacks."""
     size = min(len(x), rows.shape[1])
     x, rows = _folded(x[None, :], size)[0], _folded(rows, size)
     only_x = np.bitwise_count(x & ~rows).sum(1, dtype=np.int64)
     only_row = np.bitwise_count(rows & ~x).sum(1, dtype=np.int64)
-    most = np.minimum(nx - only_x, n - only_row)
+    return np.minimum(nx - only_x, n - only_row)
+
+
+def may_link(x: np.ndarray, nx: int, rows: np.ndarray, n: np.ndarray, threshold: int = THRESHOLD) -> np.ndarray:
+    """Which rows' sets can reach the threshold with x."""
+    most = most_common(x, nx, rows, n)
     return most * 100 >= (nx + n - most) * threshold
 
 
@@ -207,6 +214,42 @@ def many_pairs(h, c, n, sketches: list[bytes], own, threshold: int) -> list[tupl
     return out
 
 
+def sought_pairs(h, c, n, sketches: list[bytes], own, seek, threshold: int) -> tuple[list[tuple[int, int]], bool]:
+    """One pair of ``many_pairs`` for each record that seeks, and whether there are others.
+
+    The likeliest, one with the largest component if there is any: a record that links with
+    many of a component has to be joined to it once.
+    """
+    sizes = np.asarray([len(x) for x in sketches])
+    places = {int(z): np.flatnonzero(sizes == z) for z in np.unique(sizes)}
+    tables = {z: np.frombuffer(b"".join(sketches[p] for p in ps), np.uint8).reshape(-1, z) for z, ps in places.items()}
+    names, counts = np.unique(c, return_counts=True)
+    most, out, others = names[counts.argmax()], [], False
+    for p in np.flatnonzero(c != most):
+        if others and not seek[p]:
+            continue
+        x, best, hits = np.frombuffer(sketches[p], np.uint8), None, 0
+        for z, table in tables.items():
+            ps = places[z]
+            ok = (c[ps] != c[p]) & (np.minimum(n[ps], n[p]) * 100 >= np.maximum(n[ps], n[p]) * threshold)
+            if own is not None:
+                ok &= own[ps] != own[p]
+            if ok.any():
+                ps = ps[ok]
+                common = most_common(x, int(n[p]), table[ok], n[ps])
+                union = n[p] + n[ps] - common
+                hit = common * 100 >= union * threshold
+                hits += int(hit.sum())
+                if hit.any():
+                    score = np.where(hit, (c[ps] == most) * 2 + common / union, 0)
+                    q = int(score.argmax())
+                    best = max(best or (0, 0), (float(score[q]), int(h[ps[q]])))
+        if hits and seek[p]:
+            out.append((min(int(h[p]), best[1]), max(int(h[p]), best[1])))
+        others = others or hits > (1 if seek[p] else 0)
+    return out, others
+
+
 def linked(a: np.ndarray, b: np.ndarray, threshold: int = THRESHOLD) -> bool:
     i = len(np.intersect1d(a, b, assume_unique=True))
     return 100 * i >= threshold * (len(a) + len(b) - i)
@@ -317,18 +360,29 @@ def _verified(pairs: DataFrame, nodes: DataFrame, source: DataFrame, threshold:
     return found
 
 
-def _apart_pairs(large: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
+def _apart_pairs(large: DataFrame, nodes: DataFrame, threshold: int, seek: int = 0) -> DataFrame:
     """Pairs (a, b) of different components within a signature that may link by size and bitmap.
 
+    With ``seek`` (the number of the round) a record of signatures with more than FEW records
+    sends one pair alone, in one of these signatures; a row (null, null, sig) names a
+    signature that has further pairs.  Without it every pair is sent.
+
     A signature's records are compared in blocks inside the tasks, those outside its
     largest component against all; only pairs that pass leave the task.
     """
     count = large.groupBy("sig").agg(F.count(F.lit(1)).alias("g"))
     blocks = F.ceil(F.col("g") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("h"), blocks).cast("int")
-    rows = large.join(count, "sig").join(nodes.select("h", "n", "sketch"), "h") \
-        .select("sig", "h", "c", "n", "sketch", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")) \
-        .select("sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "h", "c", "n", "sketch")
+    counted = large.join(count, "sig")
+    if seek:
+        turn = F.struct(F.when(F.lit(seek == 1), F.col("g")).alias("g"), F.xxhash64(F.lit(seek), "sig").alias("x"), "sig")
+        mine = F.max(F.when(F.col("g") > FEW, turn)).over(Window.partitionBy("h"))
+        counted = counted.withColumn("seek", F.coalesce(mine["sig"] == F.col("sig"), F.lit(False)))
+    else:
+        counted = counted.withColumn("seek", F.lit(False))
+    rows = counted.join(nodes.select("h", "n", "sketch"), "h") \
+        .select("sig", "h", "c", "n", "seek", "sketch", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")) \
+        .select("sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "h", "c", "n", "seek", "sketch")
     keys = ["sig", "i", "j"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -339,24 +393,35 @@ def _apart_pairs(large: DataFrame, nodes: DataFrame, threshold: int) -> DataFram
             if e - s < 2 or (x["c"][g] == x["c"][s]).all():
                 return
             own = x["own"][g] if x["i"][s] != x["j"][s] else None
-            test = few_pairs if e - s <= FEW else many_pairs
-            for pair in test(x["h"][g], x["c"][g], x["n"][g], x["sketch"][s:e], own, threshold):
+            args = x["h"][g], x["c"][g], x["n"][g], x["sketch"][s:e], own
+            if e - s <= FEW:
+                pairs = few_pairs(*args, threshold)
+            elif seek:
+                pairs, others = sought_pairs(*args, x["seek"][g], threshold)
+                if others:
+                    out.append((None, None, int(x["sig"][s])))
+            else:
+                pairs = many_pairs(*args, threshold)
+            for pair in pairs:
                 if pair not in sent:
                     if len(sent) > SENT_PAIRS:
                         sent.clear()
                     sent.add(pair)
-                    out.append(pair)
+                    out.append((*pair, None))
 
         def done(out: list) -> pa.RecordBatch:
-            a, b = zip(*out)
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+            return pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in zip(*out)], names=["a", "b", "sig"])
+
+        def columns(t: pa.Table) -> dict:
+            x = {k: t.column(k).to_numpy() for k in ("sig", "i", "j", "own", "h", "c", "n", "seek")}
+            x["sketch"] = t.column("sketch").to_pylist()
+            return x
 
         held: pa.Table | None = None
         for batch in batches:
             now = pa.Table.from_batches([batch])
             held = now if held is None else pa.concat_tables([held, now])
-            x = {k: held.column(k).to_numpy() for k in ("sig", "i", "j", "own", "h", "c", "n")}
-            x["sketch"], out = held.column("sketch").to_pylist(), []
+            x, out = columns(held), []
             starts = [0, *(np.flatnonzero(np.logical_or.reduce([x[k][1:] != x[k][:-1] for k in keys])) + 1).tolist()]
             for s, e in zip(starts[:-1], starts[1:]):
                 finish(x, s, e, out)
@@ -365,14 +430,12 @@ def _apart_pairs(large: DataFrame, nodes: DataFrame, threshold: int) -> DataFram
                 yield done(out)
         if held is not None and held.num_rows:
             out = []
-            x = {k: held.column(k).to_numpy() for k in ("sig", "i", "j", "own", "h", "c", "n")}
-            x["sketch"] = held.column("sketch").to_pylist()
-            finish(x, 0, held.num_rows, out)
+            finish(columns(held), 0, held.num_rows, out)
             if out:
                 yield done(out)
 
     return rows.repartition(*[F.col(k) for k in keys]).sortWithinPartitions(*keys, "h") \
-        .mapInArrow(run, "a bigint, b bigint").distinct()
+        .mapInArrow(run, "a bigint, b bigint, sig bigint").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -410,7 +473,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                          "pairs")
     links = _verified(tested, nodes, source, threshold)
     large = buckets.filter("g > 2").select("sig", "h")
-    for step in range(1, LEADER_ROUNDS + 1):
+    last = LEADER_ROUNDS + SEEK_ROUNDS
+    for step in range(1, last + 1):
         comp = components(links)
         # buckets whose records are not all in one component yet
         known = large.join(comp, "h", "left").withColumn("c", F.coalesce("c", "h"))
@@ -422,10 +486,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             pairs = large.join(lead, "sig").filter("c <> l.c") \
                 .select(F.least("h", "l.h").alias("a"), F.greatest("h", "l.h").alias("b")).distinct()
         else:
-            pairs = _apart_pairs(large, nodes, threshold)
+            sent = materialise(_apart_pairs(large, nodes, threshold, (step - LEADER_ROUNDS + 1) if step < last else 0), f"sent-{step}")
+            pairs, further = sent.filter("a IS NOT NULL").select("a", "b"), sent.filter("sig IS NOT NULL").select("sig").distinct()
+            large = large.join(further, "sig", "left_semi")
         pairs = materialise(pairs.join(tested, ["a", "b"], "left_anti"), f"pairs-{step}")
         tested = tested.unionByName(pairs)
         links = links.unionByName(_verified(pairs, nodes, source, threshold))
+        if step >= LEADER_ROUNDS and further.isEmpty():
+            break
         large = large.select("sig", "h")
 
     comp = components(links)

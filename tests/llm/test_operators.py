@@ -240,6 +240,34 @@ def test_near_duplicates(docs, none, rows):
     assert jaccard.near_duplicates(none).collect() == []
 
 
+def test_large_groups_send_a_pair_a_record(spark, monkeypatch):
+    """Records that link with many of a large component send one pair in the first round; no link is lost."""
+    rng = np.random.default_rng(5)
+    base = rng.integers(1, 2**63, 100, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([base[k:], rng.integers(1, 2**63, k, dtype=np.uint64)])) for k in [0] * 40 + [8] * 40]
+    n, h = np.asarray([len(x) for x in sets]), np.arange(80)
+    c = np.where(h < 40, 0, h)
+    args = h, c, n, [jaccard.sketch(x) for x in sets], None
+    every = set(jaccard.many_pairs(*args, 80))
+    some, others = jaccard.sought_pairs(*args, h % 2 == 0, 80)
+    assert len(every) > 1000 and others and len(some) == 20 and set(some) <= every and all(a < 40 for a, _ in some)
+    assert jaccard.sought_pairs(h, 0 * c, *args[2:], h >= 0, 80) == ([], False)
+
+    words = [f"w{i}" for i in range(200)]
+    texts = [" ".join(words[i * 4:i * 4 + 60]) for i in range(30)] + [" ".join(words[:60]) + f" tail{i}" for i in range(30)]
+    monkeypatch.setattr(jaccard, "FEW", 2)
+    monkeypatch.setattr(jaccard, "BLOCK", 16)
+    got = jaccard.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    sh = [{tuple(w[i:i + 5]) for i in range(len(w) - 4)} for w in (t.split() for t in texts)]
+    want = list(range(60))
+    for _ in range(60):
+        for i in range(60):
+            for j in range(60):
+                if 100 * len(sh[i] & sh[j]) >= 80 * len(sh[i] | sh[j]):
+                    want[i] = want[j] = min(want[i], want[j])
+    assert {r.doc_id: r.component_id for r in got} == dict(enumerate(want))
+
+
 def test_signatures_meet_for_linked_sets():
     rng = np.random.default_rng(2)
     for _ in range(300):
