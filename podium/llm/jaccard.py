@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from podium.llm.common import discard, materialise, small_batches, worker_cache
+from podium.llm.common import discard, materialise, small_batches
 from podium.llm.graph import components
 
 WORDS = 5
@@ -29,9 +29,8 @@ FREQUENT = 8
 MAX_FREQUENT = 1 << 17
 CHUNK_SHINGLES = 4_000_000
 SEEN_SETS = 200_000
-CACHE_WORDS = 400_000
-#: Rounds that compare the records of a signature with one leader before all that is still apart.
-LEADER_ROUNDS = 2
+#: Bytes from which on a word is hashed on its own.
+LONG_WORD = 64
 #: Rounds in which a record of a large signature sends its likeliest pair alone, before all that is still apart is sent.
 SEEK_ROUNDS = 2
 #: Records of a signature that a task compares with each other at once.
@@ -43,16 +42,9 @@ SENT_PAIRS = 100_000
 
 _MUL = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5,
                  0x85EBCA77C2B2AE63], dtype=np.uint64)
-_ADD = _MUL * np.arange(1, len(_MUL) + 1, dtype=np.uint64)
-
-
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-        if len(self) > CACHE_WORDS:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
+#: Bytes that belong to words; masks of the first bytes of eight.
+_IN_WORD = np.asarray([not bytes([x]).isspace() for x in range(256)])
+_FIRST = np.asarray([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -61,21 +53,47 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def shingle_set(text: str | None, size: int = WORDS) -> np.ndarray:
-    """Sorted distinct hashes of the text's word shingles; with fewer words, of the whole sequence."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: A-Z and ASCII white space only
-    if not words:
+def word_hashes(text: bytes) -> np.ndarray:
+    """Hashes of the words of a text in lower case, in order: eight bytes at a time, all words at once."""
+    held = np.frombuffer(b"%b%b" % (text, bytes(8)), np.uint8)
+    inside = np.zeros(len(text) + 2, dtype=bool)
+    inside[1:-1] = _IN_WORD[held[:len(text)]]
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, sizes = edges[::2], edges[1::2] - edges[::2]
+    if not len(starts):
         return np.empty(0, dtype=np.uint64)
-    if len(words) < size:
+    eights = np.ndarray((len(text) + 1,), "<u8", held, strides=(1,))
+    out = _mix((eights[starts] & _FIRST[np.minimum(sizes, 8)]) ^ (sizes.astype(np.uint64) * _MUL[0]))
+    more, at = np.flatnonzero(sizes > 8), 8
+    while len(more) and at < LONG_WORD:
+        rest = sizes[more] - at
+        out[more] = _mix((eights[starts[more] + at] & _FIRST[np.minimum(rest, 8)]) ^ (out[more] * _MUL[1]))
+        more, at = more[rest > 8], at + 8
+    if len(more):
         import xxhash
-        return np.asarray([xxhash.xxh64_intdigest(b" ".join(words), seed=len(words))], dtype=np.uint64)
-    h = worker_cache("jaccard", _WordHashes)
-    w = np.asarray([h[x] for x in words], dtype=np.uint64)
+        for k in more:
+            out[k] = xxhash.xxh64_intdigest(text[starts[k]:starts[k] + sizes[k]])
+    return out
+
+
+def shingle_set(text: str | None, size: int = WORDS) -> np.ndarray:
+    """Sorted distinct hashes of the text's word shingles; with fewer words, of the whole sequence."""
+    lower = (text or "").encode("utf-8", "surrogatepass").lower()  # bytes: A-Z and ASCII white space only
+    w = word_hashes(lower)
     n = len(w) - size + 1
-    total = np.zeros(n, dtype=np.uint64)
-    for k in range(size):
-        total += _mix(w[k:k + n] + _ADD[k]) * _MUL[k]
-    return np.unique(_mix(total))
+    if n < 1:
+        if not len(w):
+            return w
+        import xxhash
+        return np.asarray([xxhash.xxh64_intdigest(b" ".join(lower.split()), seed=len(w))], dtype=np.uint64)
+    total = w[:n] * _MUL[0]
+    for k in range(1, size):
+        total += w[k:k + n] * _MUL[k]
+    total = _mix(total)
+    total.sort()
+    first = np.ones(n, dtype=bool)
+    np.not_equal(total[1:], total[:-1], out=first[1:])
+    return total[first]
 
 
 def set_id(tokens: np.ndarray) -> int:
@@ -316,8 +334,8 @@ def _signed(source: DataFrame, frequent: np.ndarray, threshold: int) -> DataFram
     return source.mapInArrow(run, f"_id {kind}, h bigint, n bigint, sketch binary, sigs array<bigint>")
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, source: DataFrame, threshold: int) -> DataFrame:
-    """The pairs (a, b) of sets whose texts link."""
+def _able(pairs: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
+    """The pairs (a, b) of sets that may link by size and bitmap."""
     sized = pairs.join(nodes.select(F.col("h").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa")), "a") \
         .join(nodes.select(F.col("h").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb")), "b") \
         .filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * threshold)
@@ -327,8 +345,11 @@ def _verified(pairs: DataFrame, nodes: DataFrame, source: DataFrame, threshold:
         return pd.Series([bool(may_link(np.frombuffer(x, np.uint8), nx, np.frombuffer(y, np.uint8)[None, :],
                                         np.asarray([ny]), threshold)[0]) for x, nx, y, ny in zip(a, na, b, nb)], dtype=bool)
 
-    near = sized.filter(able("sa", "na", "sb", "nb")).select("a", "b")
-    near = materialise(near, "near")
+    return sized.filter(able("sa", "na", "sb", "nb")).select("a", "b")
+
+
+def _verified(near: DataFrame, nodes: DataFrame, source: DataFrame, threshold: int) -> DataFrame:
+    """The pairs (a, b, ...) of sets, a written table, whose texts link."""
     ids = near.select(F.explode(F.array("a", "b")).alias("h")).distinct().join(nodes.select("h", "rep"), "h")
 
     def own(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -340,6 +361,8 @@ def _verified(pairs: DataFrame, nodes: DataFrame, source: DataFrame, threshold:
     both = near.join(texts.select(F.col("h").alias("a"), F.col("_text").alias("ta")), "a") \
         .join(texts.select(F.col("h").alias("b"), F.col("_text").alias("tb")), "b")
 
+    names = near.columns
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[int, np.ndarray] = {}
 
@@ -353,33 +376,31 @@ def _verified(pairs: DataFrame, nodes: DataFrame, source: DataFrame, threshold:
         for batch in batches:
             keep = [linked(of(a, x), of(b, y), threshold)
                     for a, b, x, y in zip(batch["a"], batch["b"], batch["ta"], batch["tb"])]
-            yield batch.loc[keep, ["a", "b"]]
+            yield batch.loc[keep, names]
 
-    found = materialise(both.mapInPandas(run, "a bigint, b bigint"), "linked")
-    discard(near, texts)
+    found = materialise(both.mapInPandas(run, near.schema), "linked")
+    discard(texts)
     return found
 
 
 def _apart_pairs(large: DataFrame, nodes: DataFrame, threshold: int, seek: int = 0) -> DataFrame:
-    """Pairs (a, b) of different components within a signature that may link by size and bitmap.
+    """Pairs (a, b) of different components (ca, cb) within a signature of ``g`` records that may link by size and bitmap.
 
     With ``seek`` (the number of the round) a record of signatures with more than FEW records
-    sends one pair alone, in one of these signatures; a row (null, null, sig) names a
+    sends one pair alone, in one of these signatures; a row with ``sig`` alone names a
     signature that has further pairs.  Without it every pair is sent.
 
     A signature's records are compared in blocks inside the tasks, those outside its
     largest component against all; only pairs that pass leave the task.
     """
-    count = large.groupBy("sig").agg(F.count(F.lit(1)).alias("g"))
     blocks = F.ceil(F.col("g") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("h"), blocks).cast("int")
-    counted = large.join(count, "sig")
     if seek:
         turn = F.struct(F.when(F.lit(seek == 1), F.col("g")).alias("g"), F.xxhash64(F.lit(seek), "sig").alias("x"), "sig")
         mine = F.max(F.when(F.col("g") > FEW, turn)).over(Window.partitionBy("h"))
-        counted = counted.withColumn("seek", F.coalesce(mine["sig"] == F.col("sig"), F.lit(False)))
+        counted = large.withColumn("seek", F.coalesce(mine["sig"] == F.col("sig"), F.lit(False)))
     else:
-        counted = counted.withColumn("seek", F.lit(False))
+        counted = large.withColumn("seek", F.lit(False))
     rows = counted.join(nodes.select("h", "n", "sketch"), "h") \
         .select("sig", "h", "c", "n", "seek", "sketch", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")) \
         .select("sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "h", "c", "n", "seek", "sketch")
@@ -399,18 +420,19 @@ def _apart_pairs(large: DataFrame, nodes: DataFrame, threshold: int, seek: int =
             elif seek:
                 pairs, others = sought_pairs(*args, x["seek"][g], threshold)
                 if others:
-                    out.append((None, None, int(x["sig"][s])))
+                    out.append((None, None, None, None, int(x["sig"][s])))
             else:
                 pairs = many_pairs(*args, threshold)
+            of = dict(zip(x["h"][g].tolist(), x["c"][g].tolist())) if pairs else {}
             for pair in pairs:
                 if pair not in sent:
                     if len(sent) > SENT_PAIRS:
                         sent.clear()
                     sent.add(pair)
-                    out.append((*pair, None))
+                    out.append((*pair, of[pair[0]], of[pair[1]], None))
 
         def done(out: list) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in zip(*out)], names=["a", "b", "sig"])
+            return pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in zip(*out)], names=["a", "b", "ca", "cb", "sig"])
 
         def columns(t: pa.Table) -> dict:
             x = {k: t.column(k).to_numpy() for k in ("sig", "i", "j", "own", "h", "c", "n", "seek")}
@@ -435,7 +457,7 @@ def _apart_pairs(large: DataFrame, nodes: DataFrame, threshold: int, seek: int =
                 yield done(out)
 
     return rows.repartition(*[F.col(k) for k in keys]).sortWithinPartitions(*keys, "h") \
-        .mapInArrow(run, "a bigint, b bigint, sig bigint").distinct()
+        .mapInArrow(run, "a bigint, b bigint, ca bigint, cb bigint, sig bigint").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -464,39 +486,41 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ranked = entries.withColumn("k", F.dense_rank().over(by_sig.orderBy("h"))) \
         .withColumn("again", F.coalesce(F.lag("h").over(by_sig.orderBy("h")) == F.col("h"), F.lit(False))) \
         .withColumn("lead", F.first("h").over(by_sig.orderBy("h"))) \
-        .withColumn("g", F.max("k").over(by_sig)).filter("g > 1 AND NOT again").select("sig", "h", "lead", "g")
+        .withColumn("far", F.max("h").over(by_sig)) \
+        .withColumn("g", F.max("k").over(by_sig)).filter("g > 1 AND NOT again").select("sig", "h", "lead", "far", "g")
     buckets = materialise(ranked, "buckets")
     slim = materialise(signed.select("_id", "h", "n"), "set-ids")
     discard(signed)
 
-    tested = materialise(buckets.filter("h <> lead").select(F.col("lead").alias("a"), F.col("h").alias("b")).distinct(),
-                         "pairs")
-    links = _verified(tested, nodes, source, threshold)
-    large = buckets.filter("g > 2").select("sig", "h")
-    last = LEADER_ROUNDS + SEEK_ROUNDS
-    for step in range(1, last + 1):
-        comp = components(links)
-        # buckets whose records are not all in one component yet
-        known = large.join(comp, "h", "left").withColumn("c", F.coalesce("c", "h"))
-        apart = known.groupBy("sig").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).filter("c0 < c1").select("sig")
-        large = materialise(known.join(apart, "sig").select("sig", "h", "c"), f"apart-{step}")
-        if step < LEADER_ROUNDS:
-            draw = F.struct(F.xxhash64(F.lit(step), "h").alias("x"), "h", "c")
-            lead = large.groupBy("sig").agg(F.min(draw).alias("l"))
-            pairs = large.join(lead, "sig").filter("c <> l.c") \
-                .select(F.least("h", "l.h").alias("a"), F.greatest("h", "l.h").alias("b")).distinct()
-        else:
-            sent = materialise(_apart_pairs(large, nodes, threshold, (step - LEADER_ROUNDS + 1) if step < last else 0), f"sent-{step}")
-            pairs, further = sent.filter("a IS NOT NULL").select("a", "b"), sent.filter("sig IS NOT NULL").select("sig").distinct()
-            large = large.join(further, "sig", "left_semi")
-        pairs = materialise(pairs.join(tested, ["a", "b"], "left_anti"), f"pairs-{step}")
-        tested = tested.unionByName(pairs)
-        links = links.unionByName(_verified(pairs, nodes, source, threshold))
-        if step >= LEADER_ROUNDS and further.isEmpty():
+    # few records are compared with one leader, many with two; then all that is still apart
+    first = buckets.filter("h <> lead").select(F.col("lead").alias("a"), F.col("h").alias("b"))
+    second = buckets.filter((F.col("g") > FEW) & ~F.col("h").isin(F.col("lead"), F.col("far"))) \
+        .select(F.col("h").alias("a"), F.col("far").alias("b"))
+    tested = materialise(first.unionByName(second).distinct(), "pairs")
+    near = materialise(_able(tested, nodes, threshold), "near")
+    comp = components(_verified(near, nodes, source, threshold))
+    discard(near)
+    large, joined = buckets.filter("g > 2").select("sig", "h"), True
+    for step in range(1, SEEK_ROUNDS + 2):
+        if joined:  # buckets whose records are not all in one component yet
+            known = large.select("sig", "h").join(comp, "h", "left").withColumn("c", F.coalesce("c", "h"))
+            apart = known.groupBy("sig").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.count(F.lit(1)).alias("g")) \
+                .filter("c0 < c1").select("sig", "g")
+            large = materialise(known.join(apart, "sig").select("sig", "h", "c", "g"), f"apart-{step}")
+        sent = materialise(_apart_pairs(large, nodes, threshold, step if step <= SEEK_ROUNDS else 0), f"sent-{step}")
+        further = sent.filter("sig IS NOT NULL").select("sig").distinct()
+        pairs = materialise(sent.filter("a IS NOT NULL").drop("sig").join(tested, ["a", "b"], "left_anti"), f"pairs-{step}")
+        joined = not pairs.isEmpty()
+        if joined:
+            tested = tested.unionByName(pairs.select("a", "b"))
+            new = _verified(pairs, nodes, source, threshold).select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+            joined = not new.isEmpty()
+        if joined:
+            comp = components(new.unionByName(comp.select(F.col("h").alias("a"), F.col("c").alias("b"))))
+        if further.isEmpty():
             break
-        large = large.select("sig", "h")
+        large = large.join(further, "sig", "left_semi")
 
-    comp = components(links)
     classes = slim.groupBy("h").agg(F.min("_id").alias("class_id"))
     named = classes.join(comp, "h", "left").withColumn("c", F.coalesce("c", "h"))
     lowest = named.groupBy("c").agg(F.min("class_id").alias("component_id"))

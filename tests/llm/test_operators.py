@@ -268,6 +268,37 @@ def test_large_groups_send_a_pair_a_record(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in got} == dict(enumerate(want))
 
 
+def test_shingles_of_odd_words():
+    """Sets of hashes are as large, and share as much, as sets of words: long, empty, with null bytes, any white space."""
+    rng = np.random.default_rng(4)
+    pool = ["a", "A", "\0", "\0\0", "é", "É", "\u00a0", "\ud800", "x" * 8, "x" * 9, "X" * 64, "x" * 65, "x" * 66, "\x1c", "12345678", "123456789"]
+    texts = [None, "", " \t\n", *pool] + ["".join(w + s for w, s in zip(rng.choice(pool, n), rng.choice(list(" \t\n\v\f\r"), n)))
+                                         for n in rng.integers(1, 40, 60)]
+
+    def plain(t):
+        w = (t or "").encode("utf-8", "surrogatepass").lower().split()
+        return {tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) > 4 else {tuple(w)} if w else set()
+
+    want, got = [plain(t) for t in texts], [jaccard.shingle_set(t) for t in texts]
+    for a, x in zip(want, got):
+        assert len(a) == len(x) and (np.diff(x.astype(object)) > 0).all()
+        assert all(len(a & b) == len(np.intersect1d(x, y)) for b, y in zip(want, got))
+    words = [w.encode("utf-8", "surrogatepass").lower() for w in pool]
+    assert len(set(jaccard.word_hashes(b" ".join(words)).tolist())) == len(set(words))
+
+
+def test_stars_need_no_step(spark, monkeypatch):
+    """Links that are stars already are written once; before, a step more was run to see that nothing changes."""
+    from podium.llm import graph
+    written, write = [], graph.materialise
+    monkeypatch.setattr(graph, "materialise", lambda df, name: (written.append(name), write(df, name))[1])
+    links = [(1, i) for i in range(2, 9)] + [(20, 11), (11, 30), (4, 4)]
+    got = {r.h: r.c for r in graph.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {**{i: 1 for i in range(1, 9)}, 11: 11, 20: 11, 30: 11} and written == ["links"]
+    chain = graph.components(spark.createDataFrame([(i, i + 1) for i in range(9)], "a long, b long"))
+    assert {r.c for r in chain.collect()} == {0} and "stars" in written
+
+
 def test_signatures_meet_for_linked_sets():
     rng = np.random.default_rng(2)
     for _ in range(300):
