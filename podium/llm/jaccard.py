@@ -500,13 +500,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     near = materialise(_able(tested, nodes, threshold), "near")
     comp = components(_verified(near, nodes, source, threshold))
     discard(near)
-    large, joined = buckets.filter("g > 2").select("sig", "h"), True
+    large, further, joined = buckets.filter("g > 2").select("sig", "h"), None, True
     for step in range(1, SEEK_ROUNDS + 2):
         if joined:  # buckets whose records are not all in one component yet
             known = large.select("sig", "h").join(comp, "h", "left").withColumn("c", F.coalesce("c", "h"))
             apart = known.groupBy("sig").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.count(F.lit(1)).alias("g")) \
                 .filter("c0 < c1").select("sig", "g")
+            apart = apart if further is None else apart.join(further, "sig", "left_semi")
             large = materialise(known.join(apart, "sig").select("sig", "h", "c", "g"), f"apart-{step}")
+        else:
+            large = large.join(further, "sig", "left_semi")
         sent = materialise(_apart_pairs(large, nodes, threshold, step if step <= SEEK_ROUNDS else 0), f"sent-{step}")
         further = sent.filter("sig IS NOT NULL").select("sig").distinct()
         pairs = materialise(sent.filter("a IS NOT NULL").drop("sig").join(tested, ["a", "b"], "left_anti"), f"pairs-{step}")
@@ -519,7 +522,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             comp = components(new.unionByName(comp.select(F.col("h").alias("a"), F.col("c").alias("b"))))
         if further.isEmpty():
             break
-        large = large.join(further, "sig", "left_semi")
 
     classes = slim.groupBy("h").agg(F.min("_id").alias("class_id"))
     named = classes.join(comp, "h", "left").withColumn("c", F.coalesce("c", "h"))
