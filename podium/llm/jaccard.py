@@ -39,6 +39,8 @@ BLOCK = 2048
 FEW = 24
 #: Pairs that a task remembers to have sent.
 SENT_PAIRS = 100_000
+#: Bits for each key of a filter, and the powers of two that bound its bits (4 MB at most).
+KEY_BITS, LEAST_BITS, MOST_BITS = 16, 10, 25
 
 _MUL = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5,
                  0x85EBCA77C2B2AE63], dtype=np.uint64)
@@ -334,11 +336,37 @@ def _signed(source: DataFrame, frequent: np.ndarray, threshold: int) -> DataFram
     return source.mapInArrow(run, f"_id {kind}, h bigint, n bigint, sketch binary, sigs array<bigint>")
 
 
+def _wanted(rows: DataFrame, col: str, keys: DataFrame) -> DataFrame:
+    """The rows whose ``col`` is a value of the one column of ``keys``, and a few others, before wide rows are shuffled.
+
+    A bitmap of the keys' hashes, of bounded size: with more keys than it is made for only more other rows stay.
+    """
+    key = F.col(keys.columns[0])
+    found = keys.agg(F.approx_count_distinct(key)).first()[0]
+    power = min(MOST_BITS, max(LEAST_BITS, (found * KEY_BITS).bit_length()))
+    bit = lambda c: F.xxhash64(c).bitwiseAND(F.lit((1 << power) - 1))
+    words = keys.select(bit(key).alias("p")).groupBy(F.shiftright("p", 6).alias("at")).agg(F.bit_or(F.call_function(
+        "shiftleft", F.lit(1).cast("bigint"), F.col("p").bitwiseAND(F.lit(63)).cast("int"))).alias("bits")).toPandas()
+    table = np.zeros(1 << (power - 6), dtype=np.int64)
+    table[words["at"].to_numpy(dtype=np.int64)] = words["bits"].to_numpy(dtype=np.int64)
+    sent = rows.sparkSession.sparkContext.broadcast(table)
+
+    @F.pandas_udf("boolean")
+    def held(p: pd.Series) -> pd.Series:
+        at = p.to_numpy(dtype=np.int64)
+        return pd.Series((sent.value[at >> 6] >> (at & 63) & 1).astype(bool))
+
+    return rows.filter(held(bit(F.col(col))))
+
+
 def _able(pairs: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
-    """The pairs (a, b) of sets that may link by size and bitmap."""
-    sized = pairs.join(nodes.select(F.col("h").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa")), "a") \
-        .join(nodes.select(F.col("h").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb")), "b") \
-        .filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * threshold)
+    """The pairs (a, b) of sets that may link by size and bitmap; only pairs of a linkable size get their bitmaps."""
+    sized = materialise(pairs.join(nodes.select(F.col("h").alias("a"), F.col("n").alias("na")), "a")
+                        .join(nodes.select(F.col("h").alias("b"), F.col("n").alias("nb")), "b")
+                        .filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * threshold), "sized")
+    sketches = _wanted(nodes.select("h", "sketch"), "h", sized.select(F.explode(F.array("a", "b")).alias("h")))
+    sized = sized.join(sketches.select(F.col("h").alias("a"), F.col("sketch").alias("sa")), "a") \
+        .join(sketches.select(F.col("h").alias("b"), F.col("sketch").alias("sb")), "b")
 
     @F.pandas_udf("boolean")
     def able(a: pd.Series, na: pd.Series, b: pd.Series, nb: pd.Series) -> pd.Series:
@@ -350,14 +378,16 @@ def _able(pairs: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
 
 def _verified(near: DataFrame, nodes: DataFrame, source: DataFrame, threshold: int) -> DataFrame:
     """The pairs (a, b, ...) of sets, a written table, whose texts link."""
-    ids = near.select(F.explode(F.array("a", "b")).alias("h")).distinct().join(nodes.select("h", "rep"), "h")
+    ids = materialise(near.select(F.explode(F.array("a", "b")).alias("h")).distinct()
+                      .join(nodes.select("h", "rep"), "h").select("h", F.col("rep").alias("_id")), "near-ids")
 
     def own(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:  # an id may stand for several texts
             yield batch[[set_id(shingle_set(t)) == h for h, t in zip(batch["h"], batch["_text"])]]
 
-    texts = source.join(ids.select("h", F.col("rep").alias("_id")), "_id").select("h", "_text")
+    texts = _wanted(source, "_id", ids.select("_id")).join(ids, "_id").select("h", "_text")
     texts = materialise(texts.mapInPandas(own, "h bigint, _text string").dropDuplicates(["h"]), "near-texts")
+    discard(ids)
     both = near.join(texts.select(F.col("h").alias("a"), F.col("_text").alias("ta")), "a") \
         .join(texts.select(F.col("h").alias("b"), F.col("_text").alias("tb")), "b")
 
@@ -383,6 +413,28 @@ def _verified(near: DataFrame, nodes: DataFrame, source: DataFrame, threshold: i
     return found
 
 
+def _to_compare(records: DataFrame, further: DataFrame | None, threshold: int) -> DataFrame:
+    """The records (sig, h, n, c) whose pairs are still open, narrowed before they get their bitmaps; ``g``: how many in the signature.
+
+    A record stays only beside one of a linkable size, a signature (of ``further``, if given) only
+    with records of several components.  Of signatures with the same records one stays,
+    and none whose records all have the same other one as their largest: that one holds their pairs.
+    """
+    by_size = Window.partitionBy("sig").orderBy("n", "h")
+    sized = records.withColumn("less", F.lag("n").over(by_size)).withColumn("more", F.lead("n").over(by_size)) \
+        .filter((F.col("less") * 100 >= F.col("n") * threshold) | (F.col("n") * 100 >= F.col("more") * threshold))
+    groups = sized.groupBy("sig").agg(
+        F.min("c").alias("c0"), F.max("c").alias("c1"), F.count(F.lit(1)).alias("g"),
+        F.bit_xor(F.xxhash64("h")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "h")).alias("y")).filter("c0 < c1")
+    groups = groups if further is None else groups.join(further, "sig", "left_semi")
+    once = groups.groupBy("g", "x", "y").agg(F.min("sig").alias("sig")).select("sig", "g")
+    held = materialise(sized.join(once, "sig").select("sig", "h", "n", "c", "g"), "groups")
+    home = F.max(F.struct("g", "sig")).over(Window.partitionBy("h"))["sig"]
+    inner = held.withColumn("home", home).groupBy("sig").agg(F.min("home").alias("low"), F.max("home").alias("high")) \
+        .filter("low = high AND low <> sig").select("sig")
+    return held.join(inner, "sig", "left_anti")
+
+
 def _apart_pairs(large: DataFrame, nodes: DataFrame, threshold: int, seek: int = 0) -> DataFrame:
     """Pairs (a, b) of different components (ca, cb) within a signature of ``g`` records that may link by size and bitmap.
 
@@ -401,7 +453,8 @@ def _apart_pairs(large: DataFrame, nodes: DataFrame, threshold: int, seek: int =
         counted = large.withColumn("seek", F.coalesce(mine["sig"] == F.col("sig"), F.lit(False)))
     else:
         counted = large.withColumn("seek", F.lit(False))
-    rows = counted.join(nodes.select("h", "n", "sketch"), "h") \
+    sketches = _wanted(nodes.select("h", "sketch"), "h", large.select("h"))
+    rows = counted.join(sketches, "h") \
         .select("sig", "h", "c", "n", "seek", "sketch", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")) \
         .select("sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "h", "c", "n", "seek", "sketch")
     keys = ["sig", "i", "j"]
@@ -500,16 +553,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     near = materialise(_able(tested, nodes, threshold), "near")
     comp = components(_verified(near, nodes, source, threshold))
     discard(near)
-    large, further, joined = buckets.filter("g > 2").select("sig", "h"), None, True
+    # what was compared with the leaders is decided: they take no further part
+    decided = (F.col("h") == F.col("lead")) | ((F.col("g") > FEW) & (F.col("h") == F.col("far")))
+    large = buckets.filter((F.col("g") > 2) & ~decided).select("sig", "h").join(nodes.select("h", "n"), "h")
+    further, joined = None, True
     for step in range(1, SEEK_ROUNDS + 2):
         if joined:  # buckets whose records are not all in one component yet
-            known = large.select("sig", "h").join(comp, "h", "left").withColumn("c", F.coalesce("c", "h"))
-            apart = known.groupBy("sig").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.count(F.lit(1)).alias("g")) \
-                .filter("c0 < c1").select("sig", "g")
-            apart = apart if further is None else apart.join(further, "sig", "left_semi")
-            large = materialise(known.join(apart, "sig").select("sig", "h", "c", "g"), f"apart-{step}")
+            known = large.select("sig", "h", "n").join(comp, "h", "left").withColumn("c", F.coalesce("c", "h"))
+            large = materialise(_to_compare(known, further, threshold), f"apart-{step}")
         else:
-            large = large.join(further, "sig", "left_semi")
+            large = materialise(large.join(further, "sig", "left_semi"), f"apart-{step}")
         sent = materialise(_apart_pairs(large, nodes, threshold, step if step <= SEEK_ROUNDS else 0), f"sent-{step}")
         further = sent.filter("sig IS NOT NULL").select("sig").distinct()
         pairs = materialise(sent.filter("a IS NOT NULL").drop("sig").join(tested, ["a", "b"], "left_anti"), f"pairs-{step}")

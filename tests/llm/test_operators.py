@@ -268,6 +268,59 @@ def test_large_groups_send_a_pair_a_record(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in got} == dict(enumerate(want))
 
 
+def test_signatures_with_the_same_records_are_compared_once(spark, monkeypatch):
+    """Documents that share a passage share many signatures; their records, with bitmaps, were sent once for each."""
+    seen, write = {}, jaccard.materialise
+    monkeypatch.setattr(jaccard, "materialise", lambda df, name: seen.setdefault((name, len(seen)), write(df, name)))
+    passage = " ".join(f"p{i}" for i in range(40))
+    texts = [passage + " " + " ".join(f"own{d}x{i}" for i in range(60)) for d in range(6)]
+    got = jaccard.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert all(r.component_id == r.doc_id for r in got)
+    held = {name: df for (name, _), df in seen.items()}
+    assert held["buckets"].select("sig").distinct().count() > 2
+    assert held["apart-1"].groupBy("h").count().agg({"count": "max"}).first()[0] == 1
+
+
+def test_records_to_compare_hold_every_open_pair(spark):
+    rng = np.random.default_rng(6)
+    sizes, comps = rng.integers(20, 60, 60).tolist(), rng.integers(0, 25, 60).tolist()
+    groups = [sorted(rng.choice(60, rng.integers(1, 9), replace=False).tolist()) for _ in range(60)]
+    groups += groups[:30] + [g[:-1] for g in groups[20:50]]
+    rows = [(s, h, sizes[h], comps[h]) for s, g in enumerate(groups) for h in g]
+
+    def pairs(rows):
+        of = {}
+        for s, h in rows:
+            of.setdefault(s, []).append(h)
+        return {(a, b) for g in of.values() for a in g for b in g if a < b and comps[a] != comps[b]
+                and min(sizes[a], sizes[b]) * 100 >= 80 * max(sizes[a], sizes[b])}
+
+    table = spark.createDataFrame(rows, "sig long, h long, n long, c long").repartition(5)
+    got = jaccard._to_compare(table, None, 80).collect()
+    assert pairs([(r.sig, r.h) for r in got]) == pairs([(s, h) for s, h, _, _ in rows])
+    assert all((r.n, r.c) == (sizes[r.h], comps[r.h]) for r in got)
+    held = {}
+    for r in got:
+        held.setdefault(r.sig, set()).add(r.h)
+    assert len(set(map(frozenset, held.values()))) == len(held) and all(r.g == len(held[r.sig]) for r in got)
+    nested = [(1, 1, 40, 1), (1, 2, 40, 2), (1, 3, 40, 3), (2, 1, 40, 1), (2, 2, 40, 2), (3, 1, 40, 1), (3, 2, 40, 2), (3, 3, 40, 3)]
+    assert len(jaccard._to_compare(spark.createDataFrame(nested, table.schema), None, 80).collect()) == 3
+    some = spark.createDataFrame([(s,) for s in range(0, len(groups), 2)], "sig long")
+    part = jaccard._to_compare(table, some, 80).collect()
+    assert pairs([(r.sig, r.h) for r in part]) == pairs([(s, h) for s, h, _, _ in rows if s % 2 == 0])
+
+
+def test_wanted_rows_are_all_kept(spark, monkeypatch):
+    """Before a join with few keys most other rows go; none that is wanted, whatever the keys are and however small the filter."""
+    rows = spark.range(5000).selectExpr("if(id % 7 = 0, NULL, id) AS k", "cast(id AS string) AS t")
+    for most in (25, 10):
+        monkeypatch.setattr(jaccard, "MOST_BITS", most)
+        for col, keys in (("k", rows.filter("k % 50 = 1").select("k")), ("t", rows.filter("t LIKE '%33'").selectExpr("t AS u"))):
+            got = {r[col] for r in jaccard._wanted(rows, col, keys).collect()}
+            assert {r[0] for r in keys.collect()} <= got and len(got) < 1000
+    assert jaccard._wanted(rows, "k", rows.limit(0).select("k")).collect() == []
+
+
 def test_shingles_of_odd_words():
     """Sets of hashes are as large, and share as much, as sets of words: long, empty, with null bytes, any white space."""
     rng = np.random.default_rng(4)
