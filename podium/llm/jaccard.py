@@ -385,7 +385,8 @@ def _verified(near: DataFrame, nodes: DataFrame, source: DataFrame, threshold: i
         for batch in batches:  # an id may stand for several texts
             yield batch[[set_id(shingle_set(t)) == h for h, t in zip(batch["h"], batch["_text"])]]
 
-    texts = _wanted(source, "_id", ids.select("_id")).join(ids, "_id").select("h", "_text")
+    # shuffled, so that the filter's and the check's Python never run in the same tasks
+    texts = _wanted(source, "_id", ids.select("_id")).join(ids.hint("merge"), "_id").select("h", "_text")
     texts = materialise(texts.mapInPandas(own, "h bigint, _text string").dropDuplicates(["h"]), "near-texts")
     discard(ids)
     both = near.join(texts.select(F.col("h").alias("a"), F.col("_text").alias("ta")), "a") \
@@ -453,8 +454,8 @@ def _apart_pairs(large: DataFrame, nodes: DataFrame, threshold: int, seek: int =
         counted = large.withColumn("seek", F.coalesce(mine["sig"] == F.col("sig"), F.lit(False)))
     else:
         counted = large.withColumn("seek", F.lit(False))
-    sketches = _wanted(nodes.select("h", "sketch"), "h", large.select("h"))
-    rows = counted.join(sketches, "h") \
+    sketches = _wanted(nodes.select("h", "sketch"), "h", large.select("h"))  # records take more memory than their files tell: never broadcast
+    rows = counted.join(sketches.hint("merge"), "h") \
         .select("sig", "h", "c", "n", "seek", "sketch", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")) \
         .select("sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "h", "c", "n", "seek", "sketch")
     keys = ["sig", "i", "j"]
